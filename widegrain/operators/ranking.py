@@ -77,10 +77,8 @@ def seeded_rank(df: DataFrame, key_cols: Sequence[str], seed: int | str = 42,
     before = Window.partitionBy(*P).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*P, b, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
     offsets = broadcast_if_small(offsets)
-    cond = [d[c].eqNullSafe(offsets[c]) for c in P] + [d[b] == offsets[b]]
-    out = d.join(offsets, cond, "inner")
-    keep = [d[c] for c in df.columns]
-    return out.select(*keep, (d["__r"] + offsets["__off"]).cast("long").alias(rank_col))
+    out = _join_side(d, offsets, [*P, b])
+    return out.select(*df.columns, (F.col("__r") + F.col("__off")).cast("long").alias(rank_col))
 
 
 def exact_split(df: DataFrame, key_cols: Sequence[str], test_fraction: float = 0.2,
@@ -111,8 +109,16 @@ def kfold_assign(df: DataFrame, key_cols: Sequence[str], k: int = 5, seed: int |
 # value ranks and exact quantiles
 # --------------------------------------------------------------------------- #
 
-def _null_safe_on(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> list:
-    return [left[c].eqNullSafe(right[c]) for c in cols]
+def _join_side(big: DataFrame, side: DataFrame, keys: Sequence[str], null_safe: bool = True) -> DataFrame:
+    """Join ``side`` onto ``big`` by ``keys`` (null-safe), keeping ``big``'s key
+    columns only. Side keys are renamed first, so there is no ambiguity."""
+    ren = {k: f"__sk{i}" for i, k in enumerate(keys)}
+    s2 = side.withColumnsRenamed(ren)
+    cond = [(F.col(k).eqNullSafe(F.col(ren[k])) if null_safe else F.col(k) == F.col(ren[k])) for k in keys]
+    cond_all = cond[0]
+    for c in cond[1:]:
+        cond_all = cond_all & c
+    return big.join(s2, cond_all, "inner").drop(*ren.values())
 
 
 def value_ranks(df: DataFrame, value: str, partition_cols: Sequence[str] = (),
@@ -134,20 +140,18 @@ def value_ranks(df: DataFrame, value: str, partition_cols: Sequence[str] = (),
     bounds = distinct.groupBy(*P).agg(
         F.percentile_approx(v.cast("double"), probs, 10 * n_buckets).alias("__bounds"))
     bounds = broadcast_if_small(bounds)
-    j = distinct.join(bounds, _null_safe_on(distinct, bounds, P), "inner")
-    j = j.select(*[distinct[c] for c in P], distinct[value], distinct["cnt"],
-                 F.size(F.filter(bounds["__bounds"], lambda x: x < distinct[value].cast("double")))
-                 .alias("__b"))
+    j = _join_side(distinct, bounds, P)
+    j = j.select(*P, value, "cnt",
+                 F.size(F.filter(F.col("__bounds"), lambda x: x < v.cast("double"))).alias("__b"))
     inner = Window.partitionBy(*P, "__b").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     j = j.withColumn("__cb", F.coalesce(F.sum("cnt").over(inner), F.lit(0)))
     totals = j.groupBy(*P, "__b").agg(F.sum("cnt").alias("__bn"))
     before = Window.partitionBy(*P).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     offs = totals.select(*P, "__b", F.coalesce(F.sum("__bn").over(before), F.lit(0)).alias("__off"))
     offs = broadcast_if_small(offs)
-    cond = _null_safe_on(j, offs, P) + [j["__b"] == offs["__b"]]
-    out = j.join(offs, cond, "inner").select(
-        *[j[c] for c in P], j[value], j["cnt"].cast("long").alias("cnt"),
-        (j["__cb"] + offs["__off"]).cast("long").alias("below"))
+    out = _join_side(j, offs, [*P, "__b"]).select(
+        *P, value, F.col("cnt").cast("long").alias("cnt"),
+        (F.col("__cb") + F.col("__off")).cast("long").alias("below"))
     return out if partition_cols else out.drop("__g")
 
 
@@ -177,11 +181,9 @@ def group_quantiles(df: DataFrame, value: str, probs: Sequence[float],
     pos_rows = (targets.select(*P, "__i", "__frac", F.col("__lo").alias("__pos"), F.lit(True).alias("__is_lo"))
                 .unionByName(targets.select(*P, "__i", "__frac", F.col("__hi").alias("__pos"),
                                             F.lit(False).alias("__is_lo"))))
-    cond = _null_safe_on(vr, pos_rows, P) + [
-        (pos_rows["__pos"] >= vr["below"]) & (pos_rows["__pos"] < vr["below"] + vr["cnt"])]
-    hit = vr.join(pos_rows, cond, "inner").select(
-        *[vr[c] for c in P], pos_rows["__i"], pos_rows["__frac"], pos_rows["__is_lo"],
-        vr[value].cast("double").alias("__v"))
+    hit = _join_side(vr, pos_rows, P).where(
+        (F.col("__pos") >= F.col("below")) & (F.col("__pos") < F.col("below") + F.col("cnt"))).select(
+        *P, "__i", "__frac", "__is_lo", F.col(value).cast("double").alias("__v"))
     picked = hit.groupBy(*P, "__i").agg(
         F.max("__frac").alias("__frac"),
         F.max(F.when(F.col("__is_lo"), F.col("__v"))).alias("__vlo"),
