@@ -14,7 +14,7 @@ def _col(c) -> Column:
 
 def coerce_numeric(c, to: str = "double") -> Column:
     """``to_numeric(errors='coerce')``: unparsable text becomes null (ANSI-safe)."""
-    return F.try_cast(_col(c).cast("string"), to) if to else _col(c)
+    return _col(c).cast("string").try_cast(to) if to else _col(c)
 
 
 def safe_ratio(num, den, scale: float | None = None) -> Column:

@@ -54,3 +54,46 @@ def lineitem_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lineitem_gaps_sql() -> str:
     cols = ", ".join(f"{e} AS {c}" for c, e in LINEITEM_GAPS_SQL.items())
     return f"(SELECT l_orderkey, l_linenumber AS l_line, l_returnflag, {cols} FROM lineitem)"
+
+
+#: part with gaps for the tiered cleaner and the group-median fill
+PART_GAPS_SQL = {
+    "price_gap": "CASE WHEN p_partkey % 10 = 0 THEN NULL ELSE p_retailprice END",
+    "la_size_share": "CASE WHEN p_partkey % 10 < 3 THEN NULL ELSE CAST(p_size AS DOUBLE) / 50 END",
+    "lafar_share": "CASE WHEN p_partkey % 10 < 7 THEN NULL ELSE CAST(p_size AS DOUBLE) END",
+    "size_gap": "CASE WHEN p_partkey % 4 = 0 THEN NULL ELSE CAST(p_size AS DOUBLE) END",
+    "size_gap7": "CASE WHEN p_partkey % 7 = 3 THEN NULL ELSE CAST(p_size AS DOUBLE) END",
+}
+
+
+def part_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = load(spark, sf_dir, "part")
+    return p.select("p_partkey", "p_type", "p_name", *[F.expr(e).alias(c) for c, e in PART_GAPS_SQL.items()])
+
+
+def part_gaps_sql() -> str:
+    cols = ", ".join(f"{e} AS {c}" for c, e in PART_GAPS_SQL.items())
+    return f"(SELECT p_partkey, p_type, p_name, {cols} FROM part)"
+
+
+#: lineitem shaped like a flagged benchmark table: raw values, tri-state
+#: quality flags (null / 1 / 2), confidence bounds and a numerator
+FLAGGED_SQL = {
+    "v1_rawvalue": "l_quantity",
+    "v1_flag": "CASE WHEN l_orderkey % 5 < 2 THEN 2 WHEN l_orderkey % 5 = 2 THEN 1 ELSE NULL END",
+    "v1_cilow": "l_quantity * 0.9",
+    "v1_numerator": "l_extendedprice",
+    "v2_rawvalue": "CASE WHEN l_orderkey % 10 = 3 THEN NULL ELSE l_discount + 0.0 END",
+    "v2_flag": "CASE WHEN l_orderkey % 9 = 0 THEN 2 ELSE NULL END",
+    "v3_rawvalue": "CASE WHEN l_orderkey % 10 < 7 THEN NULL ELSE l_tax + 0.0 END",
+}
+
+
+def flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = load(spark, sf_dir, "lineitem")
+    return li.select("l_orderkey", *[F.expr(e).alias(c) for c, e in FLAGGED_SQL.items()])
+
+
+def flagged_sql() -> str:
+    cols = ", ".join(f"{e} AS {c}" for c, e in FLAGGED_SQL.items())
+    return f"(SELECT l_orderkey, {cols} FROM lineitem)"
