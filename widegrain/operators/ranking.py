@@ -56,10 +56,12 @@ def _digits_for(n_rows: int, rows_per_bucket: int = 2_000_000) -> int:
 
 def seeded_rank(df: DataFrame, key_cols: Sequence[str], seed: int | str = 42,
                 partition_cols: Sequence[str] = (), rank_col: str = "rank",
-                digits: int | None = None, check_unique: bool = True) -> DataFrame:
+                digits: int | None = None, check_unique: bool = True,
+                order_expr: Column | None = None) -> DataFrame:
     """``row_number() over (partition by P order by md5(seed:key))``, exact and
     skew-safe (see module doc). The key must be unique within each partition
     group; ``check_unique`` verifies it with one aggregate and raises.
+    ``order_expr`` replaces the default digest (it must be an md5 hex text).
     """
     P = list(partition_cols)
     if check_unique:
@@ -70,7 +72,8 @@ def seeded_rank(df: DataFrame, key_cols: Sequence[str], seed: int | str = 42,
         digits = _digits_for(df.count())
     h = "__h"
     b = "__b"
-    d = df.withColumn(h, hash_order(key_cols, seed)).withColumn(b, F.substring(h, 1, digits))
+    d = df.withColumn(h, order_expr if order_expr is not None else hash_order(key_cols, seed))
+    d = d.withColumn(b, F.substring(h, 1, digits))
     within = Window.partitionBy(*P, b).orderBy(h)
     d = d.withColumn("__r", F.row_number().over(within))
     counts = d.groupBy(*P, b).agg(F.count(F.lit(1)).alias("__n"))

@@ -1 +1,228 @@
-"""placeholder"""
+"""Driver-table queries for models, metrics and explanations."""
+
+from __future__ import annotations
+
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import functions as F
+
+from ..models import pipeline as MP
+from ..operators import explain as X
+from ..operators import ranking as R
+from .registry import register
+from .tables import ORDER_FEATURE_COLS, ORDER_FEATURES_SQL, order_features, rnd
+
+_OF = ORDER_FEATURES_SQL
+
+
+def _one_feature_fit(spark, sf, kind, **params):
+    d = order_features(spark, sf)
+    asm = VectorAssembler(inputCols=["sum_qty"], outputCol="features")
+    est = MP.make_regressor(kind, "features", "revenue", **params)
+    m = Pipeline(stages=[asm, est]).fit(d).stages[-1]
+    return spark.range(1).select(F.lit(kind).alias("model"), F.round(F.lit(float(m.coefficients[0])), 4).alias("coef"),
+                                 F.round(F.lit(float(m.intercept)), 4).alias("intercept"))
+
+
+_STATS = f"(SELECT covar_pop(sum_qty, revenue) AS c, var_pop(sum_qty) AS v, avg(sum_qty) AS mx, avg(revenue) AS my, count(*) AS n FROM {_OF})"
+
+
+@register("ols_one_feature", "M11", sql=f"""
+SELECT 'linear' AS model, round(c / v, 4) AS coef, round(my - c / v * mx, 4) AS intercept FROM {_STATS}
+""")
+def ols_one_feature(spark, sf):
+    return _one_feature_fit(spark, sf, "linear")
+
+
+@register("ridge_one_feature", "M12", sql=f"""
+SELECT 'ridge' AS model, round(n * c / (n * v + 1000.0), 4) AS coef,
+       round(my - n * c / (n * v + 1000.0) * mx, 4) AS intercept FROM {_STATS}
+""")
+def ridge_one_feature(spark, sf):
+    return _one_feature_fit(spark, sf, "ridge", alpha=1000.0)
+
+
+@register("lasso_one_feature", "M3", sql=f"""
+SELECT 'lasso' AS model, round(sign(c) * greatest(abs(c) - 2.0, 0) / v, 4) AS coef,
+       round(my - sign(c) * greatest(abs(c) - 2.0, 0) / v * mx, 4) AS intercept FROM {_STATS}
+""")
+def lasso_one_feature(spark, sf):
+    return _one_feature_fit(spark, sf, "lasso", alpha=2.0)
+
+
+@register("elastic_net_one_feature", "M13", sql=f"""
+SELECT 'elasticnet' AS model, round(sign(c) * greatest(abs(c) - 2.0 * 0.5, 0) / (v + 2.0 * 0.5), 4) AS coef,
+       round(my - sign(c) * greatest(abs(c) - 2.0 * 0.5, 0) / (v + 2.0 * 0.5) * mx, 4) AS intercept FROM {_STATS}
+""")
+def elastic_net_one_feature(spark, sf):
+    return _one_feature_fit(spark, sf, "elasticnet", alpha=2.0, l1_ratio=0.5)
+
+
+_MD5 = "md5('42:' || CAST(l_orderkey AS VARCHAR))"
+_SPLIT = f"""WITH d AS (SELECT *, CASE WHEN row_number() OVER (ORDER BY {_MD5}) <= ceil(0.2 * count(*) OVER ())
+                     THEN 'test' ELSE 'train' END AS split FROM {_OF}),
+     s AS (SELECT covar_pop(sum_qty, revenue) / var_pop(sum_qty) AS b,
+                  avg(revenue) - covar_pop(sum_qty, revenue) / var_pop(sum_qty) * avg(sum_qty) AS a,
+                  avg(revenue) AS ybar FROM d WHERE split = 'train'),
+     p AS (SELECT d.*, a + b * sum_qty AS pred, ybar FROM d, s)"""
+
+
+def _split_predictions(spark, sf):
+    d = R.exact_split(order_features(spark, sf), ["l_orderkey"], 0.2, 42)
+    pipe = Pipeline(stages=[VectorAssembler(inputCols=["sum_qty"], outputCol="features"),
+                            MP.make_regressor("linear", "features", "revenue")])
+    model = pipe.fit(d.where(F.col("split") == "train"))
+    pred = model.transform(d)
+    base = MP.mean_baseline(d.where(F.col("split") == "train"), d, "revenue", "baseline")
+    return pred.join(base.select("l_orderkey", "baseline"), "l_orderkey")
+
+
+@register("regression_scores", "A27,A28,M28,M31", sql=_SPLIT + """
+SELECT split, 'linear' AS model, count(*) AS n,
+       round(1 - sum((revenue - pred) ^ 2) / (count(*) * var_pop(revenue)), 6) AS r2,
+       round(sqrt(avg((revenue - pred) ^ 2)), 6) AS rmse, round(avg(abs(revenue - pred)), 6) AS mae,
+       round(stddev_samp(revenue - pred), 6) AS resid_sd,
+       round(avg(CAST(abs(revenue - pred) <= 1 AS DOUBLE)), 6) AS within_1,
+       round(avg(CAST(abs(revenue - pred) <= 2 AS DOUBLE)), 6) AS within_2
+FROM p GROUP BY split
+UNION ALL
+SELECT split, 'mean_baseline', count(*),
+       round(1 - sum((revenue - ybar) ^ 2) / (count(*) * var_pop(revenue)), 6),
+       round(sqrt(avg((revenue - ybar) ^ 2)), 6), round(avg(abs(revenue - ybar)), 6),
+       round(stddev_samp(revenue - ybar), 6),
+       round(avg(CAST(abs(revenue - ybar) <= 1 AS DOUBLE)), 6), round(avg(CAST(abs(revenue - ybar) <= 2 AS DOUBLE)), 6)
+FROM p GROUP BY split
+""")
+def regression_scores(spark, sf):
+    p = _split_predictions(spark, sf)
+    out = None
+    for name, col in [("linear", "prediction"), ("mean_baseline", "baseline")]:
+        m = MP.regression_metrics(p, "revenue", col, ["split"])
+        r = MP.residual_summary(p, "revenue", col, ["split"])
+        t = m.join(r, "split").select("split", F.lit(name).alias("model"), "n",
+                                      *[rnd(c).alias(c) for c in ["r2", "rmse", "mae", "resid_sd"]],
+                                      rnd("within_1").alias("within_1"), rnd("within_2").alias("within_2"))
+        out = t if out is None else out.unionByName(t)
+    return out
+
+
+@register("largest_test_errors", "W7,J4", sql=_SPLIT + """
+SELECT l_orderkey, round(revenue, 3) AS y, round(pred, 3) AS prediction, round(abs(revenue - pred), 3) AS abs_error
+FROM p WHERE split = 'test' ORDER BY abs(revenue - pred) DESC, l_orderkey LIMIT 10
+""")
+def largest_test_errors(spark, sf):
+    p = _split_predictions(spark, sf).where(F.col("split") == "test")
+    p = p.select("l_orderkey", "revenue", "prediction", F.abs(F.col("revenue") - F.col("prediction")).alias("__e"))
+    t = R.top_k(p, "__e", 10, tiebreak=["l_orderkey"])
+    return t.select("l_orderkey", F.round("revenue", 3).alias("y"), F.round("prediction", 3).alias("prediction"),
+                    F.round("__e", 3).alias("abs_error"))
+
+
+_PI_FEATS = ["sum_qty", "avg_retail"]
+_PI_REPEATS = 15
+_OLS2 = f"""d AS {_OF},
+     c AS (SELECT covar_pop(sum_qty, sum_qty) AS s11, covar_pop(avg_retail, avg_retail) AS s22,
+                  covar_pop(sum_qty, avg_retail) AS s12, covar_pop(sum_qty, revenue) AS s1y,
+                  covar_pop(avg_retail, revenue) AS s2y, avg(sum_qty) AS m1, avg(avg_retail) AS m2,
+                  avg(revenue) AS my FROM d),
+     b AS (SELECT (s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12) AS b1,
+                  (s11 * s2y - s12 * s1y) / (s11 * s22 - s12 * s12) AS b2, m1, m2, my FROM c),
+     coef AS (SELECT b1, b2, my - b1 * m1 - b2 * m2 AS b0 FROM b)"""
+
+
+def _ols2_model(d):
+    pipe = Pipeline(stages=[VectorAssembler(inputCols=_PI_FEATS, outputCol="features"),
+                            MP.make_regressor("linear", "features", "revenue")])
+    return pipe.fit(d)
+
+
+@register("permutation_importance_orders", "M21", sql=f"""
+WITH {_OLS2},
+     nat AS (SELECT *, row_number() OVER (ORDER BY md5('42:' || CAST(l_orderkey AS VARCHAR))) AS pos FROM d),
+     reps AS (SELECT f, CAST(r AS INTEGER) AS r FROM (VALUES ('sum_qty'), ('avg_retail')) a(f), range({_PI_REPEATS}) t(r)),
+     don AS (SELECT f, r, CASE WHEN f = 'sum_qty' THEN sum_qty ELSE avg_retail END AS val,
+                    row_number() OVER (PARTITION BY f, r ORDER BY md5(f || ':' || CAST(r AS VARCHAR) || ':42:' || CAST(l_orderkey AS VARCHAR))) AS pos
+             FROM nat, reps),
+     perm AS (SELECT reps.f, reps.r, nat.revenue,
+                     CASE WHEN reps.f = 'sum_qty' THEN don.val ELSE nat.sum_qty END AS x1,
+                     CASE WHEN reps.f = 'avg_retail' THEN don.val ELSE nat.avg_retail END AS x2
+              FROM nat, reps, don WHERE don.f = reps.f AND don.r = reps.r AND don.pos = nat.pos),
+     base AS (SELECT 1 - sum((revenue - (b0 + b1 * sum_qty + b2 * avg_retail)) ^ 2) / (count(*) * var_pop(revenue)) AS r2
+              FROM d, coef),
+     per AS (SELECT f, r, 1 - sum((revenue - (b0 + b1 * x1 + b2 * x2)) ^ 2) / (count(*) * var_pop(revenue)) AS r2
+             FROM perm, coef GROUP BY f, r)
+SELECT f AS feature, round(avg(base.r2 - per.r2), 6) AS importance_mean,
+       round(stddev_pop(base.r2 - per.r2), 6) AS importance_std
+FROM per, base GROUP BY f
+""")
+def permutation_importance_orders(spark, sf):
+    d = order_features(spark, sf).select("l_orderkey", "revenue", *_PI_FEATS)
+    model = _ols2_model(d)
+    summ, _ = X.permutation_importance(model, d, _PI_FEATS, "revenue", "l_orderkey", _PI_REPEATS, 42)
+    return summ.select("feature", rnd("importance_mean").alias("importance_mean"),
+                       rnd("importance_std").alias("importance_std"))
+
+
+@register("shapley_linear_orders", "M22", sql=f"""
+WITH {_OLS2},
+     bg AS (SELECT avg(sum_qty) AS z1, avg(avg_retail) AS z2 FROM (
+              SELECT * FROM d QUALIFY row_number() OVER (ORDER BY md5('42:' || CAST(l_orderkey AS VARCHAR))) <= 100))
+SELECT 'sum_qty' AS feature, round(avg(abs(b1 * (sum_qty - z1))), 4) AS mean_abs_phi FROM d, coef, bg
+UNION ALL SELECT 'avg_retail', round(avg(abs(b2 * (avg_retail - z2))), 4) FROM d, coef, bg
+""")
+def shapley_linear_orders(spark, sf):
+    d = order_features(spark, sf).select("l_orderkey", "revenue", *_PI_FEATS)
+    model = _ols2_model(d)
+    bg = R.seeded_sample(d, ["l_orderkey"], 100, 42)
+    phi = X.shapley_values(model, d, _PI_FEATS, "l_orderkey", bg, n_permutations=1, seed=42)
+    return X.mean_abs_attribution(phi).select("feature", F.round("mean_abs_phi", 4).alias("mean_abs_phi"))
+
+
+# ---- rows-only model-selection queries (no SQL twin: fitted ML models) ---- #
+
+def _folded(spark, sf):
+    return R.kfold_assign(order_features(spark, sf), ["l_orderkey"], 5, 42)
+
+
+@register("cv_candidates_orders", "M10,M14,M15,M16,M18,M2,M4,M6,I7")
+def cv_candidates_orders(spark, sf):
+    d = _folded(spark, sf)
+    feats = ORDER_FEATURE_COLS
+    cands = {k: MP.make_pipeline(feats, "revenue", k, alpha=0.0055, n_components=3)
+             for k in ["linear", "ridge", "elasticnet"]}
+    cands["forest"] = MP.make_pipeline(feats, "revenue", "forest", alpha=0.0055, n_components=3,
+                                       n_estimators=20, max_depth=6)
+    cands["gbt"] = MP.make_pipeline(feats, "revenue", "gbt", alpha=0.0055, n_components=3,
+                                    n_estimators=10, max_depth=4)
+    cands["svr_rbf"] = MP.make_pipeline(feats, "revenue", "svr_rbf", alpha=0.0055, n_components=3,
+                                        n_random_features=50)
+    _, summary = MP.cross_validate(d, cands, "revenue", "fold", parallelism=3)
+    return summary.select("model", *[rnd(c).alias(c) for c in summary.columns if c != "model"])
+
+
+@register("grid_search_orders", "M19,W6,M26")
+def grid_search_orders(spark, sf):
+    from pyspark.ml.tuning import ParamGridBuilder
+    d = _folded(spark, sf)
+    pipe = MP.make_pipeline(ORDER_FEATURE_COLS, "revenue", "ridge", alpha=0.0055, n_components=3)
+    sel, pca, reg = pipe.getStages()[3], pipe.getStages()[4], pipe.getStages()[5]
+    g1 = ParamGridBuilder().addGrid(sel.alpha, [0.001, 0.01]).addGrid(pca.k, [2, 3]).build()
+    g2 = ParamGridBuilder().addGrid(reg.alpha, [0.1, 10.0]).addGrid(pca.k, [2]).build()
+    _, ranking = MP.grid_search(d, pipe, [g1, g2], "revenue", "fold", parallelism=2)
+    return ranking
+
+
+@register("pca_loadings_orders", "M9,M6,M7")
+def pca_loadings_orders(spark, sf):
+    d = order_features(spark, sf)
+    pipe = MP.make_pipeline(ORDER_FEATURE_COLS, "revenue", "linear", select=False, n_components=3)
+    m = pipe.fit(d)
+    return X.pca_loadings(m.stages[3], ORDER_FEATURE_COLS)
+
+
+@register("lasso_coefficients_orders", "M29,M3,M4")
+def lasso_coefficients_orders(spark, sf):
+    d = order_features(spark, sf)
+    pipe = MP.make_pipeline(ORDER_FEATURE_COLS, "revenue", "lasso", select=False, reduce=False, alpha=0.01)
+    m = pipe.fit(d)
+    return X.coefficient_table(m.stages[-1].coefficients, ORDER_FEATURE_COLS)

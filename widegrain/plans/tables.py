@@ -97,3 +97,22 @@ def flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
 def flagged_sql() -> str:
     cols = ", ".join(f"{e} AS {c}" for c, e in FLAGGED_SQL.items())
     return f"(SELECT l_orderkey, {cols} FROM lineitem)"
+
+
+#: per-order modelling table: lineitem joined to part, rolled up per order
+ORDER_FEATURES_SQL = """(SELECT l_orderkey, sum(l_extendedprice) / 1000 AS revenue, sum(l_quantity) / 100 AS sum_qty,
+  CAST(count(*) AS DOUBLE) AS n_lines, avg(l_discount) AS avg_disc, avg(l_tax) AS avg_tax,
+  avg(p_retailprice) / 1000 AS avg_retail
+  FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY l_orderkey)"""
+
+ORDER_FEATURE_COLS = ["sum_qty", "n_lines", "avg_disc", "avg_tax", "avg_retail"]
+
+
+def order_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = load(spark, sf_dir, "lineitem")
+    p = load(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
+    j = li.join(p, li["l_partkey"] == p["p_partkey"], "inner")
+    return j.groupBy("l_orderkey").agg(
+        (F.sum("l_extendedprice") / 1000).alias("revenue"), (F.sum("l_quantity") / 100).alias("sum_qty"),
+        F.count(F.lit(1)).cast("double").alias("n_lines"), F.avg("l_discount").alias("avg_disc"),
+        F.avg("l_tax").alias("avg_tax"), (F.avg("p_retailprice") / 1000).alias("avg_retail"))
