@@ -216,9 +216,10 @@ def grid_search(df: DataFrame, estimator: Estimator, grids: Sequence[list], labe
     from ..session import cut_lineage
     maps = [m for g in grids for m in g]
     ev = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="r2")
-    cv = CrossValidator(estimator=estimator, estimatorParamMaps=maps, evaluator=ev, foldCol=fold_col,
-                        parallelism=parallelism, collectSubModels=False)
     data = cut_lineage(df)
+    n_folds = data.select(fold_col).distinct().count()
+    cv = CrossValidator(estimator=estimator, estimatorParamMaps=maps, evaluator=ev, foldCol=fold_col,
+                        numFolds=n_folds, parallelism=parallelism, collectSubModels=False)
     model = cv.fit(data)
     rows = [(i, "; ".join(f"{p.name}={v}" for p, v in sorted(m.items(), key=lambda kv: kv[0].name)),
              float(model.avgMetrics[i]), float(model.stdMetrics[i]) if model.stdMetrics else None)

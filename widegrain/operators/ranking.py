@@ -29,15 +29,26 @@ from ..session import cut_lineage
 BROADCAST_ROW_LIMIT = 2_000_000
 
 
-def broadcast_if_small(small: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Checkpoint a derived table, count it, and broadcast it only if its row
-    count is within ``limit``; otherwise return it for a shuffle join.
-
-    The checkpoint also pins its content, so every later use sees the same rows
-    even if an executor is lost and parts of the plan are recomputed.
+def broadcast_if_small(small: DataFrame, limit: int = BROADCAST_ROW_LIMIT,
+                       known_max_rows: int | None = None) -> DataFrame:
+    """Broadcast a derived side table only behind a size check.
+
+    With ``known_max_rows`` (a bound proven from earlier counts, e.g. groups x
+    buckets) no job is needed. Otherwise the table is checkpointed to the
+    shared folder and counted; the checkpoint also pins its content, so every
+    later use sees the same rows even if an executor is lost and parts of the
+    plan are recomputed. Above ``limit`` it is returned for a shuffle join.
     """
+    if known_max_rows is not None and known_max_rows <= limit:
+        return F.broadcast(small)
     small = cut_lineage(small)
-    return F.broadcast(small) if small.count() <= limit else small
+    n = small.count()
+    small._wg_rows = n  # remembered bound for callers
+    return F.broadcast(small) if n <= limit else small
+
+
+def _rows_of(df: DataFrame) -> int | None:
+    return getattr(df, "_wg_rows", None)
 
 
 def hash_order(key_cols: Sequence[str], seed: int | str) -> Column:
@@ -142,7 +153,8 @@ def value_ranks(df: DataFrame, value: str, partition_cols: Sequence[str] = (),
     probs = [i / n_buckets for i in range(1, n_buckets)]
     bounds = distinct.groupBy(*P).agg(
         F.percentile_approx(v.cast("double"), probs, 10 * n_buckets).alias("__bounds"))
-    bounds = broadcast_if_small(bounds)
+    bounds = broadcast_if_small(bounds)   # pinned: approximate sketches may vary on recompute
+    n_groups = _rows_of(bounds)
     j = _join_side(distinct, bounds, P)
     j = j.select(*P, value, "cnt",
                  F.size(F.filter(F.col("__bounds"), lambda x: x < v.cast("double"))).alias("__b"))
@@ -151,7 +163,7 @@ def value_ranks(df: DataFrame, value: str, partition_cols: Sequence[str] = (),
     totals = j.groupBy(*P, "__b").agg(F.sum("cnt").alias("__bn"))
     before = Window.partitionBy(*P).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     offs = totals.select(*P, "__b", F.coalesce(F.sum("__bn").over(before), F.lit(0)).alias("__off"))
-    offs = broadcast_if_small(offs)
+    offs = broadcast_if_small(offs, known_max_rows=None if n_groups is None else n_groups * n_buckets)
     out = _join_side(j, offs, [*P, "__b"]).select(
         *P, value, F.col("cnt").cast("long").alias("cnt"),
         (F.col("__cb") + F.col("__off")).cast("long").alias("below"))
@@ -172,6 +184,7 @@ def group_quantiles(df: DataFrame, value: str, probs: Sequence[float],
     names = list(names) if names is not None else [f"q{p:g}" for p in probs]
     vr = value_ranks(src, value, P, n_buckets)
     n = vr.groupBy(*P).agg(F.sum("cnt").alias("__n"))
+    n_groups = None if partition_cols else 1
     targets = None
     for i, p in enumerate(probs):
         pos = F.lit(float(p)) * (F.col("__n") - 1)
@@ -179,7 +192,7 @@ def group_quantiles(df: DataFrame, value: str, probs: Sequence[float],
                      F.ceil(pos).cast("long").alias("__hi"),
                      (pos - F.floor(pos)).alias("__frac"))
         targets = t if targets is None else targets.unionByName(t)
-    targets = broadcast_if_small(targets)
+    targets = broadcast_if_small(targets, known_max_rows=None if n_groups is None else n_groups * len(probs))
     # the values at 0-based positions lo and hi of each target
     pos_rows = (targets.select(*P, "__i", "__frac", F.col("__lo").alias("__pos"), F.lit(True).alias("__is_lo"))
                 .unionByName(targets.select(*P, "__i", "__frac", F.col("__hi").alias("__pos"),
