@@ -1 +1,82 @@
-"""placeholder"""
+"""Driver-table queries for sources, sinks, fingerprints and audits."""
+
+from __future__ import annotations
+
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import functions as F
+
+from ..functions.keys import pad_key
+from ..models import pipeline as MP
+from ..sources import io as IO
+from .registry import register
+from .tables import ORDER_FEATURE_COLS, load, order_features, pad_sql
+
+_DRIVER_TABLES = {"region": 2, "nation": 3, "customer": 5, "supplier": 4, "part": 6, "orders": 6,
+                  "lineitem": 11, "events": 6, "documents": 5, "labels": 3, "embeddings": 3}
+
+
+@register("table_dimensions", "S15", sql=" UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS n_rows, {n} AS n_columns FROM {t}" for t, n in _DRIVER_TABLES.items()))
+def table_dimensions(spark, sf):
+    return IO.dimensions({t: load(spark, sf, t) for t in _DRIVER_TABLES})
+
+
+_TYPE_FAMILY_SQL = """CASE WHEN data_type IN ('BIGINT', 'INTEGER') THEN 'integer' WHEN data_type = 'VARCHAR' THEN 'string'
+ WHEN data_type IN ('DOUBLE', 'FLOAT') THEN 'double' WHEN data_type LIKE 'TIMESTAMP%' THEN 'timestamp'
+ WHEN data_type LIKE '%[]' THEN 'array' ELSE lower(data_type) END"""
+
+
+@register("schema_audit_driver_tables", "S14", sql=f"""
+SELECT table_name, CAST(ordinal_position AS INTEGER) AS position, column_name, {_TYPE_FAMILY_SQL} AS dtype_family
+FROM information_schema.columns
+WHERE table_name IN ({', '.join(f"'{t}'" for t in _DRIVER_TABLES)})
+""")
+def schema_audit_driver_tables(spark, sf):
+    a = IO.schema_audit({t: load(spark, sf, t) for t in _DRIVER_TABLES})
+    fam = (F.when(F.col("dtype").isin("bigint", "int"), "integer").when(F.col("dtype") == "string", "string")
+           .when(F.col("dtype").isin("double", "float"), "double")
+           .when(F.col("dtype").startswith("timestamp"), "timestamp")
+           .when(F.col("dtype").startswith("array"), "array").otherwise(F.col("dtype")))
+    return a.select("table_name", "position", "column_name", fam.alias("dtype_family"))
+
+
+_FP_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
+
+
+@register("fingerprint_orders", "S13", sql=f"""
+SELECT count(*) AS n_rows,
+       CAST(sum(CAST(('0x' || substr(md5(concat_ws('|', {', '.join(f"coalesce(CAST({c} AS VARCHAR), '\\N')" for c in _FP_COLS)})), 1, 12)) AS BIGINT)) AS VARCHAR) AS digest_sum
+FROM orders
+""")
+def fingerprint_orders(spark, sf):
+    fp = IO.table_fingerprint(load(spark, sf, "orders"), _FP_COLS, method="md5")
+    return fp.select("n_rows", "digest_sum")
+
+
+@register("source_filter_purchases", "S10,S11,P3", sql="""
+SELECT event_id, user_id, value FROM events WHERE event_type = 'purchase'
+""")
+def source_filter_purchases(spark, sf):
+    ev = load(spark, sf, "events")
+    return IO.source_filter(ev, "event_type", "purchase").select("event_id", "user_id", "value")
+
+
+@register("csv_two_header_roundtrip", "S1,S2,S6,P7,P9", sql=f"""
+SELECT {pad_sql('c_custkey')} AS cust_key, c_name, CAST(c_nationkey AS DOUBLE) AS c_nationkey, c_acctbal, c_mktsegment
+FROM customer
+""")
+def csv_two_header_roundtrip(spark, sf):
+    c = load(spark, sf, "customer").select(pad_key("c_custkey").alias("cust_key"), "c_name", "c_nationkey",
+                                            "c_acctbal", "c_mktsegment")
+    path = IO.scratch_path(spark, "two-header")
+    IO.write_two_header_csv(c, path)
+    return IO.read_two_header_csv(spark, path, key_cols=["cust_key"])
+
+
+@register("model_reload_check", "S16")
+def model_reload_check(spark, sf):
+    d = order_features(spark, sf)
+    pipe = MP.make_pipeline(ORDER_FEATURE_COLS, "revenue", "ridge", n_components=3)
+    model = pipe.fit(d)
+    return IO.verify_reload(model, IO.scratch_path(spark, "model"), d, "revenue")
