@@ -170,18 +170,32 @@ def value_ranks(df: DataFrame, value: str, partition_cols: Sequence[str] = (),
     return out if partition_cols else out.drop("__g")
 
 
+#: below this many input rows the in-buffer exact ``percentile`` aggregate is
+#: used: its per-group buffer holds at most that many values, a proven bound
+IN_BUFFER_ROW_LIMIT = 5_000_000
+
+
 def group_quantiles(df: DataFrame, value: str, probs: Sequence[float],
                     partition_cols: Sequence[str] = (), names: Sequence[str] | None = None,
-                    n_buckets: int = 64) -> DataFrame:
+                    n_buckets: int = 64, in_buffer_limit: int | None = IN_BUFFER_ROW_LIMIT) -> DataFrame:
     """Exact quantiles with linear interpolation (pandas ``quantile``, DuckDB
     ``quantile_cont``, Spark ``percentile``) per group, skew-safe.
 
-    Returns one row per group with one column per probability (``names`` or
-    ``q<p>``); groups whose values are all null are absent.
+    Small inputs (row count checked against ``in_buffer_limit``) use Spark's
+    exact ``percentile`` aggregate, whose buffer is then bounded by that
+    count; larger inputs take the bucketed value-rank path, which never puts a
+    whole group in one task. Returns one row per group with one column per
+    probability (``names`` or ``q<p>``); groups whose values are all null are
+    absent.
     """
     P = list(partition_cols) or ["__g"]
     src = df if partition_cols else df.withColumn("__g", F.lit(0))
     names = list(names) if names is not None else [f"q{p:g}" for p in probs]
+    if in_buffer_limit is not None and src.count() <= in_buffer_limit:
+        v = F.col(value).cast("double")
+        q = src.where(v.isNotNull()).groupBy(*P).agg(F.percentile(v, [float(p) for p in probs]).alias("__qs"))
+        out = q.select(*P, *[F.col("__qs")[i].alias(nm) for i, nm in enumerate(names)])
+        return out if partition_cols else out.drop("__g")
     vr = value_ranks(src, value, P, n_buckets)
     n = vr.groupBy(*P).agg(F.sum("cnt").alias("__n"))
     n_groups = None if partition_cols else 1
