@@ -78,28 +78,27 @@ def shapley_values(model, df: DataFrame, features: Sequence[str], key: str, back
     bg = background.select(*features).limit(max_background).collect()
     if not bg:
         raise ValueError("empty background")
-    bg_arr = F.array(*[F.struct(F.lit(i).alias("bg_id"), *[F.lit(float(r[f])).alias(f"__z{j}")
+    bg_arr = F.array(*[F.struct(F.lit(i).alias("__bg_id"), *[F.lit(float(r[f])).alias(f"__z{j}")
                                                            for j, f in enumerate(features)])
                        for i, r in enumerate(bg)])
     d = df.select(key, *[F.col(f).cast("double").alias(f) for f in features])
-    d = d.select("*", F.explode(F.sequence(F.lit(0), F.lit(n_permutations - 1))).alias("perm"))
+    d = d.select("*", F.explode(F.sequence(F.lit(0), F.lit(n_permutations - 1))).alias("__perm"))
     # permutation of feature indices for (row, perm): sort by a digest
     order = F.array_sort(F.array(*[F.struct(
-        F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string"), F.col("perm").cast("string"),
+        F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string"), F.col("__perm").cast("string"),
                           F.lit(f))).alias("h"), F.lit(j).alias("j")) for j, f in enumerate(features)]))
     d = d.withColumn("__order", F.transform(order, lambda s: s["j"]))
-    d = d.select("*", F.explode(F.sequence(F.lit(0), F.lit(p))).alias("k"))
+    d = d.select("*", F.explode(F.sequence(F.lit(0), F.lit(p))).alias("__k"))
     d = d.select("*", F.explode(bg_arr).alias("__bg")).select("*", "__bg.*").drop("__bg")
-    inS = {j: F.array_contains(F.slice(F.col("__order"), 1, F.col("k")), F.lit(j)) if True else None
-           for j in range(p)}
-    hyb = d.select(key, "perm", "k", "bg_id", "__order",
-                   *[F.when(F.col("k") > 0, F.when(inS[j], F.col(f)).otherwise(F.col(f"__z{j}")))
+    inS = {j: F.array_contains(F.slice(F.col("__order"), 1, F.col("__k")), F.lit(j)) for j in range(p)}
+    hyb = d.select(key, "__perm", "__k", "__bg_id", "__order",
+                   *[F.when(F.col("__k") > 0, F.when(inS[j], F.col(f)).otherwise(F.col(f"__z{j}")))
                      .otherwise(F.col(f"__z{j}")).alias(f) for j, f in enumerate(features)])
-    scored = model.transform(hyb).select(key, "perm", "k", "bg_id", "__order", F.col(pred).alias("__f"))
-    w = Window.partitionBy(key, "perm", "bg_id").orderBy("k")
-    diffs = scored.withColumn("__d", F.col("__f") - F.lag("__f").over(w)).where(F.col("k") > 0)
+    scored = model.transform(hyb).select(key, "__perm", "__k", "__bg_id", "__order", F.col(pred).alias("__f"))
+    w = Window.partitionBy(key, "__perm", "__bg_id").orderBy("__k")
+    diffs = scored.withColumn("__d", F.col("__f") - F.lag("__f").over(w)).where(F.col("__k") > 0)
     names = F.array(*[F.lit(f) for f in features])
-    diffs = diffs.select(key, F.element_at(names, F.element_at(F.col("__order"), F.col("k")) + 1).alias("feature"),
+    diffs = diffs.select(key, F.element_at(names, F.element_at(F.col("__order"), F.col("__k")) + 1).alias("feature"),
                          "__d")
     return diffs.groupBy(key, "feature").agg(F.avg("__d").alias("phi"))
 
