@@ -179,3 +179,9 @@ def test_group_median_fill_keeps_null_key_values(spark):
                                "st string, v double")
     out = [r["v"] for r in C.group_median_fill(df, ["v"], "st").orderBy("st", "v").collect()]
     assert sorted(out, key=lambda x: (x is None, x)) == [1.0, 2.0, 3.0, 5.0, 5.0, None]
+
+
+def test_seeded_rank_rejects_duplicate_keys(spark):
+    df = spark.createDataFrame([(1,), (2,), (2,)], "k long")
+    with pytest.raises(Exception, match="not unique"):
+        R.seeded_rank(df, ["k"]).collect()

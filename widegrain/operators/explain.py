@@ -27,7 +27,8 @@ def permuted_copies(df: DataFrame, features: Sequence[str], key: str, n_repeats:
     (feature, repeat), computed with the skew-safe seeded rank.
     """
     features = list(features)
-    base = seeded_rank(df, [key], seed, rank_col="__pos")
+    n = df.count()
+    base = seeded_rank(df, [key], seed, rank_col="__pos", n_rows=n)
     reps = F.array(*[F.struct(F.lit(f).alias("perm_feature"), F.lit(r).alias("perm_repeat"))
                      for f in features for r in range(n_repeats)])
     rep = base.select("*", F.explode(reps).alias("__fr")).select("*", "__fr.*").drop("__fr")
@@ -38,7 +39,8 @@ def permuted_copies(df: DataFrame, features: Sequence[str], key: str, n_repeats:
     order = F.md5(F.concat_ws(":", F.col("perm_feature"), F.col("perm_repeat").cast("string"), F.lit(str(seed)),
                               F.col(key).cast("string")))
     donors = seeded_rank(donors, [key], seed, partition_cols=["perm_feature", "perm_repeat"], rank_col="__pos",
-                         check_unique=False, order_expr=order).drop(key)
+                         check_unique=False, order_expr=order, n_rows=n,
+                         n_groups=len(features) * n_repeats).drop(key)
     j = rep.join(donors, ["perm_feature", "perm_repeat", "__pos"], "inner")
     return j.select(*[F.when(F.col("perm_feature") == f, F.col("__val")).otherwise(F.col(f).cast("double")).alias(f)
                       if f in features else F.col(f) for f in df.columns], "perm_feature", "perm_repeat")

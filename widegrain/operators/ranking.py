@@ -27,6 +27,10 @@ from ..session import cut_lineage
 
 #: rows above which a derived side table is joined by shuffle, not broadcast
 BROADCAST_ROW_LIMIT = 2_000_000
+#: below this many input rows a whole group may be handled by one task (the
+#: exact in-buffer ``percentile``, one ordered window per group): the row
+#: count, checked first, bounds what any task holds
+IN_BUFFER_ROW_LIMIT = 5_000_000
 
 
 def broadcast_if_small(small: DataFrame, limit: int = BROADCAST_ROW_LIMIT,
@@ -68,31 +72,40 @@ def _digits_for(n_rows: int, rows_per_bucket: int = 2_000_000) -> int:
 def seeded_rank(df: DataFrame, key_cols: Sequence[str], seed: int | str = 42,
                 partition_cols: Sequence[str] = (), rank_col: str = "rank",
                 digits: int | None = None, check_unique: bool = True,
-                order_expr: Column | None = None) -> DataFrame:
+                order_expr: Column | None = None, n_rows: int | None = None,
+                n_groups: int | None = None) -> DataFrame:
     """``row_number() over (partition by P order by md5(seed:key))``, exact and
-    skew-safe (see module doc). The key must be unique within each partition
-    group; ``check_unique`` verifies it with one aggregate and raises.
+    skew-safe (see module doc).
+
+    The key must be unique within each partition group: with ``check_unique``
+    a repeated digest inside a bucket raises at execution time (JVM
+    ``raise_error``, no extra pass). ``n_rows`` (rows per group) and
+    ``n_groups`` are optional hints that spare the sizing jobs.
     ``order_expr`` replaces the default digest (it must be an md5 hex text).
     """
     P = list(partition_cols)
-    if check_unique:
-        dup = df.groupBy(*P, *key_cols).count().where("count > 1").limit(1).count()
-        if dup:
-            raise ValueError(f"key {list(key_cols)} is not unique; a seeded rank needs a unique key")
     if digits is None:
-        digits = _digits_for(df.count())
+        digits = _digits_for(n_rows if n_rows is not None else df.count())
     h = "__h"
     b = "__b"
     d = df.withColumn(h, order_expr if order_expr is not None else hash_order(key_cols, seed))
     d = d.withColumn(b, F.substring(h, 1, digits))
     within = Window.partitionBy(*P, b).orderBy(h)
     d = d.withColumn("__r", F.row_number().over(within))
+    if check_unique:
+        d = d.withColumn("__dup", F.lag(h).over(within) == F.col(h))
     counts = d.groupBy(*P, b).agg(F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy(*P).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*P, b, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
-    offsets = broadcast_if_small(offsets)
+    bound = 16 ** digits * (1 if not P else (n_groups or 0))
+    offsets = broadcast_if_small(offsets, known_max_rows=bound if bound else None)
     out = _join_side(d, offsets, [*P, b])
-    return out.select(*df.columns, (F.col("__r") + F.col("__off")).cast("long").alias(rank_col))
+    rank = (F.col("__r") + F.col("__off")).cast("long")
+    if check_unique:
+        rank = F.when(F.coalesce(F.col("__dup"), F.lit(False)),
+                      F.raise_error(F.lit(f"key {list(key_cols)} is not unique; a seeded rank needs a unique key"))
+                      .cast("long")).otherwise(rank)
+    return out.select(*df.columns, rank.alias(rank_col))
 
 
 def exact_split(df: DataFrame, key_cols: Sequence[str], test_fraction: float = 0.2,
@@ -101,7 +114,7 @@ def exact_split(df: DataFrame, key_cols: Sequence[str], test_fraction: float = 0
     ``'test'`` (lowest hash ranks), the rest ``'train'``. Not stratified."""
     n = df.count()
     n_test = math.ceil(test_fraction * n)
-    r = seeded_rank(df, key_cols, seed, rank_col="__rank")
+    r = seeded_rank(df, key_cols, seed, rank_col="__rank", n_rows=n)
     return r.withColumn(split_col, F.when(F.col("__rank") <= n_test, "test").otherwise("train")).drop("__rank")
 
 
@@ -136,7 +149,7 @@ def _join_side(big: DataFrame, side: DataFrame, keys: Sequence[str], null_safe:
 
 
 def value_ranks(df: DataFrame, value: str, partition_cols: Sequence[str] = (),
-                n_buckets: int = 64) -> DataFrame:
+                n_buckets: int = 64, in_buffer_limit: int | None = None) -> DataFrame:
     """Distinct non-null values per group with their multiplicity and the
     number of smaller values in the group: ``(P..., value, cnt, below)``.
 
@@ -148,6 +161,12 @@ def value_ranks(df: DataFrame, value: str, partition_cols: Sequence[str] = (),
     v = F.col(value)
     distinct = (src.where(v.isNotNull()).groupBy(*P, value)
                 .agg(F.count(F.lit(1)).alias("cnt")))
+    if in_buffer_limit is not None and src.count() <= in_buffer_limit:
+        # proven bound: no group can hold more than in_buffer_limit distinct values
+        w = Window.partitionBy(*P).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+        out = distinct.select(*P, value, F.col("cnt").cast("long").alias("cnt"),
+                              F.coalesce(F.sum("cnt").over(w), F.lit(0)).cast("long").alias("below"))
+        return out if partition_cols else out.drop("__g")
     # bucket boundaries: approximate quantiles of the distinct values per group
     # (mergeable sketches, so a hot group never lands whole in one task)
     probs = [i / n_buckets for i in range(1, n_buckets)]
@@ -170,11 +189,6 @@ def value_ranks(df: DataFrame, value: str, partition_cols: Sequence[str] = (),
     return out if partition_cols else out.drop("__g")
 
 
-#: below this many input rows the in-buffer exact ``percentile`` aggregate is
-#: used: its per-group buffer holds at most that many values, a proven bound
-IN_BUFFER_ROW_LIMIT = 5_000_000
-
-
 def group_quantiles(df: DataFrame, value: str, probs: Sequence[float],
                     partition_cols: Sequence[str] = (), names: Sequence[str] | None = None,
                     n_buckets: int = 64, in_buffer_limit: int | None = IN_BUFFER_ROW_LIMIT) -> DataFrame:
@@ -196,7 +210,7 @@ def group_quantiles(df: DataFrame, value: str, probs: Sequence[float],
         q = src.where(v.isNotNull()).groupBy(*P).agg(F.percentile(v, [float(p) for p in probs]).alias("__qs"))
         out = q.select(*P, *[F.col("__qs")[i].alias(nm) for i, nm in enumerate(names)])
         return out if partition_cols else out.drop("__g")
-    vr = value_ranks(src, value, P, n_buckets)
+    vr = value_ranks(src, value, P, n_buckets, in_buffer_limit=None)
     n = vr.groupBy(*P).agg(F.sum("cnt").alias("__n"))
     n_groups = None if partition_cols else 1
     targets = None

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..models import pipeline as MP
 from ..operators import explain as X
 from ..operators import ranking as R
+from ..session import cut_lineage
 from .registry import register
 from .tables import ORDER_FEATURE_COLS, ORDER_FEATURES_SQL, order_features, rnd
 
@@ -68,7 +69,8 @@ _SPLIT = f"""WITH d AS (SELECT *, CASE WHEN row_number() OVER (ORDER BY {_MD5})
 
 
 def _split_predictions(spark, sf):
-    d = R.exact_split(order_features(spark, sf), ["l_orderkey"], 0.2, 42)
+    # the split feature table is read by several jobs: written once to the shared checkpoint folder
+    d = cut_lineage(R.exact_split(order_features(spark, sf), ["l_orderkey"], 0.2, 42))
     pipe = Pipeline(stages=[VectorAssembler(inputCols=["sum_qty"], outputCol="features"),
                             MP.make_regressor("linear", "features", "revenue")])
     model = pipe.fit(d.where(F.col("split") == "train"))
@@ -156,7 +158,7 @@ SELECT f AS feature, round(avg(base.r2 - per.r2), 6) AS importance_mean,
 FROM per, base GROUP BY f
 """)
 def permutation_importance_orders(spark, sf):
-    d = order_features(spark, sf).select("l_orderkey", "revenue", *_PI_FEATS)
+    d = cut_lineage(order_features(spark, sf).select("l_orderkey", "revenue", *_PI_FEATS))
     model = _ols2_model(d)
     summ, _ = X.permutation_importance(model, d, _PI_FEATS, "revenue", "l_orderkey", _PI_REPEATS, 42)
     return summ.select("feature", rnd("importance_mean").alias("importance_mean"),
@@ -171,7 +173,7 @@ SELECT 'sum_qty' AS feature, round(avg(abs(b1 * (sum_qty - z1))), 4) AS mean_abs
 UNION ALL SELECT 'avg_retail', round(avg(abs(b2 * (avg_retail - z2))), 4) FROM d, coef, bg
 """)
 def shapley_linear_orders(spark, sf):
-    d = order_features(spark, sf).select("l_orderkey", "revenue", *_PI_FEATS)
+    d = cut_lineage(order_features(spark, sf).select("l_orderkey", "revenue", *_PI_FEATS))
     model = _ols2_model(d)
     bg = R.seeded_sample(d, ["l_orderkey"], 100, 42)
     phi = X.shapley_values(model, d, _PI_FEATS, "l_orderkey", bg, n_permutations=1, seed=42)
