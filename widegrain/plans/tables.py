@@ -23,7 +23,7 @@ def rnd(c, digits: int = 6):
 
 def pad_sql(expr: str, width: int = 5) -> str:
     """SQL twin of ``functions.keys.pad_key``."""
-    s = f"CAST({expr} AS VARCHAR)"
+    s = f"CAST({expr} AS STRING)"
     return f"(CASE WHEN length({s}) < {width} THEN lpad({s}, {width}, '0') ELSE {s} END)"
 
 
