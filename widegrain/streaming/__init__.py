@@ -1,0 +1,11 @@
+"""Streaming.
+
+The reference has no stream sources, watermarks, windows or state (SURVEY
+§2.10), so this package deliberately holds no operators. Every operator in
+``widegrain`` is a DataFrame -> DataFrame function without actions on its
+input, so the row-wise ones (key padding, reliability expansion, recodes,
+casts, pivots with a fixed value list) can be applied inside a
+``foreachBatch`` of a Structured Streaming query unchanged; the profile-driven
+ones (tier cleaners, medians) need a bounded batch and are not meant for
+unbounded streams.
+"""
