@@ -185,3 +185,14 @@ def test_seeded_rank_rejects_duplicate_keys(spark):
     df = spark.createDataFrame([(1,), (2,), (2,)], "k long")
     with pytest.raises(Exception, match="not unique"):
         R.seeded_rank(df, ["k"]).collect()
+
+
+def test_outer_merge_union_equals_join_and_rejects_duplicates(spark):
+    a = spark.createDataFrame([("1", 1.0, "p"), ("2", 2.0, None), (None, 9.0, "q")], "k string, x double, s string")
+    b = spark.createDataFrame([("2", "r", 5), ("3", "t", 6)], "k string, s string, n int")
+    j = sorted(map(tuple, RS.outer_merge([a, b], "k").collect()), key=str)
+    u = sorted(map(tuple, RS.outer_merge([a, b], "k", method="union").collect()), key=str)
+    assert j == u
+    dup = b.unionByName(b)
+    with pytest.raises(Exception, match="repeats"):
+        RS.outer_merge([a, dup], "k", method="union").collect()

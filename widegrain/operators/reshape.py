@@ -71,7 +71,8 @@ def weighted_rollup(df: DataFrame, key: Sequence[str] | str, weight: str,
                     flags: Sequence[str] = (), rates: Sequence[str] = (),
                     counts: Sequence[str] = (), labels: Mapping[str, str] | Sequence[str] = (),
                     label_order: str | None = None, denominator: str = "all",
-                    n_rows_col: str | None = "n_rows", weight_sum_col: str | None = None) -> DataFrame:
+                    n_rows_col: str | None = "n_rows", weight_sum_col: str | None = None,
+                    means: Mapping[str, str] | Sequence[str] = ()) -> DataFrame:
     """Role-based grain change (A5) in one ``groupBy().agg``:
 
     * flags and rates -> weighted mean ``sum(v*w) / sum(w)``; the denominator is
@@ -79,7 +80,8 @@ def weighted_rollup(df: DataFrame, key: Sequence[str] | str, weight: str,
       reference rule) or of rows where ``v`` is not null (``'nonnull'``); a
       zero total weight gives null;
     * counts -> sum, an all-null group sums to 0;
-    * labels -> first non-null label by ``label_order``.
+    * labels -> first non-null label by ``label_order``;
+    * means -> unweighted mean (A7), in the same aggregate.
     """
     k = [key] if isinstance(key, str) else list(key)
     w = F.col(weight).cast("double")
@@ -97,6 +99,9 @@ def weighted_rollup(df: DataFrame, key: Sequence[str] | str, weight: str,
     lab = labels.items() if isinstance(labels, Mapping) else [(c, c) for c in labels]
     for src, out in lab:
         aggs.append(first_label(src, label_order or k[0]).alias(out))
+    mns = means.items() if isinstance(means, Mapping) else [(c, c) for c in means]
+    for src, out in mns:
+        aggs.append(F.avg(src).alias(out))
     return df.groupBy(*k).agg(*aggs)
 
 
@@ -105,15 +110,21 @@ def weighted_rollup(df: DataFrame, key: Sequence[str] | str, weight: str,
 # --------------------------------------------------------------------------- #
 
 def outer_merge(frames: Sequence[DataFrame], key: str, reconcile: bool = True,
-                sort: bool = False) -> DataFrame:
+                sort: bool = False, method: str = "join") -> DataFrame:
     """N-way full outer equi-join on one key, folded left to right.
 
     Rows with a null key are dropped before the merge (the reference drops them
     after it; null keys never match in Spark). Columns with the same name in
     several inputs are reconciled into one column keeping the first non-null
-    value in input order (P22). Each input is shuffled once on the key; the
-    joined result stays hash-partitioned on it, so the fold adds no extra
-    exchange for the next input. Sorting is left to the sink (``sort=True``).
+    value in input order (P22). Sorting is left to the sink (``sort=True``).
+
+    ``method="join"`` folds full outer joins (pandas merge semantics, including
+    the product of duplicate keys); Spark re-shuffles the growing result before
+    each next join because a full outer join's coalesced key has no known
+    partitioning. ``method="union"`` is for inputs whose key is unique per
+    input: one ``unionByName`` and one ``groupBy(key)`` — a single shuffle of
+    all inputs with map-side combine, whatever the number of sources. The
+    uniqueness is verified inside the same aggregate and a repeated key raises.
     """
     cleaned = [f.where(F.col(key).isNotNull()) for f in frames]
     seen: dict[str, int] = {}
@@ -128,7 +139,19 @@ def outer_merge(frames: Sequence[DataFrame], key: str, reconcile: bool = True,
             else:
                 seen[c] = i
         renamed.append(f.withColumnsRenamed(ren) if ren else f)
-    merged = reduce(lambda a, b: a.join(b, key, "full"), renamed)
+    if method == "union":
+        tagged = [f.withColumn("__src", F.lit(i)) for i, f in enumerate(renamed)]
+        u = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
+        value_cols = [c for c in u.columns if c not in (key, "__src")]
+        per_src = [F.count_if(F.col("__src") == i).alias(f"__n{i}") for i in range(len(frames))]
+        agg = u.groupBy(key).agg(*[F.first(c, ignorenulls=True).alias(c) for c in value_cols], *per_src)
+        too_many = F.greatest(*[F.col(f"__n{i}") for i in range(len(frames))]) > 1 if len(frames) > 1 \
+            else F.col("__n0") > 1
+        merged = agg.select(F.when(too_many, F.raise_error(F.lit(f"key {key} repeats within an input; "
+                                                                  "use method='join'")).cast(u.schema[key].dataType))
+                            .otherwise(F.col(key)).alias(key), *value_cols)
+    else:
+        merged = reduce(lambda a, b: a.join(b, key, "full"), renamed)
     if reconcile:
         out = [F.col(key)]
         for c in seen:

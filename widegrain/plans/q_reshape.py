@@ -65,9 +65,8 @@ def rollup_lineitem_to_supplier(spark, sf):
         F.expr(_DISC_NULL).alias("disc_rate"))
     r = weighted_rollup(li, "l_suppkey", "l_quantity", flags=["disc_flag"], rates=["disc_rate"],
                         counts=["l_extendedprice"], labels={"l_returnflag": "first_flag"},
-                        label_order="l_orderkey", weight_sum_col="weight_total")
-    means = li.groupBy("l_suppkey").agg(F.avg("l_extendedprice").alias("mean_price"))  # A7
-    r = r.join(means, "l_suppkey")
+                        label_order="l_orderkey", weight_sum_col="weight_total",
+                        means={"l_extendedprice": "mean_price"})
     return r.select("l_suppkey", "n_rows", *[rnd(c).alias(c) for c in
                     ["disc_flag", "disc_rate", "l_extendedprice", "weight_total", "mean_price"]],
                     "first_flag")
@@ -99,7 +98,7 @@ def outer_merge_customer_sources(spark, sf):
     e = (load(spark, sf, "events").groupBy(pad_key("user_id").alias("cust_key"))
          .agg(F.count(F.lit(1)).alias("n_events"), F.round(F.sum("value"), 4).alias("sum_value"),
               F.max("ts").alias("last_activity")))
-    m = outer_merge([c, o, e], "cust_key")
+    m = outer_merge([c, o, e], "cust_key", method="union")   # keys unique per source (checked in-plan)
     return m.withColumn("last_activity", F.date_format("last_activity", _TS))
 
 
