@@ -150,3 +150,17 @@ def test_two_header_csv_and_fingerprint(spark):
     assert f1 == f2
     dup = IO.table_fingerprint(df.unionByName(df)).first()
     assert dup["digest_xor"] == 0 and dup["digest_sum"] != f1["digest_sum"]
+
+
+def test_lasso_cv_and_block_pca_and_sensitivity(spark, synth):
+    d = R.kfold_assign(synth.na.drop(), ["k"], 5, 42)
+    path, best, w = MP.lasso_cv(d, FEATS, "y", "fold", n_alphas=20)
+    assert path.count() == 20
+    assert best < 0.1 and abs(w[0] - 2.0) < 0.1 and abs(w[3]) < 0.05
+    tr, te = d.where("fold != 0"), d.where("fold = 0")
+    a, b, m = MP.block_pca(tr, te, ["x1", "x2", "x3"], k=2)
+    assert {"block_pc1", "block_pc2"} <= set(a.columns) and "x1" not in a.columns
+    assert abs(a.agg(F.avg("block_pc1")).first()[0]) < 1e-9        # centred on train
+    sens = {r["variant"]: r["r2_mean"] for r in MP.block_sensitivity(
+        d, FEATS, ["x1"], "y", select=False, reduce=False).collect()}
+    assert sens["all"] > sens["without_block"] + 0.3

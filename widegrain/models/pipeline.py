@@ -261,3 +261,93 @@ def cap_components(df: DataFrame, features: Sequence[str], label: str, fold_col:
 
 def session_of(df: DataFrame) -> SparkSession:
     return df.sparkSession
+
+
+# --------------------------------------------------------------------------- #
+# M5 LassoCV from per-fold sufficient statistics, M8 block PCA, M24 sensitivity
+# --------------------------------------------------------------------------- #
+
+def lasso_cv(df: DataFrame, features: Sequence[str], label: str, fold_col: str = "fold", n_alphas: int = 100,
+             eps: float = 1e-3, alphas: Sequence[float] | None = None):
+    """Lasso with a cross-validated alpha (M5), like ``LassoCV``: alpha grid of
+    ``n_alphas`` log-spaced values from ``alpha_max`` down to ``eps*alpha_max``,
+    mean validation MSE per alpha over the folds, best alpha refitted on all.
+
+    One distributed pass gathers per-fold sufficient statistics (XᵀX, Xᵀy,
+    sums, n — p x p per fold); every fit and every validation error then
+    follows from them on the driver (train = total minus fold). Rows with a
+    null feature or label are dropped. Returns (path DataFrame
+    (alpha, mse_mean, mse_std), best alpha, coefficients on all rows).
+    """
+    import numpy as np
+
+    from .transformers import MOMENTS_SCHEMA, collect_moments, lasso_coordinate_descent, moments_partition
+    feats = list(features)
+    p = len(feats)
+    d = df.select(*[F.col(c).cast("double") for c in feats], F.col(label).cast("double"),
+                  F.col(fold_col).cast("int")).na.drop()
+    per_fold = collect_moments(d.mapInArrow(moments_partition(p, with_groups=True), MOMENTS_SCHEMA), p)
+    rows = [per_fold[f] for f in sorted(per_fold)]
+
+    def stats(rs):
+        return tuple(sum(r[i] for r in rs) for i in range(6))
+
+    def centred(st):
+        xtx, xty, sx, sy, syy, n = st
+        mx, my = sx / n, sy / n
+        return xtx / n - np.outer(mx, mx), xty / n - mx * my, mx, my
+
+    total = stats(rows)
+    C_all, c_all, _, _ = centred(total)
+    if alphas is None:
+        a_max = float(np.max(np.abs(c_all)))
+        alphas = np.logspace(np.log10(a_max * eps), np.log10(a_max), n_alphas)[::-1]
+    mse = np.zeros((len(alphas), len(rows)))
+    for fi, r in enumerate(rows):
+        fold = r
+        train = tuple(t - f for t, f in zip(total, fold))
+        C, c, mx, my = centred(train)
+        xtx, xty, sx, sy, syy, n = fold
+        for ai, a in enumerate(alphas):
+            w = lasso_coordinate_descent(C, c, float(a), max_iter=2000, tol=1e-10)
+            b = my - mx @ w
+            # validation SSE of y - b - Xw expanded in the fold's moments
+            sse = syy - 2 * (b * sy + w @ xty) + b * b * n + 2 * b * (w @ sx) + w @ xtx @ w
+            mse[ai, fi] = sse / n
+    best = int(np.argmin(mse.mean(1)))
+    w_best = lasso_coordinate_descent(C_all, c_all, float(alphas[best]))
+    path = df.sparkSession.createDataFrame(
+        [(float(a), float(mse[i].mean()), float(mse[i].std())) for i, a in enumerate(alphas)],
+        "alpha double, mse_mean double, mse_std double")
+    return path, float(alphas[best]), w_best
+
+
+def block_pca(train: DataFrame, test: DataFrame, family: Sequence[str], k: int = 2, prefix: str = "block_pc"):
+    """Block PCA (M8): replace a column family by its first ``k`` principal
+    components, fitted on train only (median-imputed, centred, unscaled), as
+    plain columns ``<prefix>1..k``; the family columns are dropped.
+    Returns (train_out, test_out, fitted PipelineModel)."""
+    from pyspark.ml.functions import vector_to_array
+    fam = list(family)
+    pipe = Pipeline(stages=[MedianImputer(inputCols=fam), PopulationScaler(inputCols=fam, withStd=False),
+                            VectorAssembler(inputCols=fam, outputCol="__fam"),
+                            PCA(k=k, inputCol="__fam", outputCol="__pcs")])
+    model = pipe.fit(train)
+
+    def apply(d):
+        t = model.transform(d)
+        arr = vector_to_array(F.col("__pcs"))
+        keep = [c for c in d.columns if c not in set(fam)]
+        return t.select(*keep, *[arr[i].alias(f"{prefix}{i + 1}") for i in range(k)])
+    return apply(train), apply(test), model
+
+
+def block_sensitivity(df: DataFrame, features: Sequence[str], block: Sequence[str], label: str,
+                      fold_col: str = "fold", kind: str = "linear", **pipe_params) -> DataFrame:
+    """Sensitivity to a block of predictors (M24): CV with all features and
+    without the block on identical folds; rows (variant, r2_mean, rmse_mean)."""
+    reduced = [c for c in features if c not in set(block)]
+    cands = {"all": make_pipeline(features, label, kind, **pipe_params),
+             "without_block": make_pipeline(reduced, label, kind, **pipe_params)}
+    _, summary = cross_validate(df, cands, label, fold_col)
+    return summary.select(F.col("model").alias("variant"), "r2_mean", "rmse_mean")

@@ -228,3 +228,25 @@ def lasso_coefficients_orders(spark, sf):
     pipe = MP.make_pipeline(ORDER_FEATURE_COLS, "revenue", "lasso", select=False, reduce=False, alpha=0.01)
     m = pipe.fit(d)
     return X.coefficient_table(m.stages[-1].coefficients, ORDER_FEATURE_COLS)
+
+
+@register("lasso_cv_orders", "M5")
+def lasso_cv_orders(spark, sf):
+    d = _folded(spark, sf)
+    path, best, _ = MP.lasso_cv(d, ORDER_FEATURE_COLS, "revenue", "fold", n_alphas=100)
+    return path.withColumn("best", F.col("alpha") == F.lit(best))
+
+
+@register("block_pca_orders", "M8")
+def block_pca_orders(spark, sf):
+    d = R.exact_split(order_features(spark, sf), ["l_orderkey"], 0.2, 42)
+    tr, te, _ = MP.block_pca(d.where("split = 'train'"), d.where("split = 'test'"),
+                             ["avg_disc", "avg_tax", "avg_retail"], k=2)
+    return tr.unionByName(te)
+
+
+@register("block_sensitivity_orders", "M24,M30")
+def block_sensitivity_orders(spark, sf):
+    d = _folded(spark, sf)
+    return MP.block_sensitivity(d, ORDER_FEATURE_COLS, ["sum_qty", "n_lines"], "revenue", "fold",
+                                alpha=0.0055, n_components=2)
