@@ -148,8 +148,16 @@ def _join_side(big: DataFrame, side: DataFrame, keys: Sequence[str], null_safe:
     return big.join(s2, cond_all, "inner").drop(*ren.values())
 
 
+def _buckets_for(n_rows: int) -> int:
+    """Bucket count for value ranks: ~4 M rows per bucket of the largest
+    possible group, between 64 and 1024 (each distinct value is placed by
+    comparing it with the bucket boundaries)."""
+    return int(min(1024, max(64, math.ceil(n_rows / 4_000_000))))
+
+
 def value_ranks(df: DataFrame, value: str, partition_cols: Sequence[str] = (),
-                n_buckets: int = 64, in_buffer_limit: int | None = None) -> DataFrame:
+                n_buckets: int | None = None, in_buffer_limit: int | None = None,
+                n_rows: int | None = None) -> DataFrame:
     """Distinct non-null values per group with their multiplicity and the
     number of smaller values in the group: ``(P..., value, cnt, below)``.
 
@@ -161,7 +169,11 @@ def value_ranks(df: DataFrame, value: str, partition_cols: Sequence[str] = (),
     v = F.col(value)
     distinct = (src.where(v.isNotNull()).groupBy(*P, value)
                 .agg(F.count(F.lit(1)).alias("cnt")))
-    if in_buffer_limit is not None and src.count() <= in_buffer_limit:
+    if n_rows is None and (in_buffer_limit is not None or n_buckets is None):
+        n_rows = src.count()
+    if n_buckets is None:
+        n_buckets = _buckets_for(n_rows)
+    if in_buffer_limit is not None and n_rows <= in_buffer_limit:
         # proven bound: no group can hold more than in_buffer_limit distinct values
         w = Window.partitionBy(*P).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
         out = distinct.select(*P, value, F.col("cnt").cast("long").alias("cnt"),
@@ -191,7 +203,7 @@ def value_ranks(df: DataFrame, value: str, partition_cols: Sequence[str] = (),
 
 def group_quantiles(df: DataFrame, value: str, probs: Sequence[float],
                     partition_cols: Sequence[str] = (), names: Sequence[str] | None = None,
-                    n_buckets: int = 64, in_buffer_limit: int | None = IN_BUFFER_ROW_LIMIT) -> DataFrame:
+                    n_buckets: int | None = None, in_buffer_limit: int | None = IN_BUFFER_ROW_LIMIT) -> DataFrame:
     """Exact quantiles with linear interpolation (pandas ``quantile``, DuckDB
     ``quantile_cont``, Spark ``percentile``) per group, skew-safe.
 
@@ -205,12 +217,15 @@ def group_quantiles(df: DataFrame, value: str, probs: Sequence[float],
     P = list(partition_cols) or ["__g"]
     src = df if partition_cols else df.withColumn("__g", F.lit(0))
     names = list(names) if names is not None else [f"q{p:g}" for p in probs]
-    if in_buffer_limit is not None and src.count() <= in_buffer_limit:
+    n_rows = src.count()
+    if n_buckets is None:
+        n_buckets = _buckets_for(n_rows)
+    if in_buffer_limit is not None and n_rows <= in_buffer_limit:
         v = F.col(value).cast("double")
         q = src.where(v.isNotNull()).groupBy(*P).agg(F.percentile(v, [float(p) for p in probs]).alias("__qs"))
         out = q.select(*P, *[F.col("__qs")[i].alias(nm) for i, nm in enumerate(names)])
         return out if partition_cols else out.drop("__g")
-    vr = value_ranks(src, value, P, n_buckets, in_buffer_limit=None)
+    vr = value_ranks(src, value, P, n_buckets, in_buffer_limit=None, n_rows=n_rows)
     n = vr.groupBy(*P).agg(F.sum("cnt").alias("__n"))
     n_groups = None if partition_cols else 1
     targets = None
