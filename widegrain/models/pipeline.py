@@ -181,8 +181,9 @@ def cross_validate(df: DataFrame, candidates: Mapping[str, Estimator], label: st
     same materialised rows.
     """
     from ..session import cut_lineage
+    from pyspark import StorageLevel
     spark = df.sparkSession
-    data = cut_lineage(df)
+    data = cut_lineage(df).persist(StorageLevel.MEMORY_AND_DISK)   # many fits scan it; recomputed from the checkpoint if lost
     folds = k if k is not None else [r[0] for r in data.select(fold_col).distinct().collect()]
     folds = list(range(folds)) if isinstance(folds, int) else sorted(folds)
 
@@ -198,6 +199,7 @@ def cross_validate(df: DataFrame, candidates: Mapping[str, Estimator], label: st
     work = [(n, e, f) for n, e in candidates.items() for f in folds]
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
         rows = list(ex.map(run, work))
+    data.unpersist()
     per_fold = spark.createDataFrame(rows, "model string, fold int, r2 double, rmse double, mae double, "
                                            "fit_sec double, n long")
     summary = per_fold.groupBy("model").agg(
@@ -214,13 +216,15 @@ def grid_search(df: DataFrame, estimator: Estimator, grids: Sequence[list], labe
     Returns (cv_model, ranking DataFrame)."""
     from ..operators.ranking import competition_rank
     from ..session import cut_lineage
+    from pyspark import StorageLevel
     maps = [m for g in grids for m in g]
     ev = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="r2")
-    data = cut_lineage(df)
+    data = cut_lineage(df).persist(StorageLevel.MEMORY_AND_DISK)
     n_folds = data.select(fold_col).distinct().count()
     cv = CrossValidator(estimator=estimator, estimatorParamMaps=maps, evaluator=ev, foldCol=fold_col,
                         numFolds=n_folds, parallelism=parallelism, collectSubModels=False)
     model = cv.fit(data)
+    data.unpersist()
     rows = [(i, "; ".join(f"{p.name}={v}" for p, v in sorted(m.items(), key=lambda kv: kv[0].name)),
              float(model.avgMetrics[i]), float(model.stdMetrics[i]) if model.stdMetrics else None)
             for i, m in enumerate(maps)]
