@@ -92,23 +92,29 @@ def corr_matrix(df: DataFrame, cols: Sequence[str], lower_only: bool = True,
 
 def corr_with_target(df: DataFrame, target: str, cols: Sequence[str], drop_undefined: bool = True) -> DataFrame:
     """Pearson r of each column with the target, pairwise complete (A14):
-    (column_name, position, n, r). One JVM aggregate of six shifted sums per
-    column; zero-variance columns give NULL and are dropped."""
+    (column_name, position, n, r).
+
+    One JVM aggregate pass: per column ``covar_samp`` and ``var_samp`` over the
+    rows where both values are present (Spark's merge-stable co-moment
+    aggregates), so no separate pass for means. Zero-variance columns give NULL
+    (guarded ``try_divide``, never an ANSI error) and are dropped."""
     cols = [c for c in cols if c != target]
-    mu = _means(df, [*cols, target])
-    y = F.col(target).cast("double") - F.lit(mu[-1])
+    y = F.col(target).cast("double")
     aggs = []
     for k, c in enumerate(cols):
-        x = F.col(c).cast("double") - F.lit(mu[k])
+        x = F.col(c).cast("double")
         both = x.isNotNull() & y.isNotNull()
         xx, yy = F.when(both, x), F.when(both, y)
-        aggs += [F.count_if(both).cast("double").alias(f"n{k}"), F.sum(xx).alias(f"sx{k}"), F.sum(yy).alias(f"sy{k}"),
-                 F.sum(xx * xx).alias(f"sxx{k}"), F.sum(yy * yy).alias(f"syy{k}"), F.sum(xx * yy).alias(f"sxy{k}")]
+        aggs += [F.count_if(both).alias(f"n{k}"), F.covar_samp(xx, yy).alias(f"c{k}"),
+                 F.var_samp(xx).alias(f"vx{k}"), F.var_samp(yy).alias(f"vy{k}")]
     row = df.agg(*aggs)
+
+    def r(k):
+        vx, vy = F.col(f"vx{k}"), F.col(f"vy{k}")
+        return F.when((F.col(f"n{k}") > 1) & (vx > 0) & (vy > 0), F.try_divide(F.col(f"c{k}"), F.sqrt(vx * vy)))
     rows = F.explode(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.lit(k).alias("position"), F.col(f"n{k}").cast("long").alias("n"),
-                 _r_from_sums(F.col(f"n{k}"), F.col(f"sx{k}"), F.col(f"sy{k}"), F.col(f"sxx{k}"),
-                              F.col(f"syy{k}"), F.col(f"sxy{k}")).alias("r"))
+                 r(k).alias("r"))
         for k, c in enumerate(cols)]))
     out = row.select(rows.alias("s")).select("s.*")
     return out.where(F.col("r").isNotNull()) if drop_undefined else out
