@@ -196,3 +196,12 @@ def test_outer_merge_union_equals_join_and_rejects_duplicates(spark):
     dup = b.unionByName(b)
     with pytest.raises(Exception, match="repeats"):
         RS.outer_merge([a, dup], "k", method="union").collect()
+
+
+def test_report_header_and_choice_filter(spark):
+    from widegrain.functions.columns import choice_filter
+    df = spark.createDataFrame([("a", 1.0, "x"), ("a", 1.0, "x"), ("b", None, "y")], "k string, t double, s string")
+    h = {r["metric"]: r["value"] for r in P.report_header(df, "t", {"src": ["t"]}, train=df, test=df.limit(1)).collect()}
+    assert h["total_records"] == 3 and h["usable_targets"] == 2 and h["duplicate_records"] == 1
+    assert h["missing_pct"] == round(100 / 9, 2) and h["columns_src"] == 1 and h["test_samples"] == 1
+    assert choice_filter(df, {"k": "All", "s": "x"}).count() == 2

@@ -101,3 +101,12 @@ def align_features(df: DataFrame, features: Sequence[str], fill_absent: bool = F
     cols = [F.col(c) for c in keep]
     cols += [F.col(c) if c in have else F.lit(0.0).alias(c) for c in features]
     return df.select(*cols)
+
+
+def choice_filter(df: DataFrame, choices: Mapping[str, object], all_token: str = "All") -> DataFrame:
+    """Equality filters from user choices (P4); a choice equal to ``all_token``
+    (or None) applies no filter. Filter on keys, not on non-unique names."""
+    for c, v in choices.items():
+        if v is not None and v != all_token:
+            df = df.where(F.col(c) == F.lit(v))
+    return df

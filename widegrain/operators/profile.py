@@ -271,3 +271,27 @@ def rollup_checks(fine: DataFrame, coarse: DataFrame, key: str, weight: str,
     ])
     out = j.select(rows.alias("s")).select("s.*")
     return out.withColumn("ok", F.abs(F.col("observed") - F.col("expected")) <= 1e-6 * F.greatest(F.lit(1.0), F.abs(F.col("expected"))))
+
+
+def report_header(df: DataFrame, target: str, sources: dict | None = None, train: DataFrame | None = None,
+                  test: DataFrame | None = None) -> DataFrame:
+    """Report header counts (A29) as (metric, value) rows: rows, usable
+    targets, duplicate rows, overall missing percent, columns per source and
+    split sizes — one aggregate per input table, combined by union."""
+    n = F.count(F.lit(1)).cast("double")
+    base = df.agg(n.alias("rows"), F.count(F.col(target)).cast("double").alias("usable"))
+    out = base.select(_stack(["metric", "value"], [("total_records", F.col("rows")),
+                                                   ("usable_targets", F.col("usable"))]).alias("s")).select("s.*")
+    dup = duplicate_summary(df, df.columns).select(F.lit("duplicate_records").alias("metric"),
+                                                   F.col("n_duplicate_rows").cast("double").alias("value"))
+    miss = overall_missing_pct(df).select(F.lit("missing_pct").alias("metric"),
+                                          F.col("overall_missing_pct").cast("double").alias("value"))
+    out = out.unionByName(dup).unionByName(miss)
+    spark = df.sparkSession
+    if sources:
+        out = out.unionByName(spark.createDataFrame([(f"columns_{k}", float(len(v))) for k, v in sources.items()],
+                                                    "metric string, value double"))
+    for name, part in (("train_samples", train), ("test_samples", test)):
+        if part is not None:
+            out = out.unionByName(part.agg(n.alias("value")).select(F.lit(name).alias("metric"), "value"))
+    return out
