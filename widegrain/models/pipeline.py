@@ -66,8 +66,12 @@ class PenalizedLinearRegression(Estimator, _PenaltyParams, DefaultParamsReadable
 
     def _fit(self, dataset: DataFrame):
         y = self.getOrDefault(self.labelCol)
-        st = dataset.agg(F.count(F.col(y)).alias("n"), F.stddev_pop(F.col(y)).alias("sd")).first()
-        reg, enet = self.spark_params(int(st["n"]), float(st["sd"] or 0.0))
+        kind, a = self.getOrDefault(self.kind), self.getOrDefault(self.alpha)
+        if kind in ("ridge", "elasticnet") and a > 0:     # only these penalties depend on n and sd(y)
+            st = dataset.agg(F.count(F.col(y)).alias("n"), F.stddev_pop(F.col(y)).alias("sd")).first()
+            reg, enet = self.spark_params(int(st["n"]), float(st["sd"] or 0.0))
+        else:
+            reg, enet = self.spark_params(1, 1.0)
         lr = LinearRegression(featuresCol=self.getOrDefault(self.featuresCol), labelCol=y,
                               predictionCol=self.getOrDefault(self.predictionCol), regParam=reg,
                               elasticNetParam=enet, standardization=False, solver="normal",

@@ -28,14 +28,15 @@ def permuted_copies(df: DataFrame, features: Sequence[str], key: str, n_repeats:
     """
     features = list(features)
     n = df.count()
-    base = seeded_rank(df, [key], seed, rank_col="__pos", n_rows=n)
     reps = F.array(*[F.struct(F.lit(f).alias("perm_feature"), F.lit(r).alias("perm_repeat"))
                      for f in features for r in range(n_repeats)])
+    base = seeded_rank(df, [key], seed, rank_col="__pos", n_rows=n)
     rep = base.select("*", F.explode(reps).alias("__fr")).select("*", "__fr.*").drop("__fr")
-    # donors: (feature, repeat, permuted position, value)
+    # donors straight from the input: (key, feature, repeat, value), ranked per (feature, repeat)
     value = F.coalesce(*[F.when(F.col("perm_feature") == f, F.col(f).cast("double")) for f in features]) \
         if len(features) > 1 else F.col(features[0]).cast("double")
-    donors = rep.select(key, "perm_feature", "perm_repeat", value.alias("__val"))
+    donors = (df.select(key, *features, F.explode(reps).alias("__fr")).select(key, *features, "__fr.*")
+              .select(key, "perm_feature", "perm_repeat", value.alias("__val")))
     order = F.md5(F.concat_ws(":", F.col("perm_feature"), F.col("perm_repeat").cast("string"), F.lit(str(seed)),
                               F.col(key).cast("string")))
     donors = seeded_rank(donors, [key], seed, partition_cols=["perm_feature", "perm_repeat"], rank_col="__pos",
