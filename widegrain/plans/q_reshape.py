@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.keys import key_check, key_prefix, pad_key
-from ..operators.reshape import (outer_merge, pivot_mean, side_by_side, transpose,
-                                 unmatched, weighted_rollup, left_lookup)
+from ..operators.reshape import (group_sum_zero, left_chain, left_lookup, outer_merge, pivot_mean,
+                                 side_by_side, transpose, unmatched, weighted_rollup)
 from .registry import register
-from .tables import load, pad_sql, rnd
+from .tables import lineitem_gaps, lineitem_gaps_sql, load, pad_sql, rnd
 
 RETURN_FLAGS = ["A", "N", "R"]
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
@@ -176,3 +176,38 @@ SELECT s_suppkey, field, value FROM (
 def supplier_transpose(spark, sf):
     s = load(spark, sf, "supplier")
     return transpose(s, ["s_suppkey"], ["s_nationkey", "s_acctbal"])
+
+
+@register("left_chain_customer_sources", "J3,J2", sql=f"""
+WITH o AS (SELECT o_custkey AS c_custkey, count(*) AS n_orders FROM orders GROUP BY 1),
+     e AS (SELECT user_id AS c_custkey, count(*) AS n_events FROM events GROUP BY 1)
+SELECT c_custkey, c_nationkey, n_orders, n_events FROM customer LEFT JOIN o USING (c_custkey) LEFT JOIN e USING (c_custkey)
+""")
+def left_chain_customer_sources(spark, sf):
+    c = load(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    o = load(spark, sf, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count(F.lit(1)).alias("n_orders"))
+    e = load(spark, sf, "events").groupBy(F.col("user_id").alias("c_custkey")).agg(F.count(F.lit(1)).alias("n_events"))
+    return left_chain(c, [o, e], "c_custkey")
+
+
+@register("group_sums_zero_fill", "A4", sql="""
+SELECT l_orderkey, CAST(count(*) AS BIGINT) AS n_lines,
+       round(coalesce(sum(CASE WHEN l_orderkey % 10 < 7 THEN NULL ELSE l_discount * 10 END), 0), 6) AS la_share_70,
+       round(coalesce(sum(CASE WHEN l_orderkey % 10 < 3 THEN NULL ELSE l_extendedprice END), 0), 6) AS price_30
+FROM lineitem GROUP BY l_orderkey
+""")
+def group_sums_zero_fill(spark, sf):
+    g = lineitem_gaps(spark, sf)
+    s = group_sum_zero(g, ["l_orderkey"], ["la_share_70", "price_30"])
+    n = g.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"))
+    return n.join(s, "l_orderkey").select("l_orderkey", "n_lines", rnd("la_share_70").alias("la_share_70"),
+                                          rnd("price_30").alias("price_30"))
+
+
+@register("complete_cases_lineitem", "P20,P2", sql="""
+SELECT l_orderkey, l_line, l_returnflag FROM """ + lineitem_gaps_sql() + """
+WHERE tax_3 IS NOT NULL AND disc_10 IS NOT NULL AND price_30 IS NOT NULL
+""")
+def complete_cases_lineitem(spark, sf):
+    g = lineitem_gaps(spark, sf)
+    return g.na.drop("any", subset=["tax_3", "disc_10", "price_30"]).select("l_orderkey", "l_line", "l_returnflag")

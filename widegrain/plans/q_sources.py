@@ -80,3 +80,25 @@ def model_reload_check(spark, sf):
     pipe = MP.make_pipeline(ORDER_FEATURE_COLS, "revenue", "ridge", n_components=3)
     model = pipe.fit(d)
     return IO.verify_reload(model, IO.scratch_path(spark, "model"), d, "revenue")
+
+
+@register("published_exploration_view", "S9,S7,S4,C6", sql="""
+SELECT doc_id, lang, n_chars, quality, toxic FROM documents LEFT JOIN labels USING (doc_id)
+""")
+def published_exploration_view(spark, sf):
+    prefix = "wg_"
+    IO.publish(spark, {f"{prefix}documents": load(spark, sf, "documents").select("doc_id", "lang", "n_chars"),
+                       f"{prefix}labels": load(spark, sf, "labels")})
+    IO.require_tables(spark, [f"{prefix}documents", f"{prefix}labels"])
+    IO.create_views(spark, f"{prefix}documents", f"{prefix}labels", "doc_id", prefix=prefix)
+    return IO.read_table(spark, f"{prefix}exploration_view")
+
+
+@register("sorted_parquet_roundtrip", "S6,S17,W4", sql="""
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders
+""")
+def sorted_parquet_roundtrip(spark, sf):
+    path = IO.scratch_path(spark, "orders-sorted")
+    IO.write_files(load(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"),
+                   path, "parquet", sort_by=["o_orderkey"])
+    return spark.read.parquet(path)
