@@ -205,3 +205,18 @@ def test_report_header_and_choice_filter(spark):
     assert h["total_records"] == 3 and h["usable_targets"] == 2 and h["duplicate_records"] == 1
     assert h["missing_pct"] == round(100 / 9, 2) and h["columns_src"] == 1 and h["test_samples"] == 1
     assert choice_filter(df, {"k": "All", "s": "x"}).count() == 2
+
+
+def test_catalog_guards_and_bootstrap(spark):
+    from widegrain.sources import io as IO
+    spark.createDataFrame([(1,)], "a int").createOrReplaceTempView("wg_t_full")
+    spark.createDataFrame([], "a int").createOrReplaceTempView("wg_t_empty")
+    used = IO.bootstrap_tables(spark, {"wg_t_new": lambda: spark.range(3), "wg_t_empty": lambda: spark.range(1)},
+                               fallbacks={"wg_t_empty": "wg_t_full"})
+    assert used == {"wg_t_new": "loaded", "wg_t_empty": "fallback:wg_t_full"}
+    assert spark.table("wg_t_empty").count() == 1
+    names = {r["name"] for r in IO.list_tables(spark).collect()}
+    assert {"wg_t_new", "wg_t_full"} <= names
+    assert IO.existing_only(spark, ["wg_t_new", "wg_missing"]) == ["wg_t_new"]
+    with pytest.raises(FileNotFoundError):
+        IO.require_tables(spark, ["wg_missing"])
