@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ranking import group_quantiles
+from .ranking import broadcast_if_small, group_quantiles
 
 # Missingness tier labels, in order, used by both tier schemes.
 TIER_LABELS = ["0%", "<5%", "5-20%", "20-40%", "40-60%", ">60%"]
@@ -230,8 +230,8 @@ def box_summary(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
          .withColumn("lower_fence", F.col("q1") - 1.5 * F.col("iqr")) \
          .withColumn("upper_fence", F.col("q3") + 1.5 * F.col("iqr"))
     x = F.col(col).cast("double")
-    fences = q.select(*P, "lower_fence", "upper_fence")
-    j = src.where(x.isNotNull()).join(F.broadcast(fences) if not by else fences, P, "inner")
+    fences = broadcast_if_small(q.select(*P, "lower_fence", "upper_fence"), known_max_rows=None if by else 1)
+    j = src.where(x.isNotNull()).join(fences, P, "inner")
     inside = (x >= F.col("lower_fence")) & (x <= F.col("upper_fence"))
     agg = j.groupBy(*P).agg(F.count(F.lit(1)).alias("n"),
                             F.count_if(~inside).alias("n_outliers"),
