@@ -73,7 +73,7 @@ def running_revenue_share(spark, sf):
 
 @register("rank_nations_by_balance", "W6", sql="""
 WITH a AS (SELECT c_nationkey, avg(c_acctbal) AS avg_bal FROM customer GROUP BY 1)
-SELECT c_nationkey, round(avg_bal, 6) AS avg_bal, rank FROM (
+SELECT c_nationkey, round(avg_bal, 6) AS avg_bal, CAST(rank AS INTEGER) AS rank FROM (
   SELECT *, rank() OVER (ORDER BY avg_bal DESC) AS rank FROM a) WHERE rank <= 10
 """)
 def rank_nations_by_balance(spark, sf):

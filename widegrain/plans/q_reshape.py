@@ -134,7 +134,8 @@ def key_padding(spark, sf):
 
 @register("key_validation", "P21", sql=f"""
 SELECT 'cust_key' AS key, true AS is_string, count(*) AS n_rows,
-       count(*) FILTER (WHERE k IS NULL) AS n_null, min(length(k)) AS min_len, max(length(k)) AS max_len,
+       count(*) FILTER (WHERE k IS NULL) AS n_null, CAST(min(length(k)) AS INTEGER) AS min_len,
+       CAST(max(length(k)) AS INTEGER) AS max_len,
        count(*) FILTER (WHERE length(k) <> 3) AS n_bad_len,
        count(*) FILTER (WHERE length(k) <> 3) = 0 AS ok
 FROM (SELECT {pad_sql('c_custkey', 3)} AS k FROM customer)
