@@ -164,3 +164,13 @@ def test_lasso_cv_and_block_pca_and_sensitivity(spark, synth):
     sens = {r["variant"]: r["r2_mean"] for r in MP.block_sensitivity(
         d, FEATS, ["x1"], "y", select=False, reduce=False).collect()}
     assert sens["all"] > sens["without_block"] + 0.3
+
+
+@pytest.mark.parametrize("kind,size", [("linear", 9), ("ridge", 27), ("elasticnet", 81), ("gbt", 162),
+                                       ("forest", 54), ("svr_rbf", 27)])
+def test_reference_grid_sizes(spark, kind, size):
+    pipe = MP.make_pipeline(FEATS, "y", kind)
+    grids = MP.reference_param_grid(pipe, kind)
+    assert sum(len(g) for g in grids) == size
+    capped = MP.reference_param_grid(pipe, kind, max_components=12)
+    assert all(m[pipe.getStages()[4].k] <= 12 for g in capped for m in g)

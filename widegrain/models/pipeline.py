@@ -359,3 +359,52 @@ def block_sensitivity(df: DataFrame, features: Sequence[str], block: Sequence[st
              "without_block": make_pipeline(reduced, label, kind, **pipe_params)}
     _, summary = cross_validate(df, cands, label, fold_col)
     return summary.select(F.col("model").alias("variant"), "r2_mean", "rmse_mean")
+
+
+# The reference's tuning grids (shared selection/PCA grids and
+# one grid per regressor), in its parameter names.
+SHARED_GRIDS = [
+    {"selection_alpha": [0.0055, 0.01], "n_components": [10, 15, 25]},
+    {"selection_alpha": [0.05], "n_components": [10, 15, 20]},
+]
+REGRESSOR_GRIDS = {
+    "linear": {},
+    "ridge": {"alpha": [0.1, 1.0, 10.0]},
+    "elasticnet": {"alpha": [0.005, 0.01, 0.05], "l1_ratio": [0.2, 0.5, 0.8]},
+    "svr_rbf": {"C": [1.0, 10.0, 50.0], "epsilon": [0.05, 0.1, 0.3]},
+    "forest": {"n_estimators": [400, 800], "min_samples_leaf": [1, 2, 5]},
+    "gbt": {"learning_rate": [0.03, 0.05, 0.1], "n_estimators": [300, 600], "max_depth": [4, 6, 8]},
+}
+
+
+def reference_param_grid(pipeline: Pipeline, kind: str, max_components: int | None = None) -> list[list]:
+    """The reference's union of grids (M19) as Spark param maps for a pipeline
+    from ``make_pipeline`` (one list per shared grid, for ``grid_search``).
+
+    Component counts above ``max_components`` are capped (and de-duplicated),
+    as the reference caps them so no fold asks for more components than it
+    has features. ``epsilon`` of the SVR grid has no counterpart in the
+    random-feature ridge and is not expanded."""
+    from pyspark.ml.tuning import ParamGridBuilder
+    stages = pipeline.getStages()
+    sel = next(s for s in stages if isinstance(s, LassoSelector))
+    pca = next(s for s in stages if isinstance(s, PCA))
+    reg = stages[-1]
+    spark_name = {"alpha": "alpha", "l1_ratio": "l1Ratio", "n_estimators": "numTrees" if kind == "forest" else "maxIter",
+                  "min_samples_leaf": "minInstancesPerNode", "learning_rate": "stepSize", "max_depth": "maxDepth"}
+    grids = []
+    for shared in SHARED_GRIDS:
+        b = ParamGridBuilder().addGrid(sel.alpha, shared["selection_alpha"])
+        ks = shared["n_components"]
+        if max_components is not None:
+            ks = sorted({min(k, max_components) for k in ks})
+        b = b.addGrid(pca.k, ks)
+        for name, values in REGRESSOR_GRIDS[kind].items():
+            if name == "epsilon":
+                continue
+            if name == "C":
+                b = b.addGrid(reg.alpha, [1.0 / c for c in values])
+                continue
+            b = b.addGrid(reg.getParam(spark_name[name]), values)
+        grids.append(b.build())
+    return grids
