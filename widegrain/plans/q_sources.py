@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from ..functions.keys import pad_key

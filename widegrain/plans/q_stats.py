@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import stats as S
 from .registry import register
-from .tables import lineitem_gaps, lineitem_gaps_sql, load, rnd
+from .tables import load, rnd
 
 _CORR_COLS = {"l_quantity": "l_quantity", "l_discount": "l_discount + 0.0", "l_tax": "l_tax + 0.0",
               "l_linenumber": "CAST(l_linenumber AS DOUBLE)",
