@@ -68,6 +68,7 @@ def main() -> None:
         times["cv_5fold_3_linear_models"] = round(time.perf_counter() - t0, 3)
         for k, r in rows.items():
             extra[f"fit_sec_per_fold_{k}"] = round(r["fit_sec_mean"], 3)
+            extra[f"cv_r2_{k}"] = round(r["r2_mean"], 4)
 
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "total_sec_headline_queries", "value": round(sum(times.values()), 3),
