@@ -37,12 +37,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is. Only when it is unset (tests, local runs) do we set a fresh scratch
-    folder of our own.
+    is; if it is unset there, we refuse to guess (a machine-local folder would
+    not survive the loss of an executor). Only in local mode (tests, local
+    runs) do we set a fresh scratch folder of our own when it is unset.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get(_CKPT_KEY, None)
     if not current:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for this cluster")
         current = tempfile.mkdtemp(prefix="widegrain-ckpt-")
         spark.conf.set(_CKPT_KEY, current)
     if not sc.getCheckpointDir():
