@@ -206,10 +206,11 @@ def cross_validate(df: DataFrame, candidates: Mapping[str, Estimator], label: st
     data.unpersist()
     per_fold = spark.createDataFrame(rows, "model string, fold int, r2 double, rmse double, mae double, "
                                            "fit_sec double, n long")
+    from ..operators.ranking import competition_rank
     summary = per_fold.groupBy("model").agg(
         *[F.avg(c).alias(f"{c}_mean") for c in ["r2", "rmse", "mae", "fit_sec"]],
-        *[F.stddev_pop(c).alias(f"{c}_std") for c in ["r2", "rmse", "mae"]])
-    return per_fold, summary
+        *[F.stddev_pop(c).alias(f"{c}_std") for c in ["r2", "rmse", "mae", "fit_sec"]])
+    return per_fold, competition_rank(summary, "r2_mean")   # one row per candidate
 
 
 def grid_search(df: DataFrame, estimator: Estimator, grids: Sequence[list], label: str, fold_col: str = "fold",

@@ -171,10 +171,16 @@ def model_report(train: DataFrame, test: DataFrame, features: Sequence[str], lab
     from ..models import pipeline as MP
     folded = R.kfold_assign(train, [key], k, seed)
     per_fold, summary = MP.cross_validate(folded, candidates, label, "fold", parallelism=parallelism)
-    best = summary.orderBy(F.col("r2_mean").desc()).first()["model"]
+    best_row = summary.orderBy(F.col("r2_mean").desc(), "model").first()
+    best = best_row["model"]
     model = candidates[best].fit(train)
     pred_tr, pred_te = model.transform(train), model.transform(test)
-    scores = MP.score_table({"train": pred_tr, "test": pred_te}, label)
+    baseline = MP.mean_baseline(train, test, label)
+    scores = MP.score_table({"train": pred_tr, "test": pred_te, "baseline_test": baseline}, label)
+    cv_row = summary.where(F.col("model") == best).select(
+        F.lit(None).cast("long").alias("n"), F.col("r2_mean").alias("r2"), F.col("rmse_mean").alias("rmse"),
+        F.col("mae_mean").alias("mae"), F.lit("cv").alias("split"))
+    scores = scores.unionByName(cv_row)
     resid = MP.residual_summary(pred_te, label)
     errors = R.top_k(pred_te.select(key, label, "prediction",
                                     F.abs(F.col(label) - F.col("prediction")).alias("abs_error")),
