@@ -33,7 +33,7 @@ BROADCAST_ROW_LIMIT = 2_000_000
 IN_BUFFER_ROW_LIMIT = 5_000_000
 
 
-def broadcast_if_small(small: DataFrame, limit: int = BROADCAST_ROW_LIMIT,
+def broadcast_if_small(small: DataFrame, limit: int | None = None,
                        known_max_rows: int | None = None) -> DataFrame:
     """Broadcast a derived side table only behind a size check.
 
@@ -43,6 +43,7 @@ def broadcast_if_small(small: DataFrame, limit: int = BROADCAST_ROW_LIMIT,
     later use sees the same rows even if an executor is lost and parts of the
     plan are recomputed. Above ``limit`` it is returned for a shuffle join.
     """
+    limit = BROADCAST_ROW_LIMIT if limit is None else limit
     if known_max_rows is not None and known_max_rows <= limit:
         return F.broadcast(small)
     small = cut_lineage(small)
@@ -203,7 +204,7 @@ def value_ranks(df: DataFrame, value: str, partition_cols: Sequence[str] = (),
 
 def group_quantiles(df: DataFrame, value: str, probs: Sequence[float],
                     partition_cols: Sequence[str] = (), names: Sequence[str] | None = None,
-                    n_buckets: int | None = None, in_buffer_limit: int | None = IN_BUFFER_ROW_LIMIT) -> DataFrame:
+                    n_buckets: int | None = None, in_buffer_limit: int | None | str = "default") -> DataFrame:
     """Exact quantiles with linear interpolation (pandas ``quantile``, DuckDB
     ``quantile_cont``, Spark ``percentile``) per group, skew-safe.
 
@@ -217,6 +218,8 @@ def group_quantiles(df: DataFrame, value: str, probs: Sequence[float],
     P = list(partition_cols) or ["__g"]
     src = df if partition_cols else df.withColumn("__g", F.lit(0))
     names = list(names) if names is not None else [f"q{p:g}" for p in probs]
+    if in_buffer_limit == "default":
+        in_buffer_limit = IN_BUFFER_ROW_LIMIT   # read at call time (tests lower it to force the bucketed path)
     n_rows = src.count()
     if n_buckets is None:
         n_buckets = _buckets_for(n_rows)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ranking import IN_BUFFER_ROW_LIMIT, _join_side, broadcast_if_small, value_ranks
+from .ranking import _join_side, broadcast_if_small, value_ranks
 
 _GRAM_SCHEMA = "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"
 
@@ -203,7 +203,8 @@ def pca_reconstruction(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def average_ranks(df: DataFrame, col: str, rank_col: str, keys: Sequence[str] = ()) -> DataFrame:
     """Average (tie-aware) rank of every row's value, skew-safe: ranks of the
     distinct values come from ``value_ranks`` and are joined back on the value."""
-    vr = value_ranks(df, col, in_buffer_limit=IN_BUFFER_ROW_LIMIT).select(col, (F.col("below") + (F.col("cnt") + 1) / 2.0).alias(rank_col))
+    from . import ranking
+    vr = value_ranks(df, col, in_buffer_limit=ranking.IN_BUFFER_ROW_LIMIT).select(col, (F.col("below") + (F.col("cnt") + 1) / 2.0).alias(rank_col))
     # one row per distinct value: broadcast when the checked count allows, so a
     # value repeated in a third of the rows never lands in one join task
     return _join_side(df.where(F.col(col).isNotNull()), broadcast_if_small(vr), [col], null_safe=False)
