@@ -164,6 +164,32 @@ def residual_summary(df: DataFrame, label: str, pred: str = "prediction", by: Se
                                *[F.avg((F.abs(r) <= k).cast("double")).alias(f"within_{k:g}") for k in limits])
 
 
+def regression_report(df: DataFrame, label: str, preds: Mapping[str, str], by: Sequence[str] = (),
+                      limits: Sequence[float] = (1.0, 2.0)) -> DataFrame:
+    """A27 + A28 for several prediction columns in **one** aggregate pass:
+    rows (by..., model, n, r2, rmse, mae, resid_sd, within_<k>...)."""
+    y = F.col(label)
+    aggs = [F.var_pop(y).alias("__v")]
+    for i, (name, col) in enumerate(preds.items()):
+        e = y - F.col(col)
+        ok = y.isNotNull() & F.col(col).isNotNull()
+        ee = F.when(ok, e)
+        aggs += [F.count_if(ok).alias(f"n{i}"), F.sum(ee * ee).alias(f"sse{i}"), F.avg(F.abs(ee)).alias(f"mae{i}"),
+                 F.stddev_samp(ee).alias(f"sd{i}"),
+                 *[F.avg(F.when(ok, (F.abs(e) <= k).cast("double"))).alias(f"w{i}_{j}") for j, k in enumerate(limits)]]
+    a = df.groupBy(*by).agg(*aggs)
+    names = ["model", "n", "r2", "rmse", "mae", "resid_sd", *[f"within_{k:g}" for k in limits]]
+    rows = []
+    for i, name in enumerate(preds):
+        n = F.col(f"n{i}")
+        rows.append(F.struct(F.lit(name).alias(names[0]), n.alias(names[1]),
+                             (F.lit(1.0) - F.try_divide(F.col(f"sse{i}"), n * F.col("__v"))).alias(names[2]),
+                             F.sqrt(F.try_divide(F.col(f"sse{i}"), n)).alias(names[3]), F.col(f"mae{i}").alias(names[4]),
+                             F.col(f"sd{i}").alias(names[5]),
+                             *[F.col(f"w{i}_{j}").alias(names[6 + j]) for j in range(len(limits))]))
+    return a.select(*by, F.explode(F.array(*rows)).alias("__s")).select(*by, "__s.*")
+
+
 def mean_baseline(train: DataFrame, df: DataFrame, label: str, pred: str = "prediction") -> DataFrame:
     """Mean-prediction baseline (M31): predict the training mean everywhere."""
     m = train.agg(F.avg(label)).first()[0]

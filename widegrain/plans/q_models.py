@@ -75,8 +75,7 @@ def _split_predictions(spark, sf):
                             MP.make_regressor("linear", "features", "revenue")])
     model = pipe.fit(d.where(F.col("split") == "train"))
     pred = model.transform(d)
-    base = MP.mean_baseline(d.where(F.col("split") == "train"), d, "revenue", "baseline")
-    return pred.join(base.select("l_orderkey", "baseline"), "l_orderkey")
+    return MP.mean_baseline(d.where(F.col("split") == "train"), pred, "revenue", "baseline")   # M31
 
 
 @register("regression_scores", "A27,A28,M28,M31", sql=_SPLIT + """
@@ -97,15 +96,9 @@ FROM p GROUP BY split
 """)
 def regression_scores(spark, sf):
     p = _split_predictions(spark, sf)
-    out = None
-    for name, col in [("linear", "prediction"), ("mean_baseline", "baseline")]:
-        m = MP.regression_metrics(p, "revenue", col, ["split"])
-        r = MP.residual_summary(p, "revenue", col, ["split"])
-        t = m.join(r, "split").select("split", F.lit(name).alias("model"), "n",
-                                      *[rnd(c).alias(c) for c in ["r2", "rmse", "mae", "resid_sd"]],
-                                      rnd("within_1").alias("within_1"), rnd("within_2").alias("within_2"))
-        out = t if out is None else out.unionByName(t)
-    return out
+    r = MP.regression_report(p, "revenue", {"linear": "prediction", "mean_baseline": "baseline"}, ["split"])
+    return r.select("split", "model", "n", *[rnd(c).alias(c) for c in ["r2", "rmse", "mae", "resid_sd"]],
+                    rnd("within_1").alias("within_1"), rnd("within_2").alias("within_2"))
 
 
 @register("largest_test_errors", "W7,J4", sql=_SPLIT + """
