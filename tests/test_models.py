@@ -174,3 +174,23 @@ def test_reference_grid_sizes(spark, kind, size):
     assert sum(len(g) for g in grids) == size
     capped = MP.reference_param_grid(pipe, kind, max_components=12)
     assert all(m[pipe.getStages()[4].k] <= 12 for g in capped for m in g)
+
+
+def test_centred_pca_matches_numpy(spark):
+    from pyspark.ml.feature import VectorAssembler
+    from widegrain.models.transformers import CentredPCA
+    rng = np.random.default_rng(9)
+    X = rng.normal(size=(300, 4)) @ np.array([[2, 0, 0, 0], [1, 1, 0, 0], [0, 0, 0.5, 0], [0, 0, 0.2, 0.1]]) + 5.0
+    df = spark.createDataFrame([tuple(map(float, r)) for r in X], "a double, b double, c double, d double")
+    v = VectorAssembler(inputCols=["a", "b", "c", "d"], outputCol="v").transform(df)
+    m = CentredPCA(inputCol="v", outputCol="s", k=2).fit(v)
+    Xc = X - X.mean(0)
+    lam, vec = np.linalg.eigh(np.cov(Xc.T, bias=True))
+    top = vec[:, np.argsort(lam)[::-1][:2]]
+    got = np.array([r["s"].toArray() for r in m.transform(v).select("s").collect()])
+    want = Xc @ top
+    for j in range(2):                                   # equal up to the sign of each component
+        assert np.allclose(np.abs(got[:, j]), np.abs(want[:, j]), atol=1e-8)
+    assert np.allclose(got.mean(0), 0.0, atol=1e-9)
+    ratios = m.getOrDefault("explainedVariance")
+    assert np.allclose(ratios, np.sort(lam)[::-1][:2] / lam.sum())

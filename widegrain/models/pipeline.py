@@ -26,7 +26,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .transformers import LassoSelector, MedianImputer, PopulationScaler, RandomFourierFeatures
+from .transformers import CentredPCA, LassoSelector, MedianImputer, PopulationScaler, RandomFourierFeatures
 
 
 class _PenaltyParams(Params):
@@ -115,8 +115,8 @@ def make_regressor(kind: str, features_col: str = "features", label: str = "labe
 def make_pipeline(features: Sequence[str], label: str, kind: str = "linear", alpha: float = 0.0055,
                   n_components: int = 15, select: bool = True, reduce: bool = True, **params) -> Pipeline:
     """The shared pipeline (M10): train-fitted median impute (I7) ->
-    population scaling (M2) -> assemble -> lasso selection (M4) -> PCA (M6,
-    inputs already centred by the scaler) -> regressor. Every stage is
+    population scaling (M2) -> assemble -> lasso selection (M4) -> centred
+    PCA (M6) -> regressor. Every stage is
     refitted inside each CV fold, so nothing leaks across folds."""
     features = list(features)
     stages = [MedianImputer(inputCols=features), PopulationScaler(inputCols=features),
@@ -126,7 +126,7 @@ def make_pipeline(features: Sequence[str], label: str, kind: str = "linear", alp
         stages.append(LassoSelector(featuresCol=cur, labelCol=label, outputCol="selected", alpha=alpha))
         cur = "selected"
     if reduce:
-        stages.append(PCA(k=n_components, inputCol=cur, outputCol="pca"))
+        stages.append(CentredPCA(k=n_components, inputCol=cur, outputCol="pca"))
         cur = "pca"
     if kind == "svr_rbf":
         k_in = n_components if reduce else len(features)
@@ -364,9 +364,8 @@ def block_pca(train: DataFrame, test: DataFrame, family: Sequence[str], k: int =
     Returns (train_out, test_out, fitted PipelineModel)."""
     from pyspark.ml.functions import vector_to_array
     fam = list(family)
-    pipe = Pipeline(stages=[MedianImputer(inputCols=fam), PopulationScaler(inputCols=fam, withStd=False),
-                            VectorAssembler(inputCols=fam, outputCol="__fam"),
-                            PCA(k=k, inputCol="__fam", outputCol="__pcs")])
+    pipe = Pipeline(stages=[MedianImputer(inputCols=fam), VectorAssembler(inputCols=fam, outputCol="__fam"),
+                            CentredPCA(k=k, inputCol="__fam", outputCol="__pcs")])
     model = pipe.fit(train)
 
     def apply(d):
@@ -415,7 +414,7 @@ def reference_param_grid(pipeline: Pipeline, kind: str, max_components: int | No
     from pyspark.ml.tuning import ParamGridBuilder
     stages = pipeline.getStages()
     sel = next(s for s in stages if isinstance(s, LassoSelector))
-    pca = next(s for s in stages if isinstance(s, PCA))
+    pca = next(s for s in stages if isinstance(s, (PCA, CentredPCA)))
     reg = stages[-1]
     spark_name = {"alpha": "alpha", "l1_ratio": "l1Ratio", "n_estimators": "numTrees" if kind == "forest" else "maxIter",
                   "min_samples_leaf": "minInstancesPerNode", "learning_rate": "stepSize", "max_depth": "maxDepth"}

@@ -114,7 +114,7 @@ def mean_abs_attribution(phi: DataFrame) -> DataFrame:
 def pca_loadings(pca_model, names: Sequence[str]) -> DataFrame:
     """Loadings as long rows (feature, component, loading) (M9); each
     component's sign is fixed so that its largest |entry| is positive."""
-    pc = pca_model.pc.toArray()  # p x k
+    pc = pca_model.pc.toArray()  # p x k (Spark PCAModel or CentredPCAModel)
     rows = []
     for c in range(pc.shape[1]):
         v = pc[:, c]
