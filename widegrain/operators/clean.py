@@ -8,7 +8,7 @@ the plan — no ``withColumn`` loops, no per-column jobs.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,7 +31,6 @@ class MissingPolicy:
     structural_prefixes: tuple[str, ...] = ("la",)
     structural_fill: float = 0.0
     indicator_suffix: str = "_is_missing"
-    extra: Mapping = field(default_factory=dict)
 
     def is_structural(self, name: str) -> bool:
         return any(name.lower().startswith(p.lower()) for p in self.structural_prefixes)

@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ranking import _join_side, seeded_rank, seeded_sample
+from .ranking import seeded_rank
 
 
 def permuted_copies(df: DataFrame, features: Sequence[str], key: str, n_repeats: int = 15,
@@ -137,4 +137,4 @@ def _active():
 
 
 __all__ = ["permuted_copies", "permutation_importance", "shapley_values", "mean_abs_attribution",
-           "pca_loadings", "coefficient_table", "seeded_sample", "_join_side"]
+           "pca_loadings", "coefficient_table"]

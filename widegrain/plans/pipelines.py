@@ -12,7 +12,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
 
 from ..functions.columns import assert_no_target, binary_columns, family_prune, numeric_columns
 from ..functions.keys import key_prefix, pad_key
@@ -207,7 +206,3 @@ def entity_profile(a: DataFrame, b: DataFrame, key: str, fields: Sequence[str],
     v, name = row_argmax(list(driver_cols))
     return {"side_by_side": RS.side_by_side(a, b, key, fields),
             "top_driver": a.select(key, v.alias("top_value"), name.alias("top_driver"))}
-
-
-def is_numeric(df: DataFrame, col: str) -> bool:
-    return isinstance(df.schema[col].dataType, NumericType)
