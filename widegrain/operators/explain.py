@@ -28,23 +28,26 @@ def permuted_copies(df: DataFrame, features: Sequence[str], key: str, n_repeats:
     """
     features = list(features)
     n = df.count()
-    reps = F.array(*[F.struct(F.lit(f).alias("perm_feature"), F.lit(r).alias("perm_repeat"))
-                     for f in features for r in range(n_repeats)])
+    names = F.array(*[F.lit(f) for f in features])
+    # (feature index, repeat) pairs: integer keys for the windows and the join
+    reps = F.array(*[F.struct(F.lit(i).alias("__fi"), F.lit(r).alias("perm_repeat"))
+                     for i in range(len(features)) for r in range(n_repeats)])
     base = seeded_rank(df, [key], seed, rank_col="__pos", n_rows=n)
     rep = base.select("*", F.explode(reps).alias("__fr")).select("*", "__fr.*").drop("__fr")
     # donors straight from the input: (key, feature, repeat, value), ranked per (feature, repeat)
-    value = F.coalesce(*[F.when(F.col("perm_feature") == f, F.col(f).cast("double")) for f in features]) \
-        if len(features) > 1 else F.col(features[0]).cast("double")
+    value = F.element_at(F.array(*[F.col(f).cast("double") for f in features]), F.col("__fi") + 1)
     donors = (df.select(key, *features, F.explode(reps).alias("__fr")).select(key, *features, "__fr.*")
-              .select(key, "perm_feature", "perm_repeat", value.alias("__val")))
-    order = F.md5(F.concat_ws(":", F.col("perm_feature"), F.col("perm_repeat").cast("string"), F.lit(str(seed)),
-                              F.col(key).cast("string")))
-    donors = seeded_rank(donors, [key], seed, partition_cols=["perm_feature", "perm_repeat"], rank_col="__pos",
+              .select(key, "__fi", "perm_repeat", value.alias("__val")))
+    order = F.md5(F.concat_ws(":", F.element_at(names, F.col("__fi") + 1), F.col("perm_repeat").cast("string"),
+                              F.lit(str(seed)), F.col(key).cast("string")))
+    donors = seeded_rank(donors, [key], seed, partition_cols=["__fi", "perm_repeat"], rank_col="__pos",
                          check_unique=False, order_expr=order, n_rows=n,
                          n_groups=len(features) * n_repeats).drop(key)
-    j = rep.join(donors, ["perm_feature", "perm_repeat", "__pos"], "inner")
-    return j.select(*[F.when(F.col("perm_feature") == f, F.col("__val")).otherwise(F.col(f).cast("double")).alias(f)
-                      if f in features else F.col(f) for f in df.columns], "perm_feature", "perm_repeat")
+    j = rep.join(donors, ["__fi", "perm_repeat", "__pos"], "inner")
+    idx = {f: i for i, f in enumerate(features)}
+    return j.select(*[F.when(F.col("__fi") == idx[f], F.col("__val")).otherwise(F.col(f).cast("double")).alias(f)
+                      if f in idx else F.col(f) for f in df.columns],
+                    F.element_at(names, F.col("__fi") + 1).alias("perm_feature"), "perm_repeat")
 
 
 def permutation_importance(model, df: DataFrame, features: Sequence[str], label: str, key: str,
