@@ -29,7 +29,8 @@ def test_model_report(spark, sf_dir):
     scores = {r["split"]: r["r2"] for r in rep["scores"].collect()}
     assert scores["test"] > 0.5
     assert rep["permutation_importance"].count() == len(ORDER_FEATURE_COLS)
-    assert rep["importance_agreement"].first()["n"] == len(ORDER_FEATURE_COLS)
+    agree = {r["scope"]: r["n"] for r in rep["importance_agreement"].collect()}
+    assert agree == {"all": len(ORDER_FEATURE_COLS), "top20": len(ORDER_FEATURE_COLS)}
 
 
 def test_flagged_and_merge_and_entity(spark, sf_dir):

@@ -189,7 +189,9 @@ def model_report(train: DataFrame, test: DataFrame, features: Sequence[str], lab
     phi = X.shapley_values(model, test, features, key, bg, seed=seed)
     shap = X.mean_abs_attribution(phi)
     both = imp.join(shap, "feature")
-    agreement = S.spearman(both, "importance_mean", "mean_abs_phi")
+    top = R.top_k(both, "importance_mean", 20, tiebreak=["feature"])
+    agreement = (S.spearman(both, "importance_mean", "mean_abs_phi").withColumn("scope", F.lit("all"))
+                 .unionByName(S.spearman(top, "importance_mean", "mean_abs_phi").withColumn("scope", F.lit("top20"))))
     return {"cv_per_fold": per_fold, "cv_summary": summary, "scores": scores, "residuals": resid,
             "largest_errors": errors, "permutation_importance": imp, "shapley": shap,
             "importance_agreement": agreement}
