@@ -220,3 +220,38 @@ def test_catalog_guards_and_bootstrap(spark):
     assert IO.existing_only(spark, ["wg_t_new", "wg_missing"]) == ["wg_t_new"]
     with pytest.raises(FileNotFoundError):
         IO.require_tables(spark, ["wg_missing"])
+
+
+def test_read_csv_keys_stay_text_and_nan_is_null(spark):
+    from widegrain.sources import io as IO
+    path = IO.scratch_path(spark, "test-read-csv")
+    spark.createDataFrame([("01001", "1.5", "x"), ("00007", "NaN", "y")], "fips string, v string, s string") \
+        .coalesce(1).write.option("header", "true").csv(path)
+    df = IO.read_csv(spark, path, key_cols=["fips"])
+    assert dict(df.dtypes) == {"fips": "string", "v": "double", "s": "string"}
+    got = {r["fips"]: r["v"] for r in df.collect()}
+    assert got == {"01001": 1.5, "00007": None}
+
+
+def test_transpose_strings_and_all_null_predicate(spark):
+    df = spark.createDataFrame([("k1", 1, "a", None), ("k2", None, None, None)], "k string, n int, s string, z double")
+    t = RS.transpose(df, ["k"], ["n", "s"], as_string=True)
+    assert {(r["k"], r["field"], r["value"]) for r in t.collect()} == {
+        ("k1", "n", "1"), ("k1", "s", "a"), ("k2", "n", None), ("k2", "s", None)}
+    none = df.where(RS.all_null_in(["n", "s", "z"])).select("k").collect()
+    assert [r["k"] for r in none] == ["k2"]
+
+
+def test_keyed_and_long_measure_preparation(spark):
+    from widegrain.plans import pipelines as PL
+    long = spark.createDataFrame(
+        [(1001, "Autauga", "A", "10.5"), (1001, "Autauga", "B", "x"), (1001, "Autauga", "B", "4"),
+         (7, "Small", "A", None), (7, "Small", "A", "2"), (7, "Small", "C", "9")],
+        "loc int, name string, measure string, value string")
+    w = {r["loc"]: r for r in PL.prepare_long_measures(long, "loc", "measure", "value", ["A", "B"],
+                                                         labels=["name"]).collect()}
+    assert w["01001"]["A"] == 10.5 and w["01001"]["B"] == 4.0 and w["00007"]["B"] is None
+    assert w["00007"]["name"] == "Small"
+    k = PL.prepare_keyed(spark.createDataFrame([(1, 2.0), (22, None)], "fips int, inc double"), "fips",
+                         required=["inc"], rename={"inc": "median_income"})
+    assert [tuple(r) for r in k.collect()] == [("00001", 2.0)]

@@ -31,14 +31,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 # --------------------------------------------------------------------------- #
 
 def read_csv(spark: SparkSession, path: str, key_cols: Sequence[str] = (), schema: StructType | None = None,
-             nan_value: str = "NaN", sampling_ratio: float = 0.1) -> DataFrame:
+             nan_value: str = "NaN", sampling_ratio: float = 1.0) -> DataFrame:
     """CSV scan with header, inferred types and string-typed keys.
 
-    With no explicit schema, types are inferred from a sample and the key
-    columns are then forced to string, and the file is read once more with
-    that explicit schema (so leading zeros survive). ``NaN`` text is a null.
+    With no explicit schema, types are inferred (from a ``sampling_ratio``
+    sample; pass ``schema`` for very large inputs to skip the inference pass),
+    the key columns are forced to string, and the file is read with that
+    explicit schema (so leading zeros survive). ``NaN`` text is a null, as in
+    pandas.
     """
-    opts = {"header": "true", "nanValue": nan_value, "mode": "PERMISSIVE"}
+    opts = {"header": "true", "nullValue": nan_value, "nanValue": nan_value, "mode": "PERMISSIVE"}
     if schema is None:
         inferred = (spark.read.options(**opts).option("inferSchema", "true")
                     .option("samplingRatio", sampling_ratio).csv(path).schema)
