@@ -255,3 +255,23 @@ def test_keyed_and_long_measure_preparation(spark):
     k = PL.prepare_keyed(spark.createDataFrame([(1, 2.0), (22, None)], "fips int, inc double"), "fips",
                          required=["inc"], rename={"inc": "median_income"})
     assert [tuple(r) for r in k.collect()] == [("00001", 2.0)]
+
+
+def test_tiered_clean_and_indicator_impute_at_tier_edges(spark):
+    # 20 rows; null shares: g20 = 20 % (genuine: untouched), g5 = 5 % (median fill), la40 = 40 % (structural: 0),
+    # g60 = 60 % (dropped), la60 = 60 % (dropped)
+    n = 20
+    rows = []
+    for i in range(n):
+        rows.append(("s1" if i % 2 else "s2", float(i),
+                     None if i < 4 else float(i), None if i < 1 else float(i), None if i < 8 else 1.0,
+                     None if i < 12 else 1.0, None if i < 12 else 1.0))
+    df = spark.createDataFrame(rows, "st string, x double, g20 double, g5 double, la40 double, g60 double, la60 double")
+    out = C.tiered_clean(df, "st")
+    assert "g60" not in out.columns and "la60" not in out.columns
+    got = out.orderBy("x").collect()
+    assert got[0]["g20"] is None                              # 20 % genuine: left as is
+    assert got[0]["g5"] == 10.0                               # row 0 is in group s2: median of 2, 4, ..., 18
+    assert [r["la40"] for r in got[:8]] == [0.0] * 8          # structural: filled with 0
+    imp = C.indicator_impute(df.drop("st"))
+    assert "g60" not in imp.columns and "g20_is_missing" in imp.columns and "x_is_missing" not in imp.columns
