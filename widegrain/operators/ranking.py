@@ -33,27 +33,27 @@ BROADCAST_ROW_LIMIT = 2_000_000
 IN_BUFFER_ROW_LIMIT = 5_000_000
 
 
+def pinned_count(df: DataFrame) -> tuple[DataFrame, int]:
+    """Checkpoint a derived table to the shared folder and count it. The
+    checkpoint pins its content, so every later use sees the same rows even if
+    an executor is lost and parts of the plan are recomputed."""
+    pinned = cut_lineage(df)
+    return pinned, pinned.count()
+
+
 def broadcast_if_small(small: DataFrame, limit: int | None = None,
                        known_max_rows: int | None = None) -> DataFrame:
     """Broadcast a derived side table only behind a size check.
 
     With ``known_max_rows`` (a bound proven from earlier counts, e.g. groups x
-    buckets) no job is needed. Otherwise the table is checkpointed to the
-    shared folder and counted; the checkpoint also pins its content, so every
-    later use sees the same rows even if an executor is lost and parts of the
-    plan are recomputed. Above ``limit`` it is returned for a shuffle join.
+    buckets) no job is needed. Otherwise the table is pinned and counted
+    (``pinned_count``); above ``limit`` it is returned for a shuffle join.
     """
     limit = BROADCAST_ROW_LIMIT if limit is None else limit
     if known_max_rows is not None and known_max_rows <= limit:
         return F.broadcast(small)
-    small = cut_lineage(small)
-    n = small.count()
-    small._wg_rows = n  # remembered bound for callers
-    return F.broadcast(small) if n <= limit else small
-
-
-def _rows_of(df: DataFrame) -> int | None:
-    return getattr(df, "_wg_rows", None)
+    pinned, n = pinned_count(small)
+    return F.broadcast(pinned) if n <= limit else pinned
 
 
 def hash_order(key_cols: Sequence[str], seed: int | str) -> Column:
@@ -185,8 +185,9 @@ def value_ranks(df: DataFrame, value: str, partition_cols: Sequence[str] = (),
     probs = [i / n_buckets for i in range(1, n_buckets)]
     bounds = distinct.groupBy(*P).agg(
         F.percentile_approx(v.cast("double"), probs, 10 * n_buckets).alias("__bounds"))
-    bounds = broadcast_if_small(bounds)   # pinned: approximate sketches may vary on recompute
-    n_groups = _rows_of(bounds)
+    # pinned: merged approximate sketches may differ if recomputed
+    bounds, n_groups = pinned_count(bounds)
+    bounds = F.broadcast(bounds) if n_groups <= BROADCAST_ROW_LIMIT else bounds
     j = _join_side(distinct, bounds, P)
     j = j.select(*P, value, "cnt",
                  F.size(F.filter(F.col("__bounds"), lambda x: x < v.cast("double"))).alias("__b"))
@@ -195,7 +196,7 @@ def value_ranks(df: DataFrame, value: str, partition_cols: Sequence[str] = (),
     totals = j.groupBy(*P, "__b").agg(F.sum("cnt").alias("__bn"))
     before = Window.partitionBy(*P).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     offs = totals.select(*P, "__b", F.coalesce(F.sum("__bn").over(before), F.lit(0)).alias("__off"))
-    offs = broadcast_if_small(offs, known_max_rows=None if n_groups is None else n_groups * n_buckets)
+    offs = broadcast_if_small(offs, known_max_rows=n_groups * n_buckets)
     out = _join_side(j, offs, [*P, "__b"]).select(
         *P, value, F.col("cnt").cast("long").alias("cnt"),
         (F.col("__cb") + F.col("__off")).cast("long").alias("below"))
