@@ -42,6 +42,8 @@ def test_flagged_and_merge_and_entity(spark, sf_dir):
     o = load(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("k")).agg(F.count("*").alias("n_orders"))
     master, dups = PL.merge_master([c, o], "k")
     assert dups.count() == 0 and master.count() == c.count()
+    master_u, _ = PL.merge_master([c, o], "k", method="union")
+    assert sorted(map(tuple, master_u.collect())) == sorted(map(tuple, master.collect()))
     li = load(spark, sf_dir, "lineitem")
     a = li.where("l_returnflag = 'R'").groupBy("l_suppkey").agg(F.sum("l_quantity").alias("q"), F.avg("l_tax").alias("t"))
     b = li.where("l_returnflag = 'A'").groupBy("l_suppkey").agg(F.sum("l_quantity").alias("q"), F.avg("l_tax").alias("t"))

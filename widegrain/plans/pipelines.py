@@ -90,12 +90,15 @@ def prepare_keyed(df: DataFrame, key: str, required: Sequence[str] = (), rename:
 
 
 # C5 ------------------------------------------------------------------------ #
-def merge_master(frames: Sequence[DataFrame], key: str, key_width: int = 5) -> tuple[DataFrame, DataFrame]:
+def merge_master(frames: Sequence[DataFrame], key: str, key_width: int = 5,
+                 method: str = "join") -> tuple[DataFrame, DataFrame]:
     """Master merge (C5): pad every key (P7), N-way full outer join with
     reconciled duplicate names (J1, P22), duplicate-key report (A17).
-    Returns (master, duplicate keys); a warning is raised when any exist."""
+    Returns (master, duplicate keys); a warning is raised when any exist.
+    ``method="union"`` merges in one shuffle when each source has one row per
+    key (a repeated key then raises instead of warning)."""
     padded = [f.withColumn(key, pad_key(key, key_width)) for f in frames]
-    master = RS.outer_merge(padded, key)
+    master = RS.outer_merge(padded, key, method=method)
     dups = master.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     if dups.limit(1).count():
         warnings.warn("duplicate keys after the merge", stacklevel=2)
