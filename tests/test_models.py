@@ -40,6 +40,16 @@ def test_imputer_exact_median(spark):
     assert [r[0] for r in m.transform(df).collect()][-1] == 2.5
 
 
+def test_impute_scale_equals_impute_then_scale(spark, synth):
+    from widegrain.models.transformers import ImputeScale
+    a = ImputeScale(inputCols=["x3", "x1"]).fit(synth).transform(synth)
+    imp = MedianImputer(inputCols=["x3", "x1"]).fit(synth).transform(synth)
+    b = PopulationScaler(inputCols=["x3", "x1"]).fit(imp).transform(imp)
+    ra = sorted((r["k"], r["x3"], r["x1"]) for r in a.collect())
+    rb = sorted((r["k"], r["x3"], r["x1"]) for r in b.collect())
+    assert np.allclose(np.array(ra), np.array(rb), atol=1e-9)
+
+
 def test_population_scaler(spark, synth):
     m = PopulationScaler(inputCols=["x1"]).fit(synth)
     out = m.transform(synth).agg(F.avg("x1"), F.stddev_pop("x1")).first()
@@ -173,7 +183,8 @@ def test_reference_grid_sizes(spark, kind, size):
     grids = MP.reference_param_grid(pipe, kind)
     assert sum(len(g) for g in grids) == size
     capped = MP.reference_param_grid(pipe, kind, max_components=12)
-    assert all(m[pipe.getStages()[4].k] <= 12 for g in capped for m in g)
+    from widegrain.models.transformers import CentredPCA
+    assert all(m[MP.stage_of(pipe, CentredPCA).k] <= 12 for g in capped for m in g)
 
 
 def test_centred_pca_matches_numpy(spark):

@@ -26,7 +26,8 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .transformers import CentredPCA, LassoSelector, MedianImputer, PopulationScaler, RandomFourierFeatures
+from .transformers import (CentredPCA, ImputeScale, LassoSelector, LassoSelectorModel, MedianImputer,
+                           PopulationScaler, RandomFourierFeatures)
 
 
 class _PenaltyParams(Params):
@@ -114,13 +115,12 @@ def make_regressor(kind: str, features_col: str = "features", label: str = "labe
 
 def make_pipeline(features: Sequence[str], label: str, kind: str = "linear", alpha: float = 0.0055,
                   n_components: int = 15, select: bool = True, reduce: bool = True, **params) -> Pipeline:
-    """The shared pipeline (M10): train-fitted median impute (I7) ->
-    population scaling (M2) -> assemble -> lasso selection (M4) -> centred
-    PCA (M6) -> regressor. Every stage is
+    """The shared pipeline (M10): train-fitted median impute (I7) and
+    population scaling (M2) in one fitted stage -> assemble -> lasso selection
+    (M4) -> centred PCA (M6) -> regressor. Every stage is
     refitted inside each CV fold, so nothing leaks across folds."""
     features = list(features)
-    stages = [MedianImputer(inputCols=features), PopulationScaler(inputCols=features),
-              VectorAssembler(inputCols=features, outputCol="assembled")]
+    stages = [ImputeScale(inputCols=features), VectorAssembler(inputCols=features, outputCol="assembled")]
     cur = "assembled"
     if select:
         stages.append(LassoSelector(featuresCol=cur, labelCol=label, outputCol="selected", alpha=alpha))
@@ -144,6 +144,12 @@ def make_pipeline(features: Sequence[str], label: str, kind: str = "linear", alp
 # metrics
 # --------------------------------------------------------------------------- #
 
+def stage_of(pipeline_or_model, cls):
+    """The first stage of a (fitted) pipeline that is an instance of ``cls``."""
+    stages = pipeline_or_model.getStages() if hasattr(pipeline_or_model, "getStages") else pipeline_or_model.stages
+    return next(s for s in stages if isinstance(s, cls))
+
+
 def regression_metrics(df: DataFrame, label: str, pred: str = "prediction",
                        by: Sequence[str] = ()) -> DataFrame:
     """R², RMSE and MAE (A27) per group in one aggregate:
@@ -290,7 +296,8 @@ def cap_components(df: DataFrame, features: Sequence[str], label: str, fold_col:
     for f in [r[0] for r in df.select(fold_col).distinct().collect()]:
         pipe = make_pipeline(features, label, "linear", alpha=alpha, reduce=False)
         m = pipe.fit(df.where(F.col(fold_col) != f))
-        sizes.append(len(m.stages[3].getOrDefault("indices")))
+        sel = next(st for st in m.stages if isinstance(st, LassoSelectorModel))
+        sizes.append(len(sel.getOrDefault("indices")))
     return min(tuned_n, min(sizes))
 
 

@@ -200,7 +200,8 @@ def grid_search_orders(spark, sf):
     from pyspark.ml.tuning import ParamGridBuilder
     d = _folded(spark, sf)
     pipe = MP.make_pipeline(ORDER_FEATURE_COLS, "revenue", "ridge", alpha=0.0055, n_components=3)
-    sel, pca, reg = pipe.getStages()[3], pipe.getStages()[4], pipe.getStages()[5]
+    from ..models.transformers import CentredPCA, LassoSelector
+    sel, pca, reg = MP.stage_of(pipe, LassoSelector), MP.stage_of(pipe, CentredPCA), pipe.getStages()[-1]
     g1 = ParamGridBuilder().addGrid(sel.alpha, [0.001, 0.01]).addGrid(pca.k, [2, 3]).build()
     g2 = ParamGridBuilder().addGrid(reg.alpha, [0.1, 10.0]).addGrid(pca.k, [2]).build()
     _, ranking = MP.grid_search(d, pipe, [g1, g2], "revenue", "fold", parallelism=2)
@@ -212,7 +213,8 @@ def pca_loadings_orders(spark, sf):
     d = order_features(spark, sf)
     pipe = MP.make_pipeline(ORDER_FEATURE_COLS, "revenue", "linear", select=False, n_components=3)
     m = pipe.fit(d)
-    return X.pca_loadings(m.stages[3], ORDER_FEATURE_COLS)
+    from ..models.transformers import CentredPCAModel
+    return X.pca_loadings(MP.stage_of(m, CentredPCAModel), ORDER_FEATURE_COLS)
 
 
 @register("lasso_coefficients_orders", "M29,M3,M4")
