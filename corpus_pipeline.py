@@ -12,7 +12,7 @@ from widegrain.llm.pinning import pinned
 
 #: documents without letters are rejected, and those whose best language has
 #: less than this share of the scores (a text in an unlearned language)
-MIN_LANGUAGE_SCORE = 0.4
+MIN_LANGUAGE_SCORE = 0.3
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
