@@ -8,12 +8,16 @@ defaults). Texts that share a table key are candidates; a candidate becomes a
 link only after its two full shingle sets are compared.
 
 Nothing emits all pairs of a group. Texts with equal sets become one node
-first. In a table bucket every member is compared with the smallest one; then
-only buckets whose members are still in different components go on, with more
-of their members as hubs, until all members are in one component or every pair
-of members from different components has been compared. So the components are
-those of all candidate links, while a group of thousands of copies costs a few
-comparisons per member.
+first. In a table bucket every member is compared with one central member;
+then only buckets whose members are still in different components go on, with
+more of their members as hubs, until all members are in one component or every
+pair of members from different components is settled. Most of those pairs are
+settled without comparing them: a shingle that few texts of the candidate
+group hold is rare, and two texts that share no rare shingle have an
+intersection of at most the smaller number of their other shingles. Pairs that
+share a rare shingle are taken from that shingle's few holders, all others must
+pass that bound. So the components are those of all candidate links, while a
+group of thousands of copies costs a few comparisons per member.
 
 Recall: two texts of similarity s share no table with probability
 1 - (1 - (1 - s^rows)^m)^2, 0.0008 at s = 0.8 and 0.00006 at 0.85.
@@ -36,7 +40,10 @@ from .wordhash import mix, shingle_sets, slices, stream
 
 #: buckets of up to this many members compare every member with every other
 #: one (those in different components); larger ones take this many hubs a round
-HUBS = 64
+HUBS = 128
+#: a shingle is rare if one text of its candidate group holds it, or at most
+#: this many texts and at most one in RARE_SHARE of the group
+RARE, RARE_SHARE = 16, 8
 
 
 def _signature(own: np.ndarray) -> bytes:
@@ -123,6 +130,46 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int, share: int, least_
     return rows.mapInArrow(run, schema).groupBy("u", "v").agg(F.max("linked").alias("linked"))
 
 
+def _holdings(members: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """``(token, id, rare)``: every shingle of every candidate text, named
+    within the group of texts that are joined by candidate pairs; ``rare`` is
+    its number of holders if it is rare, else null."""
+    groups = components(members.where("hub <> id").select(F.col("hub").alias("u"), F.col("id").alias("v")))
+    groups = groups.join(groups.groupBy("comp").agg(F.count(F.lit(1)).alias("texts")), "comp")
+    schema = StructType([texts.schema["id"], StructField("shingles", ArrayType(LongType()))])
+
+    def run(batches):
+        for batch in batches:
+            ids, lowered = batch.column(0), _lowered(batch.column(1))
+            for a, b in slices(lowered):
+                yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), pa.array(
+                    [x.view(np.int64) for x in shingle_sets(lowered[a:b], width)], pa.list_(pa.int64()))],
+                    names=schema.names)
+
+    rows = pinned(texts.select("id", "text").mapInArrow(run, schema).join(groups, "id")
+                  .select("id", "comp", "texts", F.explode("shingles").alias("shingle"))
+                  .select("id", F.xxhash64("comp", "shingle").alias("token"),
+                          F.least(F.lit(RARE), F.greatest(F.lit(1), F.floor(F.col("texts") / RARE_SHARE))).alias("most")),
+                  "shingles")
+    few = rows.groupBy("token").agg(F.count(F.lit(1)).alias("rare"), F.max("most").alias("most")).where("rare <= most")
+    return rows.select("token", "id").join(few.select("token", "rare"), "token", "left")
+
+
+def _may_link(share: int, n1: str, rest1: str, n2: str, rest2: str):
+    """Whether two texts that share no rare shingle can reach the share."""
+    most = F.least(rest1, rest2)
+    return 100 * most >= share * (F.col(n1) + F.col(n2) - most)
+
+
+def _first_table(key: str, groups1: str, groups2: str, m: int):
+    """Whether ``key`` names the first table that the two texts share."""
+    equal = F.zip_with(groups1, groups2, lambda x, y: x == y)
+    i = F.array_position(F.slice(equal, 1, m), True) - 1
+    j = F.array_position(F.slice(equal, m + 1, m), True) - 1
+    own = F.xxhash64((i * m + j).cast("int"), F.get(F.col(groups1), i.cast("int")), F.get(F.col(groups1), (j + m).cast("int")))
+    return F.col(key) == own
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 2,
                     share: int = 80, rows: int = 3, m: int = 11) -> DataFrame:
     """One row per document: ``(id_col, n_shingles, component_id, kept)``.
@@ -160,40 +207,61 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = pinned(named.select("id", "mins", "sig").join(wanted, "id").dropDuplicates(["id", "sig"])
                    .join(docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).dropna(),
                          "id").select("id", "mins", "text"), "texts")
+    held = _holdings(members, texts, width)
+    sizes = pinned(held.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.count("rare").alias("low")), "sizes")
+    rare = pinned(held.where("rare > 1").select("token", "id"), "rare")
     s = share / 100
     k = 2 * m * rows
     least_equal = max(0, math.floor(k * s - 6 * math.sqrt(k * s * (1 - s))))
 
-    pairs = members.where("hub <> id").select(F.col("hub").alias("u"), F.col("id").alias("v")).distinct()
-    members = members.where("hub <> id").select("key", "id")
+    # a member whose shingles are mostly rare can only link through a rare one
+    rest = F.col("n") - F.col("low")
+    members = pinned(members.join(sizes.where(100 * rest >= share * F.col("n")), "id")
+                     .select("key", "id", "n", rest.alias("rest"), (F.col("low") / F.col("n")).alias("odd")), "members")
+    members = members.join(nodes.select(F.col("node").alias("id"), "groups"), "id")
+    central = members.groupBy("key").agg(F.min_by(F.struct("id", "n", "rest"), F.struct("odd", "id")).alias("h"))
+    pairs = (members.join(central, "key").where("h.id <> id").where(_may_link(share, "h.n", "h.rest", "n", "rest"))
+             .select(F.least("h.id", "id").alias("u"), F.greatest("h.id", "id").alias("v")).distinct())
+    spent = central.select("key", F.col("h.id").alias("id"))
     tried = None
     links = same
+    by_rare = True
     while True:
         compared = pinned(_verified(pairs, texts, width, share, least_equal), "compared")
         tried = compared.select("u", "v") if tried is None else tried.unionByName(compared.select("u", "v"))
         links = links.unionByName(compared.where("linked").select("u", "v"))
         comps = components(links)
         # what is left: members that were no hub yet, in buckets that span several components
-        state = members.join(comps, "id", "left").select("key", "id", F.coalesce("comp", "id").alias("comp"))
-        state = pinned(state, "state")
-        open_keys = (state.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
-                                              F.count(F.lit(1)).alias("size")).where("lo <> hi").select("key", "size"))
-        state = pinned(state.join(open_keys, "key"), "state")
-        if state.isEmpty():
+        state = (members.join(spent, ["key", "id"], "left_anti").join(comps, "id", "left")
+                 .withColumn("comp", F.coalesce("comp", "id")))
+        members = pinned(state, "state")
+        open_keys = (members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
+                                                F.count(F.lit(1)).alias("size")).where("lo <> hi").select("key", "size"))
+        state = pinned(members.join(open_keys, "key"), "state")
+        if state.isEmpty() and not by_rare:
             break
         per_comp = state.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("same_comp"))
-        ranked = state.join(per_comp, ["key", "comp"])
         slot = F.when(F.col("size") <= HUBS, F.col("id").cast("string")).otherwise(
             F.pmod(F.xxhash64("id"), F.lit(HUBS)).cast("string"))
-        hubs = pinned(ranked.groupBy("key", slot.alias("slot"))
-                      .agg(F.min_by(F.struct("id", "comp"), F.struct("same_comp", "comp", "id")).alias("h"))
-                      .select("key", F.col("h.id").alias("hub"), F.col("h.comp").alias("hub_comp")), "hubs")
-        # in a small bucket all are hubs and each pair is taken once, from its smaller id
-        pairs = (state.join(hubs, "key").where((F.col("comp") != F.col("hub_comp"))
-                                               & ((F.col("size") > HUBS) | (F.col("hub") < F.col("id"))))
-                 .select(F.least("hub", "id").alias("u"), F.greatest("hub", "id").alias("v")).distinct()
-                 .join(tried, ["u", "v"], "left_anti"))
-        members = state.select("key", "id").join(hubs.select("key", F.col("hub").alias("id")), ["key", "id"], "left_anti")
+        hubs = pinned(state.join(per_comp, ["key", "comp"]).groupBy("key", slot.alias("slot"))
+                      .agg(F.min_by(F.struct("id", "comp", "n", "rest", "groups"),
+                                    F.struct("same_comp", "comp", "id")).alias("h")).select("key", "h"), "hubs")
+        # in a small bucket all are hubs and each pair is taken once, from its
+        # smaller id; a pair that shares several tables is taken from the first
+        pairs = (state.join(hubs, "key")
+                 .where((F.col("comp") != F.col("h.comp")) & ((F.col("size") > HUBS) | (F.col("h.id") < F.col("id"))))
+                 .where(_may_link(share, "h.n", "h.rest", "n", "rest"))
+                 .where(_first_table("key", "groups", "h.groups", m))
+                 .select(F.least("h.id", "id").alias("u"), F.greatest("h.id", "id").alias("v")))
+        if by_rare:  # once: the holders of each rare shingle, at most RARE
+            labelled = rare.join(comps, "id", "left").select("token", "id", F.coalesce("comp", "id").alias("comp"))
+            other = labelled.select("token", F.col("id").alias("u"), F.col("comp").alias("u_comp"))
+            pairs = pairs.unionByName(labelled.join(other, "token").where("u < id AND u_comp <> comp")
+                                      .select("u", F.col("id").alias("v")))
+            by_rare = False
+        pairs = pairs.distinct().join(tried, ["u", "v"], "left_anti")
+        spent = hubs.select("key", F.col("h.id").alias("id"))
+        members = state.drop("comp", "size")
 
     own = owner.groupBy("id").agg(F.min("node").alias("node")).join(comps.withColumnRenamed("id", "node"), "node", "left")
     own = own.select("id", F.least("id", F.coalesce("comp", "node")).alias("comp"))
