@@ -9,7 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, language_id, line_dedup, mixing, near_duplicates
+from . import (byte_bpe, language_id, line_dedup, mixing, near_duplicates, personal_data,
+               quality_rules)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -98,3 +99,20 @@ def op7_language_id(spark, sf_dir):
 def op8_near_duplicates(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return near_duplicates.near_duplicates(docs, width=2, share=80)
+
+
+@_query()
+def op9_quality_rules(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality_rules.judge_quality(docs, _table(spark, sf_dir, "labels")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
+
+
+@_query()
+def op10_personal_data(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = personal_data.find_personal_data(docs)
+    counts = [F.expr(f"CAST(size(filter(base, s -> s.kind = '{k}')) AS BIGINT)").alias(f"n_{k}")
+              for k in personal_data.KINDS]
+    return found.select("doc_id", *counts, F.sha2(personal_data.spelled(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+                        personal_data.spelled(F.col("spans")).alias("spans"))
