@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (byte_bpe, language_id, line_dedup, mixing, near_duplicates, personal_data,
-               quality_rules)
+               quality_rules, topk_search, warc, co_training)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -29,6 +29,17 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@_query("""
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS e FROM embeddings
+           WHERE embedding IS NOT NULL AND NOT list_contains(list_transform(embedding, lambda x: x IS NULL OR NOT isfinite(x)), true)),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+      FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 10""")
+def op1_topk_search(spark, sf_dir):
+    return topk_search.top_k(_table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, k=10, scale=1024)
+
+
 @_query(r"""
 WITH lines AS (
   SELECT doc_id, i, parts[i] AS line,
@@ -82,6 +93,20 @@ def op4_source_mixing(spark, sf_dir):
         "doc_id", "source", "n_tokens", "mix_epoch", "mix_block", "mix_rank")
 
 
+@_query()
+def op3_warc_derivatives(spark, sf_dir):
+    records = warc.derive(warc.responses(_table(spark, sf_dir, "pages")))
+    return records.select("page_id", "kind", "record_id", "refers_to", "target_uri", "source_payload_digest", "block_digest",
+                          "content_length", F.sha2(F.col("block").cast("binary"), 256).alias("block_sha256"),
+                          F.sha2(warc.record(records).cast("binary"), 256).alias("record_sha256"))
+
+
+@_query()
+def op5_co_training(spark, sf_dir):
+    return co_training.co_train(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")).select(
+        "doc_id", "text_score", "meta_score", "score", "kept")
+
+
 @_query()
 def op6_byte_bpe(spark, sf_dir):
     import public_tokenizers
