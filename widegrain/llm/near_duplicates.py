@@ -38,9 +38,9 @@ from .components import components
 from .pinning import pinned
 from .wordhash import mix, shingle_sets, slices, stream
 
-#: buckets of up to this many members compare every member with every other
-#: one (those in different components); larger ones take this many hubs a round
-HUBS = 128
+#: the hubs of a bucket in one round are its members outside its largest
+#: component, all of them in buckets of up to this size, else one per hash slot
+HUBS = 512
 #: a shingle is rare if one text of its candidate group holds it, or at most
 #: this many texts and at most one in RARE_SHARE of the group
 RARE, RARE_SHARE = 16, 8
@@ -95,58 +95,69 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, width: int, rows: int,
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, width: int, share: int, least_equal: int) -> DataFrame:
+def _sets(rows: DataFrame, width: int) -> DataFrame:
+    """``(id, mins, text)`` -> ``(id, mins, shingles)``, the full sets."""
+    schema = StructType([rows.schema["id"], rows.schema["mins"], StructField("shingles", ArrayType(LongType()))])
+
+    def run(batches):
+        for batch in batches:
+            lowered = _lowered(batch.column(2))
+            for a, b in slices(lowered):
+                own = [x.view(np.int64) for x in shingle_sets(lowered[a:b], width)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a),
+                                                  pa.array(own, pa.list_(pa.int64()))], names=schema.names)
+
+    return rows.select("id", "mins", "text").mapInArrow(run, schema)
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, share: int, least_equal: int) -> DataFrame:
     """``pairs(u, v)`` -> ``(u, v, linked)`` by the full sets. A pair whose
     sketches agree in fewer than ``least_equal`` places is not linked."""
     kind = pairs.schema["u"].dataType
     schema = StructType([StructField("u", kind), StructField("v", kind), StructField("linked", BooleanType())])
 
     def run(batches):
-        kept: tuple = (None, None)
         for batch in batches:
-            us, vs, u_mins, v_mins = (batch.column(i).to_pylist() for i in (0, 1, 2, 4))
-            alike = [np.count_nonzero(np.frombuffer(x, np.uint16) == np.frombuffer(y, np.uint16)) >= least_equal
-                     for x, y in zip(u_mins, v_mins, strict=True)]
-            rows = [i for i, ok in enumerate(alike) if ok]
-            linked = np.zeros(len(us), bool)
-            v_texts = [batch.column(5)[i].as_py().encode().lower() for i in rows]
-            for a, b in slices(v_texts):
-                for i, v_set in zip(rows[a:b], shingle_sets(v_texts[a:b], width), strict=True):
-                    u_text = batch.column(3)[i].as_py()
-                    if kept[0] != u_text:  # rows come sorted by u
-                        kept = (u_text, shingle_sets([u_text.encode().lower()], width)[0])
-                    u_set = kept[1]
-                    if 100 * min(len(u_set), len(v_set)) < share * max(len(u_set), len(v_set)):
-                        continue
-                    both = len(np.intersect1d(u_set, v_set, assume_unique=True))
-                    linked[i] = 100 * both >= share * (len(u_set) + len(v_set) - both)
+            (u_at, u_all), (v_at, v_all) = ((c.offsets.to_numpy(), c.values.to_numpy()) for c in (batch.column(3), batch.column(5)))
+            linked = np.zeros(batch.num_rows, bool)
+            for i, (x, y) in enumerate(zip(batch.column(2).to_pylist(), batch.column(4).to_pylist(), strict=True)):
+                if np.count_nonzero(np.frombuffer(x, np.uint16) == np.frombuffer(y, np.uint16)) < least_equal:
+                    continue
+                u_set, v_set = u_all[u_at[i]:u_at[i + 1]], v_all[v_at[i]:v_at[i + 1]]
+                if 100 * min(len(u_set), len(v_set)) < share * max(len(u_set), len(v_set)):
+                    continue
+                both = len(np.intersect1d(u_set, v_set, assume_unique=True))
+                linked[i] = 100 * both >= share * (len(u_set) + len(v_set) - both)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked)], names=schema.names)
 
     def side(name):
-        return texts.select(F.col("id").alias(name), F.col("mins").alias(f"{name}_mins"), F.col("text").alias(f"{name}_text"))
+        return sets.select(F.col("id").alias(name), F.col("mins").alias(f"{name}_mins"), F.col("shingles").alias(f"{name}_set"))
 
-    rows = (pairs.join(side("v"), "v").join(side("u"), "u")
-            .select("u", "v", "u_mins", "u_text", "v_mins", "v_text"))
+    rows = pairs.join(side("v"), "v").join(side("u"), "u").select("u", "v", "u_mins", "u_set", "v_mins", "v_set")
     return rows.mapInArrow(run, schema).groupBy("u", "v").agg(F.max("linked").alias("linked"))
 
 
-def _holdings(members: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+def _merged(comps: DataFrame, links: DataFrame) -> DataFrame:
+    """The components ``(id, comp)`` after new links: only the components that
+    the links touch are joined anew."""
+    ends = links.select(F.col("u").alias("id")).unionByName(links.select(F.col("v").alias("id")))
+    known = comps.unionByName(ends.withColumn("comp", F.col("id"))).groupBy("id").agg(F.min("comp").alias("comp"))
+    known = pinned(known, "known")
+    named = known.select(F.col("id").alias("end"), F.col("comp").alias("name"))
+    between = (links.join(named.withColumnRenamed("end", "u").withColumnRenamed("name", "a"), "u")
+               .join(named.withColumnRenamed("end", "v").withColumnRenamed("name", "b"), "v")
+               .where("a <> b").select(F.col("a").alias("u"), F.col("b").alias("v")))
+    moved = components(between).select(F.col("id").alias("comp"), F.col("comp").alias("to"))
+    return pinned(known.join(moved, "comp", "left").select("id", F.coalesce("to", "comp").alias("comp")), "components")
+
+
+def _holdings(members: DataFrame, sets: DataFrame) -> DataFrame:
     """``(token, id, rare)``: every shingle of every candidate text, named
     within the group of texts that are joined by candidate pairs; ``rare`` is
     its number of holders if it is rare, else null."""
     groups = components(members.where("hub <> id").select(F.col("hub").alias("u"), F.col("id").alias("v")))
     groups = groups.join(groups.groupBy("comp").agg(F.count(F.lit(1)).alias("texts")), "comp")
-    schema = StructType([texts.schema["id"], StructField("shingles", ArrayType(LongType()))])
-
-    def run(batches):
-        for batch in batches:
-            ids, lowered = batch.column(0), _lowered(batch.column(1))
-            for a, b in slices(lowered):
-                yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), pa.array(
-                    [x.view(np.int64) for x in shingle_sets(lowered[a:b], width)], pa.list_(pa.int64()))],
-                    names=schema.names)
-
-    rows = pinned(texts.select("id", "text").mapInArrow(run, schema).join(groups, "id")
+    rows = pinned(sets.select("id", "shingles").join(groups, "id")
                   .select("id", "comp", "texts", F.explode("shingles").alias("shingle"))
                   .select("id", F.xxhash64("comp", "shingle").alias("token"),
                           F.least(F.lit(RARE), F.greatest(F.lit(1), F.floor(F.col("texts") / RARE_SHARE))).alias("most")),
@@ -204,10 +215,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = pinned(keys.join(buckets, "key"), "members")
 
     wanted = members.select("id").distinct()
-    texts = pinned(named.select("id", "mins", "sig").join(wanted, "id").dropDuplicates(["id", "sig"])
-                   .join(docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).dropna(),
-                         "id").select("id", "mins", "text"), "texts")
-    held = _holdings(members, texts, width)
+    texts = (named.select("id", "mins", "sig").join(wanted, "id").dropDuplicates(["id", "sig"])
+             .join(docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).dropna(), "id"))
+    sets = pinned(_sets(texts, width), "sets")
+    held = _holdings(members, sets)
     sizes = pinned(held.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.count("rare").alias("low")), "sizes")
     rare = pinned(held.where("rare > 1").select("token", "id"), "rare")
     s = share / 100
@@ -223,45 +234,44 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     pairs = (members.join(central, "key").where("h.id <> id").where(_may_link(share, "h.n", "h.rest", "n", "rest"))
              .select(F.least("h.id", "id").alias("u"), F.greatest("h.id", "id").alias("v")).distinct())
     spent = central.select("key", F.col("h.id").alias("id"))
-    tried = None
-    links = same
-    by_rare = True
+    compared = pinned(_verified(pairs, sets, share, least_equal), "compared")
+    tried = compared.select("u", "v")
+    comps = components(same.unionByName(compared.where("linked").select("u", "v")))
+    # every pair that shares a rare shingle: its holders are few
+    labelled = rare.join(comps, "id", "left").select("token", "id", F.coalesce("comp", "id").alias("comp"))
+    other = labelled.select("token", F.col("id").alias("u"), F.col("comp").alias("u_comp"))
+    pairs = (labelled.join(other, "token").where("u < id AND u_comp <> comp")
+             .select("u", F.col("id").alias("v")).distinct().join(tried, ["u", "v"], "left_anti"))
     while True:
-        compared = pinned(_verified(pairs, texts, width, share, least_equal), "compared")
-        tried = compared.select("u", "v") if tried is None else tried.unionByName(compared.select("u", "v"))
-        links = links.unionByName(compared.where("linked").select("u", "v"))
-        comps = components(links)
+        compared = pinned(_verified(pairs, sets, share, least_equal), "compared")
+        tried = tried.unionByName(compared.select("u", "v"))
+        new = compared.where("linked").select("u", "v")
+        if not new.isEmpty():
+            comps = _merged(comps, new)
         # what is left: members that were no hub yet, in buckets that span several components
         state = (members.join(spent, ["key", "id"], "left_anti").join(comps, "id", "left")
                  .withColumn("comp", F.coalesce("comp", "id")))
-        members = pinned(state, "state")
-        open_keys = (members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
-                                                F.count(F.lit(1)).alias("size")).where("lo <> hi").select("key", "size"))
-        state = pinned(members.join(open_keys, "key"), "state")
-        if state.isEmpty() and not by_rare:
+        per_comp = state.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n_comp"))
+        open_keys = (per_comp.groupBy("key").agg(F.sum("n_comp").alias("size"), F.count(F.lit(1)).alias("n_comps"),
+                                                 F.max_by("comp", F.struct("n_comp", "comp")).alias("largest"))
+                     .where("n_comps > 1").select("key", "size", "largest"))
+        state = pinned(state.join(open_keys, "key"), "state")
+        if state.isEmpty():
             break
-        per_comp = state.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("same_comp"))
         slot = F.when(F.col("size") <= HUBS, F.col("id").cast("string")).otherwise(
             F.pmod(F.xxhash64("id"), F.lit(HUBS)).cast("string"))
-        hubs = pinned(state.join(per_comp, ["key", "comp"]).groupBy("key", slot.alias("slot"))
-                      .agg(F.min_by(F.struct("id", "comp", "n", "rest", "groups"),
-                                    F.struct("same_comp", "comp", "id")).alias("h")).select("key", "h"), "hubs")
-        # in a small bucket all are hubs and each pair is taken once, from its
-        # smaller id; a pair that shares several tables is taken from the first
-        pairs = (state.join(hubs, "key")
-                 .where((F.col("comp") != F.col("h.comp")) & ((F.col("size") > HUBS) | (F.col("h.id") < F.col("id"))))
+        hubs = pinned(state.where("comp <> largest").groupBy("key", slot.alias("slot"))
+                      .agg(F.min_by(F.struct("id", "comp", "n", "rest", "groups"), "id").alias("h")).select("key", "h"), "hubs")
+        # two hubs meet once, from the smaller id; a pair that shares several
+        # tables is taken from the first
+        once = (F.col("comp") == F.col("largest")) | (F.col("size") > HUBS) | (F.col("h.id") < F.col("id"))
+        pairs = (state.join(hubs, "key").where((F.col("comp") != F.col("h.comp")) & once)
                  .where(_may_link(share, "h.n", "h.rest", "n", "rest"))
                  .where(_first_table("key", "groups", "h.groups", m))
-                 .select(F.least("h.id", "id").alias("u"), F.greatest("h.id", "id").alias("v")))
-        if by_rare:  # once: the holders of each rare shingle, at most RARE
-            labelled = rare.join(comps, "id", "left").select("token", "id", F.coalesce("comp", "id").alias("comp"))
-            other = labelled.select("token", F.col("id").alias("u"), F.col("comp").alias("u_comp"))
-            pairs = pairs.unionByName(labelled.join(other, "token").where("u < id AND u_comp <> comp")
-                                      .select("u", F.col("id").alias("v")))
-            by_rare = False
-        pairs = pairs.distinct().join(tried, ["u", "v"], "left_anti")
+                 .select(F.least("h.id", "id").alias("u"), F.greatest("h.id", "id").alias("v"))
+                 .distinct().join(tried, ["u", "v"], "left_anti"))
         spent = hubs.select("key", F.col("h.id").alias("id"))
-        members = state.drop("comp", "size")
+        members = state.select("key", "id", "n", "rest", "groups")
 
     own = owner.groupBy("id").agg(F.min("node").alias("node")).join(comps.withColumnRenamed("id", "node"), "node", "left")
     own = own.select("id", F.least("id", F.coalesce("comp", "node")).alias("comp"))
