@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import zlib
 from collections import Counter
 
 import pytest
@@ -148,10 +149,11 @@ def test_language_held_out_accuracy(spark, sf_dir):
 
 
 def test_language_edges(spark):
-    rows = [(1, None, "s"), (2, "", "s"), (3, "12 ² !", "s"), (None, "hello there", "s"), (5, "the end of the day", "s"), (5, "é", "s")]
+    rows = [(1, None, "s"), (2, "", "s"), (3, "12 ² !", "s"), (None, "hello there", "s"), (8, "the end of the day", "s"), (8, "é", "s")]
+    assert zlib.crc32(b"8") % 4 != 2  # learned from
     got = language_id.identify(frame(spark, rows)).collect()
     assert len(got) == 6
-    assert {(r["doc_id"], r["lang_pred"]) for r in got} == {(1, "und"), (2, "und"), (3, "und"), (None, "en"), (5, "en")}
+    assert {(r["doc_id"], r["lang_pred"]) for r in got} == {(1, "und"), (2, "und"), (3, "und"), (None, "en"), (8, "en")}
     assert language_id.identify(frame(spark, [])).count() == 0
     blank = spark.createDataFrame([(1, "words", None)], "doc_id long, text string, lang string")
     assert language_id.identify(blank).first()["lang_pred"] == "und"

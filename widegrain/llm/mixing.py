@@ -55,6 +55,8 @@ def bisect_exponent(shares: DataFrame, target_entropy: float | None = None, max_
             row = shares.agg(F.count(F.lit(1)).alias("n"), *[x for i, a in enumerate(inner) for x in (
                 F.sum(F.pow("p", F.lit(a))).alias(f"z{i}"), F.sum(F.pow("p", F.lit(a)) * F.log("p")).alias(f"l{i}"),
                 (F.max(F.pow("p", F.lit(a - 1))) / F.min(F.pow("p", F.lit(a - 1)))).alias(f"r{i}"))]).first()
+            if not row["n"]:
+                return 1.0
             true = [holds(a, row[f"z{i}"], row[f"l{i}"], row[f"r{i}"], row["n"]) for i, a in enumerate(inner)]
             k = sum(true) if largest else len(true) - sum(true)
             lo, hi = [lo, *inner][k], [*inner, hi][k]
