@@ -69,16 +69,23 @@ def family_prune(columns: Sequence[str], prefixes: Sequence[str] = ("la", "tract
                  scope: Iterable[str] | None = None) -> tuple[list[str], list[str]]:
     """Family pruning (P18): of the columns whose lower-cased name starts with
     one of ``prefixes``, keep those containing any of ``keep_any`` (case as
-    written) and none of ``drop_any``. Returns (kept, dropped).
+    written) and, lower-cased, none of ``drop_any``. Returns (kept, dropped).
 
     ``scope`` restricts the family to one source's columns (default: all
     columns, which reproduces the reference's behaviour, quirk Q1).
     """
-    pool = list(columns) if scope is None else [c for c in columns if c in set(scope)]
-    fam = [c for c in pool if any(c.lower().startswith(p) for p in prefixes)]
-    kept = [c for c in fam if any(k in c for k in keep_any) and not any(d in c for d in drop_any)]
-    dropped = [c for c in fam if c not in kept]
-    return kept, dropped
+    inside = None if scope is None else set(scope)
+
+    def verdict(name: str) -> bool | None:  # None: not of the family
+        low = name.lower()
+        if (inside is not None and name not in inside) or not low.startswith(tuple(prefixes)):
+            return None
+        if any(term.lower() in low for term in drop_any):
+            return False
+        return any(term in name for term in keep_any)
+
+    judged = [(name, verdict(name)) for name in columns]
+    return [n for n, v in judged if v], [n for n, v in judged if v is False]
 
 
 def assert_no_target(columns: Iterable[str], target: str) -> None:

@@ -347,7 +347,7 @@ def lasso_cv(df: DataFrame, features: Sequence[str], label: str, fold_col: str =
         C, c, mx, my = centred(train)
         xtx, xty, sx, sy, syy, n = fold
         for ai, a in enumerate(alphas):
-            w = lasso_coordinate_descent(C, c, float(a), max_iter=2000, tol=1e-10)
+            w = lasso_coordinate_descent(C, c, float(a), max_iter=10_000, tol=1e-10)
             b = my - mx @ w
             # validation SSE of y - b - Xw expanded in the fold's moments
             sse = syy - 2 * (b * sy + w @ xty) + b * b * n + 2 * b * (w @ sx) + w @ xtx @ w

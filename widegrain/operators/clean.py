@@ -66,11 +66,17 @@ def group_median_fill(df: DataFrame, cols: Sequence[str], by: Sequence[str] | st
     wide = broadcast_if_small(wide)
     j = _join_side_left(df, wide, by)
     idx = {c: i for i, c in enumerate(cols)}
-    types = dict(df.dtypes)
-    return j.select(*[F.coalesce(F.col(c), F.col(f"__m{idx[c]}").cast(types[c])).alias(c) if c in idx
+    types = {c: filled_type(t) for c, t in df.dtypes}
+    return j.select(*[F.coalesce(F.col(c).cast(types[c]), F.col(f"__m{idx[c]}").cast(types[c])).alias(c) if c in idx
                       else F.col(c) for c in df.columns])
 
 
+def filled_type(data_type: str) -> str:
+    """Type of a column after a median fill: whole-number columns become
+    double, since a median may lie between two of their values."""
+    return "double" if data_type in ("tinyint", "smallint", "int", "bigint") else data_type
+
+
 def _join_side_left(big: DataFrame, side: DataFrame, keys: Sequence[str]) -> DataFrame:
     ren = {k: f"__sk{i}" for i, k in enumerate(keys)}
     s2 = side.withColumnsRenamed(ren)
@@ -161,10 +167,12 @@ def split_metadata(df: DataFrame, key: str,
                    indicator_terms: Sequence[str] = ("_suppressed", "_unreliable")) -> tuple[DataFrame, DataFrame]:
     """Vertical split (I5) into (metadata, features): metadata columns contain
     one of ``metadata_terms``; features are the rest, flag indicators last."""
-    meta = [c for c in df.columns if any(t in c for t in metadata_terms)]
-    ind = [c for c in df.columns if any(t in c for t in indicator_terms)]
-    feats = [c for c in df.columns if c not in meta and c not in ind and c != key]
-    return df.select(key, *meta), df.select(key, *feats, *ind)
+    terms = [("metadata", t) for t in metadata_terms] + [("indicator", t) for t in indicator_terms]
+    roles: dict[str, list[str]] = {"metadata": [], "feature": [], "indicator": []}
+    for name in df.columns:
+        for role in {r for r, term in terms if term in name} or ({"feature"} - {"feature" if name == key else ""}):
+            roles[role].append(name)
+    return df.select(key, *roles["metadata"]), df.select(key, *roles["feature"], *roles["indicator"])
 
 
 def indicator_impute(df: DataFrame, cols: Sequence[str] | None = None, policy: MissingPolicy = MissingPolicy(),
@@ -184,7 +192,7 @@ def indicator_impute(df: DataFrame, cols: Sequence[str] | None = None, policy: M
     drop = [c for c in cols if shares[c] >= policy.drop_at]
     fix = [c for c in cols if 0 < shares[c] < policy.drop_at and c in numeric]
     meds = global_medians(df, fix, exclude_value=None if sentinel_in_median else sentinel)
-    types = dict(df.dtypes)
+    types = {c: filled_type(t) for c, t in df.dtypes}
     out, ind = [], []
     for c in df.columns:
         if c in drop:
@@ -194,7 +202,7 @@ def indicator_impute(df: DataFrame, cols: Sequence[str] | None = None, policy: M
             miss = x.isNull() | (x == F.lit(sentinel))
             ind.append(miss.cast("int").alias(f"{c}{policy.indicator_suffix}"))
             fill = F.lit(meds[c]).cast(types[c]) if meds[c] is not None else F.lit(None).cast(types[c])
-            out.append(F.when(miss, fill).otherwise(x).alias(c))
+            out.append(F.when(miss, fill).otherwise(x.cast(types[c])).alias(c))
         else:
             out.append(F.col(c))
     return df.select(*out, *ind)
@@ -207,8 +215,8 @@ def indicator_impute_one(df: DataFrame, col: str, sentinel: float = -1.0, suffix
     med = global_medians(df, [col], exclude_value=None if sentinel_in_median else sentinel)[col]
     x = F.col(col)
     miss = x.isNull() | (x == F.lit(sentinel))
-    t = dict(df.dtypes)[col]
-    cols = [F.when(miss, F.lit(med).cast(t)).otherwise(x).alias(col) if c == col else F.col(c) for c in df.columns]
+    t = filled_type(dict(df.dtypes)[col])
+    cols = [F.when(miss, F.lit(med).cast(t)).otherwise(x.cast(t)).alias(col) if c == col else F.col(c) for c in df.columns]
     return df.select(*cols, miss.cast("int").alias(f"{col}{suffix}"))
 
 
@@ -222,7 +230,8 @@ def clean_flagged(df: DataFrame, key: str, named_col: str | None = None,
                   recode_cols: Sequence[str] = (), policy: MissingPolicy = MissingPolicy(),
                   sentinel: float = -1.0) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Cleaning chain I2 -> I5 -> I4 -> I3 -> P17 (I6). Returns
-    (final, metadata, features-before-imputation)."""
+    (final, metadata, features); the features carry the named column's fill and
+    indicator, but not yet the general imputation."""
     rel = reliability_expand(df, sentinel=sentinel)
     meta, feats = split_metadata(rel, key)
     f = feats
@@ -230,7 +239,7 @@ def clean_flagged(df: DataFrame, key: str, named_col: str | None = None,
         f = indicator_impute_one(f, named_col, sentinel=sentinel)
     final = indicator_impute(f, policy=policy, sentinel=sentinel, protect=[key])
     final = recode_columns(final, recode_cols, {1: 0, 2: 1})
-    return final, meta, feats
+    return final, meta, f
 
 
 def suppression_audit(df: DataFrame, sentinel: float = -1.0, flag_suffix: str = "_flag",

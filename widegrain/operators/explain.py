@@ -68,23 +68,22 @@ def permutation_importance(model, df: DataFrame, features: Sequence[str], label:
 
 
 def shapley_values(model, df: DataFrame, features: Sequence[str], key: str, background: DataFrame,
-                   n_permutations: int = 1, seed: int | str = 42, pred: str = "prediction",
-                   max_background: int = 100) -> DataFrame:
+                   n_permutations: int = 1, seed: int | str = 42, pred: str = "prediction") -> DataFrame:
     """Shapley sampling values (Štrumbelj & Kononenko 2014) of every row.
 
     For each row x, permutation π (seeded per row) and background row z, the
     prefixes S_0 ⊂ ... ⊂ S_p of π define hybrids (x on S_k, z elsewhere); one
     ``transform`` scores all hybrids and φ_π(k) averages f(h_k) - f(h_{k-1}).
-    The background is a parameter-bounded sample (``max_background`` rows, the
-    reference uses 100), read once as literals — no join with the data.
+    The background is the caller's bounded sample (the reference uses 100
+    rows), all of it read once as literals — no join with the data.
     Returns (key, feature, phi); Σφ = f(x) - mean f(background) per row.
     """
     features = list(features)
     p = len(features)
-    bg = background.select(*features).limit(max_background).collect()
+    bg = background.select(*features).collect()
     if not bg:
         raise ValueError("empty background")
-    bg_arr = F.array(*[F.struct(F.lit(i).alias("__bg_id"), *[F.lit(float(r[f])).alias(f"__z{j}")
+    bg_arr = F.array(*[F.struct(F.lit(i).alias("__bg_id"), *[F.lit(None if r[f] is None else float(r[f])).cast("double").alias(f"__z{j}")
                                                            for j, f in enumerate(features)])
                        for i, r in enumerate(bg)])
     d = df.select(key, *[F.col(f).cast("double").alias(f) for f in features])
@@ -130,7 +129,7 @@ def pca_loadings(pca_model, names: Sequence[str]) -> DataFrame:
 def coefficient_table(coefs, names: Sequence[str], threshold: float = 1e-5) -> DataFrame:
     """Coefficients sorted by value with a kept flag."""
     arr = np.asarray(coefs.toArray() if hasattr(coefs, "toArray") else coefs, dtype=float)
-    rows = [(names[i], float(arr[i]), bool(abs(arr[i]) >= threshold)) for i in range(len(names))]
+    rows = [(names[i], float(arr[i]), bool(abs(arr[i]) >= threshold)) for i in np.argsort(-arr, kind="stable")]
     return _active().createDataFrame(rows, "feature string, coef double, kept boolean")
 
 

@@ -60,7 +60,7 @@ def hash_order(key_cols: Sequence[str], seed: int | str) -> Column:
     """``md5('<seed>:' || key)`` — the same text in Spark and in DuckDB."""
     parts = [F.lit(f"{seed}:")] + [F.col(k).cast("string") for k in key_cols]
     if len(key_cols) > 1:
-        parts = [F.lit(f"{seed}:"), F.concat_ws(":", *[F.col(k).cast("string") for k in key_cols])]
+        parts = [F.lit(f"{seed}:"), F.concat_ws(":", *[F.coalesce(F.col(k).cast("string"), F.lit("\\N")) for k in key_cols])]
     return F.md5(F.concat(*parts))
 
 

@@ -51,13 +51,14 @@ def pivot_mean(df: DataFrame, index: Sequence[str] | str, column: str, value: st
 # --------------------------------------------------------------------------- #
 
 def group_sum_zero(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
-    """Group sums where an all-null group sums to 0, like pandas (A4)."""
-    return df.groupBy(*keys).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in cols])
+    """Group sums where an all-null group sums to 0, like pandas (A4); rows
+    with a null key belong to no group, as in the other roll-ups."""
+    return df.na.drop(subset=list(keys)).groupBy(*keys).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in cols])
 
 
 def group_mean(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
     """Unweighted mean of each column per group."""
-    return df.groupBy(*keys).agg(*[F.avg(c).alias(c) for c in cols])
+    return df.na.drop(subset=list(keys)).groupBy(*keys).agg(*[F.avg(c).alias(c) for c in cols])
 
 
 def first_label(label: str, order: str):
@@ -102,7 +103,7 @@ def weighted_rollup(df: DataFrame, key: Sequence[str] | str, weight: str,
     mns = means.items() if isinstance(means, Mapping) else [(c, c) for c in means]
     for src, out in mns:
         aggs.append(F.avg(src).alias(out))
-    return df.groupBy(*k).agg(*aggs)
+    return df.na.drop(subset=k).groupBy(*k).agg(*aggs)
 
 
 # --------------------------------------------------------------------------- #

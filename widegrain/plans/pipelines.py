@@ -32,16 +32,16 @@ def prepare_long_measures(df: DataFrame, key: str, measure: str, value: str, mea
     """Long measures -> one wide row per key (C1): source filter (S10), drop
     columns (P1), drop null values (P2), keep requested measures (P3), mean
     pivot with a completeness check (A1, A2), pad the key (P7), numeric cast
-    (P9), rename (P5). Labels are carried as first non-null per key."""
+    (P9), rename (P5). ``labels`` are part of the row's key, as in a pivot whose
+    index holds them: a key with two names gives two rows, and rows with a null
+    in key or labels belong to none."""
     d = df
     if source_filter is not None:
         d = d.where(F.col(source_filter[0]) == F.lit(source_filter[1]))
     d = d.drop(*drop_cols).na.drop(subset=[value]).where(F.col(measure).isin(list(measures)))
     d = d.withColumn(value, coerce_numeric(value))
-    wide = RS.pivot_mean(d, [key], measure, value, list(measures))
-    if labels:
-        lab = d.groupBy(key).agg(*[RS.first_label(c, c).alias(c) for c in labels])
-        wide = wide.join(lab, key, "left")
+    index = [key, *labels]
+    wide = RS.pivot_mean(d.na.drop(subset=index), index, measure, value, list(measures))
     wide = wide.withColumn(key, pad_key(key, key_width))
     return wide.withColumnsRenamed(dict(rename)) if rename else wide
 

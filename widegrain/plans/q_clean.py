@@ -55,9 +55,7 @@ m AS (SELECT median(v1_rawvalue) AS m1, median(v1_flag) AS mf1,
              median(v2_rawvalue) FILTER (WHERE v2_rawvalue <> -1) AS m2 FROM r)
 SELECT l_orderkey,
        round(CASE WHEN v1_rawvalue IS NULL OR v1_rawvalue = -1 THEN m1 ELSE v1_rawvalue END, 6) AS v1_rawvalue,
-       CASE WHEN coalesce(v1_flag, -9) = 1 THEN 0 WHEN coalesce(v1_flag, -9) = 2 THEN 1
-            WHEN v1_flag IS NULL THEN (CASE WHEN CAST(mf1 AS INTEGER) = 1 THEN 0 WHEN CAST(mf1 AS INTEGER) = 2 THEN 1 ELSE CAST(mf1 AS INTEGER) END)
-            ELSE v1_flag END AS v1_flag,
+       CAST(CASE coalesce(v1_flag, mf1) WHEN 1 THEN 0 WHEN 2 THEN 1 ELSE coalesce(v1_flag, mf1) END AS DOUBLE) AS v1_flag,
        round(CASE WHEN v2_rawvalue IS NULL OR v2_rawvalue = -1 THEN m2 ELSE v2_rawvalue END, 6) AS v2_rawvalue,
        v1_flag_suppressed, v1_flag_unreliable, v2_flag_suppressed, v2_flag_unreliable,
        CAST(v1_rawvalue IS NULL OR v1_rawvalue = -1 AS INTEGER) AS v1_rawvalue_is_missing,

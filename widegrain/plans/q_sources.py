@@ -11,7 +11,8 @@ from .registry import register
 from .tables import ORDER_FEATURE_COLS, load, order_features, pad_sql
 
 _DRIVER_TABLES = {"region": 2, "nation": 3, "customer": 5, "supplier": 4, "part": 6, "orders": 6,
-                  "lineitem": 11, "events": 6, "documents": 5, "labels": 3, "embeddings": 3}
+                  "lineitem": 11, "events": 6, "documents": 5, "labels": 3, "embeddings": 3,
+                  "pages": 3, "benchmark": 2, "conversations": 4}
 
 
 @register("table_dimensions", "S15", sql=" UNION ALL ".join(
@@ -39,17 +40,21 @@ def schema_audit_driver_tables(spark, sf):
     return a.select("table_name", "position", "column_name", fam.alias("dtype_family"))
 
 
-_FP_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
+#: every column of orders, as a text that both engines spell alike
+_FP_TEXTS = ["CAST(o_orderkey AS STRING)", "CAST(o_custkey AS STRING)", "o_orderstatus",
+             "CAST(CAST(round(o_totalprice * 100) AS BIGINT) AS STRING)", "CAST(CAST(o_orderdate AS DATE) AS STRING)",
+             "o_orderpriority"]
 
 
 @register("fingerprint_orders", "S13", sql=f"""
-SELECT count(*) AS n_rows,
-       CAST(sum(CAST(('0x' || substr(md5(concat_ws('|', {', '.join(f"coalesce(CAST({c} AS VARCHAR), '\\N')" for c in _FP_COLS)})), 1, 12)) AS BIGINT)) AS VARCHAR) AS digest_sum
-FROM orders
+WITH t AS (SELECT {', '.join(f"{e} AS c{i}" for i, e in enumerate(_FP_TEXTS))} FROM orders),
+h AS (SELECT CAST(('0x' || substr(md5(concat_ws('|', {', '.join(
+    f"coalesce(length(c{i}) || ':' || c{i}, '-')" for i in range(len(_FP_TEXTS)))})), 1, 12)) AS BIGINT) AS h FROM t)
+SELECT count(*) AS n_rows, bit_xor(h) AS digest_xor, CAST(sum(h) AS VARCHAR) AS digest_sum FROM h
 """)
 def fingerprint_orders(spark, sf):
-    fp = IO.table_fingerprint(load(spark, sf, "orders"), _FP_COLS, method="md5")
-    return fp.select("n_rows", "digest_sum")
+    rows = load(spark, sf, "orders").select(*[F.expr(e).alias(f"c{i}") for i, e in enumerate(_FP_TEXTS)])
+    return IO.table_fingerprint(rows, method="md5")
 
 
 @register("source_filter_purchases", "S10,S11,P3", sql="""

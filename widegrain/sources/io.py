@@ -30,6 +30,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 # S1 / S2 scans
 # --------------------------------------------------------------------------- #
 
+#: fixed values: texts that stand for a missing value
+NULL_TEXTS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A",
+              "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
+
+
+def _numbers_beside_nulls(df: DataFrame, texts: Sequence[str]) -> DataFrame:
+    """Text columns whose values are all numbers once the null texts are gone,
+    as numbers (one aggregate over those columns decides)."""
+    if not texts:
+        return df
+    seen = df.agg(*[x for i, c in enumerate(texts) for x in (
+        F.count(c).alias(f"n{i}"), F.count(F.col(c).try_cast("bigint")).alias(f"i{i}"),
+        F.count(F.col(c).try_cast("double")).alias(f"d{i}"))]).first()
+    kinds = {c: "bigint" if seen[f"i{i}"] == seen[f"n{i}"] else "double" for i, c in enumerate(texts)
+             if seen[f"n{i}"] and seen[f"d{i}"] == seen[f"n{i}"]}
+    return df.withColumns({c: F.col(c).try_cast(t) for c, t in kinds.items()}) if kinds else df
+
+
 def read_csv(spark: SparkSession, path: str, key_cols: Sequence[str] = (), schema: StructType | None = None,
              nan_value: str = "NaN", sampling_ratio: float = 1.0) -> DataFrame:
     """CSV scan with header, inferred types and string-typed keys.
@@ -37,16 +55,22 @@ def read_csv(spark: SparkSession, path: str, key_cols: Sequence[str] = (), schem
     With no explicit schema, types are inferred (from a ``sampling_ratio``
     sample; pass ``schema`` for very large inputs to skip the inference pass),
     the key columns are forced to string, and the file is read with that
-    explicit schema (so leading zeros survive). ``NaN`` text is a null, as in
-    pandas.
+    explicit schema (so leading zeros survive). ``NULL_TEXTS`` such as ``NaN``
+    and ``NA`` are nulls, as in pandas.
     """
     opts = {"header": "true", "nullValue": nan_value, "nanValue": nan_value, "mode": "PERMISSIVE"}
+    inferred = None
     if schema is None:
         inferred = (spark.read.options(**opts).option("inferSchema", "true")
                     .option("samplingRatio", sampling_ratio).csv(path).schema)
         schema = StructType([StructField(f.name, StringType() if f.name in set(key_cols) else f.dataType, True)
                              for f in inferred.fields])
     df = spark.read.options(**opts).schema(schema).csv(path)
+    texts = [f.name for f in schema.fields if isinstance(f.dataType, StringType)]
+    df = df.withColumns({c: F.when(~F.trim(F.col(c)).isin(*NULL_TEXTS), F.col(c)) for c in texts}) if texts else df
+    if inferred is not None:
+        df = _numbers_beside_nulls(df, [c for c in texts if c not in set(key_cols)])
+        schema = df.schema
     double_cols = [f.name for f in schema.fields if f.dataType.simpleString() in ("double", "float")]
     if double_cols:
         df = df.select(*[F.nanvl(F.col(c), F.lit(None)).alias(c) if c in double_cols else F.col(c)
@@ -84,6 +108,7 @@ def read_two_header_csv(spark: SparkSession, path: str, key_cols: Sequence[str]
     raw = spark.read.option("header", "true").schema(schema).csv(path)
     first = codes[0]
     raw = raw.where(~(F.col(first).eqNullSafe(F.lit(first)) & F.col(codes[-1]).eqNullSafe(F.lit(codes[-1]))))
+    raw = raw.select(*[F.when(~F.trim(F.col(c)).isin(*NULL_TEXTS), F.col(c)).alias(c) for c in codes])
     if not numeric:
         return raw
     cand = [c for c in codes if c not in set(key_cols)]
@@ -185,15 +210,19 @@ def bootstrap_tables(spark: SparkSession, loaders: Mapping[str, Callable[[], Dat
 def table_fingerprint(df: DataFrame, cols: Sequence[str] | None = None, method: str = "xxhash64") -> DataFrame:
     """Order-insensitive content fingerprint (S13): row count, XOR and sum of a
     per-row digest (the sum keeps duplicate pairs, which XOR would cancel).
+    Every value enters with its place and whether it is null, so no two
+    different rows are spelled alike.
 
     ``xxhash64`` is the fast JVM default; ``md5`` uses the first 12 hex digits
-    of ``md5(concat_ws('|', cols))`` (reproducible in any SQL engine)."""
+    of the md5 of the values' texts, each with its length in front (``-`` for
+    null) and joined by ``|`` (reproducible in any SQL engine)."""
     cols = list(cols) if cols is not None else df.columns
     if method == "md5":
-        txt = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in cols])
+        values = [F.col(c).cast("string") for c in cols]
+        txt = F.concat_ws("|", *[F.coalesce(F.concat(F.length(v).cast("string"), F.lit(":"), v), F.lit("-")) for v in values])
         h = F.conv(F.substring(F.md5(txt), 1, 12), 16, 10).cast("long")
     else:
-        h = F.xxhash64(*[F.col(c) for c in cols])
+        h = F.xxhash64(*[x for i, c in enumerate(cols) for x in (F.lit(i), F.col(c).isNull(), F.col(c))])
     return df.agg(F.count(F.lit(1)).alias("n_rows"), F.bit_xor(h).alias("digest_xor"),
                   F.sum(h.cast("decimal(38,0)")).cast("string").alias("digest_sum"))
 
