@@ -178,8 +178,10 @@ def top_k(rows: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", vector
         met = right.join(asked, "group")
         return left.groupBy("group", "pack").cogroup(met.groupBy("group", "pack")).applyInPandas(run, schema)
 
-    # every pack of queries meets every group of blocks, summaries first
-    numbers = F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))
+    # every pack of queries meets every group of blocks, summaries first; the
+    # cluster may have cut more ranges than asked for, so their number is read
+    last = blocks.agg(F.coalesce(F.max("group"), F.lit(0).cast("long"))).first()[0]
+    numbers = F.sequence(F.lit(0).cast("long"), F.lit(last).cast("long"))
     bounds = pinned(paired(queries.withColumn("group", F.explode(numbers)), blocks.drop("ids", "vectors"), _best_block,
                            "query_id long, group long, block long, bound long"), "bounds")
     least = F.lit(-2 ** 63).cast("long")
