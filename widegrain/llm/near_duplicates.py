@@ -229,11 +229,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rest = F.col("n") - F.col("low")
     members = pinned(members.join(sizes.where(100 * rest >= share * F.col("n")), "id")
                      .select("key", "id", "n", rest.alias("rest"), (F.col("low") / F.col("n")).alias("odd")), "members")
-    members = members.join(nodes.select(F.col("node").alias("id"), "groups"), "id")
     central = members.groupBy("key").agg(F.min_by(F.struct("id", "n", "rest"), F.struct("odd", "id")).alias("h"))
-    pairs = (members.join(central, "key").where("h.id <> id").where(_may_link(share, "h.n", "h.rest", "n", "rest"))
+    # from here on the central member has met all others of its bucket
+    members = pinned(members.drop("odd").join(central, "key").where("h.id <> id"), "members")
+    pairs = (members.where(_may_link(share, "h.n", "h.rest", "n", "rest"))
              .select(F.least("h.id", "id").alias("u"), F.greatest("h.id", "id").alias("v")).distinct())
-    spent = central.select("key", F.col("h.id").alias("id"))
+    members = members.drop("h")
     compared = pinned(_verified(pairs, sets, share, least_equal), "compared")
     tried = compared.select("u", "v")
     comps = components(same.unionByName(compared.where("linked").select("u", "v")))
@@ -249,13 +250,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         if not new.isEmpty():
             comps = _merged(comps, new)
         # what is left: members that were no hub yet, in buckets that span several components
-        state = (members.join(spent, ["key", "id"], "left_anti").join(comps, "id", "left")
-                 .withColumn("comp", F.coalesce("comp", "id")))
+        state = pinned(members.join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id")), "labelled")
         per_comp = state.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n_comp"))
         open_keys = (per_comp.groupBy("key").agg(F.sum("n_comp").alias("size"), F.count(F.lit(1)).alias("n_comps"),
                                                  F.max_by("comp", F.struct("n_comp", "comp")).alias("largest"))
                      .where("n_comps > 1").select("key", "size", "largest"))
-        state = pinned(state.join(open_keys, "key"), "state")
+        state = pinned(state.join(open_keys, "key").join(nodes.select(F.col("node").alias("id"), "groups"), "id"), "state")
         if state.isEmpty():
             break
         slot = F.when(F.col("size") <= HUBS, F.col("id").cast("string")).otherwise(
@@ -270,8 +270,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                  .where(_first_table("key", "groups", "h.groups", m))
                  .select(F.least("h.id", "id").alias("u"), F.greatest("h.id", "id").alias("v"))
                  .distinct().join(tried, ["u", "v"], "left_anti"))
-        spent = hubs.select("key", F.col("h.id").alias("id"))
-        members = state.select("key", "id", "n", "rest", "groups")
+        members = (state.select("key", "id", "n", "rest")
+                   .join(hubs.select("key", F.col("h.id").alias("id")), ["key", "id"], "left_anti"))
 
     own = owner.groupBy("id").agg(F.min("node").alias("node")).join(comps.withColumnRenamed("id", "node"), "node", "left")
     own = own.select("id", F.least("id", F.coalesce("comp", "node")).alias("comp"))
