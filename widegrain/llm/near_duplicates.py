@@ -39,7 +39,7 @@ from .pinning import pinned
 from .wordhash import mix, shingle_sets, slices, stream
 
 #: the hubs of a bucket in one round are its members outside its largest
-#: component, all of them in buckets of up to this size, else one per hash slot
+#: component: all of them up to this number, else one per hash slot
 HUBS = 512
 #: a shingle is rare if one text of its candidate group holds it, or at most
 #: this many texts and at most one in RARE_SHARE of the group
@@ -253,25 +253,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         state = pinned(members.join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id")), "labelled")
         per_comp = state.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n_comp"))
         open_keys = (per_comp.groupBy("key").agg(F.sum("n_comp").alias("size"), F.count(F.lit(1)).alias("n_comps"),
-                                                 F.max_by("comp", F.struct("n_comp", "comp")).alias("largest"))
-                     .where("n_comps > 1").select("key", "size", "largest"))
+                                                 F.max_by("comp", F.struct("n_comp", "comp")).alias("largest"), F.max("n_comp").alias("most"))
+                     .where("n_comps > 1").select("key", (F.col("size") - F.col("most")).alias("outside"), "largest"))
         state = pinned(state.join(open_keys, "key").join(nodes.select(F.col("node").alias("id"), "groups"), "id"), "state")
         if state.isEmpty():
             break
-        slot = F.when(F.col("size") <= HUBS, F.col("id").cast("string")).otherwise(
+        slot = F.when(F.col("outside") <= HUBS, F.col("id").cast("string")).otherwise(
             F.pmod(F.xxhash64("id"), F.lit(HUBS)).cast("string"))
         hubs = pinned(state.where("comp <> largest").groupBy("key", slot.alias("slot"))
                       .agg(F.min_by(F.struct("id", "comp", "n", "rest", "groups"), "id").alias("h")).select("key", "h"), "hubs")
         # two hubs meet once, from the smaller id; a pair that shares several
         # tables is taken from the first
-        once = (F.col("comp") == F.col("largest")) | (F.col("size") > HUBS) | (F.col("h.id") < F.col("id"))
+        once = (F.col("comp") == F.col("largest")) | (F.col("outside") > HUBS) | (F.col("h.id") < F.col("id"))
         pairs = (state.join(hubs, "key").where((F.col("comp") != F.col("h.comp")) & once)
                  .where(_may_link(share, "h.n", "h.rest", "n", "rest"))
                  .where(_first_table("key", "groups", "h.groups", m))
                  .select(F.least("h.id", "id").alias("u"), F.greatest("h.id", "id").alias("v"))
                  .distinct().join(tried, ["u", "v"], "left_anti"))
-        members = (state.select("key", "id", "n", "rest")
-                   .join(hubs.select("key", F.col("h.id").alias("id")), ["key", "id"], "left_anti"))
+        # a bucket whose members outside its largest component all were hubs is done
+        behind = pinned(state.where((F.col("outside") > HUBS) & (F.col("comp") != F.col("largest")))
+                        .join(hubs.select("key", F.col("h.id").alias("id")), ["key", "id"], "left_anti")
+                        .select("key", "id", "n", "rest"), "behind")
+        members = behind.unionByName(state.where("comp = largest").select("key", "id", "n", "rest")
+                                     .join(behind.select("key").distinct(), "key", "left_semi"))
 
     own = owner.groupBy("id").agg(F.min("node").alias("node")).join(comps.withColumnRenamed("id", "node"), "node", "left")
     own = own.select("id", F.least("id", F.coalesce("comp", "node")).alias("comp"))
