@@ -206,12 +206,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                .where(F.col("u") != F.col("other")).select("id", "u"))
     same = pinned(owner.join(several, "id").select("u", F.col("node").alias("v")).where("u <> v").distinct(), "same")
 
-    first = nodes.select("node", F.posexplode(F.slice("groups", 1, m)).alias("i", "a"),
-                         F.slice("groups", m + 1, m).alias("seconds"))
-    keys = (first.select("node", "i", "a", F.posexplode("seconds").alias("j", "b"))
-            .select(F.xxhash64(F.col("i") * m + F.col("j"), "a", "b").alias("key"), F.col("node").alias("id")))
-    buckets = (keys.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last"))
-               .where("hub <> last").select("key", "hub"))
+    # a table key is shared only if both of its group values are: most are not
+    values = nodes.select("node", F.posexplode("groups").alias("i", "a"))
+    shared = pinned(values.groupBy("i", "a").agg(F.min("node").alias("hub"), F.max("node").alias("last"))
+                    .where("hub <> last").select("i", "a"), "shared")
+    useful = values.join(shared, ["i", "a"]).groupBy("node").agg(F.collect_list(F.struct("i", "a")).alias("all"))
+    first = useful.select("node", F.inline(F.filter("all", lambda x: x["i"] < m)), F.filter("all", lambda x: x["i"] >= m).alias("seconds"))
+    keys = pinned(first.select("node", "i", "a", F.inline("seconds").alias("j", "b"))
+                  .select(F.xxhash64(F.col("i") * m + F.col("j") - m, "a", "b").alias("key"), F.col("node").alias("id")), "keys")
+    buckets = pinned(keys.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last"))
+                     .where("hub <> last").select("key", "hub"), "buckets")
     members = pinned(keys.join(buckets, "key"), "members")
 
     wanted = members.select("id").distinct()
