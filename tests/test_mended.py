@@ -1,6 +1,12 @@
 """Faults found on hand-made rows that the driver tables do not show."""
 
+import pytest
+from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import functions as F
+
 from widegrain.functions import columns as COL
+from widegrain.models import pipeline as MP
+from widegrain.models.transformers import CentredPCA, LassoSelector
 from widegrain.operators import clean as C
 from widegrain.operators import explain as X
 from widegrain.operators import reshape as RS
@@ -51,3 +57,37 @@ def test_labels_are_part_of_the_key(spark):
 def test_coefficients_come_sorted(spark):
     rows = X.coefficient_table([0.5, -2.0, 3.0], ["a", "b", "c"]).collect()
     assert [r["feature"] for r in rows] == ["c", "a", "b"]
+
+
+def _noisy(spark):
+    return spark.range(120).select(
+        "id", F.cos("id").alias("a"), F.sin(F.col("id") * 3).alias("b"), (100 * F.cos(F.col("id") * 5)).alias("c"),
+        (F.cos("id") * 2 + F.sin(F.col("id") * 3)).alias("y"), (F.col("id") % 3).cast("int").alias("fold"))
+
+
+def test_too_many_components_and_an_empty_selection_raise(spark):
+    d = VectorAssembler(inputCols=["a", "b"], outputCol="f").transform(_noisy(spark))
+    with pytest.raises(ValueError, match="components"):
+        CentredPCA(inputCol="f", outputCol="p", k=3).fit(d)
+    with pytest.raises(ValueError, match="keeps no feature"):
+        LassoSelector(featuresCol="f", labelCol="y", alpha=1e6).fit(d)
+
+
+def test_kernel_width_follows_the_fitted_vector(spark):
+    d = _noisy(spark)
+    for settings in ({"reduce": False}, {"n_components": 2}):
+        model = MP.make_pipeline(["a", "b", "c"], "y", "svr_rbf", alpha=0.01, n_random_features=20, **settings).fit(d)
+        assert model.transform(d).where("prediction IS NULL").count() == 0
+
+
+def test_report_scores_only_rows_with_a_prediction(spark):
+    d = spark.createDataFrame([(1.0, 1.0), (2.0, 3.0), (3.0, 2.0), (90.0, None)], "y double, p double")
+    both = MP.regression_report(d, "y", {"p": "p"}).first(), MP.regression_metrics(d, "y", "p").first()
+    assert both[0]["r2"] == both[1]["r2"] and both[0]["n"] == both[1]["n"] == 3
+
+
+def test_scaled_lasso_path_ignores_units(spark):
+    d = _noisy(spark)
+    one, two = (MP.lasso_cv(x, ["a", "b", "c"], "y", "fold", n_alphas=10, scale=True)
+                for x in (d, d.withColumn("b", F.col("b") * 1000)))
+    assert one[1] == pytest.approx(two[1]) and one[2] == pytest.approx(two[2], abs=1e-9)

@@ -129,9 +129,7 @@ def make_pipeline(features: Sequence[str], label: str, kind: str = "linear", alp
         stages.append(CentredPCA(k=n_components, inputCol=cur, outputCol="pca"))
         cur = "pca"
     if kind == "svr_rbf":
-        k_in = n_components if reduce else len(features)
-        stages.append(RandomFourierFeatures(inputCol=cur, outputCol="rff", inputSize=k_in,
-                                            numFeatures=int(params.pop("n_random_features", 200))))
+        stages.append(RandomFourierFeatures(inputCol=cur, outputCol="rff", numFeatures=int(params.pop("n_random_features", 200))))
         c = float(params.pop("C", DEFAULTS["svr_rbf"]["C"]))
         params.pop("epsilon", None)
         stages.append(PenalizedLinearRegression(kind="ridge", alpha=1.0 / c, featuresCol="rff", labelCol=label))
@@ -173,14 +171,15 @@ def residual_summary(df: DataFrame, label: str, pred: str = "prediction", by: Se
 def regression_report(df: DataFrame, label: str, preds: Mapping[str, str], by: Sequence[str] = (),
                       limits: Sequence[float] = (1.0, 2.0)) -> DataFrame:
     """A27 + A28 for several prediction columns in **one** aggregate pass:
-    rows (by..., model, n, r2, rmse, mae, resid_sd, within_<k>...)."""
+    rows (by..., model, n, r2, rmse, mae, resid_sd, within_<k>...). Each
+    column is scored on the rows where it and the label are present."""
     y = F.col(label)
-    aggs = [F.var_pop(y).alias("__v")]
+    aggs = []
     for i, (name, col) in enumerate(preds.items()):
         e = y - F.col(col)
         ok = y.isNotNull() & F.col(col).isNotNull()
         ee = F.when(ok, e)
-        aggs += [F.count_if(ok).alias(f"n{i}"), F.sum(ee * ee).alias(f"sse{i}"), F.avg(F.abs(ee)).alias(f"mae{i}"),
+        aggs += [F.count_if(ok).alias(f"n{i}"), F.var_pop(F.when(ok, y)).alias(f"v{i}"), F.sum(ee * ee).alias(f"sse{i}"), F.avg(F.abs(ee)).alias(f"mae{i}"),
                  F.stddev_samp(ee).alias(f"sd{i}"),
                  *[F.avg(F.when(ok, (F.abs(e) <= k).cast("double"))).alias(f"w{i}_{j}") for j, k in enumerate(limits)]]
     a = df.groupBy(*by).agg(*aggs)
@@ -189,7 +188,7 @@ def regression_report(df: DataFrame, label: str, preds: Mapping[str, str], by: S
     for i, name in enumerate(preds):
         n = F.col(f"n{i}")
         rows.append(F.struct(F.lit(name).alias(names[0]), n.alias(names[1]),
-                             (F.lit(1.0) - F.try_divide(F.col(f"sse{i}"), n * F.col("__v"))).alias(names[2]),
+                             (F.lit(1.0) - F.try_divide(F.col(f"sse{i}"), n * F.col(f"v{i}"))).alias(names[2]),
                              F.sqrt(F.try_divide(F.col(f"sse{i}"), n)).alias(names[3]), F.col(f"mae{i}").alias(names[4]),
                              F.col(f"sd{i}").alias(names[5]),
                              *[F.col(f"w{i}_{j}").alias(names[6 + j]) for j in range(len(limits))]))
@@ -306,7 +305,7 @@ def cap_components(df: DataFrame, features: Sequence[str], label: str, fold_col:
 # --------------------------------------------------------------------------- #
 
 def lasso_cv(df: DataFrame, features: Sequence[str], label: str, fold_col: str = "fold", n_alphas: int = 100,
-             eps: float = 1e-3, alphas: Sequence[float] | None = None):
+             eps: float = 1e-3, alphas: Sequence[float] | None = None, scale: bool = False):
     """Lasso with a cross-validated alpha (M5), like ``LassoCV``: alpha grid of
     ``n_alphas`` log-spaced values from ``alpha_max`` down to ``eps*alpha_max``,
     mean validation MSE per alpha over the folds, best alpha refitted on all.
@@ -314,8 +313,9 @@ def lasso_cv(df: DataFrame, features: Sequence[str], label: str, fold_col: str =
     One distributed pass gathers per-fold sufficient statistics (XᵀX, Xᵀy,
     sums, n — p x p per fold); every fit and every validation error then
     follows from them on the driver (train = total minus fold). Rows with a
-    null feature or label are dropped. Returns (path DataFrame
-    (alpha, mse_mean, mse_std), best alpha, coefficients on all rows).
+    null feature or label are dropped. ``scale`` divides every feature by its
+    population sd over all rows first (from the same moments). Returns (path
+    DataFrame (alpha, mse_mean, mse_std), best alpha, coefficients on all rows).
     """
     import numpy as np
 
@@ -337,6 +337,12 @@ def lasso_cv(df: DataFrame, features: Sequence[str], label: str, fold_col: str =
 
     total = stats(rows)
     C_all, c_all, _, _ = centred(total)
+    if scale:
+        sd = np.sqrt(np.maximum(np.diag(C_all), 0.0))
+        sd[sd == 0] = 1.0
+        rows = [(xtx / np.outer(sd, sd), xty / sd, sx / sd, sy, syy, n) for xtx, xty, sx, sy, syy, n in rows]
+        total = stats(rows)
+        C_all, c_all, _, _ = centred(total)
     if alphas is None:
         a_max = float(np.max(np.abs(c_all)))
         alphas = np.logspace(np.log10(a_max * eps), np.log10(a_max), n_alphas)[::-1]
@@ -347,7 +353,7 @@ def lasso_cv(df: DataFrame, features: Sequence[str], label: str, fold_col: str =
         C, c, mx, my = centred(train)
         xtx, xty, sx, sy, syy, n = fold
         for ai, a in enumerate(alphas):
-            w = lasso_coordinate_descent(C, c, float(a), max_iter=10_000, tol=1e-10)
+            w = lasso_coordinate_descent(C, c, float(a), tol=1e-10)
             b = my - mx @ w
             # validation SSE of y - b - Xw expanded in the fold's moments
             sse = syy - 2 * (b * sy + w @ xty) + b * b * n + 2 * b * (w @ sx) + w @ xtx @ w
@@ -382,10 +388,16 @@ def block_pca(train: DataFrame, test: DataFrame, family: Sequence[str], k: int =
 def block_sensitivity(df: DataFrame, features: Sequence[str], block: Sequence[str], label: str,
                       fold_col: str = "fold", kind: str = "linear", **pipe_params) -> DataFrame:
     """Sensitivity to a block of predictors (M24): CV with all features and
-    without the block on identical folds; rows (variant, r2_mean, rmse_mean)."""
-    reduced = [c for c in features if c not in set(block)]
-    cands = {"all": make_pipeline(features, label, kind, **pipe_params),
-             "without_block": make_pipeline(reduced, label, kind, **pipe_params)}
+    without the block on identical folds; rows (variant, r2_mean, rmse_mean).
+    The component count is capped per variant (M25)."""
+    def variant(cols):
+        settings = dict(pipe_params)
+        if settings.get("select", True) and settings.get("reduce", True):
+            settings["n_components"] = cap_components(df, cols, label, fold_col, settings.get("alpha", 0.0055),
+                                                      settings.get("n_components", 15))
+        return make_pipeline(cols, label, kind, **settings)
+
+    cands = {"all": variant(list(features)), "without_block": variant([c for c in features if c not in set(block)])}
     _, summary = cross_validate(df, cands, label, fold_col)
     return summary.select(F.col("model").alias("variant"), "r2_mean", "rmse_mean")
 

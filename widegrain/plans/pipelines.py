@@ -165,23 +165,34 @@ def profile_report(df: DataFrame, target: str, key: str, k_top: int = 20, heat_k
 # C9 ------------------------------------------------------------------------ #
 def model_report(train: DataFrame, test: DataFrame, features: Sequence[str], label: str, key: str,
                  candidates: Mapping[str, object], k: int = 5, seed: int = 42, n_repeats: int = 15,
-                 n_background: int = 100, parallelism: int = 2) -> dict[str, DataFrame]:
+                 n_background: int = 100, parallelism: int = 2, grids: Mapping[str, list] | None = None,
+                 baseline=None) -> dict[str, DataFrame]:
     """Data behind the modelling report (C9): CV of the candidates on
-    identical folds (M18), refit of the best on all training rows, train/test
-    scores (M28), residual summary (A28), largest errors (W7), permutation
+    identical folds (M18), tuning of the best over ``grids[name]`` (M19, as for
+    ``grid_search``; none: it is refitted as it is) on all training rows,
+    train/test scores (M28) beside those of the linear ``baseline`` pipeline
+    (the candidate ``linear`` or the shared pipeline) and of the mean (M31), residual summary (A28), largest errors (W7), permutation
     importance (M21), Shapley mean |φ| (M22) and their rank agreement (M23)."""
     from ..models import pipeline as MP
     folded = R.kfold_assign(train, [key], k, seed)
     per_fold, summary = MP.cross_validate(folded, candidates, label, "fold", parallelism=parallelism)
     best_row = summary.orderBy(F.col("r2_mean").desc(), "model").first()
     best = best_row["model"]
-    model = candidates[best].fit(train)
-    pred_tr, pred_te = model.transform(train), model.transform(test)
-    baseline = MP.mean_baseline(train, test, label)
-    scores = MP.score_table({"train": pred_tr, "test": pred_te, "baseline_test": baseline}, label)
+    linear = (baseline or candidates.get("linear") or MP.make_pipeline(features, label, "linear")).fit(train)
     cv_row = summary.where(F.col("model") == best).select(
         F.lit(None).cast("long").alias("n"), F.col("r2_mean").alias("r2"), F.col("rmse_mean").alias("rmse"),
         F.col("mae_mean").alias("mae"), F.lit("cv").alias("split"))
+    tuned = {}
+    if grids and grids.get(best):
+        search, tuned["tuning"] = MP.grid_search(folded, candidates[best], grids[best], label, "fold", parallelism)
+        model = search.bestModel
+        cv_row = cv_row.withColumns({"r2": F.lit(float(max(search.avgMetrics))), "rmse": F.lit(None).cast("double"),
+                                     "mae": F.lit(None).cast("double")})
+    else:
+        model = candidates[best].fit(train)
+    pred_tr, pred_te = model.transform(train), model.transform(test)
+    scores = MP.score_table({"train": pred_tr, "test": pred_te, "baseline_test": linear.transform(test),
+                             "mean_baseline_test": MP.mean_baseline(train, test, label)}, label)
     scores = scores.unionByName(cv_row)
     resid = MP.residual_summary(pred_te, label)
     errors = R.top_k(pred_te.select(key, label, "prediction",
@@ -197,7 +208,7 @@ def model_report(train: DataFrame, test: DataFrame, features: Sequence[str], lab
                  .unionByName(S.spearman(top, "importance_mean", "mean_abs_phi").withColumn("scope", F.lit("top20"))))
     return {"cv_per_fold": per_fold, "cv_summary": summary, "scores": scores, "residuals": resid,
             "largest_errors": errors, "permutation_importance": imp, "shapley": shap,
-            "importance_agreement": agreement}
+            "importance_agreement": agreement, **tuned}
 
 
 # C10 ----------------------------------------------------------------------- #

@@ -228,7 +228,7 @@ def lasso_coefficients_orders(spark, sf):
 @register("lasso_cv_orders", "M5")
 def lasso_cv_orders(spark, sf):
     d = _folded(spark, sf)
-    path, best, _ = MP.lasso_cv(d, ORDER_FEATURE_COLS, "revenue", "fold", n_alphas=100)
+    path, best, _ = MP.lasso_cv(d, ORDER_FEATURE_COLS, "revenue", "fold", n_alphas=100, scale=True)
     return path.withColumn("best", F.col("alpha") == F.lit(best))
 
 
