@@ -54,6 +54,30 @@ def test_near_duplicates_equal_brute_force(spark):
     assert sorted((tuple(r) for r in got), key=str) == brute_components(rows)
 
 
+def changed(words, at):
+    return " ".join("x" if k in at else w for k, w in enumerate(words))
+
+
+def test_near_duplicates_of_repeated_rows(spark):
+    rows = []
+    for k in range(20):
+        words = [f"a{k}w{i}" for i in range(101)]
+        text, near = " ".join(words), changed(words, {0, 40, 100})
+        if k % 4 == 0:  # a repeated row and a near copy (96 of 104 shingles)
+            rows += [(10 * k, text, "s"), (10 * k, text, "s"), (10 * k + 1, near, "s")]
+        elif k % 4 == 1:  # the smaller id is the one that stands once
+            rows += [(10 * k, near, "s"), (10 * k + 1, text, "s"), (10 * k + 1, text, "s"), (10 * k + 1, text, "s")]
+        elif k % 4 == 2:  # an id with two texts, each with a near copy
+            other = [f"b{k}w{i}" for i in range(101)]
+            rows += [(10 * k, text, "s"), (10 * k, " ".join(other), "s"), (10 * k + 1, near, "s"),
+                     (10 * k + 2, changed(other, {0, 60, 100}), "s")]
+        else:  # texts with equal sets under one id, and the same text under another
+            rows += [(10 * k, text, "s"), (10 * k, text.upper(), "s"), (10 * k + 2, text, "s"), (10 * k + 1, near, "s")]
+    got = near_duplicates.near_duplicates(frame(spark, rows)).collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute_components(rows)
+    assert {r["component_id"] for r in got} == {10 * k for k in range(20)}
+
+
 @pytest.mark.parametrize("rows", [[], [(None, None, None)], [(1, "a", "s")]])
 def test_near_duplicates_small(spark, rows):
     assert near_duplicates.near_duplicates(frame(spark, rows)).count() == len(rows)

@@ -62,11 +62,17 @@ def _sketch(own: np.ndarray, factors: np.ndarray) -> np.ndarray:
     return least
 
 
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = F.col(text_col).cast("string")
+    return docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("row"))
+
+
 def sketches(docs: DataFrame, id_col: str, text_col: str, width: int, rows: int, m: int) -> DataFrame:
-    """One row per document: id, ``n_shingles``, ``sig`` (equal for equal sets;
-    null for the empty set), the ``2 * m`` group values of the two collections
-    and the low 16 bits of every minhash value for estimates."""
-    schema = StructType([StructField("id", docs.schema[id_col].dataType), StructField("n_shingles", LongType()),
+    """One row per document: id, ``row`` (hash of its text), ``n_shingles``,
+    ``sig`` (equal for equal sets; null for the empty set), the ``2 * m`` group
+    values of the two collections and the low 16 bits of every minhash value
+    for estimates."""
+    schema = StructType([StructField("id", docs.schema[id_col].dataType), StructField("row", LongType()), StructField("n_shingles", LongType()),
                          StructField("sig", BinaryType()), StructField("groups", ArrayType(LongType())),
                          StructField("mins", BinaryType())])
     factors = stream(2 * m * rows, 8) | np.uint64(1)
@@ -89,10 +95,10 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, width: int, rows: int,
                     groups.append(value.view(np.int64).tolist())
                     mins.append((least >> np.uint64(40)).astype(np.uint16).tobytes())
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(a, b - a), pa.array(counts, pa.int64()), pa.array(sigs, pa.binary()),
+                    [ids.slice(a, b - a), batch.column(2).slice(a, b - a), pa.array(counts, pa.int64()), pa.array(sigs, pa.binary()),
                      pa.array(groups, pa.list_(pa.int64())), pa.array(mins, pa.binary())], names=schema.names)
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
+    return _texts(docs, id_col, text_col).mapInArrow(run, schema)
 
 
 def _sets(rows: DataFrame, width: int) -> DataFrame:
@@ -198,10 +204,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     marks = pinned(sketches(docs, id_col, text_col, width, rows, m), "sketches")
     named = marks.where(F.col("id").isNotNull() & F.col("sig").isNotNull())
-    # equal sets: one node, named by the smallest id
-    nodes = pinned(named.groupBy("sig").agg(F.min("id").alias("node"), F.min_by("groups", "id").alias("groups")), "nodes")
-    owner = pinned(named.select("id", "sig").distinct().join(nodes.select("sig", "node"), "sig")
-                   .select("id", "node").distinct(), "owners")
+    # equal sets: one node with a number; its text is that of one row, by id and text hash
+    nodes = pinned(named.groupBy("sig").agg(F.min(F.struct("id", "row")).alias("of"), F.first("groups").alias("groups"),
+                                            F.first("mins").alias("mins"))
+                   .select(F.monotonically_increasing_id().alias("node"), F.col("of.id").alias("least"),
+                           F.col("of.row").alias("row"), "sig", "groups", "mins"), "nodes")
+    owner = pinned(named.select("id", "sig").distinct().join(nodes.select("sig", "node", "least"), "sig")
+                   .select("id", "node", "least"), "owners")
     several = (owner.groupBy("id").agg(F.min("node").alias("u"), F.max("node").alias("other"))
                .where(F.col("u") != F.col("other")).select("id", "u"))
     same = pinned(owner.join(several, "id").select("u", F.col("node").alias("v")).where("u <> v").distinct(), "same")
@@ -219,8 +228,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = pinned(keys.join(buckets, "key"), "members")
 
     wanted = members.select("id").distinct()
-    texts = (named.select("id", "mins", "sig").join(wanted, "id").dropDuplicates(["id", "sig"])
-             .join(docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).dropna(), "id"))
+    texts = nodes.join(wanted.withColumnRenamed("id", "node"), "node").select("node", F.col("least").alias("id"), "row", "mins")
+    # one row per node, however often its row stands in docs
+    texts = (_texts(docs, id_col, text_col).dropna().join(texts, ["id", "row"]).dropDuplicates(["id", "row"])
+             .select(F.col("node").alias("id"), "mins", "text"))
     sets = pinned(_sets(texts, width), "sets")
     held = _holdings(members, sets)
     sizes = pinned(held.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.count("rare").alias("low")), "sizes")
@@ -281,8 +292,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         members = behind.unionByName(state.where("comp = largest").select("key", "id", "n", "rest")
                                      .join(behind.select("key").distinct(), "key", "left_semi"))
 
-    own = owner.groupBy("id").agg(F.min("node").alias("node")).join(comps.withColumnRenamed("id", "node"), "node", "left")
-    own = own.select("id", F.least("id", F.coalesce("comp", "node")).alias("comp"))
+    # a component is named by the smallest id of its nodes
+    names = comps.join(nodes.select(F.col("node").alias("id"), "least"), "id").groupBy("comp").agg(F.min("least").alias("name"))
+    named = comps.join(names, "comp").select(F.col("id").alias("node"), "name")
+    own = owner.groupBy("id").agg(F.min(F.struct("node", "least")).alias("of")).select("id", "of.node", "of.least")
+    own = own.join(named, "node", "left").select("id", F.coalesce("name", "least").alias("comp"))
     return (marks.select("id", "n_shingles").join(own, "id", "left")
             .select(F.col("id").alias(id_col), "n_shingles", F.coalesce("comp", "id").alias("component_id"),
                     F.coalesce(F.col("id") == F.coalesce("comp", "id"), F.lit(True)).alias("kept")))
