@@ -158,6 +158,32 @@ def test_base_spans_equal_brute_force(spark):
     assert personal_data.find_personal_data(docs.limit(0)).count() == 0
 
 
+def test_added_spans_of_hidden_formats(spark):
+    rnd = random.Random(4)
+
+    def word():
+        return "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randrange(4, 9)))
+
+    def phone():
+        return f"{rnd.randrange(1, 99)} ({rnd.randrange(100, 999)}) {rnd.randrange(100, 999)}-{rnd.randrange(1000, 9999)}"
+
+    texts = []
+    for _ in range(300):
+        texts.append(f"{word()} {word()} write to {word()}.{word()}@{word()}.com or phone +{phone()} {word()}")
+        texts.append(f"{word()} sold {rnd.randrange(2, 99)} @ {rnd.randrange(2, 99)}.{rnd.randrange(10, 99)} each, order id "
+                     f"{rnd.randrange(10**8, 10**9)} {word()}")
+    planted = ["jane.miller [at] sunmail.com", "paul.baker(at)woodland.com", "mary.stone @ riverbank.com"]
+    phones = [phone() for _ in range(3)]
+    at = len(texts)
+    texts += [f"{word()} please write to {e} or phone {p} today" for e, p in zip(planted, phones, strict=True)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in personal_data.find_personal_data(docs).collect():
+        text, base = texts[r["doc_id"]], {(s["kind"], s["start"], s["end"]) for s in r["base"]}
+        added = {(s["kind"], text[s["start"]:s["end"]]) for s in r["spans"] if (s["kind"], s["start"], s["end"]) not in base}
+        k = r["doc_id"] - at
+        assert {("email", planted[k]), ("phone", phones[k])} <= added if k >= 0 else not added, (text, added)
+
+
 def test_redaction(spark):
     docs = spark.createDataFrame([(1, "é write to a.b@c.de or +1 (234) 555-6789.", 5), (2, "nothing", 6), (3, None, 7)],
                                  "doc_id long, text string, spans int")
