@@ -181,3 +181,17 @@ def test_language_edges(spark):
     assert language_id.identify(frame(spark, [])).count() == 0
     blank = spark.createDataFrame([(1, "words", None)], "doc_id long, text string, lang string")
     assert language_id.identify(blank).first()["lang_pred"] == "und"
+
+
+@pytest.mark.parametrize("short", [(), ("xx",)])
+def test_language_of_long_texts(spark, short):
+    rnd = random.Random(8)
+    letters = {"xx": "abcdefghij", "yy": "mnopqrstuv"}
+    rows = []
+    for i in range(60):
+        lang = ("xx", "yy")[i % 2]
+        n = 20 if lang in short else 1200
+        rows.append((i, " ".join("".join(rnd.choices(letters[lang], k=5)) for _ in range(n)), lang))
+    assert all(len(t) > 4000 for _, t, lang in rows if lang not in short)
+    got = language_id.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    assert len(got) == 60 and all(r["lang_pred"] == r["lang"] and r["score"] > 0.5 for r in got)

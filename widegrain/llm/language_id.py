@@ -10,9 +10,9 @@ regression on these gives one score per language. Scoring folds landmarks,
 texts is one product of its 0/1 gram matrix with that matrix.
 
 Fitted on a bounded sample (``per_language`` texts of each language, at most
-``max_train`` altogether, of which ``landmarks`` with at most
-``max_landmark_chars`` characters serve as landmarks); the driver holds these
-features and the landmarks' grams only. Every text is scored whole, in the
+``max_train`` altogether, of which ``landmarks``, of any length, serve as
+landmarks); the driver holds these features and the landmarks' grams only, at
+most 2^20 gram ids for each. Every text is scored whole, in the
 tasks; the model goes out as one broadcast of (grams x languages) numbers.
 """
 
@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ArrayType, BooleanType, DoubleType, IntegerType, StringType, StructField,
+from pyspark.sql.types import (ArrayType, BinaryType, BooleanType, DoubleType, StringType, StructField,
                                StructType)
 
 from .pinning import pinned
@@ -72,7 +72,7 @@ def presence(texts: list[str], slot_of: np.ndarray, grams: int) -> np.ndarray:
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-        landmarks: int = 96, per_language: int = 400, max_train: int = 4000, max_landmark_chars: int = 4000,
+        landmarks: int = 96, per_language: int = 400, max_train: int = 4000,
         ridge: float = 1e-2) -> Model:
     """Fits on the rows of ``docs`` that have a text with letters and a language;
     the sample is the smallest md5 of the id within each language."""
@@ -84,26 +84,27 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
               .orderBy("rank", "lang").limit(max_train))
     # at most max_train ids: a proven bound for the broadcast
     sample = pinned(rows.join(F.broadcast(chosen), ["id", "lang"]).select(
-        "lang", "rank", "text", F.xxhash64("id", "text").alias("tie"), F.length("text").alias("n"))
+        "lang", "rank", "text", F.xxhash64("id", "text").alias("tie"))
         .repartition(16, "tie"), "language-sample")
 
     def grams(batches):
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(
-                [np.unique(np.concatenate(_gram_ids(t))).astype(np.int32).tolist() for t in batch.column(1).to_pylist()],
-                pa.list_(pa.int32()))], names=["lang", "grams"])
+                [np.unique(np.concatenate(_gram_ids(t))).astype("<i4").tobytes() for t in batch.column(1).to_pylist()],
+                pa.binary())], names=["lang", "grams"])
 
-    marks = (sample.where(F.col("n") <= max_landmark_chars).orderBy("rank", "lang", "tie").limit(landmarks)
+    marks = (sample.orderBy("rank", "lang", "tie").limit(landmarks)
              .select("lang", "text").mapInArrow(grams, StructType([
-                 StructField("lang", StringType()), StructField("grams", ArrayType(IntegerType()))])).collect())
+                 StructField("lang", StringType()), StructField("grams", BinaryType())])).collect())
+    marks = [np.frombuffer(r["grams"], "<i4") for r in marks]
     if not marks:
         return Model([], np.zeros(1 << GRAM_BITS, np.int32), np.zeros((0, 0), np.float32), np.zeros(0, np.float32))
-    vocabulary = np.unique(np.concatenate([np.array(r["grams"], np.int64) for r in marks]))
+    vocabulary = np.unique(np.concatenate(marks))
     slot_of = np.full(1 << GRAM_BITS, len(vocabulary), np.int32)
     slot_of[vocabulary] = np.arange(len(vocabulary), dtype=np.int32)
     held = np.zeros((len(vocabulary), len(marks)), np.float32)  # grams x landmarks
-    for k, r in enumerate(marks):
-        held[slot_of[np.array(r["grams"], np.int64)], k] = 1
+    for k, own in enumerate(marks):
+        held[slot_of[own], k] = 1
     held /= np.sqrt(held.sum(axis=0))
     values, vectors = np.linalg.eigh((held.T @ held).astype(np.float64))
     good = values > 1e-6 * values.max()
@@ -113,10 +114,11 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
     def features(batches):
         slots, matrix = shared.value
+        step = max(1, min(64, (1 << 22) // len(matrix)))
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            for a in range(0, len(texts), 64):
-                present = presence(texts[a:a + 64], slots, len(matrix))
+            for a in range(0, len(texts), step):
+                present = presence(texts[a:a + step], slots, len(matrix))
                 sizes = np.sqrt(np.maximum(present.sum(axis=1), 1.0))
                 phi = (present @ matrix / sizes[:, None]).astype(np.float64)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, len(phi)), pa.array(
