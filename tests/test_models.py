@@ -205,3 +205,17 @@ def test_centred_pca_matches_numpy(spark):
     assert np.allclose(got.mean(0), 0.0, atol=1e-9)
     ratios = m.getOrDefault("explainedVariance")
     assert np.allclose(ratios, np.sort(lam)[::-1][:2] / lam.sum())
+
+
+def test_registered_model_queries_use_whole_candidates_and_grids(spark):
+    from widegrain.models import pipeline as MP
+    from widegrain.plans import q_models
+    cands = q_models._candidates()
+    assert set(cands) == {"linear", "ridge", "elasticnet", "svr_rbf", "forest", "gbt"}
+    forest, boosting = cands["forest"].getStages()[-1], cands["gbt"].getStages()[-1]
+    assert (forest.getNumTrees(), forest.getMaxDepth()) == (400, 30)
+    assert (boosting.getMaxIter(), boosting.getMaxDepth()) == (400, 6)
+    assert cands["svr_rbf"].getStages()[-2].getOrDefault("numFeatures") == 200
+    assert sum(map(len, q_models._boosting_grids([None, None])[1])) == 162
+    # component counts above the features are the same set: one is left per grid
+    assert sum(map(len, q_models._boosting_grids([5, 5])[1])) == 54

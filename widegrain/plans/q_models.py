@@ -179,32 +179,32 @@ def _folded(spark, sf):
     return R.kfold_assign(order_features(spark, sf), ["l_orderkey"], 5, 42)
 
 
+def _candidates():
+    """The six candidates with the library's defaults."""
+    return {k: MP.make_pipeline(ORDER_FEATURE_COLS, "revenue", k, alpha=0.0055, n_components=3) for k in MP.DEFAULTS}
+
+
 @register("cv_candidates_orders", "M10,M14,M15,M16,M18,M2,M4,M6,I7")
 def cv_candidates_orders(spark, sf):
     d = _folded(spark, sf)
-    feats = ORDER_FEATURE_COLS
-    cands = {k: MP.make_pipeline(feats, "revenue", k, alpha=0.0055, n_components=3)
-             for k in ["linear", "ridge", "elasticnet"]}
-    cands["forest"] = MP.make_pipeline(feats, "revenue", "forest", alpha=0.0055, n_components=3,
-                                       n_estimators=20, max_depth=6)
-    cands["gbt"] = MP.make_pipeline(feats, "revenue", "gbt", alpha=0.0055, n_components=3,
-                                    n_estimators=10, max_depth=4)
-    cands["svr_rbf"] = MP.make_pipeline(feats, "revenue", "svr_rbf", alpha=0.0055, n_components=3,
-                                        n_random_features=50)
-    _, summary = MP.cross_validate(d, cands, "revenue", "fold", parallelism=3)
+    _, summary = MP.cross_validate(d, _candidates(), "revenue", "fold", parallelism=3)
     return summary.select("model", *[rnd(c).alias(c) for c in summary.columns if c != "model"])
 
 
+def _boosting_grids(caps):
+    """The pipeline for boosting and the reference's union of grids for it, each
+    with its cap of the component count (None: as listed)."""
+    pipe = MP.make_pipeline(ORDER_FEATURE_COLS, "revenue", "gbt", alpha=0.0055, n_components=3)
+    return pipe, [MP.reference_param_grid(pipe, "gbt", cap)[i] for i, cap in enumerate(caps)]
+
+
 @register("grid_search_orders", "M19,W6,M26")
 def grid_search_orders(spark, sf):
-    from pyspark.ml.tuning import ParamGridBuilder
-    d = _folded(spark, sf)
-    pipe = MP.make_pipeline(ORDER_FEATURE_COLS, "revenue", "ridge", alpha=0.0055, n_components=3)
-    from ..models.transformers import CentredPCA, LassoSelector
-    sel, pca, reg = MP.stage_of(pipe, LassoSelector), MP.stage_of(pipe, CentredPCA), pipe.getStages()[-1]
-    g1 = ParamGridBuilder().addGrid(sel.alpha, [0.001, 0.01]).addGrid(pca.k, [2, 3]).build()
-    g2 = ParamGridBuilder().addGrid(reg.alpha, [0.1, 10.0]).addGrid(pca.k, [2]).build()
-    _, ranking = MP.grid_search(d, pipe, [g1, g2], "revenue", "fold", parallelism=2)
+    d = cut_lineage(_folded(spark, sf))
+    pipe, grids = _boosting_grids([
+        MP.cap_components(d, ORDER_FEATURE_COLS, "revenue", "fold", max(g["selection_alpha"]), len(ORDER_FEATURE_COLS))
+        for g in MP.SHARED_GRIDS])
+    _, ranking = MP.grid_search(d, pipe, grids, "revenue", "fold", parallelism=2)
     return ranking
 
 
