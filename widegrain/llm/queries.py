@@ -9,8 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (byte_bpe, language_id, line_dedup, mixing, near_duplicates, personal_data,
-               quality_rules, topk_search, warc, co_training)
+from . import (byte_bpe, co_training, divergence, language_id, line_dedup, merkle, mixing, near_duplicates, personal_data,
+               quality_rules, topk_search, vantage_trees, warc)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -141,3 +141,94 @@ def op10_personal_data(spark, sf_dir):
               for k in personal_data.KINDS]
     return found.select("doc_id", *counts, F.sha2(personal_data.spelled(F.col("base")).cast("binary"), 256).alias("base_sha256"),
                         personal_data.spelled(F.col("spans")).alias("spans"))
+
+
+@_query(r"""
+WITH d AS (SELECT row_number() OVER () AS rid, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source
+           FROM documents),
+w AS (SELECT rid, lang, source, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS n FROM w GROUP BY lang, term HAVING count(DISTINCT rid) >= 30),
+voc AS (SELECT lang, count(*) AS v, sum(n)::BIGINT AS total FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM d),
+found AS (SELECT w.lang, w.source, w.term, count(*) AS n FROM w JOIN kept USING (lang, term) GROUP BY ALL),
+totals AS (SELECT lang, source, sum(n)::BIGINT AS total FROM found GROUP BY ALL),
+shares AS (
+  SELECT g.lang, g.source, k.term, coalesce(f.n, 0) AS n,
+         (1 + 1000000000::HUGEINT * (coalesce(f.n, 0) + 5) // (coalesce(t.total, 0) + 5 * v.v))::BIGINT AS p,
+         (1 + 1000000000::HUGEINT * (k.n + 5) // (v.total + 5 * v.v))::BIGINT AS q
+  FROM groups g JOIN kept k USING (lang) JOIN voc v USING (lang)
+  LEFT JOIN totals t USING (lang, source) LEFT JOIN found f USING (lang, source, term)),
+apart AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p))::BIGINT AS value
+          FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+parts AS (
+  SELECT g.lang, g.source, 'pair' AS part, h.source AS item, coalesce(a.value, 0) AS value
+  FROM groups g JOIN groups h ON g.lang = h.lang AND g.source <> h.source
+  LEFT JOIN apart a ON a.lang = g.lang AND a.source = g.source AND a.item = h.source
+  UNION ALL SELECT lang, source, 'term', term, p - q FROM shares WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM parts)
+SELECT lang, source, part, item, value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 50""")
+def op11_source_divergence(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("text", "lang", "source")
+    return divergence.audit(docs, min_docs=30, top=50)
+
+
+@_query(r"""
+WITH RECURSIVE d AS (
+  SELECT *, list_reduce([4294967295::BIGINT] || list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT),
+           lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, (x & 1) * 3988292384))) AS crc
+  FROM documents),
+written AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS g, coalesce(xor(crc, 4294967295) % 3 = 0, false) AS forge,
+         coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+         || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head,
+         coalesce(strlen(text) || ':', '-') AS size, coalesce(text, '') AS text
+  FROM d),
+leaves AS (
+  SELECT doc_id, g, sha256(head || size || text) AS leaf,
+         CASE WHEN forge THEN sha256(head || size || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'))
+              ELSE sha256(head || size || text) END AS forged
+  FROM written),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+                    count(*) OVER (PARTITION BY g) AS n FROM leaves),
+tree(g, level, idx, n, h) AS (
+  SELECT g, 0, idx, n, leaf FROM numbered
+  UNION ALL
+  SELECT g, max(level) + 1, idx // 8, (max(n) + 7) // 8, sha256(string_agg(h, '' ORDER BY idx)) FROM tree WHERE n > 1 GROUP BY g, idx // 8),
+subroots AS (SELECT g, h AS subroot, row_number() OVER (ORDER BY g) - 1 AS idx, count(*) OVER () AS n FROM tree WHERE n = 1),
+top(level, idx, n, h) AS (
+  SELECT 0, idx, n, subroot FROM subroots
+  UNION ALL
+  SELECT max(level) + 1, idx // 8, (max(n) + 7) // 8, sha256(string_agg(h, '' ORDER BY idx)) FROM top WHERE n > 1 GROUP BY idx // 8),
+sides AS (
+  SELECT g, level, idx, n, coalesce(string_agg(h, '') OVER (a ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+         coalesce(string_agg(h, '') OVER (a ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM tree WINDOW a AS (PARTITION BY g, level, idx // 8 ORDER BY idx)),
+top_sides AS (
+  SELECT level, idx, n, coalesce(string_agg(h, '') OVER (a ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+         coalesce(string_agg(h, '') OVER (a ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM top WINDOW a AS (PARTITION BY level, idx // 8 ORDER BY idx)),
+climb(g, leaf_idx, level, idx, proof, cur) AS (
+  SELECT g, idx, 0, idx, '', forged FROM numbered
+  UNION ALL
+  SELECT c.g, c.leaf_idx, c.level + 1, c.idx // 8, c.proof || s.l || s.r, sha256(s.l || c.cur || s.r)
+  FROM climb c JOIN sides s ON s.g = c.g AND s.level = c.level AND s.idx = c.idx WHERE s.n > 1),
+arrived AS (SELECT c.* FROM climb c JOIN sides s ON s.g = c.g AND s.level = c.level AND s.idx = c.idx WHERE s.n = 1),
+rise(g, leaf_idx, level, idx, proof, cur) AS (
+  SELECT a.g, a.leaf_idx, 0, s.idx, a.proof, a.cur FROM arrived a JOIN subroots s USING (g)
+  UNION ALL
+  SELECT c.g, c.leaf_idx, c.level + 1, c.idx // 8, c.proof || s.l || s.r, sha256(s.l || c.cur || s.r)
+  FROM rise c JOIN top_sides s ON s.level = c.level AND s.idx = c.idx WHERE s.n > 1),
+done AS (SELECT r.* FROM rise r JOIN top_sides s ON s.level = r.level AND s.idx = r.idx WHERE s.n = 1)
+SELECT n.doc_id, n.leaf, s.subroot, t.h AS root, sha256(x.proof) AS proof_sha256, x.cur AS folded_root, x.cur = t.h AS verified
+FROM numbered n JOIN done x ON x.g = n.g AND x.leaf_idx = n.idx JOIN subroots s ON s.g = n.g, (SELECT h FROM top WHERE n = 1) t""")
+def op12_merkle_manifest(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select(*merkle.LEAF_COLUMNS)
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    return merkle.manifest(docs, fanout=8, tampered=tampered).drop("above")
+
+
+@_query()
+def op13_nearest_neighbours(spark, sf_dir):
+    return vantage_trees.nearest(_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20, recall=0.97)
