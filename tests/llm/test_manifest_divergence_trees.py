@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -141,20 +142,20 @@ def test_divergence_equals_brute_force(spark, monkeypatch, settings):
         batches = [b for b in _arrow(rows)]
         monkeypatch.setattr(divergence, "SLICE_BYTES", settings["SLICE_BYTES"])
         monkeypatch.setattr(divergence, "HELD_ROWS", settings["HELD_ROWS"])
-        parts = list(divergence._partial_counts(batches))
-        assert len(parts) > 3
+        parts = list(divergence._partial_counts(5)(iter(batches)))
+        assert len({(b["lang"][0].as_py(), b["shard"][0].as_py()) for b in parts}) < len(parts)
         total = Counter()
         for b in parts:
-            for r in b.to_pylist():
-                total[r["lang"], r["source"], r["term"]] += r["n"]
+            for r in pa.ipc.open_stream(b["counts"][0].as_buffer()).read_all().to_pylist():
+                total[b["lang"][0].as_py(), r["source"], r["term"]] += r["n"]
         assert total["en", "long", "the"] == total["en", "long", "of"] == 50_000
+        monkeypatch.setattr(divergence, "SHARD_DOCS", 40)
     df = spark.createDataFrame([(*r, "x", 1, "y", 2) for r in rows], DOCS)
     got = divergence.audit(df, min_docs=30, top=5).collect()
     assert sorted(tuple(r) for r in got) == sorted(_audit(rows, 30, 5))
 
 
 def _arrow(rows):
-    import pyarrow as pa
     t = pa.table({"lang": [r[2] for r in rows], "source": [r[3] for r in rows], "text": [r[1] for r in rows]})
     return t.to_batches(max_chunksize=50)
 

@@ -3,11 +3,13 @@
 Tasks count terms in Arrow: a batch of texts is lower-cased, split by a
 regular expression, dictionary-encoded and grouped by a hash aggregation, and
 what a task has counted is folded together whenever it grows beyond a bound.
-Spark adds the partial counts of ``(lang, source, term)`` up, so that a hot
-source or term is one row per task before it is shuffled. The merged counts
-are cut into shards of terms; each shard is a columnar table that holds every
-group's counts of its terms, and gives the shard's part of the divergence of
-every two sources and its best terms per group.
+Partial counts travel as columnar shards, one Arrow table per language and
+range of term hashes, so that Spark moves few rows; the shards of one key are
+merged, which tells the documents of each term, and only the terms that a
+language keeps go on. These are cut into shards of terms that hold every
+group's counts, and give the shard's part of the divergence of every two
+sources and its best terms per group. A hot source, language or term is one
+row per task in whatever is shuffled.
 
 All arithmetic is on integers: the share of a term in N occurrences of V terms
 is ``p = 1 + floor(10^9 (count + 5) / (N + 5 V))``.
@@ -16,6 +18,7 @@ is ``p = 1 + floor(10^9 (count + 5) / (N + 5 V))``.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
@@ -30,9 +33,14 @@ SMOOTH = 5
 UNIT = 1_000_000_000
 
 SLICE_BYTES = 8_000_000  # of texts split at once
-HELD_ROWS = 500_000  # counts that a task holds before it hands them on
-SHARD_CELLS = 4_000_000  # counts (groups x terms) of a shard aimed at
-_COUNTS = "lang string, source string, term string, n long, docs long"
+HELD_ROWS = 1_000_000  # counts that a task holds before it hands them on
+SHARD_DOCS = 4_000  # documents per shard of a language aimed at while merging
+SHARDS = 4_096  # at most
+SHARD_CELLS = 4_000_000  # counts (groups x terms) of a shard aimed at while comparing
+_GROUPS = -1  # the shard that tells which sources a language has
+_COLUMNS = ["source", "term", "n", "docs"]
+_SHARD = "lang string, shard int, counts binary"
+_KEPT = "lang string, source string, term string, n long"
 _PARTS = "lang string, part string, source string, item string, value long"
 
 
@@ -49,62 +57,96 @@ def _slices(batch: pa.RecordBatch):
         yield batch.slice(start)
 
 
-def _folded(parts: list[pa.Table]) -> pa.Table:
+def _folded(parts: list[pa.Table], keys: list[str]) -> pa.Table:
     """Counts of equal keys added up by a hash aggregation."""
-    return (pa.concat_tables(parts).group_by(["lang", "source", "term"]).aggregate([("n", "sum"), ("docs", "sum")])
-            .rename_columns(["lang", "source", "term", "n", "docs"]))
+    return (pa.concat_tables(parts).group_by(keys).aggregate([("n", "sum"), ("docs", "sum")])
+            .rename_columns([*keys, "n", "docs"]))
 
 
 def _counted(batch: pa.RecordBatch) -> pa.Table:
     """Occurrences and documents of each (lang, source, term) of some rows; the
     empty term stands for the group itself."""
-    lang, source, text = (pc.fill_null(batch.column(c).cast(pa.large_string()), "") for c in ("lang", "source", "text"))
+    lang, source, text = (pc.fill_null(batch.column(c), "") for c in ("lang", "source", "text"))
     words = pc.split_pattern_regex(pc.ascii_lower(text), NOT_TERM)
-    row, term = pc.list_parent_indices(words), pc.list_flatten(words)
+    row, term = pc.list_parent_indices(words).cast(pa.int64()), pc.list_flatten(words)
     there = pc.not_equal(term, "")
     coded = pc.dictionary_encode(pc.filter(term, there))
-    if isinstance(coded, pa.ChunkedArray):
-        coded = coded.unify_dictionaries().combine_chunks()
     seen = (pa.table({"row": pc.filter(row, there), "code": coded.indices}).group_by(["row", "code"])
-            .aggregate([([], "count_all")]))  # one row per document and term
-    row, code, n = seen["row"].combine_chunks(), seen["code"].combine_chunks(), seen["count_all"].combine_chunks()
-    counts = (pa.table({"lang": pc.take(lang, row), "source": pc.take(source, row), "code": code, "n": n})
-              .group_by(["lang", "source", "code"]).aggregate([("n", "sum"), ("n", "count")]))
-    terms = pa.table({"lang": counts["lang"], "source": counts["source"], "term": pc.take(coded.dictionary, counts["code"].combine_chunks()),
-                      "n": counts["n_sum"], "docs": counts["n_count"]})
+            .aggregate([([], "count_all")]).combine_chunks())  # one row per document and term
     groups = pa.table({"lang": lang, "source": source}).group_by(["lang", "source"]).aggregate([([], "count_all")])
-    zeros = pa.array(np.zeros(groups.num_rows, np.int64))
-    own = pa.table({"lang": groups["lang"], "source": groups["source"], "term": pa.array([""] * groups.num_rows, pa.large_string()),
-                    "n": zeros, "docs": groups["count_all"]})
-    return pa.concat_tables([terms.select(own.column_names), own])
+    whole = pa.table({"lang": pc.take(lang, seen["row"]), "source": pc.take(source, seen["row"]), "code": seen["code"], "n": seen["count_all"]})
+    counts = whole.group_by(["lang", "source", "code"]).aggregate([("n", "sum"), ("n", "count")]).combine_chunks()
+    terms = pa.table({"lang": counts["lang"], "source": counts["source"], "term": pc.take(coded.dictionary, counts["code"]),
+                      "n": counts["n_sum"], "docs": counts["n_count"]})
+    own = pa.table({"lang": groups["lang"], "source": groups["source"], "term": pa.array([""] * groups.num_rows, term.type),
+                    "n": pa.array([0] * groups.num_rows, pa.int64()), "docs": groups["count_all"]})
+    return pa.concat_tables([terms, own])
 
 
-def _partial_counts(batches):
-    held: list[pa.Table] = []
+def _packed(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as out:
+        out.write_table(table)
+    return sink.getvalue().to_pybytes()
 
+
+def _partial_counts(shards: int):
+    """Partial counts of a task's rows as columnar shards."""
     def handed(table: pa.Table):
-        for b in table.combine_chunks().to_batches(max_chunksize=50_000):
-            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.string()), b.column(1).cast(pa.string()), b.column(2).cast(pa.string()),
-                                              b.column(3).cast(pa.int64()), b.column(4).cast(pa.int64())],
-                                             names=["lang", "source", "term", "n", "docs"])
-
-    for batch in batches:
-        for part in _slices(batch):
-            held.append(_counted(part))
+        lang, first = pc.dictionary_encode(table["lang"].combine_chunks()), table["term"].combine_chunks()
+        hashed = pd.util.hash_array(first.to_numpy(zero_copy_only=False).astype(object), categorize=False) % np.uint64(shards)
+        shard = np.where(pc.equal(first, "").to_numpy(zero_copy_only=False), _GROUPS, hashed.astype(np.int64))
+        key = lang.indices.to_numpy(zero_copy_only=False).astype(np.int64) * (shards + 1) + shard + 1
+        order = np.argsort(key, kind="stable")
+        starts = np.flatnonzero(np.r_[True, np.diff(key[order]) != 0])
+        table = table.select(_COLUMNS).take(pa.array(order)).combine_chunks()
+        for start, end in zip(starts, np.r_[starts[1:], len(order)], strict=True):
+            k = int(key[order[start]])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang.dictionary[k // (shards + 1)].as_py()], pa.string()), pa.array([k % (shards + 1) - 1], pa.int32()),
+                 pa.array([_packed(table.slice(start, end - start))], pa.binary())], names=["lang", "shard", "counts"])
+
+    def run(batches):
+        held: list[pa.Table] = []
+        for batch in batches:
+            for part in _slices(batch):
+                held.append(_counted(part))
+                if sum(t.num_rows for t in held) > HELD_ROWS:
+                    held = [_folded(held, ["lang", "source", "term"])]
+                    if held[0].num_rows > HELD_ROWS // 2:
+                        yield from handed(held.pop())
+        if held:
+            yield from handed(_folded(held, ["lang", "source", "term"]))
+    return run
+
+
+def _merged(min_docs: int):
+    """The counts of a shard's kept terms; of the shard of groups every source."""
+    def run(key, table):
+        lang, shard = (k.as_py() for k in key)
+        held: list[pa.Table] = []
+        for packed in table["counts"]:
+            held.append(pa.ipc.open_stream(packed.as_buffer()).read_all())
             if sum(t.num_rows for t in held) > HELD_ROWS:
-                held = [_folded(held)]
-                if held[0].num_rows > HELD_ROWS // 2:
-                    yield from handed(held.pop())
-    if held:
-        yield from handed(_folded(held))
+                held = [_folded(held, ["source", "term"])]
+        counts = _folded(held, ["source", "term"])
+        if shard != _GROUPS:
+            docs = counts.group_by("term").aggregate([("docs", "sum")])
+            kept = docs.filter(pc.greater_equal(docs["docs_sum"], min_docs)).select(["term"])
+            counts = counts.join(kept, "term", join_type="inner")
+        return pa.table({"lang": pa.array([lang] * counts.num_rows, pa.string()), "source": counts["source"].cast(pa.string()),
+                         "term": counts["term"].cast(pa.string()), "n": counts["n"].cast(pa.int64())})
+    return run
 
 
-def term_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """``(lang, source, term, n, docs)``: occurrences of a term in a group and
-    documents that hold it; the row of the empty term counts the group's documents."""
+def kept_counts(docs: DataFrame, min_docs: int, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
+    """``(lang, source, term, n)``: occurrences in every group of the terms
+    that ``min_docs`` documents of the language hold, where there are any, and
+    a row of the empty term for every group."""
     texts = docs.select(*[F.col(c).cast("string").alias(name) for c, name in ((lang_col, "lang"), (source_col, "source"), (text_col, "text"))])
-    return (texts.mapInArrow(_partial_counts, _COUNTS).groupBy("lang", "source", "term")
-            .agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")))
+    shards = min(SHARDS, max(1, -(-docs.count() // SHARD_DOCS)))
+    return (texts.mapInArrow(_partial_counts(shards), _SHARD).groupBy("lang", "shard")
+            .applyInArrow(_merged(min_docs), _KEPT))
 
 
 def shares(counts: np.ndarray, whole: np.ndarray) -> np.ndarray:
@@ -176,14 +218,13 @@ def audit(docs: DataFrame, min_docs: int = 30, top: int = 50, **columns) -> Data
     * a language of one source has no pairs; an empty table gives no rows;
     * ties go to the item first in UTF-8 order; other columns take no part.
     """
-    counts = pinned(term_counts(docs, **columns), "term-counts")
-    kept = pinned(counts.where(F.col("term") != "").groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
-                  .where(F.col("docs") >= min_docs), "kept-terms")
-    vocabulary = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("n").alias("all_n"))
-    of_kept = pinned(counts.where(F.col("term") != "").join(kept.select("lang", "term"), ["lang", "term"]).select("lang", "source", "term", "n"), "kept-counts")
+    counts = pinned(kept_counts(docs, min_docs, **columns), "kept-counts")
+    of_kept = counts.where(F.col("term") != "")
+    kept = of_kept.groupBy("lang", "term").agg(F.sum("n").alias("n"))
+    vocabulary = pinned(kept.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("n").alias("all_n")), "vocabulary")
     totals = of_kept.groupBy("lang", "source").agg(F.sum("n").alias("total"))
-    groups = (counts.where(F.col("term") == "").select("lang", "source").join(totals, ["lang", "source"], "left")
-              .join(vocabulary, "lang", "left"))
+    groups = pinned(counts.where(F.col("term") == "").select("lang", "source").join(totals, ["lang", "source"], "left")
+                    .join(vocabulary, "lang", "left"), "groups")
     size = F.coalesce("v", F.lit(0)) * SMOOTH
     told = groups.select("lang", "source", (F.coalesce("total", F.lit(0)) + size).alias("whole"))
     lang_row = groups.groupBy("lang").agg(F.max(F.coalesce("all_n", F.lit(0)) + size).alias("whole"), F.count(F.lit(1)).alias("sources"))
