@@ -177,7 +177,7 @@ def test_lasso_cv_and_block_pca_and_sensitivity(spark, synth):
 
 
 @pytest.mark.parametrize("kind,size", [("linear", 9), ("ridge", 27), ("elasticnet", 81), ("gbt", 162),
-                                       ("forest", 54), ("svr_rbf", 27)])
+                                       ("forest", 54), ("svr_rbf", 81)])
 def test_reference_grid_sizes(spark, kind, size):
     pipe = MP.make_pipeline(FEATS, "y", kind)
     grids = MP.reference_param_grid(pipe, kind)

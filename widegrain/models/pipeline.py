@@ -26,6 +26,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .svrfits import EpsilonInsensitiveRegression
 from .transformers import (CentredPCA, ImputeScale, LassoSelector, LassoSelectorModel, MedianImputer,
                            PopulationScaler, RandomFourierFeatures)
 
@@ -90,6 +91,9 @@ DEFAULTS = {
     "gbt": {"n_estimators": 400, "max_depth": 6, "learning_rate": 0.05, "subsample": 0.8, "colsample": 0.8},
 }
 
+#: the forest without a bound on its depth, as ``treefits`` grows it
+FOREST = {"n_estimators": DEFAULTS["forest"]["n_estimators"], "min_samples_leaf": DEFAULTS["forest"]["min_samples_leaf"], "max_depth": None}
+
 
 def make_regressor(kind: str, features_col: str = "features", label: str = "label", seed: int = 42,
                    **params) -> Estimator:
@@ -102,9 +106,11 @@ def make_regressor(kind: str, features_col: str = "features", label: str = "labe
         return PenalizedLinearRegression(kind="elasticnet", alpha=float(p["alpha"]), l1Ratio=float(p["l1_ratio"]),
                                          featuresCol=features_col, labelCol=label)
     if kind == "forest":
+        if int(p["max_depth"]) > 30:
+            raise ValueError("a forest in a Spark pipeline is at most 30 levels deep; treefits has no such bound")
         return RandomForestRegressor(featuresCol=features_col, labelCol=label, numTrees=int(p["n_estimators"]),
                                      minInstancesPerNode=int(p["min_samples_leaf"]),
-                                     maxDepth=min(int(p["max_depth"]), 30), featureSubsetStrategy="all", seed=seed)
+                                     maxDepth=int(p["max_depth"]), featureSubsetStrategy="all", seed=seed)
     if kind == "gbt":
         return GBTRegressor(featuresCol=features_col, labelCol=label, maxIter=int(p["n_estimators"]),
                             maxDepth=int(p["max_depth"]), stepSize=float(p["learning_rate"]),
@@ -130,9 +136,8 @@ def make_pipeline(features: Sequence[str], label: str, kind: str = "linear", alp
         cur = "pca"
     if kind == "svr_rbf":
         stages.append(RandomFourierFeatures(inputCol=cur, outputCol="rff", numFeatures=int(params.pop("n_random_features", 200))))
-        c = float(params.pop("C", DEFAULTS["svr_rbf"]["C"]))
-        params.pop("epsilon", None)
-        stages.append(PenalizedLinearRegression(kind="ridge", alpha=1.0 / c, featuresCol="rff", labelCol=label))
+        p = {**DEFAULTS["svr_rbf"], **params}
+        stages.append(EpsilonInsensitiveRegression(featuresCol="rff", labelCol=label, c=float(p["C"]), epsilon=float(p["epsilon"])))
     else:
         stages.append(make_regressor(kind, cur, label, **params))
     return Pipeline(stages=stages)
@@ -424,14 +429,13 @@ def reference_param_grid(pipeline: Pipeline, kind: str, max_components: int | No
 
     Component counts above ``max_components`` are capped (and de-duplicated),
     as the reference caps them so no fold asks for more components than it
-    has features. ``epsilon`` of the SVR grid has no counterpart in the
-    random-feature ridge and is not expanded."""
+    has features."""
     from pyspark.ml.tuning import ParamGridBuilder
     stages = pipeline.getStages()
     sel = next(s for s in stages if isinstance(s, LassoSelector))
     pca = next(s for s in stages if isinstance(s, (PCA, CentredPCA)))
     reg = stages[-1]
-    spark_name = {"alpha": "alpha", "l1_ratio": "l1Ratio", "n_estimators": "numTrees" if kind == "forest" else "maxIter",
+    spark_name = {"alpha": "alpha", "C": "c", "epsilon": "epsilon", "l1_ratio": "l1Ratio", "n_estimators": "numTrees" if kind == "forest" else "maxIter",
                   "min_samples_leaf": "minInstancesPerNode", "learning_rate": "stepSize", "max_depth": "maxDepth"}
     grids = []
     for shared in SHARED_GRIDS:
@@ -441,11 +445,6 @@ def reference_param_grid(pipeline: Pipeline, kind: str, max_components: int | No
             ks = sorted({min(k, max_components) for k in ks})
         b = b.addGrid(pca.k, ks)
         for name, values in REGRESSOR_GRIDS[kind].items():
-            if name == "epsilon":
-                continue
-            if name == "C":
-                b = b.addGrid(reg.alpha, [1.0 / c for c in values])
-                continue
             b = b.addGrid(reg.getParam(spark_name[name]), values)
         grids.append(b.build())
     return grids

@@ -6,7 +6,10 @@ from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
+from ..models import foldfits as FF
 from ..models import pipeline as MP
+from ..models import svrfits as SF
+from ..models import treefits as TF
 from ..operators import explain as X
 from ..operators import ranking as R
 from ..session import cut_lineage
@@ -179,33 +182,74 @@ def _folded(spark, sf):
     return R.kfold_assign(order_features(spark, sf), ["l_orderkey"], 5, 42)
 
 
-def _candidates():
-    """The six candidates with the library's defaults."""
-    return {k: MP.make_pipeline(ORDER_FEATURE_COLS, "revenue", k, alpha=0.0055, n_components=3) for k in MP.DEFAULTS}
+def _moments(spark, sf, features=ORDER_FEATURE_COLS):
+    return FF.fold_moments(_folded(spark, sf), features, "revenue", "fold")
 
 
 @register("cv_candidates_orders", "M10,M14,M15,M16,M18,M2,M4,M6,I7")
 def cv_candidates_orders(spark, sf):
-    d = _folded(spark, sf)
-    _, summary = MP.cross_validate(d, _candidates(), "revenue", "fold", parallelism=3)
-    return summary.select("model", *[rnd(c).alias(c) for c in summary.columns if c != "model"])
-
-
-def _boosting_grids(caps):
-    """The pipeline for boosting and the reference's union of grids for it, each
-    with its cap of the component count (None: as listed)."""
-    pipe = MP.make_pipeline(ORDER_FEATURE_COLS, "revenue", "gbt", alpha=0.0055, n_components=3)
-    return pipe, [MP.reference_param_grid(pipe, "gbt", cap)[i] for i, cap in enumerate(caps)]
-
-
-@register("grid_search_orders", "M19,W6,M26")
+    """The six candidates with the library's defaults on identical folds."""
+    m, shared = _moments(spark, sf), {"alpha": 0.0055, "n_components": 3}
+    ridge, net, svr = MP.DEFAULTS["ridge"], MP.DEFAULTS["elasticnet"], MP.DEFAULTS["svr_rbf"]
+    rows = FF.cross_validate_linear(m, {"linear": {"kind": "linear", **shared}, "ridge": {"kind": "ridge", "penalty": ridge["alpha"], **shared},
+                                        "elasticnet": {"kind": "elasticnet", "penalty": net["alpha"], "l1_ratio": net["l1_ratio"], **shared}})
+    rows += SF.cross_validate_svr(m, {"svr_rbf": {"c": svr["C"], "epsilon": svr["epsilon"]}}, **shared)
+    rows += TF.cross_validate_trees(m, {"forest": ("forest", MP.FOREST), "gbt": ("gbt", MP.DEFAULTS["gbt"])}, **shared)
+    summary = FF.score_summary(m, rows)
+    return summary.select("model", *[rnd(c).alias(c) for c in summary.columns if c not in ("model", "rank")], "rank")
+
+
+@register("grid_search_orders", "M19,M25,W6")
 def grid_search_orders(spark, sf):
-    d = cut_lineage(_folded(spark, sf))
-    pipe, grids = _boosting_grids([
-        MP.cap_components(d, ORDER_FEATURE_COLS, "revenue", "fold", max(g["selection_alpha"]), len(ORDER_FEATURE_COLS))
-        for g in MP.SHARED_GRIDS])
-    _, ranking = MP.grid_search(d, pipe, grids, "revenue", "fold", parallelism=2)
-    return ranking
+    """Every set of the reference's union of grids for boosting, and the best one refitted."""
+    model, ranking = TF.grid_search_trees(_moments(spark, sf), "gbt", MP.SHARED_GRIDS, MP.REGRESSOR_GRIDS["gbt"], MP.DEFAULTS["gbt"], keep=None)
+    return ranking.withColumn("refit_trees", F.when(F.col("rank") == 1, F.lit(len(model.trees))))
+
+
+@register("component_sweep_orders", "M26,M25")
+def component_sweep_orders(spark, sf):
+    return FF.component_sweep(_moments(spark, sf), range(1, 31))
+
+
+_FOLDS2 = f"""d AS (SELECT *, (row_number() OVER (ORDER BY {_MD5}) - 1) % 5 AS fold FROM {_OF}),
+     t AS (SELECT v.f, avg(sum_qty) AS m1, avg(avg_retail) AS m2, avg(revenue) AS my, var_pop(sum_qty) AS s11, var_pop(avg_retail) AS s22,
+                  covar_pop(sum_qty, avg_retail) AS s12, covar_pop(sum_qty, revenue) AS s1y, covar_pop(avg_retail, revenue) AS s2y
+           FROM (SELECT DISTINCT fold AS f FROM d) v JOIN d ON d.fold <> v.f GROUP BY v.f),
+     ols AS (SELECT *, (s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12) AS b1, (s11 * s2y - s12 * s1y) / (s11 * s22 - s12 * s12) AS b2,
+                    sign(s12) AS sg FROM t)"""
+_SCORED2 = """per AS (SELECT variant, fold, 1 - sum((revenue - p) ^ 2) / (count(*) * var_pop(revenue)) AS r2,
+                    sqrt(avg((revenue - p) ^ 2)) AS rmse FROM scored GROUP BY variant, fold)"""
+
+
+@register("component_sweep_two_orders", "M26,M18,M6,M2", sql=f"""
+WITH {_FOLDS2},
+     one AS (SELECT *, (s1y / sqrt(s11) + sg * s2y / sqrt(s22)) / (2 + 2 * abs(s12) / sqrt(s11 * s22)) AS slope FROM ols),
+     scored AS (
+       SELECT 1 AS variant, d.fold, revenue, my + slope * ((sum_qty - m1) / sqrt(s11) + sg * (avg_retail - m2) / sqrt(s22)) AS p
+       FROM d JOIN one ON f = fold
+       UNION ALL SELECT 2, d.fold, revenue, my + b1 * (sum_qty - m1) + b2 * (avg_retail - m2) FROM d JOIN one ON f = fold),
+     {_SCORED2}
+SELECT variant AS n_components, round(avg(r2), 6) AS r2_mean, round(stddev_pop(r2), 6) AS r2_std, round(avg(rmse), 6) AS rmse_mean,
+       CAST(rank() OVER (ORDER BY avg(r2) DESC) AS INTEGER) AS rank
+FROM per GROUP BY variant
+""")
+def component_sweep_two_orders(spark, sf):
+    sweep = FF.component_sweep(_moments(spark, sf, _PI_FEATS), [1, 2], alpha=None)
+    return sweep.select("n_components", *[rnd(c).alias(c) for c in ("r2_mean", "r2_std", "rmse_mean")], "rank")
+
+
+@register("block_sensitivity_two_orders", "M24", sql=f"""
+WITH {_FOLDS2},
+     scored AS (
+       SELECT 'all' AS variant, d.fold, revenue, my + b1 * (sum_qty - m1) + b2 * (avg_retail - m2) AS p FROM d JOIN ols ON f = fold
+       UNION ALL SELECT 'without_size', d.fold, revenue, my + s2y / s22 * (avg_retail - m2) FROM d JOIN ols ON f = fold
+       UNION ALL SELECT 'without_price', d.fold, revenue, my + s1y / s11 * (sum_qty - m1) FROM d JOIN ols ON f = fold),
+     {_SCORED2}
+SELECT variant, round(avg(r2), 6) AS r2_mean, round(avg(rmse), 6) AS rmse_mean FROM per GROUP BY variant
+""")
+def block_sensitivity_two_orders(spark, sf):
+    got = FF.without_blocks(_moments(spark, sf, _PI_FEATS), {"size": ["sum_qty"], "price": ["avg_retail"]}, alpha=None, n_components=None)
+    return got.select("variant", rnd("r2_mean").alias("r2_mean"), rnd("rmse_mean").alias("rmse_mean"))
 
 
 @register("pca_loadings_orders", "M9,M6,M7")
@@ -240,8 +284,6 @@ def block_pca_orders(spark, sf):
     return tr.unionByName(te)
 
 
-@register("block_sensitivity_orders", "M24,M30")
+@register("block_sensitivity_orders", "M24,M30,M25")
 def block_sensitivity_orders(spark, sf):
-    d = _folded(spark, sf)
-    return MP.block_sensitivity(d, ORDER_FEATURE_COLS, ["sum_qty", "n_lines"], "revenue", "fold",
-                                alpha=0.0055, n_components=2)
+    return FF.without_blocks(_moments(spark, sf), {"size": ["sum_qty", "n_lines"], "rates": ["avg_disc", "avg_tax"]}, n_components=3, stages=True)
