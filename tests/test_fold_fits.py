@@ -195,3 +195,34 @@ def test_svr_pipeline_takes_epsilon(spark):
 def test_a_spark_forest_too_deep_raises():
     with pytest.raises(ValueError, match="30"):
         MP.make_regressor("forest", max_depth=31)
+
+
+@pytest.mark.parametrize("kind", ["gbt", "forest"])
+def test_tree_shapley_equals_enumeration(spark, kind):
+    import itertools
+    import math
+
+    from widegrain.operators import explain as X
+    x, y, fold = _data(n=200, gaps=True)
+    d = _frame(spark, x, y, fold).withColumn("k", F.monotonically_increasing_id())
+    m = FF.fold_moments(d, COLS, "y", "fold")
+    params = {"gbt": {"n_estimators": 6, "max_depth": 4, "learning_rate": 0.3, "subsample": 1.0, "colsample": 1.0},
+              "forest": {"n_estimators": 5, "min_samples_leaf": 5, "max_depth": None}}[kind]
+    model = TF.fit_trees(m, kind, params, None, None)
+    some, bg = d.limit(5), d.limit(12).select(*COLS)
+    got = {(r["k"], r["feature"]): r["phi"] for r in X.tree_shapley(model, some, "k", bg).collect()}
+    back = np.array([[np.nan if v is None else v for v in r] for r in bg.collect()])
+    for r in some.collect():
+        row = np.array([np.nan if r[c] is None else r[c] for c in COLS])
+
+        def worth(taken, row=row):
+            mix = back.copy()
+            mix[:, list(taken)] = row[list(taken)]
+            return model.predict(mix).mean()
+        for i, c in enumerate(COLS):
+            rest = [j for j in range(4) if j != i]
+            phi = sum(math.factorial(len(s)) * math.factorial(3 - len(s)) / 24 * (worth((*s, i)) - worth(s))
+                      for n in range(4) for s in itertools.combinations(rest, n))
+            assert got[r["k"], c] == pytest.approx(phi, abs=1e-9)
+    with pytest.raises(ValueError, match="components"):
+        X.tree_shapley(TF.fit_trees(m, kind, params, None, 2), some, "k", bg)

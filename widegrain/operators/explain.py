@@ -8,10 +8,11 @@ goes through ``model.transform`` once; metrics come from one ``groupBy``.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .ranking import seeded_rank
@@ -21,31 +22,25 @@ def permuted_copies(df: DataFrame, features: Sequence[str], key: str, n_repeats:
                     seed: int | str = 42) -> DataFrame:
     """Rows x (feature, repeat) with that feature permuted.
 
-    The row at natural position i (rank of ``md5('<seed>:key')``) receives the
-    feature value of the row at position i of the permuted order
-    ``md5('<feature>:<repeat>:<seed>:key')`` — an exact random permutation per
-    (feature, repeat), computed with the skew-safe seeded rank.
+    In each repeat the row at natural position i (rank of ``md5('<seed>:key')``)
+    meets the row at position i of the order ``md5('<repeat>:<seed>:key')``, an
+    exact random permutation computed with the skew-safe seeded rank. Only
+    rows x repeats are shuffled: the donor brings all its features at once, and
+    the copies with one feature taken from it are made after the join.
     """
     features = list(features)
     n = df.count()
-    names = F.array(*[F.lit(f) for f in features])
-    # (feature index, repeat) pairs: integer keys for the windows and the join
-    reps = F.array(*[F.struct(F.lit(i).alias("__fi"), F.lit(r).alias("perm_repeat"))
-                     for i in range(len(features)) for r in range(n_repeats)])
-    base = seeded_rank(df, [key], seed, rank_col="__pos", n_rows=n)
-    rep = base.select("*", F.explode(reps).alias("__fr")).select("*", "__fr.*").drop("__fr")
-    # donors straight from the input: (key, feature, repeat, value), ranked per (feature, repeat)
-    value = F.element_at(F.array(*[F.col(f).cast("double") for f in features]), F.col("__fi") + 1)
-    donors = (df.select(key, *features, F.explode(reps).alias("__fr")).select(key, *features, "__fr.*")
-              .select(key, "__fi", "perm_repeat", value.alias("__val")))
-    order = F.md5(F.concat_ws(":", F.element_at(names, F.col("__fi") + 1), F.col("perm_repeat").cast("string"),
-                              F.lit(str(seed)), F.col(key).cast("string")))
-    donors = seeded_rank(donors, [key], seed, partition_cols=["__fi", "perm_repeat"], rank_col="__pos",
-                         check_unique=False, order_expr=order, n_rows=n,
-                         n_groups=len(features) * n_repeats).drop(key)
-    j = rep.join(donors, ["__fi", "perm_repeat", "__pos"], "inner")
+    repeats = F.explode(F.sequence(F.lit(0), F.lit(n_repeats - 1))).alias("perm_repeat")
+    rep = seeded_rank(df, [key], seed, rank_col="__pos", n_rows=n).select("*", repeats)
+    donors = df.select(key, *[F.col(f).cast("double").alias(f"__d{i}") for i, f in enumerate(features)], repeats)
+    order = F.md5(F.concat_ws(":", F.col("perm_repeat").cast("string"), F.lit(str(seed)), F.col(key).cast("string")))
+    donors = seeded_rank(donors, [key], seed, partition_cols=["perm_repeat"], rank_col="__pos", check_unique=False,
+                         order_expr=order, n_rows=n, n_groups=n_repeats).drop(key)
+    j = rep.join(donors, ["perm_repeat", "__pos"], "inner").select(
+        "*", F.explode(F.array(*[F.lit(i) for i in range(len(features))])).alias("__fi"))
     idx = {f: i for i, f in enumerate(features)}
-    return j.select(*[F.when(F.col("__fi") == idx[f], F.col("__val")).otherwise(F.col(f).cast("double")).alias(f)
+    names = F.array(*[F.lit(f) for f in features])
+    return j.select(*[F.when(F.col("__fi") == idx[f], F.col(f"__d{idx[f]}")).otherwise(F.col(f).cast("double")).alias(f)
                       if f in idx else F.col(f) for f in df.columns],
                     F.element_at(names, F.col("__fi") + 1).alias("perm_feature"), "perm_repeat")
 
@@ -99,13 +94,80 @@ def shapley_values(model, df: DataFrame, features: Sequence[str], key: str, back
     hyb = d.select(key, "__perm", "__k", "__bg_id", "__order",
                    *[F.when(F.col("__k") > 0, F.when(inS[j], F.col(f)).otherwise(F.col(f"__z{j}")))
                      .otherwise(F.col(f"__z{j}")).alias(f) for j, f in enumerate(features)])
-    scored = model.transform(hyb).select(key, "__perm", "__k", "__bg_id", "__order", F.col(pred).alias("__f"))
-    w = Window.partitionBy(key, "__perm", "__bg_id").orderBy("__k")
-    diffs = scored.withColumn("__d", F.col("__f") - F.lag("__f").over(w)).where(F.col("__k") > 0)
+    scored = model.transform(hyb).select(key, "__perm", "__k", "__order", F.col(pred).alias("__f"))
+    # the background is averaged where the copies are made: what is shuffled is one row per (row, permutation)
+    means = scored.groupBy(key, "__perm", "__order").agg(*[F.avg(F.when(F.col("__k") == k, F.col("__f"))).alias(f"__m{k}") for k in range(p + 1)])
     names = F.array(*[F.lit(f) for f in features])
-    diffs = diffs.select(key, F.element_at(names, F.element_at(F.col("__order"), F.col("__k")) + 1).alias("feature"),
-                         "__d")
-    return diffs.groupBy(key, "feature").agg(F.avg("__d").alias("phi"))
+    steps = F.explode(F.array(*[F.struct(F.element_at(names, F.col("__order")[k] + 1).alias("feature"),
+                                         (F.col(f"__m{k + 1}") - F.col(f"__m{k}")).alias("phi")) for k in range(p)])).alias("__s")
+    diffs = means.select(key, steps).select(key, "__s.*")
+    return diffs.groupBy(key, "feature").agg(F.avg("phi").alias("phi"))
+
+
+def tree_shapley(model, df: DataFrame, key: str, background: DataFrame) -> DataFrame:
+    """Exact interventional Shapley values of a ``treefits.TreeModel`` whose
+    trees stand on the features themselves (no PCA) (M22): (key, feature, phi).
+
+    A leaf is reached by a mix of a row x and a background row z if every
+    feature on its path is satisfied by the one it is taken from; with ``a``
+    features that only x satisfies and ``b`` that only z does, the leaf's value
+    counts for each of the former ``(a-1)! b! / (a+b)!`` and against each of
+    the latter ``a! (b-1)! / (a+b)!``. Background rows of one pattern of
+    satisfied features are counted together, so the work per row does not grow
+    with the background. The background is the caller's bounded sample.
+    """
+    names, weights = model.features, model.projection.weights
+    if any(np.count_nonzero(weights[:, i]) != 1 for i in range(weights.shape[1])):
+        raise ValueError("the trees stand on mixed components; use shapley_values")
+    of = [int(np.flatnonzero(weights[:, i])[0]) for i in range(weights.shape[1])]  # component -> feature
+    back = np.array([[np.nan if v is None else float(v) for v in r] for r in background.select(*names).collect()])
+    if not len(back):
+        raise ValueError("empty background")
+    leaves = list(model.leaves())
+    back_bins = model.bins(back)
+    share = 1.0 / (len(model.trees) if model.averaged else 1)
+
+    def inside(bins, lo, hi, component):
+        return (bins[:, component] > lo) & (bins[:, component] <= hi)
+
+    def attributed(x: np.ndarray) -> np.ndarray:
+        bins, out = model.bins(x), np.zeros((len(x), len(names)))
+        for value, path in leaves:  # path: component -> bins (lo, hi]
+            d = len(path)
+            if not d:
+                continue
+            codes = [sum(inside(b, lo, hi, c).astype(np.int64) << i for i, (c, (lo, hi)) in enumerate(path.items())) for b in (bins, back_bins)]
+            seen, counts = np.unique(codes[1], return_counts=True)
+            mine, at = np.unique(codes[0], return_inverse=True)
+            table = np.zeros((len(mine), d))
+            for r, m in enumerate(mine.tolist()):
+                for z, n in zip(seen.tolist(), counts.tolist(), strict=True):
+                    if m | z != (1 << d) - 1:
+                        continue
+                    only_x, only_z = m & ~z, z & ~m
+                    a, b = only_x.bit_count(), only_z.bit_count()
+                    if a + b == 0:
+                        continue
+                    whole = math.factorial(a + b)
+                    for i in range(d):
+                        if only_x >> i & 1:
+                            table[r, i] += n * math.factorial(a - 1) * math.factorial(b) / whole
+                        elif only_z >> i & 1:
+                            table[r, i] -= n * math.factorial(a) * math.factorial(b - 1) / whole
+            table *= value * share / len(back)
+            for i, c in enumerate(path):
+                out[:, of[c]] += table[at, i]
+        return out
+
+    def run(batches):
+        import pyarrow as pa
+        for b in batches:
+            x = np.column_stack([b.column(c).to_numpy(zero_copy_only=False).astype(float) for c in names])
+            yield pa.RecordBatch.from_arrays([b.column(key), pa.array(list(attributed(x)), pa.list_(pa.float64()))], names=[key, "phi"])
+
+    kind = df.schema[key].dataType.simpleString()
+    rows = df.select(key, *[F.col(c).cast("double").alias(c) for c in names]).mapInArrow(run, f"`{key}` {kind}, phi array<double>")
+    return rows.select(key, F.explode(F.arrays_zip(F.array(*map(F.lit, names)).alias("feature"), "phi")).alias("__s")).select(key, "__s.feature", "__s.phi")
 
 
 def mean_abs_attribution(phi: DataFrame) -> DataFrame:
@@ -138,5 +200,5 @@ def _active():
     return SparkSession.getActiveSession()
 
 
-__all__ = ["permuted_copies", "permutation_importance", "shapley_values", "mean_abs_attribution",
+__all__ = ["permuted_copies", "permutation_importance", "shapley_values", "tree_shapley", "mean_abs_attribution",
            "pca_loadings", "coefficient_table"]

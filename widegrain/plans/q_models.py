@@ -118,64 +118,100 @@ def largest_test_errors(spark, sf):
 
 _PI_FEATS = ["sum_qty", "avg_retail"]
 _PI_REPEATS = 15
-_OLS2 = f"""d AS {_OF},
-     c AS (SELECT covar_pop(sum_qty, sum_qty) AS s11, covar_pop(avg_retail, avg_retail) AS s22,
-                  covar_pop(sum_qty, avg_retail) AS s12, covar_pop(sum_qty, revenue) AS s1y,
-                  covar_pop(avg_retail, revenue) AS s2y, avg(sum_qty) AS m1, avg(avg_retail) AS m2,
-                  avg(revenue) AS my FROM d),
-     b AS (SELECT (s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12) AS b1,
-                  (s11 * s2y - s12 * s1y) / (s11 * s22 - s12 * s12) AS b2, m1, m2, my FROM c),
-     coef AS (SELECT b1, b2, my - b1 * m1 - b2 * m2 AS b0 FROM b)"""
-
-
-def _ols2_model(d):
-    pipe = Pipeline(stages=[VectorAssembler(inputCols=_PI_FEATS, outputCol="features"),
+
+
+def _swept_sql(features, table: str) -> str:
+    """CTEs ``z0..zp`` that sweep the covariances of ``features`` and the
+    revenue in ``table`` one feature at a time, and ``coef(b0, b1..bp)``, the
+    least-squares coefficients that stand in the last column."""
+    p = len(features)
+    cols = [*features, "revenue"]
+    every = [(i, j) for i in range(p + 1) for j in range(p + 1)]
+    ctes = ["z0 AS (SELECT " + ", ".join(f"covar_pop({cols[i]}, {cols[j]}) AS s{i}_{j}" for i, j in every)
+            + "".join(f", avg({c}) AS m{i}" for i, c in enumerate(cols)) + f" FROM {table})"]
+    for k in range(p):
+        def entry(i, j, k=k):
+            if i == k and j == k:
+                return f"1 / s{k}_{k}"
+            if i == k:
+                return f"s{k}_{j} / s{k}_{k}"
+            if j == k:
+                return f"-s{i}_{k} / s{k}_{k}"
+            return f"s{i}_{j} - s{i}_{k} * s{k}_{j} / s{k}_{k}"
+        ctes.append(f"z{k + 1} AS (SELECT " + ", ".join(f"{entry(i, j)} AS s{i}_{j}" for i, j in every)
+                    + "".join(f", m{i}" for i in range(p + 1)) + f" FROM z{k})")
+    slopes = "".join(f", s{i}_{p} AS b{i + 1}" for i in range(p))
+    ctes.append(f"coef AS (SELECT m{p} - " + " - ".join(f"s{i}_{p} * m{i}" for i in range(p)) + f" AS b0{slopes} FROM z{p})")
+    return ",\n     ".join(ctes)
+
+
+def _linear_sql(names) -> str:
+    return "b0 + " + " + ".join(f"b{i + 1} * {c}" for i, c in enumerate(names))
+
+
+_PI_COLS = ORDER_FEATURE_COLS
+_PI_SWAPPED = ",\n       ".join(
+    f"(SELECT '{f}' AS f, r, 1 - sum((revenue - ({_linear_sql([f'd_{c}' if c == f else c for c in _PI_COLS])})) ^ 2) / (count(*) * var_pop(revenue)) AS r2"
+    f" FROM pairs, coef GROUP BY r)" for f in _PI_COLS).replace(",\n       (SELECT", "\n       UNION ALL (SELECT")
+
+
+def _ols_model(d, features):
+    pipe = Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features"),
                             MP.make_regressor("linear", "features", "revenue")])
     return pipe.fit(d)
 
 
 @register("permutation_importance_orders", "M21", sql=f"""
-WITH {_OLS2},
+WITH d AS {_OF},
+     {_swept_sql(_PI_COLS, 'd')},
      nat AS (SELECT *, row_number() OVER (ORDER BY md5('42:' || CAST(l_orderkey AS VARCHAR))) AS pos FROM d),
-     reps AS (SELECT f, CAST(r AS INTEGER) AS r FROM (VALUES ('sum_qty'), ('avg_retail')) a(f), range({_PI_REPEATS}) t(r)),
-     don AS (SELECT f, r, CASE WHEN f = 'sum_qty' THEN sum_qty ELSE avg_retail END AS val,
-                    row_number() OVER (PARTITION BY f, r ORDER BY md5(f || ':' || CAST(r AS VARCHAR) || ':42:' || CAST(l_orderkey AS VARCHAR))) AS pos
-             FROM nat, reps),
-     perm AS (SELECT reps.f, reps.r, nat.revenue,
-                     CASE WHEN reps.f = 'sum_qty' THEN don.val ELSE nat.sum_qty END AS x1,
-                     CASE WHEN reps.f = 'avg_retail' THEN don.val ELSE nat.avg_retail END AS x2
-              FROM nat, reps, don WHERE don.f = reps.f AND don.r = reps.r AND don.pos = nat.pos),
-     base AS (SELECT 1 - sum((revenue - (b0 + b1 * sum_qty + b2 * avg_retail)) ^ 2) / (count(*) * var_pop(revenue)) AS r2
-              FROM d, coef),
-     per AS (SELECT f, r, 1 - sum((revenue - (b0 + b1 * x1 + b2 * x2)) ^ 2) / (count(*) * var_pop(revenue)) AS r2
-             FROM perm, coef GROUP BY f, r)
+     don AS (SELECT CAST(t.r AS INTEGER) AS r, {', '.join(f'{c} AS d_{c}' for c in _PI_COLS)},
+                    row_number() OVER (PARTITION BY t.r ORDER BY md5(CAST(t.r AS VARCHAR) || ':42:' || CAST(l_orderkey AS VARCHAR))) AS pos
+             FROM d, range({_PI_REPEATS}) t(r)),
+     pairs AS (SELECT nat.*, don.* EXCLUDE (pos) FROM nat JOIN don ON nat.pos = don.pos),
+     base AS (SELECT 1 - sum((revenue - ({_linear_sql(_PI_COLS)})) ^ 2) / (count(*) * var_pop(revenue)) AS r2 FROM d, coef),
+     per AS ({_PI_SWAPPED})
 SELECT f AS feature, round(avg(base.r2 - per.r2), 6) AS importance_mean,
        round(stddev_pop(base.r2 - per.r2), 6) AS importance_std
 FROM per, base GROUP BY f
 """)
 def permutation_importance_orders(spark, sf):
-    d = cut_lineage(order_features(spark, sf).select("l_orderkey", "revenue", *_PI_FEATS))
-    model = _ols2_model(d)
-    summ, _ = X.permutation_importance(model, d, _PI_FEATS, "revenue", "l_orderkey", _PI_REPEATS, 42)
+    d = cut_lineage(order_features(spark, sf).select("l_orderkey", "revenue", *_PI_COLS))
+    summ, _ = X.permutation_importance(_ols_model(d, _PI_COLS), d, _PI_COLS, "revenue", "l_orderkey", _PI_REPEATS, 42)
     return summ.select("feature", rnd("importance_mean").alias("importance_mean"),
                        rnd("importance_std").alias("importance_std"))
 
 
 @register("shapley_linear_orders", "M22", sql=f"""
-WITH {_OLS2},
-     bg AS (SELECT avg(sum_qty) AS z1, avg(avg_retail) AS z2 FROM (
+WITH d AS {_OF},
+     {_swept_sql(_PI_COLS, 'd')},
+     bg AS (SELECT {', '.join(f'avg({c}) AS z_{c}' for c in _PI_COLS)} FROM (
               SELECT * FROM d QUALIFY row_number() OVER (ORDER BY md5('42:' || CAST(l_orderkey AS VARCHAR))) <= 100))
-SELECT 'sum_qty' AS feature, round(avg(abs(b1 * (sum_qty - z1))), 4) AS mean_abs_phi FROM d, coef, bg
-UNION ALL SELECT 'avg_retail', round(avg(abs(b2 * (avg_retail - z2))), 4) FROM d, coef, bg
+{' UNION ALL '.join(f"SELECT '{c}' AS feature, round(avg(abs(b{i + 1} * ({c} - z_{c}))), 4) AS mean_abs_phi FROM d, coef, bg" for i, c in enumerate(_PI_COLS))}
 """)
 def shapley_linear_orders(spark, sf):
-    d = cut_lineage(order_features(spark, sf).select("l_orderkey", "revenue", *_PI_FEATS))
-    model = _ols2_model(d)
+    d = cut_lineage(order_features(spark, sf).select("l_orderkey", "revenue", *_PI_COLS))
     bg = R.seeded_sample(d, ["l_orderkey"], 100, 42)
-    phi = X.shapley_values(model, d, _PI_FEATS, "l_orderkey", bg, n_permutations=1, seed=42)
+    phi = X.shapley_values(_ols_model(d, _PI_COLS), d, _PI_COLS, "l_orderkey", bg, n_permutations=1, seed=42)
     return X.mean_abs_attribution(phi).select("feature", F.round("mean_abs_phi", 4).alias("mean_abs_phi"))
 
 
+@register("shapley_trees_orders", "M22,M15")
+def shapley_trees_orders(spark, sf):
+    """Boosted trees on the five features: mean |phi|, and how far the sum of a
+    row's values is from its prediction less the background's mean."""
+    m = FF.fold_moments(R.kfold_assign(order_features(spark, sf), ["l_orderkey"], 5, 42), _PI_COLS, "revenue", "fold")
+    model = TF.fit_trees(m, "gbt", {**MP.DEFAULTS["gbt"], "n_estimators": 100}, None, None)
+    d = cut_lineage(order_features(spark, sf).select("l_orderkey", *_PI_COLS))
+    bg = R.seeded_sample(d, ["l_orderkey"], 100, 42)
+    phi = cut_lineage(X.tree_shapley(model, d, "l_orderkey", bg))
+    mean = float(model.transform(bg).agg(F.avg("prediction")).first()[0])
+    gap = (phi.groupBy("l_orderkey").agg(F.sum("phi").alias("s")).join(model.transform(d).select("l_orderkey", "prediction"), "l_orderkey")
+           .agg(F.max(F.abs(F.col("s") - F.col("prediction") + mean)).alias("largest_gap")))
+    return X.mean_abs_attribution(phi).crossJoin(F.broadcast(gap)).select("feature", rnd("mean_abs_phi").alias("mean_abs_phi"),
+                                                                          (F.col("largest_gap") < 1e-6).alias("adds_up"))
+
+
 # ---- rows-only model-selection queries (no SQL twin: fitted ML models) ---- #
 
 def _folded(spark, sf):
