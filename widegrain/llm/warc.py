@@ -27,14 +27,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 _SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # fixed value: the URL name space of RFC 4122
-_SILENT = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|template|noscript)\b[^>]*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
-_BREAK = re.compile(r"</?(?:address|article|aside|blockquote|br|dd|div|dl|dt|fieldset|figure|footer|form|h[1-6]|header|hr|"
-                    r"li|main|nav|ol|p|pre|section|table|td|th|title|tr|ul)\b[^>]*>", re.I)
-_TAG = re.compile(r"<[A-Za-z/!?][^>]*(?:>|\Z)")
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
-_LANG = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z-]+)", re.I)
-_CHARSET = re.compile(r"<meta\b[^>]*?\bcharset\s*=\s*[\"']?([\w-]+)", re.I)
-_HREF = re.compile(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
+_SILENT = ("script", "style", "template", "noscript")  # elements whose content is not read
+_BREAKS = frozenset("address article aside blockquote br dd div dl dt fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr "
+                    "li main nav ol p pre section table td th title tr ul".split())  # elements that end a line
+_CLOSED = {name: re.compile(rf"</{name}\s*>", re.I) for name in _SILENT}
+_NAME = re.compile(r"</?([A-Za-z][\w]*)")
+_LANG = re.compile(r"\blang\s*=\s*[\"']?([A-Za-z-]+)", re.I)
+_CHARSET = re.compile(r"\bcharset\s*=\s*[\"']?([\w-]+)", re.I)
+_HREF = re.compile(r"\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
 _BLANKS = re.compile(r"[ \t\r\f\v ]+")
 
 
@@ -50,30 +50,87 @@ def one_line(text: str) -> str:
     return " ".join(text.split())
 
 
+def scan(payload: str):
+    """``(kind, name, start, end)`` of the pieces of a page, in order: ``text``,
+    ``open`` and ``close`` tags by name, and ``silent`` pieces (comments, and
+    scripts and the like with their content). Every character is visited a
+    bounded number of times: the search for an end goes forward only, and a
+    piece without an end takes the rest of the page."""
+    at, size = 0, len(payload)
+    while at < size:
+        start = payload.find("<", at)
+        if start < 0:
+            yield "text", "", at, size
+            return
+        if start > at:
+            yield "text", "", at, start
+        if payload.startswith("<!--", start):
+            end = payload.find("-->", start + 4)
+            at = size if end < 0 else end + 3
+            yield "silent", "", start, at
+            continue
+        mark = payload[start + 1:start + 2]
+        if not (mark.isascii() and mark.isalpha() or mark in ("/", "!", "?")):
+            yield "text", "", start, start + 1
+            at = start + 1
+            continue
+        end = payload.find(">", start)
+        at = size if end < 0 else end + 1
+        found = _NAME.match(payload, start, at)
+        name = found[1].lower() if found else ""
+        if name in _CLOSED and mark != "/" and end >= 0:
+            closed = _CLOSED[name].search(payload, at)
+            at = closed.end() if closed else size
+            yield "silent", name, start, at
+        else:
+            yield ("close" if mark == "/" else "open"), name, start, at
+
+
 def visible_text(payload: str) -> str:
     """The text a reader sees: scripts, styles and comments go, block tags end
     lines, entities are resolved, blanks are collapsed, empty lines go."""
-    text = _TAG.sub("", _BREAK.sub("\n", _SILENT.sub(" ", payload)))
-    lines = (_BLANKS.sub(" ", x).strip() for x in html.unescape(text).split("\n"))
+    out = []
+    for kind, name, start, end in scan(payload):
+        if kind == "text":
+            out.append(payload[start:end])
+        elif kind == "silent":
+            out.append(" ")
+        elif name in _BREAKS:
+            out.append("\n")
+    lines = (_BLANKS.sub(" ", x).strip() for x in html.unescape("".join(out)).split("\n"))
     return "\n".join(x for x in lines if x)
 
 
 def page_fields(payload: str, uri: str) -> list[tuple[str, str]]:
-    """Title, language, charset and links of a page, links in order, once each."""
-    bare = _SILENT.sub(" ", payload)
-    out = []
-    for name, pattern in (("title", _TITLE), ("language", _LANG), ("charset", _CHARSET)):
-        found = pattern.search(bare)
-        if found and one_line(html.unescape(found[1])):
-            out.append((name, one_line(html.unescape(found[1]))))
-    links = {}
-    for found in _HREF.finditer(bare):
-        href = one_line(html.unescape(found[1] or found[2] or found[3] or ""))
+    """Title, language, charset and links of a page, links in order, once
+    each. The title is what stands between the first pair of title tags, tags
+    included; language and charset are those of the first tag that has one."""
+    found: dict[str, str] = {}
+    links: dict[str, None] = {}
+    title: list[str] | None = None
+    for kind, name, start, end in scan(payload):
+        if name == "title" and kind == "open" and title is None:
+            title = []
+        elif name == "title" and kind == "close" and title is not None:
+            found.setdefault("title", "".join(title))
+        elif title is not None and "title" not in found:
+            title.append(" " if kind == "silent" else payload[start:end])
+        if kind != "open" or name not in ("html", "meta", "a"):
+            continue
+        field, pattern = {"html": ("language", _LANG), "meta": ("charset", _CHARSET), "a": ("href", _HREF)}[name]
+        got = pattern.search(payload, start, end) if field not in found else None
+        if got is None:
+            continue
+        if field != "href":
+            found[field] = got[1]
+            continue
+        href = one_line(html.unescape(got[1] or got[2] or got[3] or ""))
         try:
             links[urljoin(uri, href) if href else ""] = None
         except ValueError:  # not a URL
             links[href] = None
-    return out + [("outlink", one_line(x)) for x in links if x]
+    out = [(name, one_line(html.unescape(found[name]))) for name in ("title", "language", "charset") if name in found]
+    return [x for x in out if x[1]] + [("outlink", one_line(x)) for x in links if x]
 
 
 def responses(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
