@@ -60,8 +60,12 @@ def co_train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
     * null text counts as the empty one, null metadata as an empty value;
     * an id with several labels takes the lowest; null labels do not count;
-    * labels of one class only, or none: every score is their share (0.5
-      without labels) and every row is kept;
+    * a fifth of the labelled ids, by a hash, is set aside for calibration; a
+      class that has none of it, or nothing else, moves its id of the smallest
+      hash to the other side;
+    * labels of one class only, or none, or a class with a single labelled id:
+      every score is the share of good labels (0.5 without labels) and every
+      row is kept;
     * null and repeated ids: every row is scored by its own content; other
       columns play no part; an empty table gives no rows.
     """
@@ -78,6 +82,13 @@ def co_train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     seen = rows.where("label IS NOT NULL").groupBy("label", "aside").count().collect()  # four rows at most
     n = sum(r["count"] for r in seen)
     prior = sum(r["count"] * r["label"] for r in seen) / n if n else 0.5
+    for label in {r["label"] for r in seen if sum(x["label"] == r["label"] for x in seen) == 1}:
+        own = F.coalesce(F.col("label") == label, F.lit(False))
+        hashed = F.xxhash64("__id")
+        least = rows.where(own).agg(F.min(hashed).alias("first"), F.max(hashed).alias("last")).first()
+        if least["first"] != least["last"]:
+            rows = rows.withColumn("aside", F.col("aside") != (own & (hashed == least["first"])))
+            seen.append({"label": label, "moved": True})
     if len(seen) < 4:
         return rows.select(F.col("__id").alias(id_col), *[F.lit(prior).alias(c) for c in ("text_score", "meta_score", "score")],
                            F.lit(True).alias("kept"))
