@@ -6,6 +6,8 @@ import math
 import random
 import re
 
+import pytest
+
 from widegrain.llm import co_training, personal_data, quality_rules, text_stats, topk_search, warc
 
 
@@ -184,6 +186,105 @@ def test_added_spans_of_hidden_formats(spark):
         assert {("email", planted[k]), ("phone", phones[k])} <= added if k >= 0 else not added, (text, added)
 
 
+def _hidden_table(share, n=400):
+    """``n`` strict addresses, decoy texts, and hidden addresses and phones in
+    ``share`` percent of all that the kind has."""
+    rnd = random.Random(9)
+
+    def word():
+        return "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randrange(4, 9)))
+
+    def phone():
+        return f"{rnd.randrange(1, 99)} ({rnd.randrange(100, 999)}) {rnd.randrange(100, 999)}-{rnd.randrange(1000, 9999)}"
+
+    texts, hidden = [], {}
+    for _ in range(n):
+        texts.append(f"{word()} {word()} write to {word()}.{word()}@{word()}.com or phone +{phone()} {word()}")
+        texts.append(f"{word()} sold {rnd.randrange(2, 99)} @ {rnd.randrange(2, 99)}.{rnd.randrange(10, 99)} each, order id "
+                     f"{rnd.randrange(10**8, 10**9)} {word()}, version 1.{rnd.randrange(9)}.{rnd.randrange(20)}")
+    for _ in range(max(2, round(n * share / (100 - share)))):
+        e = f"{word()}.{word()}{rnd.choice([' [at] ', '(at)', ' @ ', ' (at) '])}{word()}.org"
+        p = phone()
+        hidden[len(texts)] = {("email", e), ("phone", p)}
+        texts.append(f"{word()} please write to {e} or phone {p} today")
+    return texts, hidden
+
+
+@pytest.mark.parametrize("share", [0.5, 10, 50])
+def test_hidden_spans_are_found_however_many_there_are(spark, share):
+    texts, hidden = _hidden_table(share)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found, wrong = 0, []
+    for r in personal_data.find_personal_data(docs).collect():
+        text, base = texts[r["doc_id"]], {(s["kind"], s["start"], s["end"]) for s in r["base"]}
+        added = {(s["kind"], text[s["start"]:s["end"]]) for s in r["spans"] if (s["kind"], s["start"], s["end"]) not in base}
+        want = hidden.get(r["doc_id"], set())
+        found += len(added & want)
+        wrong += sorted(added - want)
+    total = sum(map(len, hidden.values()))
+    assert found >= 0.95 * total and len(wrong) <= 0.02 * total, (found, total, wrong[:5])
+
+
+def test_hostile_pages_are_scanned_once():
+    import time
+    for piece in ("<a ", "<title>", "<html ", "<meta ", "<script ", "<!--", "<p", "</", "<", "<a href='", "<script>", "&amp", "<a href=", "<title></title"):
+        page = piece * (1_000_000 // len(piece))
+        t0 = time.perf_counter()
+        warc.visible_text(page)
+        warc.page_fields(page, "http://e.org")
+        assert time.perf_counter() - t0 < 6, piece
+
+
+def _page_by_hand(page):
+    """Fields and text of a page by a plain walk over its characters."""
+    import html
+    text, tags, i = "", [], 0
+    while i < len(page):
+        if page[i] != "<" or i + 1 == len(page) or not (page[i + 1].isascii() and page[i + 1].isalpha() or page[i + 1] in "/!?"):
+            text, i = text + page[i], i + 1
+        elif page.startswith("<!--", i):
+            end = page.find("-->", i + 4)
+            text, i = text + " ", len(page) if end < 0 else end + 3
+        else:
+            end = page.find(">", i)
+            tag, after = page[i:] if end < 0 else page[i:end + 1], len(page) if end < 0 else end + 1
+            name = re.match(r"</?([A-Za-z]\w*)", tag)
+            name = name[1].lower() if name else ""
+            if name in ("script", "style") and tag[1] != "/" and end >= 0:
+                closed = re.search(rf"</{name}\s*>", page[after:], re.I)
+                text, i = text + " ", len(page) if closed is None else after + closed.end()
+                continue
+            tags.append((tag, name))
+            text, i = text + ("\n" if name in ("p", "br", "title", "div", "li") else ""), after
+    lines = [re.sub("[ \t\r\f\v]+", " ", x).strip() for x in html.unescape(text).split("\n")]
+    links = [m[1] for t, n in tags if n == "a" and t[1] != "/" for m in [re.search(r'\bhref\s*=\s*"([^"]*)"', t, re.I)] if m]
+    return "\n".join(x for x in lines if x), list(dict.fromkeys(x for x in links if x))
+
+
+def test_pages_equal_a_plain_walk():
+    rnd = random.Random(3)
+    pieces = ["<p>", "</p>", "<br>", "text ", "a &amp; b", "<a href=\"http://e.org/1\">", "<A HREF=\"http://e.org/2\" x>", "</a>", "<!-- c -->", "<!--", "-->",
+              "<script>", "</script>", "<style x>", "</STYLE >", "<", ">", "<3", "<div", " class=\"y\">", "<title>", "</title>", "\n", "é", "<?x?>", "<!DOCTYPE html>"]
+    for _ in range(3000):
+        page = "".join(rnd.choice(pieces) for _ in range(rnd.randrange(0, 16)))
+        text, links = _page_by_hand(page)
+        assert warc.visible_text(page) == text, page
+        assert [v for k, v in warc.page_fields(page, "") if k == "outlink"] == links, page
+
+
+def test_co_training_with_few_labels_of_a_class(spark):
+    rnd = random.Random(8)
+    good, bad = "the harvest of the valley was counted by the old miller".split(), "zz xq 00 ## kk jj".split()
+    docs = [(i, " ".join(rnd.choices(good if i % 2 else bad, k=40)), "web", "en", 200) for i in range(300)]
+    labels = [(i, 0) for i in (2, 4, 6)] + [(i, 1) for i in range(1, 200, 2)]
+    d = spark.createDataFrame(docs, "doc_id long, text string, source string, lang string, n_chars long")
+    lab = spark.createDataFrame(labels, "doc_id long, quality int")
+    got = {r["doc_id"]: r["kept"] for r in co_training.co_train(d, lab).collect()}
+    assert sum(got[i] for i in got if i % 2) >= 140 and sum(got[i] for i in got if i % 2 == 0) <= 10
+    one = co_training.co_train(d, lab.where("quality = 1 OR doc_id = 2")).collect()
+    assert len({r["score"] for r in one}) == 1 and all(r["kept"] for r in one)
+
+
 def test_redaction(spark):
     docs = spark.createDataFrame([(1, "é write to a.b@c.de or +1 (234) 555-6789.", 5), (2, "nothing", 6), (3, None, 7)],
                                  "doc_id long, text string, spans int")
