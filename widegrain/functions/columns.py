@@ -63,6 +63,11 @@ def source_catalog(spark: SparkSession, sources: Mapping[str, Sequence[str]],
     return spark.createDataFrame(rows, "source string, column string, position int")
 
 
+def source_counts(catalog: DataFrame) -> DataFrame:
+    """Columns per source (P15): (source, n)."""
+    return catalog.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+
+
 def family_prune(columns: Sequence[str], prefixes: Sequence[str] = ("la", "tract"),
                  keep_any: Sequence[str] = ("share", "Tract"),
                  drop_any: Sequence[str] = ("number",),

@@ -31,6 +31,7 @@ class MissingPolicy:
     structural_prefixes: tuple[str, ...] = ("la",)
     structural_fill: float = 0.0
     indicator_suffix: str = "_is_missing"
+    indicate_between: bool = False  # the written policy: an indicator for genuine gaps from median_below to drop_at
 
     def is_structural(self, name: str) -> bool:
         return any(name.lower().startswith(p.lower()) for p in self.structural_prefixes)
@@ -116,7 +117,9 @@ def tiered_clean(df: DataFrame, group: str | Sequence[str], policy: MissingPolic
     * null share >= ``drop_at`` -> drop the column;
     * structural (name prefix) with 0 < p < ``drop_at`` -> fill ``structural_fill``;
     * other numeric with 0 < p < ``median_below`` -> group median (W1);
-    * everything else (20-60 % genuine, non-numeric) untouched.
+    * everything else (20-60 % genuine, non-numeric) untouched; with the
+      policy's ``indicate_between``, the genuine numeric ones get an indicator
+      column at the end.
     """
     shares = null_shares(df)
     prot = set(protect) | ({group} if isinstance(group, str) else set(group))
@@ -126,8 +129,11 @@ def tiered_clean(df: DataFrame, group: str | Sequence[str], policy: MissingPolic
     structural = [c for c in keep if c not in prot and policy.is_structural(c) and 0 < shares[c] < policy.drop_at]
     genuine = [c for c in keep if c not in prot and c not in structural and c in numeric
                and 0 < shares[c] < policy.median_below]
+    between = [c for c in keep if policy.indicate_between and c not in prot and c not in structural and c in numeric
+               and policy.median_below <= shares[c] < policy.drop_at]
     d = df.select(*[F.coalesce(F.col(c), F.lit(policy.structural_fill).cast(dict(df.dtypes)[c])).alias(c)
-                    if c in structural else F.col(c) for c in keep])
+                    if c in structural else F.col(c) for c in keep],
+                  *[F.col(c).isNull().cast("int").alias(f"{c}{policy.indicator_suffix}") for c in between])
     return group_median_fill(d, genuine, group)
 
 
@@ -162,17 +168,28 @@ def reliability_expand(df: DataFrame, flag_suffix: str = "_flag", raw_suffix: st
     return df.select(*base, *extra)
 
 
+def column_roles(name: str, metadata_terms: Sequence[str], indicator_terms: Sequence[str]) -> set[str]:
+    """The roles of a column of an expanded flagged table, by its name:
+    ``metadata``, ``indicator``, both, or otherwise ``feature``."""
+    roles = set()
+    if any(term in name for term in metadata_terms):
+        roles.add("metadata")
+    if any(term in name for term in indicator_terms):
+        roles.add("indicator")
+    return roles or {"feature"}
+
+
 def split_metadata(df: DataFrame, key: str,
                    metadata_terms: Sequence[str] = ("cilow", "cihigh", "numerator", "denominator"),
                    indicator_terms: Sequence[str] = ("_suppressed", "_unreliable")) -> tuple[DataFrame, DataFrame]:
     """Vertical split (I5) into (metadata, features): metadata columns contain
     one of ``metadata_terms``; features are the rest, flag indicators last."""
-    terms = [("metadata", t) for t in metadata_terms] + [("indicator", t) for t in indicator_terms]
-    roles: dict[str, list[str]] = {"metadata": [], "feature": [], "indicator": []}
-    for name in df.columns:
-        for role in {r for r, term in terms if term in name} or ({"feature"} - {"feature" if name == key else ""}):
-            roles[role].append(name)
-    return df.select(key, *roles["metadata"]), df.select(key, *roles["feature"], *roles["indicator"])
+    roles = {c: column_roles(c, metadata_terms, indicator_terms) for c in df.columns if c != key}
+
+    def having(role):
+        return [c for c, own in roles.items() if role in own]
+
+    return df.select(key, *having("metadata")), df.select(key, *having("feature"), *having("indicator"))
 
 
 def indicator_impute(df: DataFrame, cols: Sequence[str] | None = None, policy: MissingPolicy = MissingPolicy(),
@@ -209,15 +226,16 @@ def indicator_impute(df: DataFrame, cols: Sequence[str] | None = None, policy: M
 
 
 def indicator_impute_one(df: DataFrame, col: str, sentinel: float = -1.0, suffix: str = "_is_missing",
-                         sentinel_in_median: bool = True) -> DataFrame:
+                         sentinel_in_median: bool = True, indicator: str | None = None) -> DataFrame:
     """The named-column variant (I4): indicator and fill for one column, the
-    median taken over all non-null values **including** sentinels (quirk Q3)."""
+    median taken over all non-null values **including** sentinels (quirk Q3).
+    The indicator is named ``indicator``, or the column's name with ``suffix``."""
     med = global_medians(df, [col], exclude_value=None if sentinel_in_median else sentinel)[col]
     x = F.col(col)
     miss = x.isNull() | (x == F.lit(sentinel))
     t = filled_type(dict(df.dtypes)[col])
     cols = [F.when(miss, F.lit(med).cast(t)).otherwise(x.cast(t)).alias(col) if c == col else F.col(c) for c in df.columns]
-    return df.select(*cols, miss.cast("int").alias(f"{col}{suffix}"))
+    return df.select(*cols, miss.cast("int").alias(indicator or f"{col}{suffix}"))
 
 
 def recode_columns(df: DataFrame, cols: Sequence[str], mapping: Mapping) -> DataFrame:

@@ -273,6 +273,36 @@ def rollup_checks(fine: DataFrame, coarse: DataFrame, key: str, weight: str,
     return out.withColumn("ok", F.abs(F.col("observed") - F.col("expected")) <= 1e-6 * F.greatest(F.lit(1.0), F.abs(F.col("expected"))))
 
 
+def cleaning_checks(before: DataFrame, after: DataFrame, key: str, filled: Sequence[str], untouched: Sequence[str]) -> DataFrame:
+    """Validation of a cleaned table against its input (A22) as rows (check,
+    observed, expected, ok): row count kept, no nulls left in the ``filled``
+    columns, and values of ``untouched`` columns, and those of ``filled`` ones
+    that were not null, equal by key (which must be unique)."""
+    sides = [df.select(F.col(key).alias("__k"), F.lit(i).alias("__side"), *[F.col(c).alias(f"__{j}") for j, c in enumerate([*untouched, *filled])])
+             for i, df in enumerate((before, after))]
+    cols = [f"__{j}" for j in range(len(untouched) + len(filled))]
+
+    def of(side, c):
+        return F.max(F.when(F.col("__side") == side, F.col(c)))
+
+    per_key = sides[0].unionByName(sides[1]).groupBy("__k").agg(
+        F.count_if(F.col("__side") == 0).alias("n0"), F.count_if(F.col("__side") == 1).alias("n1"),
+        *[x for c in cols for x in (of(0, c).alias(f"{c}_a"), of(1, c).alias(f"{c}_b"))])
+    changed = F.lit(False)
+    for c in cols[:len(untouched)]:
+        changed = changed | ~F.col(f"{c}_a").eqNullSafe(F.col(f"{c}_b"))
+    for c in cols[len(untouched):]:
+        changed = changed | F.coalesce(F.col(f"{c}_a") != F.col(f"{c}_b"), F.lit(False))
+    left = F.lit(0)
+    for c in cols[len(untouched):]:
+        left = left + F.col(f"{c}_b").isNull().cast("int")
+    a = per_key.agg(F.sum("n0").cast("double").alias("n0"), F.sum("n1").cast("double").alias("n1"), F.sum(left).cast("double").alias("left"),
+                    F.count_if(changed).cast("double").alias("changed"))
+    rows = _stack(["check", "observed", "expected"], [("rows_kept", F.col("n1"), F.col("n0")), ("nulls_left", F.col("left"), 0.0),
+                                                      ("values_changed", F.col("changed"), 0.0)])
+    return a.select(rows.alias("s")).select("s.*").withColumn("ok", F.col("observed") == F.col("expected"))
+
+
 def report_header(df: DataFrame, target: str, sources: dict | None = None, train: DataFrame | None = None,
                   test: DataFrame | None = None) -> DataFrame:
     """Report header counts (A29) as (metric, value) rows: rows, usable

@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .ranking import BROADCAST_ROW_LIMIT, pinned_count
+
 
 # --------------------------------------------------------------------------- #
 # A1 / A2 pivot
@@ -110,8 +112,38 @@ def weighted_rollup(df: DataFrame, key: Sequence[str] | str, weight: str,
 # J1-J7 joins
 # --------------------------------------------------------------------------- #
 
+def full_join_split(a: DataFrame, b: DataFrame, key: str, hot_rows: int = 1_000_000, salts: int = 16) -> DataFrame:
+    """Full outer join on ``key`` whose hot keys are taken out of it (J1): a
+    full outer join cannot be split by adaptive execution, so a key with more
+    than ``hot_rows`` rows on a side is joined apart. Where both sides have it,
+    every row matches, and an inner join on (key, salt) gives the product: the
+    side with more rows of the key is dealt over ``salts`` parts by a hash of
+    the row, the other one is copied to each. Where one side alone has it, its
+    rows pass with nulls. Rows without key pass on both sides."""
+    ca = a.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__a"))
+    cb = b.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__b"))
+    hot, n = pinned_count(ca.join(cb, key, "full").where((F.coalesce("__a", F.lit(0)) > hot_rows) | (F.coalesce("__b", F.lit(0)) > hot_rows)))
+    if n == 0:
+        return a.join(b, key, "full")
+    if n <= BROADCAST_ROW_LIMIT:
+        hot = F.broadcast(hot)
+    ha, hb = a.join(hot, key), b.join(hot, key)
+    cold = a.join(hot, key, "left_anti").join(b.join(hot, key, "left_anti"), key, "full")
+    larger_left = F.col("__a") >= F.col("__b")
+    both = F.col("__a").isNotNull() & F.col("__b").isNotNull()
+    every = F.sequence(F.lit(0), F.lit(salts - 1))
+
+    def salted(side, own, dealt):
+        part = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in own.columns]), F.lit(salts)).cast("int")
+        return side.where(both).withColumn("__salt", F.explode(F.when(dealt, F.array(part)).otherwise(every))).drop("__a", "__b")
+
+    product = salted(ha, a, larger_left).join(salted(hb, b, ~larger_left), [key, "__salt"]).drop("__salt")
+    lone = ha.where(F.col("__b").isNull()).drop("__a", "__b").unionByName(hb.where(F.col("__a").isNull()).drop("__a", "__b"), allowMissingColumns=True)
+    return cold.unionByName(product).unionByName(lone, allowMissingColumns=True).select(*cold.columns)
+
+
 def outer_merge(frames: Sequence[DataFrame], key: str, reconcile: bool = True,
-                sort: bool = False, method: str = "join") -> DataFrame:
+                sort: bool = False, method: str = "split", hot_rows: int = 1_000_000) -> DataFrame:
     """N-way full outer equi-join on one key, folded left to right.
 
     Rows with a null key are dropped before the merge (the reference drops them
@@ -119,8 +151,10 @@ def outer_merge(frames: Sequence[DataFrame], key: str, reconcile: bool = True,
     several inputs are reconciled into one column keeping the first non-null
     value in input order (P22). Sorting is left to the sink (``sort=True``).
 
-    ``method="join"`` folds full outer joins (pandas merge semantics, including
-    the product of duplicate keys); Spark re-shuffles the growing result before
+    ``method="split"`` (default) and ``"join"`` fold full outer joins (pandas
+    merge semantics, including the product of duplicate keys); ``split`` takes
+    keys of more than ``hot_rows`` rows out of the join (``full_join_split``).
+    Spark re-shuffles the growing result before
     each next join because a full outer join's coalesced key has no known
     partitioning. ``method="union"`` is for inputs whose key is unique per
     input: one ``unionByName`` and one ``groupBy(key)`` — a single shuffle of
@@ -151,8 +185,12 @@ def outer_merge(frames: Sequence[DataFrame], key: str, reconcile: bool = True,
         merged = agg.select(F.when(too_many, F.raise_error(F.lit(f"key {key} repeats within an input; "
                                                                   "use method='join'")).cast(u.schema[key].dataType))
                             .otherwise(F.col(key)).alias(key), *value_cols)
-    else:
+    elif method == "split":
+        merged = reduce(lambda a, b: full_join_split(a, b, key, hot_rows), renamed)
+    elif method == "join":
         merged = reduce(lambda a, b: a.join(b, key, "full"), renamed)
+    else:
+        raise ValueError(f"unknown method {method!r}")
     if reconcile:
         out = [F.col(key)]
         for c in seen:

@@ -222,3 +222,10 @@ def spearman(df: DataFrame, a: str, b: str) -> DataFrame:
                   F.sum(y * y).alias("syy"), F.sum(x * y).alias("sxy")).select(
         F.col("n").cast("long").alias("n"),
         _r_from_sums(F.col("n"), F.col("sx"), F.col("sy"), F.col("sxx"), F.col("syy"), F.col("sxy")).alias("rho"))
+
+
+def pair_consistency(df: DataFrame, a: str, b: str) -> DataFrame:
+    """Pearson r between two estimates of one quantity on the rows that have
+    both (A30): (n, r)."""
+    both = F.col(a).isNotNull() & F.col(b).isNotNull()
+    return df.where(both).agg(F.count(F.lit(1)).alias("n"), F.corr(a, b).alias("r"))

@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import assert_no_target, binary_columns, family_prune, numeric_columns
+from ..functions.columns import align_features, assert_no_target, binary_columns, choice_filter, family_prune, numeric_columns
 from ..functions.keys import key_prefix, pad_key
 from ..functions.scalars import coerce_numeric, mean_of_two, row_argmax
 from ..operators import clean as C
@@ -22,6 +22,8 @@ from ..operators import profile as P
 from ..operators import ranking as R
 from ..operators import reshape as RS
 from ..operators import stats as S
+from ..session import cut_lineage
+from ..sources import io as IO
 
 
 # C1 ------------------------------------------------------------------------ #
@@ -91,14 +93,14 @@ def prepare_keyed(df: DataFrame, key: str, required: Sequence[str] = (), rename:
 
 # C5 ------------------------------------------------------------------------ #
 def merge_master(frames: Sequence[DataFrame], key: str, key_width: int = 5,
-                 method: str = "join") -> tuple[DataFrame, DataFrame]:
+                 method: str = "split") -> tuple[DataFrame, DataFrame]:
     """Master merge (C5): pad every key (P7), N-way full outer join with
     reconciled duplicate names (J1, P22), duplicate-key report (A17).
     Returns (master, duplicate keys); a warning is raised when any exist.
     ``method="union"`` merges in one shuffle when each source has one row per
     key (a repeated key then raises instead of warning)."""
     padded = [f.withColumn(key, pad_key(key, key_width)) for f in frames]
-    master = RS.outer_merge(padded, key, method=method)
+    master = cut_lineage(RS.outer_merge(padded, key, method=method))   # merged once, for the report and the caller
     dups = master.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     if dups.limit(1).count():
         warnings.warn("duplicate keys after the merge", stacklevel=2)
@@ -139,8 +141,10 @@ def split(df: DataFrame, key: str, target: str, test_fraction: float = 0.2, seed
 
 # C8 ------------------------------------------------------------------------ #
 def profile_report(df: DataFrame, target: str, key: str, k_top: int = 20, heat_k: int = 10,
-                   heat_by: str = "position") -> dict[str, DataFrame]:
-    """Data behind the profile report."""
+                   heat_by: str = "position", sources: Mapping[str, Sequence[str]] | None = None,
+                   train: DataFrame | None = None, test: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Data behind the profile report (C8); ``sources`` (columns per source),
+    ``train`` and ``test`` go into its header (A29)."""
     num = [c for c in numeric_columns(df) if c != key]
     prof = P.null_profile(df)
     corr = S.corr_with_target(df, target, num)
@@ -148,6 +152,7 @@ def profile_report(df: DataFrame, target: str, key: str, k_top: int = 20, heat_k
     strengths = {r["column_name"]: r["r"] for r in corr.collect()} if heat_by == "strength" else None
     heat = S.heatmap_columns(ordered, heat_k, target, heat_by, strengths)
     return {
+        "header": P.report_header(df, target, sources, train, test),
         "null_profile": prof,
         "missing_bins": P.tier_counts(prof, "right"),
         "overall_missing": P.overall_missing_pct(df),
@@ -166,13 +171,15 @@ def profile_report(df: DataFrame, target: str, key: str, k_top: int = 20, heat_k
 def model_report(train: DataFrame, test: DataFrame, features: Sequence[str], label: str, key: str,
                  candidates: Mapping[str, object], k: int = 5, seed: int = 42, n_repeats: int = 15,
                  n_background: int = 100, parallelism: int = 2, grids: Mapping[str, list] | None = None,
-                 baseline=None) -> dict[str, DataFrame]:
+                 baseline=None, save_to: str | None = None) -> dict[str, DataFrame]:
     """Data behind the modelling report (C9): CV of the candidates on
     identical folds (M18), tuning of the best over ``grids[name]`` (M19, as for
     ``grid_search``; none: it is refitted as it is) on all training rows,
     train/test scores (M28) beside those of the linear ``baseline`` pipeline
     (the candidate ``linear`` or the shared pipeline) and of the mean (M31), residual summary (A28), largest errors (W7), permutation
-    importance (M21), Shapley mean |φ| (M22) and their rank agreement (M23)."""
+    importance (M21), Shapley mean |φ| (M22) and their rank agreement (M23).
+    With ``save_to`` the chosen model is saved there, read back and checked
+    against itself on the test rows (S16, ``reload``)."""
     from ..models import pipeline as MP
     folded = R.kfold_assign(train, [key], k, seed)
     per_fold, summary = MP.cross_validate(folded, candidates, label, "fold", parallelism=parallelism)
@@ -190,6 +197,8 @@ def model_report(train: DataFrame, test: DataFrame, features: Sequence[str], lab
                                      "mae": F.lit(None).cast("double")})
     else:
         model = candidates[best].fit(train)
+    if save_to is not None:
+        tuned["reload"] = IO.verify_reload(model, save_to, test, label)
     pred_tr, pred_te = model.transform(train), model.transform(test)
     scores = MP.score_table({"train": pred_tr, "test": pred_te, "baseline_test": linear.transform(test),
                              "mean_baseline_test": MP.mean_baseline(train, test, label)}, label)
@@ -212,13 +221,24 @@ def model_report(train: DataFrame, test: DataFrame, features: Sequence[str], lab
 
 
 # C10 ----------------------------------------------------------------------- #
+def score_entities(model, df: DataFrame, features: Sequence[str], key: str, fill_absent: bool = False) -> DataFrame:
+    """Every entity scored by a fitted model (M20): its columns aligned to the
+    model's features (P16), then (key, prediction). A feature that is absent
+    raises unless ``fill_absent``, and so does a row that cannot be scored: no
+    prediction is replaced by an observed value."""
+    return model.transform(align_features(df, features, fill_absent, keep=[key])).select(key, "prediction")
+
+
 def entity_profile(a: DataFrame, b: DataFrame, key: str, fields: Sequence[str], driver_cols: Sequence[str],
-                   entity: str | None = None) -> dict[str, DataFrame]:
+                   entity: str | None = None, model=None, features: Sequence[str] = ()) -> dict[str, DataFrame]:
     """Entity explorer (C10): optional filter on one key value (P4, by key —
-    names are not unique), side-by-side comparison of two tables (J5, P14)
-    and the row-wise top driver among named columns (W9)."""
-    if entity is not None:
-        a, b = a.where(F.col(key) == entity), b.where(F.col(key) == entity)
+    names are not unique), side-by-side comparison of two tables (J5, P14),
+    the row-wise top driver among named columns (W9) and, with a ``model``, the
+    entity's score (M20)."""
+    a, b = choice_filter(a, {key: entity}), choice_filter(b, {key: entity})
     v, name = row_argmax(list(driver_cols))
-    return {"side_by_side": RS.side_by_side(a, b, key, fields),
-            "top_driver": a.select(key, v.alias("top_value"), name.alias("top_driver"))}
+    out = {"side_by_side": RS.side_by_side(a, b, key, fields),
+           "top_driver": a.select(key, v.alias("top_value"), name.alias("top_driver"))}
+    if model is not None:
+        out["score"] = score_entities(model, a, features, key)
+    return out

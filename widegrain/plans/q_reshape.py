@@ -90,6 +90,12 @@ FROM c FULL JOIN o USING (cust_key) FULL JOIN e USING (cust_key)
 WHERE cust_key IS NOT NULL
 """)
 def outer_merge_customer_sources(spark, sf):
+    m = outer_merge(customer_sources(spark, sf), "cust_key", method="union")   # keys unique per source (checked in-plan)
+    return m.withColumn("last_activity", F.date_format("last_activity", _TS))
+
+
+def customer_sources(spark, sf):
+    """Customers, and their orders and events added up, by padded key."""
     c = load(spark, sf, "customer").select(pad_key("c_custkey").alias("cust_key"),
                                             "c_nationkey", "c_acctbal", "c_mktsegment")
     o = (load(spark, sf, "orders").groupBy(pad_key("o_custkey").alias("cust_key"))
@@ -98,8 +104,7 @@ def outer_merge_customer_sources(spark, sf):
     e = (load(spark, sf, "events").groupBy(pad_key("user_id").alias("cust_key"))
          .agg(F.count(F.lit(1)).alias("n_events"), F.round(F.sum("value"), 4).alias("sum_value"),
               F.max("ts").alias("last_activity")))
-    m = outer_merge([c, o, e], "cust_key", method="union")   # keys unique per source (checked in-plan)
-    return m.withColumn("last_activity", F.date_format("last_activity", _TS))
+    return [c, o, e]
 
 
 @register("documents_left_labels", "J2,S9", sql="""

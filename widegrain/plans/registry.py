@@ -23,4 +23,4 @@ def register(name: str, ids: str, sql: str | None = None):
 
 def load_all() -> None:
     # importing the modules fills the registry
-    from . import q_reshape, q_profile, q_clean, q_rank, q_stats, q_models, q_sources, q_compose  # noqa: F401
+    from . import q_reshape, q_profile, q_clean, q_rank, q_stats, q_models, q_sources, q_compose, q_more  # noqa: F401

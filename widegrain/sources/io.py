@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import csv
 import uuid
+import warnings
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -150,6 +151,21 @@ def publish(spark: SparkSession, tables: Mapping[str, DataFrame], managed: bool
     return list(tables)
 
 
+def replace_table(spark: SparkSession, name: str, df: DataFrame, folder: str) -> str:
+    """A persisted table under ``folder`` that is replaced as a whole (S7): the
+    rows are written as a new version, a table of the catalog of its own, and
+    the view ``name`` is switched to it in one step, so a reader sees the old
+    rows or the new ones and a failed write changes nothing. Versions before
+    the last one leave the catalog. Returns the version's table."""
+    version = f"{name}_v{uuid.uuid4().hex[:12]}"
+    df.write.option("path", f"{folder.rstrip('/')}/{version}").saveAsTable(version)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {version}")
+    for t in spark.catalog.listTables():
+        if t.name.lower().startswith(f"{name.lower()}_v") and t.name.lower() != version.lower():
+            spark.sql(f"DROP TABLE IF EXISTS {t.name}")
+    return version
+
+
 def create_views(spark: SparkSession, master: str, benchmark: str, key: str, prefix: str = "") -> list[str]:
     """The three published views (S9): two pass-through views and one left
     join that names the key once (``USING``), so no duplicate key column."""
@@ -182,23 +198,35 @@ def require_tables(spark: SparkSession, names: Sequence[str]) -> None:
 
 
 def existing_only(spark: SparkSession, names: Sequence[str]) -> list[str]:
-    """Optional sources: keep the ones present (S12, the skip-with-warning path)."""
-    return [n for n in names if spark.catalog.tableExists(n)]
+    """Optional sources: keep the ones present and warn of the others."""
+    there = [n for n in names if spark.catalog.tableExists(n)]
+    for n in names:
+        if n not in there:
+            warnings.warn(f"optional table {n} is missing and left out", stacklevel=2)
+    return there
 
 
 def bootstrap_tables(spark: SparkSession, loaders: Mapping[str, Callable[[], DataFrame]],
-                     fallbacks: Mapping[str, str] | None = None) -> dict[str, str]:
+                     fallbacks: Mapping[str, str] | None = None, folder: str | None = None) -> dict[str, str]:
     """Create missing tables from their loaders; when a table exists but is
-    empty, fall back to the named alternative (S8). Returns name -> source."""
+    empty, fall back to the named alternative (S8). With ``folder`` they are
+    persisted there (``replace_table``), else temporary views of the session.
+    Returns name -> source."""
     used = {}
     for name, load in loaders.items():
         if not spark.catalog.tableExists(name):
-            load().createOrReplaceTempView(name)
+            if folder is not None:
+                replace_table(spark, name, load(), folder)
+            else:
+                load().createOrReplaceTempView(name)
             used[name] = "loaded"
         else:
             used[name] = "existing"
         if fallbacks and name in fallbacks and spark.table(name).limit(1).count() == 0:
-            spark.table(fallbacks[name]).createOrReplaceTempView(name)
+            if folder is not None:
+                spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {fallbacks[name]}")
+            else:
+                spark.table(fallbacks[name]).createOrReplaceTempView(name)
             used[name] = f"fallback:{fallbacks[name]}"
     return used
 
