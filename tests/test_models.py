@@ -207,15 +207,44 @@ def test_centred_pca_matches_numpy(spark):
     assert np.allclose(ratios, np.sort(lam)[::-1][:2] / lam.sum())
 
 
-def test_registered_model_queries_use_whole_candidates_and_grids(spark):
-    from widegrain.models import pipeline as MP
+def test_registered_model_queries_use_whole_candidates_and_grids(spark, sf_dir, monkeypatch):
+    """What the queries hand to the fits: the library's whole candidates and
+    the whole union of grids, on all features."""
+    import inspect
+    import itertools
+
     from widegrain.plans import q_models
-    cands = q_models._candidates()
-    assert set(cands) == {"linear", "ridge", "elasticnet", "svr_rbf", "forest", "gbt"}
-    forest, boosting = cands["forest"].getStages()[-1], cands["gbt"].getStages()[-1]
-    assert (forest.getNumTrees(), forest.getMaxDepth()) == (400, 30)
-    assert (boosting.getMaxIter(), boosting.getMaxDepth()) == (400, 6)
-    assert cands["svr_rbf"].getStages()[-2].getOrDefault("numFeatures") == 200
-    assert sum(map(len, q_models._boosting_grids([None, None])[1])) == 162
-    # component counts above the features are the same set: one is left per grid
-    assert sum(map(len, q_models._boosting_grids([5, 5])[1])) == 54
+    from widegrain.plans.tables import ORDER_FEATURE_COLS
+    seen = {}
+
+    class Asked(Exception):
+        pass
+
+    def noting(name, stop=False):
+        def run(moments, *args, **settings):
+            seen[name] = (moments.features, args, settings)
+            if stop:
+                raise Asked
+            return []
+        return run
+
+    monkeypatch.setattr(q_models.FF, "cross_validate_linear", noting("linear"))
+    monkeypatch.setattr(q_models.SF, "cross_validate_svr", noting("svr"))
+    monkeypatch.setattr(q_models.TF, "cross_validate_trees", noting("trees", stop=True))
+    with pytest.raises(Asked):
+        q_models.cv_candidates_orders(spark, sf_dir)
+    monkeypatch.setattr(q_models.TF, "grid_search_trees", noting("grid", stop=True))
+    with pytest.raises(Asked):
+        q_models.grid_search_orders(spark, sf_dir)
+    assert all(features == ORDER_FEATURE_COLS for features, _, _ in seen.values())
+    assert set(seen["linear"][1][0]) == {"linear", "ridge", "elasticnet"}
+    assert seen["svr"][1][0] == {"svr_rbf": {"c": 10.0, "epsilon": 0.1}}
+    assert inspect.signature(q_models.SF.fit_svr).parameters["n_features"].default == 200
+    trees = seen["trees"][1][0]
+    assert trees["forest"] == ("forest", {"n_estimators": 400, "min_samples_leaf": 2, "max_depth": None})
+    kind, boosting = trees["gbt"]
+    assert (kind, boosting["n_estimators"], boosting["max_depth"]) == ("gbt", 400, 6)
+    kind, shared, grid, _ = seen["grid"][1]
+    pairs = [p for g in shared for p in itertools.product(g["selection_alpha"], g["n_components"])]
+    assert kind == "gbt" and len(pairs) * len(list(itertools.product(*grid.values()))) == 162
+    assert seen["grid"][2]["keep"] is None  # every set is returned

@@ -237,9 +237,11 @@ def cross_validate(df: DataFrame, candidates: Mapping[str, Estimator], label: st
         return (name, int(f), float(m["r2"]), float(m["rmse"]), float(m["mae"]), float(fit_sec), int(m["n"]))
 
     work = [(n, e, f) for n, e in candidates.items() for f in folds]
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
-        rows = list(ex.map(run, work))
-    data.unpersist()
+    try:
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
+            rows = list(ex.map(run, work))
+    finally:
+        data.unpersist()
     per_fold = spark.createDataFrame(rows, "model string, fold int, r2 double, rmse double, mae double, "
                                            "fit_sec double, n long")
     from ..operators.ranking import competition_rank
@@ -264,8 +266,10 @@ def grid_search(df: DataFrame, estimator: Estimator, grids: Sequence[list], labe
     n_folds = data.select(fold_col).distinct().count()
     cv = CrossValidator(estimator=estimator, estimatorParamMaps=maps, evaluator=ev, foldCol=fold_col,
                         numFolds=n_folds, parallelism=parallelism, collectSubModels=False)
-    model = cv.fit(data)
-    data.unpersist()
+    try:
+        model = cv.fit(data)
+    finally:
+        data.unpersist()
     rows = [(i, "; ".join(f"{p.name}={v}" for p, v in sorted(m.items(), key=lambda kv: kv[0].name)),
              float(model.avgMetrics[i]), float(model.stdMetrics[i]) if model.stdMetrics else None)
             for i, m in enumerate(maps)]
