@@ -80,3 +80,18 @@ def test_written_policy_adds_indicators(spark):
     assert out.columns[-1] == "third_is_missing" and "tenth_is_missing" not in out.columns
     assert out.agg(F.sum("third_is_missing")).first()[0] == 10 and out.where("tenth IS NULL").count() == 0 and out.where("third IS NULL").count() == 10
     assert "third_is_missing" not in C.tiered_clean(df, "grp", protect=["k"]).columns
+
+
+def test_gram_hands_on_one_row_per_task(spark):
+    from widegrain.operators import stats as S
+    rows = [(float(i % 7), float(i % 5) if i % 3 else None, float(i)) for i in range(200)]
+    df = spark.createDataFrame(rows, "a double, b double, c double").repartition(6)
+    parts = df.mapInArrow(S._gram_partition(3), S._PART_SCHEMA)
+    assert parts.count() == 6 and parts.select("lane").distinct().count() == 6
+    got = {(r["i"], r["j"]): r for r in S.gram(df, ["a", "b", "c"], center=False).collect()}
+    assert len(got) == 9
+    for (i, j), r in got.items():
+        both = [x for x in rows if x[i] is not None and x[j] is not None]
+        assert r["n"] == len(both) and r["sx"] == sum(x[i] for x in both) and r["sy"] == sum(x[j] for x in both)
+        assert r["sxy"] == sum(x[i] * x[j] for x in both) and r["sxx"] == sum(x[i] ** 2 for x in both) and r["syy"] == sum(x[j] ** 2 for x in both)
+    assert S.gram(df.limit(0), ["a", "b"], center=False).count() == 0

@@ -3,9 +3,10 @@ VIF, PCA reconstruction error and Spearman rank correlation.
 
 The Gram matrix of many columns is accumulated per partition with NumPy
 (``mapInArrow``: X with nulls as 0 and its null mask M give MᵀM, XᵀM, (X²)ᵀM
-and XᵀX in four matrix products), then summed by one ``groupBy(i, j)`` — the
-only thing that ever reaches the driver is a p x p matrix. Undefined values
-(zero variance) are NULL, never an ANSI error.
+and XᵀX in four matrix products). A task hands on one array of all four, which
+are added up in ``LANES`` groups and then once more, so what is shuffled is one
+row per task — the only thing that ever reaches the driver is a p x p matrix.
+Undefined values (zero variance) are NULL, never an ANSI error.
 """
 
 from __future__ import annotations
@@ -13,12 +14,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .ranking import _join_side, broadcast_if_small, value_ranks
 
+LANES = 64  # groups in which the tasks' matrices are added up
+_PART_SCHEMA = "lane int, sums array<double>"
 _GRAM_SCHEMA = "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"
 
 
@@ -42,14 +47,25 @@ def _gram_partition(p: int):
             SX += X.T @ M          # SX[i, j] = sum of x_i over rows where i and j present
             SXX += (X * X).T @ M
             SXY += X.T @ X
-        if not seen:
-            return
+        if seen:
+            sums = np.concatenate([N.ravel(), SX.ravel(), SXX.ravel(), SXY.ravel()])
+            yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId() % LANES], pa.int32()),
+                                              pa.array([sums.tolist()], pa.list_(pa.float64()))], names=["lane", "sums"])
+    return fn
+
+
+def _lane_sum(frame: pd.DataFrame) -> pd.DataFrame:
+    out = frame.iloc[:1][["lane"]].copy()
+    out["sums"] = [np.sum(np.stack(frame["sums"].to_list()), axis=0)]
+    return out
+
+
+def _unfolded(p: int):
+    def fn(frame: pd.DataFrame) -> pd.DataFrame:
+        n, sx, sxx, sxy = np.sum(np.stack(frame["sums"].to_list()), axis=0).reshape(4, p, p)
         ii, jj = np.nonzero(np.ones((p, p)))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(ii.astype(np.int32)), pa.array(jj.astype(np.int32)), pa.array(N[ii, jj]),
-             pa.array(SX[ii, jj]), pa.array(SX[jj, ii]), pa.array(SXX[ii, jj]), pa.array(SXX[jj, ii]),
-             pa.array(SXY[ii, jj])],
-            names=["i", "j", "n", "sx", "sy", "sxx", "syy", "sxy"])
+        return pd.DataFrame({"i": ii, "j": jj, "n": n[ii, jj], "sx": sx[ii, jj], "sy": sx[jj, ii], "sxx": sxx[ii, jj],
+                             "syy": sxx[jj, ii], "sxy": sxy[ii, jj]})
     return fn
 
 
@@ -62,8 +78,8 @@ def gram(df: DataFrame, cols: Sequence[str], center: bool = True) -> DataFrame:
     x = df.select(*[(F.col(c).cast("double") - F.lit(m)).alias(f"x{k}") for k, (c, m) in enumerate(zip(cols, mu))])
     # nulls -> NaN so the Arrow batch is a plain float matrix
     x = x.select(*[F.coalesce(F.col(f"x{k}"), F.lit(float("nan"))).alias(f"x{k}") for k in range(len(cols))])
-    parts = x.mapInArrow(_gram_partition(len(cols)), _GRAM_SCHEMA)
-    return parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ["n", "sx", "sy", "sxx", "syy", "sxy"]])
+    lanes = x.mapInArrow(_gram_partition(len(cols)), _PART_SCHEMA).groupBy("lane").applyInPandas(_lane_sum, _PART_SCHEMA)
+    return lanes.groupBy(F.lit(0).alias("all")).applyInPandas(_unfolded(len(cols)), _GRAM_SCHEMA)   # at most LANES rows
 
 
 def _r_from_sums(n, sx, sy, sxx, syy, sxy):
