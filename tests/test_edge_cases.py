@@ -91,14 +91,13 @@ def test_family_prune_scope():
     assert "LACKTRPT" not in dropped2
 
 
-@pytest.mark.parametrize("limit", [None, 0])
-def test_quantiles_skewed_group_both_paths(spark, limit):
+@pytest.mark.parametrize("ranges", [None, 1, 8, 97])
+def test_quantiles_skewed_group(spark, ranges):
     # one key holds a third of the rows, half of them one constant value
     rows = [("hot", 7.0)] * 300 + [("hot", float(i)) for i in range(300)] + \
            [(f"k{i % 50}", float(i)) for i in range(1200)] + [("nulls", None)] * 5
     df = spark.createDataFrame(rows, "g string, v double")
-    q = R.group_quantiles(df, "v", [0.25, 0.5, 0.9], ["g"], ["a", "b", "c"],
-                          n_buckets=8, in_buffer_limit=limit)
+    q = R.group_quantiles(df, "v", [0.25, 0.5, 0.9], ["g"], ["a", "b", "c"], n_ranges=ranges)
     got = {r["g"]: (r["a"], r["b"], r["c"]) for r in q.collect()}
     want = {r["g"]: tuple(r["p"]) for r in df.where("v is not null").groupBy("g").agg(
         F.percentile("v", [0.25, 0.5, 0.9]).alias("p")).collect()}
@@ -107,6 +106,31 @@ def test_quantiles_skewed_group_both_paths(spark, limit):
         assert np.allclose(got[k], want[k])
 
 
+@pytest.mark.parametrize("ranges", [1, 5, 40])
+def test_value_ranks_against_plain_order(spark, ranges):
+    rows = [(None, 3.0)] * 9 + [(None, float("inf")), ("a", float("-inf")), ("a", float("inf")), ("b", None)] + \
+           [("a", float(i % 11)) for i in range(200)] + [("c", 5.0)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {(r["g"], r["v"]): (r["cnt"], r["below"]) for r in R.value_ranks(df, "v", ["g"], ranges).collect()}
+    want = {(g, v): (sum(x == (g, v) for x in rows), sum(h == g and w is not None and w < v for h, w in rows))
+            for g, v in rows if v is not None}
+    assert got == want
+    ends = {r["g"]: (r["lo"], r["hi"]) for r in R.group_quantiles(df, "v", [0, 1], ["g"], ["lo", "hi"], ranges).collect()}
+    assert ends == {None: (3.0, float("inf")), "a": (float("-inf"), float("inf")), "c": (5.0, 5.0)}
+    assert R.group_quantiles(df.where("v < -9 and g = 'b'"), "v", [0.5], ["g"]).count() == 0
+
+
+def test_hot_group_is_shared_out(spark):
+    # two million rows of one key: no range holds much more than its share of the distinct values
+    df = spark.range(2_000_000).select(F.lit("k").alias("g"), (F.col("id") * 7919 % 1_000_003).cast("double").alias("v"))
+    ranged, sizes = R._value_ranges(df, "v", ["g"], 16)
+    most = ranged.groupBy("__b").count().agg(F.max("count")).first()[0]
+    assert most < 2 * 1_000_003 / 16 and sizes.count() <= 17
+    want = df.select(F.percentile("v", [0.1, 0.5]).alias("p")).first()["p"]
+    got = R.group_quantiles(df, "v", [0.1, 0.5], ["g"], ["a", "b"], 16).first()
+    assert [got["a"], got["b"]] == pytest.approx(want)
+
+
 def test_seeded_rank_partitioned_exact(spark):
     rows = [("hot" if i % 3 == 0 else f"g{i % 7}", i) for i in range(3000)]
     df = spark.createDataFrame(rows, "g string, id long")

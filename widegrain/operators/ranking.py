@@ -10,9 +10,11 @@ one task, or pulls rows to the driver:
   over 16^d buckets.
 * **Value rank** (``value_ranks``, ``group_quantiles``): identical values are
   first collapsed by a partial aggregate (a hot constant becomes one row),
-  then the distinct values of each group are cut into buckets at approximate
-  quantile boundaries (a small, checkpointed table), cumulated inside each
-  bucket and offset by a small per-bucket total table. Results are exact.
+  then the distinct (group, value) rows are laid out in range partitions, whose
+  number is the task number and nothing else. Counts per (group, range) are a
+  small table (at most groups + ranges rows) with a running sum, so a rank
+  needs an order inside its range only, and a quantile only the ranges that
+  hold its positions. One path for all sizes; results are exact.
 """
 
 from __future__ import annotations
@@ -27,10 +29,6 @@ from ..session import cut_lineage
 
 #: rows above which a derived side table is joined by shuffle, not broadcast
 BROADCAST_ROW_LIMIT = 2_000_000
-#: below this many input rows a whole group may be handled by one task (the
-#: exact in-buffer ``percentile``, one ordered window per group): the row
-#: count, checked first, bounds what any task holds
-IN_BUFFER_ROW_LIMIT = 5_000_000
 
 
 def pinned_count(df: DataFrame) -> tuple[DataFrame, int]:
@@ -149,55 +147,44 @@ def _join_side(big: DataFrame, side: DataFrame, keys: Sequence[str], null_safe:
     return big.join(s2, cond_all, "inner").drop(*ren.values())
 
 
-def _buckets_for(n_rows: int) -> int:
-    """Bucket count for value ranks: ~4 M rows per bucket of the largest
-    possible group, between 64 and 1024 (each distinct value is placed by
-    comparing it with the bucket boundaries)."""
-    return int(min(1024, max(64, math.ceil(n_rows / 4_000_000))))
+def _value_ranges(df: DataFrame, value: str, P: Sequence[str], n_ranges: int | None) -> tuple[DataFrame, DataFrame]:
+    """Distinct non-null values per group in range partitions of (group,
+    value): ``(P..., value, cnt, __b)`` with ``__b`` the range, pinned since
+    its boundaries come from a sample; and per (group, range) its rows ``__bn``
+    and the group's rows in earlier ranges, ``__off``."""
+    if n_ranges is None:
+        n_ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    distinct = (df.where(F.col(value).isNotNull()).groupBy(*P, value)
+                .agg(F.count(F.lit(1)).alias("cnt")))
+    ranged = cut_lineage(distinct.repartitionByRange(n_ranges, *P, value)
+                         .withColumn("__b", F.spark_partition_id()))
+    before = Window.partitionBy(*P).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = (ranged.groupBy(*P, "__b").agg(F.sum("cnt").alias("__bn"))
+             .withColumn("__off", F.coalesce(F.sum("__bn").over(before), F.lit(0))))
+    return ranged, sizes
+
+
+def _running_count(ranged: DataFrame, value: str, P: Sequence[str]) -> Column:
+    """Rows of smaller values in the same range of the group."""
+    w = Window.partitionBy(*P, "__b").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum("cnt").over(w), F.lit(0))
 
 
 def value_ranks(df: DataFrame, value: str, partition_cols: Sequence[str] = (),
-                n_buckets: int | None = None, in_buffer_limit: int | None = None,
-                n_rows: int | None = None) -> DataFrame:
+                n_ranges: int | None = None) -> DataFrame:
     """Distinct non-null values per group with their multiplicity and the
     number of smaller values in the group: ``(P..., value, cnt, below)``.
 
     The average rank of a value is ``below + (cnt + 1) / 2``; its row numbers
-    run from ``below + 1`` to ``below + cnt``.
+    run from ``below + 1`` to ``below + cnt``. ``n_ranges`` is the number of
+    tasks that share the distinct values (the session's shuffle partitions
+    unless given).
     """
     P = list(partition_cols) or ["__g"]
     src = df if partition_cols else df.withColumn("__g", F.lit(0))
-    v = F.col(value)
-    distinct = (src.where(v.isNotNull()).groupBy(*P, value)
-                .agg(F.count(F.lit(1)).alias("cnt")))
-    if n_rows is None and (in_buffer_limit is not None or n_buckets is None):
-        n_rows = src.count()
-    if n_buckets is None:
-        n_buckets = _buckets_for(n_rows)
-    if in_buffer_limit is not None and n_rows <= in_buffer_limit:
-        # proven bound: no group can hold more than in_buffer_limit distinct values
-        w = Window.partitionBy(*P).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-        out = distinct.select(*P, value, F.col("cnt").cast("long").alias("cnt"),
-                              F.coalesce(F.sum("cnt").over(w), F.lit(0)).cast("long").alias("below"))
-        return out if partition_cols else out.drop("__g")
-    # bucket boundaries: approximate quantiles of the distinct values per group
-    # (mergeable sketches, so a hot group never lands whole in one task)
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    bounds = distinct.groupBy(*P).agg(
-        F.percentile_approx(v.cast("double"), probs, 10 * n_buckets).alias("__bounds"))
-    # pinned: merged approximate sketches may differ if recomputed
-    bounds, n_groups = pinned_count(bounds)
-    bounds = F.broadcast(bounds) if n_groups <= BROADCAST_ROW_LIMIT else bounds
-    j = _join_side(distinct, bounds, P)
-    j = j.select(*P, value, "cnt",
-                 F.size(F.filter(F.col("__bounds"), lambda x: x < v.cast("double"))).alias("__b"))
-    inner = Window.partitionBy(*P, "__b").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    j = j.withColumn("__cb", F.coalesce(F.sum("cnt").over(inner), F.lit(0)))
-    totals = j.groupBy(*P, "__b").agg(F.sum("cnt").alias("__bn"))
-    before = Window.partitionBy(*P).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    offs = totals.select(*P, "__b", F.coalesce(F.sum("__bn").over(before), F.lit(0)).alias("__off"))
-    offs = broadcast_if_small(offs, known_max_rows=n_groups * n_buckets)
-    out = _join_side(j, offs, [*P, "__b"]).select(
+    ranged, sizes = _value_ranges(src, value, P, n_ranges)
+    inside = ranged.withColumn("__cb", _running_count(ranged, value, P))
+    out = _join_side(inside, sizes.drop("__bn"), [*P, "__b"]).select(
         *P, value, F.col("cnt").cast("long").alias("cnt"),
         (F.col("__cb") + F.col("__off")).cast("long").alias("below"))
     return out if partition_cols else out.drop("__g")
@@ -205,55 +192,46 @@ def value_ranks(df: DataFrame, value: str, partition_cols: Sequence[str] = (),
 
 def group_quantiles(df: DataFrame, value: str, probs: Sequence[float],
                     partition_cols: Sequence[str] = (), names: Sequence[str] | None = None,
-                    n_buckets: int | None = None, in_buffer_limit: int | None | str = "default") -> DataFrame:
+                    n_ranges: int | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation (pandas ``quantile``, DuckDB
-    ``quantile_cont``, Spark ``percentile``) per group, skew-safe.
+    ``quantile_cont``, Spark ``percentile``) per group, skew-safe at any size.
 
-    Small inputs (row count checked against ``in_buffer_limit``) use Spark's
-    exact ``percentile`` aggregate, whose buffer is then bounded by that
-    count; larger inputs take the bucketed value-rank path, which never puts a
-    whole group in one task. Returns one row per group with one column per
+    Each probability asks for the values at two 0-based positions of its group;
+    the running counts of the ranges say which range holds them, and only such
+    ranges are put in order. Returns one row per group with one column per
     probability (``names`` or ``q<p>``); groups whose values are all null are
     absent.
     """
     P = list(partition_cols) or ["__g"]
     src = df if partition_cols else df.withColumn("__g", F.lit(0))
     names = list(names) if names is not None else [f"q{p:g}" for p in probs]
-    if in_buffer_limit == "default":
-        in_buffer_limit = IN_BUFFER_ROW_LIMIT   # read at call time (tests lower it to force the bucketed path)
-    n_rows = src.count()
-    if n_buckets is None:
-        n_buckets = _buckets_for(n_rows)
-    if in_buffer_limit is not None and n_rows <= in_buffer_limit:
-        v = F.col(value).cast("double")
-        q = src.where(v.isNotNull()).groupBy(*P).agg(F.percentile(v, [float(p) for p in probs]).alias("__qs"))
-        out = q.select(*P, *[F.col("__qs")[i].alias(nm) for i, nm in enumerate(names)])
-        return out if partition_cols else out.drop("__g")
-    vr = value_ranks(src, value, P, n_buckets, in_buffer_limit=None, n_rows=n_rows)
-    n = vr.groupBy(*P).agg(F.sum("cnt").alias("__n"))
-    n_groups = None if partition_cols else 1
-    targets = None
+    ranged, sizes = _value_ranges(src, value, P, n_ranges)
+    spots = []
     for i, p in enumerate(probs):
-        pos = F.lit(float(p)) * (F.col("__n") - 1)
-        t = n.select(*P, F.lit(i).alias("__i"), F.floor(pos).cast("long").alias("__lo"),
-                     F.ceil(pos).cast("long").alias("__hi"),
-                     (pos - F.floor(pos)).alias("__frac"))
-        targets = t if targets is None else targets.unionByName(t)
-    targets = broadcast_if_small(targets, known_max_rows=None if n_groups is None else n_groups * len(probs))
-    # the values at 0-based positions lo and hi of each target
-    pos_rows = (targets.select(*P, "__i", "__frac", F.col("__lo").alias("__pos"), F.lit(True).alias("__is_lo"))
-                .unionByName(targets.select(*P, "__i", "__frac", F.col("__hi").alias("__pos"),
-                                            F.lit(False).alias("__is_lo"))))
-    hit = _join_side(vr, pos_rows, P).where(
-        (F.col("__pos") >= F.col("below")) & (F.col("__pos") < F.col("below") + F.col("cnt"))).select(
-        *P, "__i", "__frac", "__is_lo", F.col(value).cast("double").alias("__v"))
-    picked = hit.groupBy(*P, "__i").agg(
-        F.max("__frac").alias("__frac"),
-        F.max(F.when(F.col("__is_lo"), F.col("__v"))).alias("__vlo"),
-        F.max(F.when(~F.col("__is_lo"), F.col("__v"))).alias("__vhi"))
-    q = picked.withColumn("__q", F.col("__vlo") + (F.col("__vhi") - F.col("__vlo")) * F.col("__frac"))
-    out = q.groupBy(*P).agg(*[F.max(F.when(F.col("__i") == i, F.col("__q"))).alias(nm)
-                              for i, nm in enumerate(names)])
+        at = F.lit(float(p)) * (F.col("__n") - 1)
+        for end, place in (("lo", F.floor(at)), ("hi", F.ceil(at))):
+            spots.append(F.struct(F.lit(f"{i}{end}").alias("name"), place.cast("long").alias("pos"),
+                                  (at - F.floor(at)).alias("frac")))
+
+    def within(start, length):
+        return lambda s: (s["pos"] >= start) & (s["pos"] < start + length)
+
+    asked = (sizes.withColumn("__n", F.sum("__bn").over(Window.partitionBy(*P)))
+             .select(*P, "__b", "__off", F.filter(F.array(*spots), within(F.col("__off"), F.col("__bn"))).alias("__asked"))
+             .where(F.size("__asked") > 0))
+    near = _join_side(ranged, asked, [*P, "__b"])
+    near = near.withColumn("__below", F.col("__off") + _running_count(near, value, P))
+    hit = near.select(*P, F.col(value).cast("double").alias("__v"), F.explode(
+        F.filter("__asked", within(F.col("__below"), F.col("cnt")))).alias("__s"))
+
+    def at(name, what="__v"):
+        return F.max(F.when(F.col("__s.name") == name, F.col(what)))
+
+    out = hit.groupBy(*P).agg(*[at(f"{i}{end}").alias(f"__{end}{i}") for i in range(len(probs)) for end in ("lo", "hi")],
+                              *[at(f"{i}lo", "__s.frac").alias(f"__frac{i}") for i in range(len(probs))])
+    out = out.select(*P, *[F.when(F.col(f"__lo{i}") == F.col(f"__hi{i}"), F.col(f"__lo{i}")).otherwise(
+        F.col(f"__lo{i}") + (F.col(f"__hi{i}") - F.col(f"__lo{i}")) * F.col(f"__frac{i}")).alias(nm)
+        for i, nm in enumerate(names)])
     return out if partition_cols else out.drop("__g")
 
 
