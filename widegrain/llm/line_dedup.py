@@ -4,9 +4,11 @@ Lines are exploded with their position, normalised and hashed; documents are
 counted per hash; lines of a hash found in ``min_docs`` documents or more are
 dropped everywhere but in the smallest id that holds it, and the texts are put
 together again by position. Only hashes, ids and positions are shuffled by
-line (a very common line is pre-aggregated on the map side, and its join is an
-ordinary skewed join that AQE splits); texts move once, to meet the positions
-to drop.
+line; texts move once, to meet the positions to drop. A very common line is
+pre-aggregated on the map side; where the lines meet their counts, lines of a
+hash that holds more than its share of the rows take the smallest id from a
+broadcast table and are spread over all tasks by a salt. By its definition that
+table has at most ``HOT_PER_TASK`` times the shuffle partitions rows.
 """
 
 from __future__ import annotations
@@ -14,8 +16,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .pinning import pinned
+
 #: fixed value: the blanks [\x20\x09-\x0D]
 BLANKS = " \t\n\x0b\x0c\r"
+#: a hash is hot from a share of 1 / (HOT_PER_TASK * shuffle partitions) of the common lines on
+HOT_PER_TASK = 4
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -54,14 +60,25 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              # 128 bits: two hashes chained from different starts
              .select("__id", "__row", "__pos", F.xxhash64("__key").alias("__h1"),
                      F.xxhash64(F.lit("second"), "__key").alias("__h2")))
+    n_rows = F.count(F.lit(1)).alias("__n_rows")
     if min_docs == 2:  # at least two distinct ids: the smallest and the largest differ
-        common = (lines.groupBy("__h1", "__h2").agg(F.min("__id").alias("__first"), F.max("__id").alias("__last"))
+        common = (lines.groupBy("__h1", "__h2").agg(F.min("__id").alias("__first"), F.max("__id").alias("__last"), n_rows)
                   .where(F.col("__first") != F.col("__last")))
     else:
-        common = (lines.groupBy("__h1", "__h2").agg(F.min("__id").alias("__first"), F.count_distinct("__id").alias("__n"))
+        common = (lines.groupBy("__h1", "__h2").agg(F.min("__id").alias("__first"), F.count_distinct("__id").alias("__n"), n_rows)
                   .where(F.col("__n") >= min_docs))
-    drops = (lines.join(common.select("__h1", "__h2", "__first"), ["__h1", "__h2"])
-             .where(F.col("__id") != F.col("__first"))
+    common = pinned(common.select("__h1", "__h2", "__first", "__n_rows"), "common-lines")
+    all_rows = common.agg(F.sum("__n_rows")).first()[0] or 0
+    most_hot = HOT_PER_TASK * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    is_hot = F.col("__n_rows") * most_hot > all_rows  # so at most most_hot hashes are: a proven bound
+    hot = common.where(is_hot).select("__h1", "__h2", F.col("__first").alias("__hot_first"))
+    cold = common.where(~is_hot).select("__h1", "__h2", F.lit(0).alias("__salt"), "__first")
+    # hot lines have their smallest id already; a salt of their own keeps them off one task
+    salt = F.when(F.col("__hot_first").isNull(), 0).otherwise(F.pmod(F.xxhash64("__id", "__pos"), F.lit(1 << 20)).cast("int") + 1)
+    first = F.coalesce("__hot_first", "__first")
+    drops = (lines.join(F.broadcast(hot), ["__h1", "__h2"], "left").withColumn("__salt", salt)
+             .join(cold, ["__h1", "__h2", "__salt"], "left")
+             .where(first.isNotNull() & (F.col("__id") != first))
              .groupBy("__id", "__row").agg(F.collect_set("__pos").alias("__drops")))
     keyed = docs.withColumn("__id", F.col(id_col)).withColumn(
         "__row", F.xxhash64(F.coalesce(text.cast("string"), F.lit(""))))
