@@ -1,13 +1,17 @@
 """Byte-level BPE encoding and decoding as a monoid tree reduction (operator 6).
 
 A text is halved down to leaves, leaves are encoded, and neighbours are joined:
-the join encodes a window around the boundary anew and grows it until the
-tokens outside are provably those of the whole. The proof rests on cuts: no
-alternative of the pre-token pattern runs from a character that is no white
-space into a white-space character, and none looks back, so a place between
-the two is a pre-token boundary whatever stands around it; tokens never cross
-pre-tokens. A window from such a cut (or the text's end) to another therefore
-changes nothing outside. Decoding concatenates bytes up the same kind of tree.
+the join encodes a window around the boundary anew, grown on both sides until
+the tokens outside are provably those of the whole. The proof rests on cuts,
+places that are pre-token boundaries whatever stands around them. The pattern's
+alternatives are contractions (an apostrophe and letters), runs of one class
+(letters, digits, other signs) after at most one blank, and white space; none
+looks back. So a cut lies before an ASCII blank after anything but white space,
+and between two classes, but for an apostrophe before a letter. Tokens never
+cross pre-tokens, so a window from a cut (or the text's end) to a cut changes
+nothing outside. A stretch without a cut is not halved: no window short of the
+whole would be stable. Characters whose class changed since Unicode 3.2, or
+that had none, make no cuts. ``pattern`` must have alternatives of this kind.
 
 The tree of a text is reduced where its row is: memory is a small multiple of
 the one text at hand, and texts are independent, so Spark spreads them.
@@ -17,6 +21,10 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
+import unicodedata
+from array import array
+from bisect import bisect_left, bisect_right
 from collections.abc import Sequence
 
 import pyarrow as pa
@@ -27,50 +35,64 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from .wordhash import slices
 
 LEAF_CHARS = 4096
-WINDOW_CHARS = 32
+#: between classes as given by ``_Classes``
+CUT = re.compile("(?<=[LNP'?])(?=s)|(?<=L)(?=[NP'])|(?<=N)(?=[LP'])|(?<=P)(?=[LN])|(?<=')(?=N)")
+
+
+class _Classes(dict):
+    """Code point to class, for ``str.translate``: ``s`` ASCII blank, ``w``
+    other white space, ``L`` letter, ``N`` digit, ``'``, ``P`` other sign,
+    ``?`` not known for certain."""
+
+    def __missing__(self, code: int) -> str:
+        char = chr(code)
+        kind = unicodedata.category(char)
+        if char in " \t\n\x0b\x0c\r":
+            name = "s"
+        elif char.isspace():
+            name = "w"
+        elif char == "'":
+            name = "'"
+        elif kind != unicodedata.ucd_3_2_0.category(char) or kind[0] in "CZ":
+            name = "?"
+        else:
+            name = kind[0] if kind[0] in "LN" else "P"
+        self[code] = name
+        return name
+
+
+_classes = _Classes()
+
+
+def cuts_of(text: str) -> array:
+    """The cuts inside ``text``, ascending."""
+    return array("q", [m.start() for m in CUT.finditer(text.translate(_classes))])
 
 
 class TreeCodec:
     """Encodes and decodes by halving; ``ranks`` maps token bytes to ids."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, leaf_chars: int = LEAF_CHARS,
-                 window_chars: int = WINDOW_CHARS):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, leaf_chars: int = LEAF_CHARS):
         import tiktoken
         self.leaf = tiktoken.Encoding("leaves", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self.bytes_of = {i: token for token, i in ranks.items()}
-        self.leaf_chars, self.window_chars = max(2, leaf_chars), max(1, window_chars)
+        self.leaf_chars = max(2, leaf_chars)
 
     def encode(self, text: str) -> list[int]:
-        return self._reduce(text, 0, len(text))
+        if len(text) <= self.leaf_chars:
+            return self.leaf(text)
+        return self._reduce(text, cuts_of(text), 0, len(text))
 
-    def _reduce(self, text: str, a: int, b: int) -> list[int]:
-        if b - a <= self.leaf_chars:
+    def _reduce(self, text: str, cuts: array, a: int, b: int) -> list[int]:
+        if b - a <= self.leaf_chars or bisect_right(cuts, a) == bisect_left(cuts, b):
             return self.leaf(text[a:b])
         mid = (a + b) // 2
-        return self._join(text, a, mid, b, self._reduce(text, a, mid), self._reduce(text, mid, b))
-
-    @staticmethod
-    def _is_cut(text: str, at: int) -> bool:
-        return text[at] in " \n" and not text[at - 1].isspace()
-
-    def _join(self, text: str, a: int, mid: int, b: int, left: list[int], right: list[int]) -> list[int]:
-        lo = hi = mid
-        width = self.window_chars
-        while lo > a:  # grow to the left until a cut, or to the end of what there is
-            edge = max(a, mid - width)
-            cut = next((p for p in range(lo - 1, edge, -1) if self._is_cut(text, p)), None)
-            lo = edge if cut is None else cut
-            if cut is not None:
-                break
-            width *= 2
-        width = self.window_chars
-        while hi < b:
-            edge = min(b, mid + width)
-            cut = next((p for p in range(hi + 1, edge) if self._is_cut(text, p)), None)
-            hi = edge if cut is None else cut
-            if cut is not None:
-                break
-            width *= 2
+        return self._join(text, cuts, a, mid, b, self._reduce(text, cuts, a, mid), self._reduce(text, cuts, mid, b))
+
+    def _join(self, text: str, cuts: array, a: int, mid: int, b: int, left: list[int], right: list[int]) -> list[int]:
+        below, above = bisect_right(cuts, mid), bisect_left(cuts, mid)
+        lo = max(a, cuts[below - 1] if below else a)  # grown to the next cut, or to the end of what there is
+        hi = min(b, cuts[above] if above < len(cuts) else b)
         keep = len(left)
         size = len(text[lo:mid].encode())
         while size > 0:
