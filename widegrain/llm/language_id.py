@@ -73,9 +73,15 @@ def presence(texts: list[str], slot_of: np.ndarray, grams: int) -> np.ndarray:
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
         landmarks: int = 96, per_language: int = 400, max_train: int = 4000,
-        ridge: float = 1e-2) -> Model:
+        ridge: float = 1e-2, max_grams: int = 1 << 17) -> Model:
     """Fits on the rows of ``docs`` that have a text with letters and a language;
-    the sample is the smallest md5 of the id within each language."""
+    the sample is the smallest md5 of the id within each language.
+
+    Languages take turns at giving the ``landmarks``; there are more of these
+    if there are more languages in the sample, so each has one at least. Of the
+    landmarks' grams the ``max_grams`` of the smallest hashes count (a uniform
+    choice), so the driver holds and broadcasts at most ``max_grams`` times the
+    landmarks numbers, however long the texts are."""
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull()
                       & F.col(text_col).rlike(r"\p{L}")).select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
@@ -93,19 +99,22 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
                 [np.unique(np.concatenate(_gram_ids(t))).astype("<i4").tobytes() for t in batch.column(1).to_pylist()],
                 pa.binary())], names=["lang", "grams"])
 
-    marks = (sample.orderBy("rank", "lang", "tie").limit(landmarks)
+    turn = F.row_number().over(Window.partitionBy("lang").orderBy("rank", "tie"))
+    languages = sample.select("lang").distinct().count()
+    marks = (sample.withColumn("turn", turn).orderBy("turn", "lang").limit(max(landmarks, languages))
              .select("lang", "text").mapInArrow(grams, StructType([
                  StructField("lang", StringType()), StructField("grams", BinaryType())])).collect())
     marks = [np.frombuffer(r["grams"], "<i4") for r in marks]
     if not marks:
         return Model([], np.zeros(1 << GRAM_BITS, np.int32), np.zeros((0, 0), np.float32), np.zeros(0, np.float32))
-    vocabulary = np.unique(np.concatenate(marks))
+    vocabulary = np.unique(np.concatenate(marks))[:max_grams]
+    marks = [own[own <= vocabulary[-1]] for own in marks]
     slot_of = np.full(1 << GRAM_BITS, len(vocabulary), np.int32)
     slot_of[vocabulary] = np.arange(len(vocabulary), dtype=np.int32)
     held = np.zeros((len(vocabulary), len(marks)), np.float32)  # grams x landmarks
     for k, own in enumerate(marks):
         held[slot_of[own], k] = 1
-    held /= np.sqrt(held.sum(axis=0))
+    held /= np.sqrt(np.maximum(held.sum(axis=0), 1))
     values, vectors = np.linalg.eigh((held.T @ held).astype(np.float64))
     good = values > 1e-6 * values.max()
     root = vectors[:, good] / np.sqrt(values[good])  # W^-1/2 up to a rotation
