@@ -128,8 +128,12 @@ def judge_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     stats = pinned(text_counts(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))), "text-counts")
     known = (labels.where(F.col(id_col).isNotNull() & F.col(quality_col).isNotNull())
              .groupBy(F.col(id_col).alias("id")).agg(F.min(quality_col).alias("quality")))
-    sample = (stats.join(known, "id").where(f"NOT {base}")
-              .select("quality", F.md5(F.col("id").cast("string")).alias("h"), *[F.expr(e).alias(c) for c, e in RATIOS.items()])
+    usable = pinned(stats.join(known, "id").where(f"NOT {base}")
+                    .select("quality", F.md5(F.col("id").cast("string")).alias("h"), *[F.expr(e).alias(c) for c, e in RATIOS.items()]),
+                    "labelled")
+    # the smallest hashes lie below this place, with a margin; so no task hands on more than its share of them
+    below = int(min(1.0, (1.5 * max_labelled + 1000) / max(1, usable.count())) * 16 ** 8)
+    sample = (usable.where(F.conv(F.substring("h", 1, 8), 16, 10).cast("long") < below)
               .orderBy("h", *RATIOS).limit(max_labelled).collect())  # at most max_labelled rows
     data = {c: np.array([r[c] for r in sample], float) for c in RATIOS}
     rules = learn_rules(data, np.array([r["quality"] == 0 for r in sample], bool)) if sample else []
