@@ -111,6 +111,16 @@ def test_quality_edges(spark):
     assert quality_rules.learn_rules({"x": quality_rules.np.arange(4.0)}, quality_rules.np.ones(4, bool)) == []
 
 
+def test_quality_sample_is_the_smallest_hashes(spark, sf_dir, monkeypatch):
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    drawn = []
+    monkeypatch.setattr(quality_rules, "learn_rules", lambda data, bad: drawn.append((data["words"].tolist(), bad.tolist())) or [])
+    for most in (10 ** 6, 5):
+        quality_rules.judge_quality(docs, labels, max_labelled=most)
+    assert len(drawn[0][1]) > 5
+    assert drawn[1] == (drawn[0][0][:5], drawn[0][1][:5])
+
+
 def test_co_training_held_out(spark, sf_dir):
     docs, labels = (spark.read.parquet(f"{sf_dir.replace('0.001', '0.01')}/{t}.parquet") for t in ("documents", "labels"))
     train = labels.where("doc_id % 3 <> 1")

@@ -112,6 +112,25 @@ def test_line_dedup_equals_brute_force(spark):
     assert {r["n_dropped"] for r in three.collect()} == {0}
 
 
+@pytest.mark.parametrize("min_docs", [2, 3])
+def test_line_dedup_with_a_line_in_every_document(spark, min_docs):
+    rnd = random.Random(4)
+    hot = ["A line that every document holds", "another such line of all of them"]
+    rows = [(i, "\n".join([rnd.choice(hot), f"a line of its own {i}", f"shared by a few {i % 400:05d}", hot[0]]), "s") for i in range(1200)]
+    rows += [(i, hot[0] + "\nother text of this id", "s") for i in range(0, 1200, 7)] + [(None, hot[0], "s")]
+    holders = {}
+    for i, text, _ in rows:
+        if i is not None:
+            for x in text.split("\n"):
+                holders.setdefault(x.lower(), set()).add(i)
+    want = Counter()
+    for i, text, _ in rows:
+        stay = [x for x in text.split("\n") if i is None or len(holders[x.lower()]) < min_docs or i == min(holders[x.lower()])]
+        want[i, "\n".join(stay)] += 1
+    got = Counter((r["doc_id"], r["text"]) for r in line_dedup.dedup_lines(frame(spark, rows), min_docs=min_docs).collect())
+    assert got == want
+
+
 def test_mixing_repeats_small_sources_and_drops_nothing(spark):
     rows = [(i, "a b c d e", "big") for i in range(400)] + [(1000 + i, "a b c d e", "mid") for i in range(100)]
     rows += [(2000 + i, None, None) for i in range(50)] + [(2000, None, None)]
@@ -144,15 +163,33 @@ def codec(**settings):
 
 
 def test_bpe_tree_equals_whole_encoding():
-    tree = codec(leaf_chars=5, window_chars=1)
+    tree = codec(leaf_chars=5)
     rnd = random.Random(5)
-    parts = ["a", "'", "'s", "'re", " ", "  ", "\n", "\t", "é", "1", "23", ".", "!", "the", " and", "\x1c", "\xa0", "語", "🙂"]
-    for _ in range(3000):
+    parts = ["a", "'", "'s", "'re", " ", "  ", "\n", "\t", "é", "1", "23", ".", "!", "the", " and", "\x1c", "\xa0", "語", "🙂",
+             "\r", "\x0b", "\x0c", "\x85", "\u3000", "\u2028", "\u180e", "\u200b", "\u0301", "²", "Ⅷ", "٣", "ʼ", "’", "'ll", "'LL",
+             "\U0001e900", "\U00011f50", "。", "_", "-", "\x00", "\u16ee", "\u19da"]
+    for _ in range(8000):
         text = "".join(rnd.choice(parts) for _ in range(rnd.randint(0, 40)))
         ids = tree.encode(text)
         assert ids == tree.leaf(text) and tree.decode(ids) == text.encode()
 
 
+@pytest.mark.parametrize("text,times", [("word\t" * 40_000, 1.1), ("abc123,de'f." * 16_000, 1.1), ("語" * 30_000 + "。", 3),
+                                        ("a" * 100_000, 1.01), ("x" * 70_000 + " and so on" * 9_000, 3), ("\t" * 50_000, 1.01)])
+def test_bpe_encodes_little_twice(text, times):
+    tree = codec()
+    seen = []
+    whole = tree.leaf
+
+    def counting(part):
+        seen.append(len(part))
+        return whole(part)
+
+    tree.leaf = counting
+    assert tree.encode(text) == whole(text)
+    assert sum(seen) <= times * len(text)
+
+
 def test_bpe_query_columns(spark):
     import public_tokenizers as P
     rows = [(1, "Hello world's end", "s"), (2, None, "s"), (None, "", "s"), (1, "a" * 30_000, "s"), (3, "<|endoftext|>", "s")]
@@ -195,3 +232,22 @@ def test_language_of_long_texts(spark, short):
     assert all(len(t) > 4000 for _, t, lang in rows if lang not in short)
     got = language_id.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
     assert len(got) == 60 and all(r["lang_pred"] == r["lang"] and r["score"] > 0.5 for r in got)
+
+
+def test_every_language_has_a_landmark(spark):
+    # more languages than landmarks, a letter pair each
+    names = [f"l{k:03d}" for k in range(120)]
+    rows = [(i, " ".join([chr(0x4e00 + 7 * (i % 120)) + chr(0x4e01 + 7 * (i % 120))] * 30), names[i % 120]) for i in range(480)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = language_id.identify(docs, landmarks=96).collect()
+    learned = {names[i % 120] for i in range(480) if zlib.crc32(str(i).encode()) % 4 != 2}
+    assert len(got) == 480
+    assert all(r["lang_pred"] == r["lang"] for r in got if r["lang"] in learned)
+
+
+def test_language_vocabulary_is_bounded(spark):
+    rows = [(i, " ".join(f"{'ab' if i % 2 else 'yz'}{j * 37 % 1009}" for j in range(300)), "xy"[i % 2]) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.fit(docs, max_grams=200)
+    assert model.weights.shape[0] == 200
+    assert all(r["lang_pred"] == r["lang"] for r in language_id.predict(docs, model).collect())
