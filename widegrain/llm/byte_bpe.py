@@ -23,8 +23,6 @@ import base64
 import hashlib
 import re
 import unicodedata
-from array import array
-from bisect import bisect_left, bisect_right
 from collections.abc import Sequence
 
 import pyarrow as pa
@@ -35,6 +33,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from .wordhash import slices
 
 LEAF_CHARS = 4096
+WINDOW_CHARS = 32
 #: between classes as given by ``_Classes``
 CUT = re.compile("(?<=[LNP'?])(?=s)|(?<=L)(?=[NP'])|(?<=N)(?=[LP'])|(?<=P)(?=[LN])|(?<=')(?=N)")
 
@@ -64,9 +63,24 @@ class _Classes(dict):
 _classes = _Classes()
 
 
-def cuts_of(text: str) -> array:
-    """The cuts inside ``text``, ascending."""
-    return array("q", [m.start() for m in CUT.finditer(text.translate(_classes))])
+def cut_below(text: str, a: int, mid: int, width: int = WINDOW_CHARS) -> int:
+    """The last cut in ``(a, mid]``, sought in growing windows; else ``a``."""
+    while True:
+        lo = max(a, mid - width)
+        last = max((m.start() for m in CUT.finditer(text[lo:mid + 1].translate(_classes))), default=0)
+        if last or lo == a:
+            return lo + last
+        width *= 2
+
+
+def cut_above(text: str, mid: int, b: int, width: int = WINDOW_CHARS) -> int:
+    """The first cut in ``[mid, b)``, sought in growing windows; else ``b``."""
+    while True:
+        hi = min(b, mid + width)
+        first = CUT.search(text[mid - 1:hi].translate(_classes))
+        if first or hi == b:
+            return mid - 1 + first.start() if first else b
+        width *= 2
 
 
 class TreeCodec:
@@ -79,20 +93,18 @@ class TreeCodec:
         self.leaf_chars = max(2, leaf_chars)
 
     def encode(self, text: str) -> list[int]:
-        if len(text) <= self.leaf_chars:
-            return self.leaf(text)
-        return self._reduce(text, cuts_of(text), 0, len(text))
+        return self._reduce(text, 0, len(text))
 
-    def _reduce(self, text: str, cuts: array, a: int, b: int) -> list[int]:
-        if b - a <= self.leaf_chars or bisect_right(cuts, a) == bisect_left(cuts, b):
+    def _reduce(self, text: str, a: int, b: int) -> list[int]:
+        if b - a <= self.leaf_chars:
             return self.leaf(text[a:b])
         mid = (a + b) // 2
-        return self._join(text, cuts, a, mid, b, self._reduce(text, cuts, a, mid), self._reduce(text, cuts, mid, b))
+        lo, hi = cut_below(text, a, mid), cut_above(text, mid, b)
+        if lo == a and hi == b:
+            return self.leaf(text[a:b])
+        return self._join(text, lo, mid, hi, self._reduce(text, a, mid), self._reduce(text, mid, b))
 
-    def _join(self, text: str, cuts: array, a: int, mid: int, b: int, left: list[int], right: list[int]) -> list[int]:
-        below, above = bisect_right(cuts, mid), bisect_left(cuts, mid)
-        lo = max(a, cuts[below - 1] if below else a)  # grown to the next cut, or to the end of what there is
-        hi = min(b, cuts[above] if above < len(cuts) else b)
+    def _join(self, text: str, lo: int, mid: int, hi: int, left: list[int], right: list[int]) -> list[int]:
         keep = len(left)
         size = len(text[lo:mid].encode())
         while size > 0:
