@@ -61,8 +61,9 @@ def op2_line_dedup(spark, sf_dir):
 
 @_query(r"""
 WITH RECURSIVE units AS (
-  SELECT doc_id, source, greatest(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')), 1)::BIGINT AS n
-  FROM documents),
+  SELECT doc_id, source, copies,
+         copies * greatest(len(regexp_extract_all(t, '[^\x20\x09-\x0D]+')), 1)::BIGINT AS n
+  FROM (SELECT doc_id, source, coalesce(text, '') AS t, count(*) AS copies FROM documents GROUP BY ALL)),
 src AS (SELECT source, sum(n)::BIGINT AS tokens FROM units GROUP BY source),
 shares AS (SELECT source, tokens, tokens::DOUBLE / (SELECT sum(tokens) FROM src)::DOUBLE AS p FROM src),
 bisect(i, lo, hi) AS (
@@ -77,20 +78,20 @@ w AS (SELECT source, tokens, greatest(round(pow(p, a) / (SELECT sum(pow(p, a)) F
       FROM shares, a),
 b AS (SELECT max(tokens::HUGEINT * 1000000000 // w) + 1 AS budget FROM w),
 t AS (SELECT source, tokens, w, (w::HUGEINT * budget // 1000000000)::BIGINT AS target FROM w, b),
-laid AS (SELECT u.doc_id, u.source, u.n, t.tokens, t.w, t.target, e.epoch,
+laid AS (SELECT u.doc_id, u.source, u.copies, u.n, t.tokens, t.w, t.target, e.epoch,
                 md5('17:' || e.epoch || ':' || u.doc_id) AS h
          FROM units u JOIN t ON u.source IS NOT DISTINCT FROM t.source,
               LATERAL (SELECT unnest(range(0, greatest(0, (target - 1) // tokens) + 1)) AS epoch) e),
 placed AS (SELECT *, epoch * tokens + coalesce(sum(n) OVER (PARTITION BY source, epoch ORDER BY h, doc_id
                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM laid),
 blocked AS (SELECT *, (start::HUGEINT * 1000000000 // (w::HUGEINT * 1000000))::BIGINT AS block FROM placed WHERE start < target)
-SELECT doc_id, source, n AS n_tokens, epoch::BIGINT AS mix_epoch, block AS mix_block,
+SELECT doc_id, source, copies, n AS n_tokens, epoch::BIGINT AS mix_epoch, block AS mix_block,
        row_number() OVER (PARTITION BY block ORDER BY md5('block:17:' || epoch || ':' || doc_id), epoch, doc_id) AS mix_rank
 FROM blocked""")
 def op4_source_mixing(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mixing_plan(docs, max_epochs=2.0, block_tokens=1_000_000, seed=17).select(
-        "doc_id", "source", "n_tokens", "mix_epoch", "mix_block", "mix_rank")
+        "doc_id", "source", "copies", "n_tokens", "mix_epoch", "mix_block", "mix_rank")
 
 
 @_query()
