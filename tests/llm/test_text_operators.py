@@ -9,6 +9,7 @@ from collections import Counter
 import pytest
 
 from widegrain.llm import byte_bpe, language_id, line_dedup, mixing, near_duplicates
+from widegrain.llm.pinning import Scratch, pinned
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, n_lines string, score string, component_id int"
 
@@ -78,6 +79,65 @@ def test_near_duplicates_of_repeated_rows(spark):
     assert {r["component_id"] for r in got} == {10 * k for k in range(20)}
 
 
+@pytest.mark.parametrize("share,both,alone", [(80, 40, 5), (50, 20, 10), (90, 90, 5), (30, 12, 14)])
+def test_links_of_just_the_share_are_found(spark, share, both, alone):
+    """200 pairs at exactly the share, 200 a shingle below it, sets of words."""
+    rows = []
+    for k in range(200):
+        for base, common in ((4 * k, both), (4 * k + 2, both - 1)):
+            shared = [f"d{base}c{i}" for i in range(common)]
+            for d in (0, 1):
+                own = [f"d{base}o{d}n{i}" for i in range(alone + both - common)]
+                rows.append((base + d, " ".join(shared + own), "s"))
+    got = {r["doc_id"]: r["component_id"] for r in near_duplicates.near_duplicates(frame(spark, rows), width=1, share=share).collect()}
+    assert sum(got[4 * k + 1] == 4 * k for k in range(200)) >= 198
+    assert all(got[4 * k + 3] == 4 * k + 3 for k in range(200))
+
+
+def test_table_shape():
+    assert near_duplicates.table_shape(80, 0.999) == (3, 11)
+    for share in range(5, 100):
+        rows, m = near_duplicates.table_shape(share, 0.999)
+        assert (1 - (1 - (share / 100) ** rows) ** m) ** 2 >= 0.999
+    for wrong in ((0, 0.9), (101, 0.9), (80, 1.0), (80, 0.0)):
+        with pytest.raises(ValueError):
+            near_duplicates.table_shape(*wrong)
+
+
+def test_equal_sets_alone_at_a_share_of_100(spark):
+    rows = [(1, "a b c", "s"), (2, "A B C", "s"), (3, "a b d", "s")]
+    got = near_duplicates.near_duplicates(frame(spark, rows), share=100).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {1: 1, 2: 1, 3: 3}
+
+
+def test_scratch_deletes_what_is_not_kept(spark):
+    frames = {}
+    with Scratch(spark) as outer:
+        with Scratch(spark) as inner:
+            frames["passing"] = pinned(spark.range(5), "passing")
+            frames["kept"] = inner.keep(frames["passing"].where("id > 1"), "kept")
+        assert not there(spark, inner.paths[0]) and there(spark, outer.paths[0])
+        frames["last"] = outer.keep(frames["kept"], "last")
+    assert not there(spark, outer.paths[0])
+    assert sorted(r["id"] for r in frames["last"].collect()) == [2, 3, 4]
+    with pytest.raises(ValueError):
+        with Scratch(spark) as failing:
+            pinned(spark.range(5), "failing")
+            raise ValueError
+    assert not there(spark, failing.paths[0])
+
+
+def there(spark, path):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def test_mixing_counts_equal_rows(spark):
+    rows = [(1, "a b", "s"), (1, "a b", "s"), (2, None, None), (2, None, None), (2, None, None), (3, "x", "s")]
+    plan = mixing.mixing_plan(frame(spark, rows), max_epochs=1.0).collect()
+    assert {(r["doc_id"], r["source"], r["copies"], r["n_tokens"]) for r in plan} == {(1, "s", 2, 4), (2, None, 3, 3), (3, "s", 1, 1)}
+
+
 @pytest.mark.parametrize("rows", [[], [(None, None, None)], [(1, "a", "s")]])
 def test_near_duplicates_small(spark, rows):
     assert near_duplicates.near_duplicates(frame(spark, rows)).count() == len(rows)

@@ -3,9 +3,9 @@
 Two small collections of ``m`` minhash groups of ``rows`` values each are
 computed per text; every pair (i, j) of a group of the first and one of the
 second collection is the key of one of ``m * m`` tables. 2 * m * rows minhash
-values thus serve m * m tables of 2 * rows values (66 instead of 726 with the
-defaults). Texts that share a table key are candidates; a candidate becomes a
-link only after its two full shingle sets are compared.
+values thus serve m * m tables of 2 * rows values (66 instead of 726 at a
+share of 80). Texts that share a table key are candidates; whether a candidate
+is a link is told by its two full shingle sets alone.
 
 Nothing emits all pairs of a group. Texts with equal sets become one node
 first. In a table bucket every member is compared with one central member;
@@ -20,7 +20,9 @@ pass that bound. So the components are those of all candidate links, while a
 group of thousands of copies costs a few comparisons per member.
 
 Recall: two texts of similarity s share no table with probability
-1 - (1 - (1 - s^rows)^m)^2, 0.0008 at s = 0.8 and 0.00006 at 0.85.
+1 - (1 - (1 - s^rows)^m)^2. ``table_shape`` takes ``rows`` and ``m`` from the
+share and the recall asked for at it; at a share of 80 and a recall of 0.999
+they are 3 and 11, and the probability is 0.0008 at s = 0.8 and 0.00006 at 0.85.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ from pyspark.sql.types import (ArrayType, BinaryType, BooleanType, LongType, Str
                                StructType)
 
 from .components import components
-from .pinning import pinned
+from .pinning import Scratch, pinned
 from .wordhash import mix, shingle_sets, slices, stream
 
 #: the hubs of a bucket in one round are its members outside its largest
@@ -46,6 +48,20 @@ HUBS = 512
 RARE, RARE_SHARE = 16, 8
 
 
+def table_shape(share: int, recall: float) -> tuple[int, int]:
+    """``(rows, m)`` for links of ``share`` percent or more: groups in which
+    two texts of just that share agree about every second time, and as many of
+    them as it takes to find such a pair with probability ``recall``."""
+    if not 0 < share <= 100 or not 0 < recall < 1:
+        raise ValueError("share must be in 1..100 and recall between 0 and 1")
+    if share == 100:
+        return 1, 1  # equal sets are one node without any table
+    s = share / 100
+    rows = max(1, round(math.log(0.5) / math.log(s)))
+    missed = 1 - math.sqrt(recall)  # by one of the two collections
+    return rows, math.ceil(math.log(missed) / math.log1p(-s ** rows))
+
+
 def _signature(own: np.ndarray) -> bytes:
     return b"".join(int(x).to_bytes(8, "little") for x in
                     (len(own), np.add.reduce(own), np.add.reduce(mix(own + np.uint64(77)))))
@@ -69,23 +85,21 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def sketches(docs: DataFrame, id_col: str, text_col: str, width: int, rows: int, m: int) -> DataFrame:
     """One row per document: id, ``row`` (hash of its text), ``n_shingles``,
-    ``sig`` (equal for equal sets; null for the empty set), the ``2 * m`` group
-    values of the two collections and the low 16 bits of every minhash value
-    for estimates."""
+    ``sig`` (equal for equal sets; null for the empty set) and the ``2 * m``
+    group values of the two collections."""
     schema = StructType([StructField("id", docs.schema[id_col].dataType), StructField("row", LongType()), StructField("n_shingles", LongType()),
-                         StructField("sig", BinaryType()), StructField("groups", ArrayType(LongType())),
-                         StructField("mins", BinaryType())])
+                         StructField("sig", BinaryType()), StructField("groups", ArrayType(LongType()))])
     factors = stream(2 * m * rows, 8) | np.uint64(1)
 
     def run(batches):
         for batch in batches:
             ids, texts = batch.column(0), _lowered(batch.column(1))
             for a, b in slices(texts):
-                counts, sigs, groups, mins = [], [], [], []
+                counts, sigs, groups = [], [], []
                 for own in shingle_sets(texts[a:b], width):
                     counts.append(len(own))
                     if not len(own):
-                        sigs.append(None), groups.append(None), mins.append(None)
+                        sigs.append(None), groups.append(None)
                         continue
                     least = _sketch(own, factors)
                     value = np.zeros(2 * m, np.uint64)
@@ -93,53 +107,49 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, width: int, rows: int,
                         value = mix(value * np.uint64(0xC2B2AE3D27D4EB4F) + part)
                     sigs.append(_signature(own))
                     groups.append(value.view(np.int64).tolist())
-                    mins.append((least >> np.uint64(40)).astype(np.uint16).tobytes())
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(a, b - a), batch.column(2).slice(a, b - a), pa.array(counts, pa.int64()), pa.array(sigs, pa.binary()),
-                     pa.array(groups, pa.list_(pa.int64())), pa.array(mins, pa.binary())], names=schema.names)
+                     pa.array(groups, pa.list_(pa.int64()))], names=schema.names)
 
     return _texts(docs, id_col, text_col).mapInArrow(run, schema)
 
 
 def _sets(rows: DataFrame, width: int) -> DataFrame:
-    """``(id, mins, text)`` -> ``(id, mins, shingles)``, the full sets."""
-    schema = StructType([rows.schema["id"], rows.schema["mins"], StructField("shingles", ArrayType(LongType()))])
+    """``(id, text)`` -> ``(id, shingles)``, the full sets."""
+    schema = StructType([rows.schema["id"], StructField("shingles", ArrayType(LongType()))])
 
     def run(batches):
         for batch in batches:
-            lowered = _lowered(batch.column(2))
+            lowered = _lowered(batch.column(1))
             for a, b in slices(lowered):
                 own = [x.view(np.int64) for x in shingle_sets(lowered[a:b], width)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a),
-                                                  pa.array(own, pa.list_(pa.int64()))], names=schema.names)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(own, pa.list_(pa.int64()))],
+                                                 names=schema.names)
 
-    return rows.select("id", "mins", "text").mapInArrow(run, schema)
+    return rows.select("id", "text").mapInArrow(run, schema)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, share: int, least_equal: int) -> DataFrame:
-    """``pairs(u, v)`` -> ``(u, v, linked)`` by the full sets. A pair whose
-    sketches agree in fewer than ``least_equal`` places is not linked."""
+def _verified(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
+    """``pairs(u, v)`` -> ``(u, v, linked)`` by the full sets."""
     kind = pairs.schema["u"].dataType
     schema = StructType([StructField("u", kind), StructField("v", kind), StructField("linked", BooleanType())])
 
     def run(batches):
         for batch in batches:
-            (u_at, u_all), (v_at, v_all) = ((c.offsets.to_numpy(), c.values.to_numpy()) for c in (batch.column(3), batch.column(5)))
+            (u_at, u_all), (v_at, v_all) = ((c.offsets.to_numpy(), c.values.to_numpy()) for c in (batch.column(2), batch.column(3)))
             linked = np.zeros(batch.num_rows, bool)
-            for i, (x, y) in enumerate(zip(batch.column(2).to_pylist(), batch.column(4).to_pylist(), strict=True)):
-                if np.count_nonzero(np.frombuffer(x, np.uint16) == np.frombuffer(y, np.uint16)) < least_equal:
-                    continue
+            for i in range(batch.num_rows):
                 u_set, v_set = u_all[u_at[i]:u_at[i + 1]], v_all[v_at[i]:v_at[i + 1]]
                 if 100 * min(len(u_set), len(v_set)) < share * max(len(u_set), len(v_set)):
-                    continue
+                    continue  # no intersection reaches the share
                 both = len(np.intersect1d(u_set, v_set, assume_unique=True))
                 linked[i] = 100 * both >= share * (len(u_set) + len(v_set) - both)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked)], names=schema.names)
 
     def side(name):
-        return sets.select(F.col("id").alias(name), F.col("mins").alias(f"{name}_mins"), F.col("shingles").alias(f"{name}_set"))
+        return sets.select(F.col("id").alias(name), F.col("shingles").alias(f"{name}_set"))
 
-    rows = pairs.join(side("v"), "v").join(side("u"), "u").select("u", "v", "u_mins", "u_set", "v_mins", "v_set")
+    rows = pairs.join(side("v"), "v").join(side("u"), "u").select("u", "v", "u_set", "v_set")
     return rows.mapInArrow(run, schema).groupBy("u", "v").agg(F.max("linked").alias("linked"))
 
 
@@ -188,12 +198,15 @@ def _first_table(key: str, groups1: str, groups2: str, m: int):
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 2,
-                    share: int = 80, rows: int = 3, m: int = 11) -> DataFrame:
-    """One row per document: ``(id_col, n_shingles, component_id, kept)``.
+                    share: int = 80, recall: float = 0.999) -> DataFrame:
+    """One row per document: ``(id_col, n_shingles, component_id, kept)``, as a
+    written table; the tables on the way to it are deleted.
 
     Documents whose sets of distinct ``width``-word shingles (A-Z lower-cased)
     have ``100 * intersection >= share * union`` are linked; ``component_id``
-    is the smallest id reachable and ``kept`` marks the rows that carry it.
+    is the smallest id reachable and ``kept`` marks the rows that carry it. A
+    link of just ``share`` percent is a candidate with probability ``recall``,
+    closer ones are more surely; every candidate is decided on its full sets.
 
     * null or wordless text: empty set, linked with nothing, its own component;
     * fewer than ``width`` words: the whole sequence is one shingle;
@@ -202,13 +215,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
       if one of them is; every row is returned with its own ``n_shingles``;
     * other columns of ``docs`` play no part; an empty table gives no rows.
     """
+    rows, m = table_shape(share, recall)
+    with Scratch(docs.sparkSession) as scratch:
+        return scratch.keep(_components_of(docs, id_col, text_col, width, share, rows, m), "near-duplicates")
+
+
+def _components_of(docs: DataFrame, id_col: str, text_col: str, width: int, share: int, rows: int, m: int) -> DataFrame:
     marks = pinned(sketches(docs, id_col, text_col, width, rows, m), "sketches")
     named = marks.where(F.col("id").isNotNull() & F.col("sig").isNotNull())
     # equal sets: one node with a number; its text is that of one row, by id and text hash
-    nodes = pinned(named.groupBy("sig").agg(F.min(F.struct("id", "row")).alias("of"), F.first("groups").alias("groups"),
-                                            F.first("mins").alias("mins"))
+    nodes = pinned(named.groupBy("sig").agg(F.min(F.struct("id", "row")).alias("of"), F.first("groups").alias("groups"))
                    .select(F.monotonically_increasing_id().alias("node"), F.col("of.id").alias("least"),
-                           F.col("of.row").alias("row"), "sig", "groups", "mins"), "nodes")
+                           F.col("of.row").alias("row"), "sig", "groups"), "nodes")
     owner = pinned(named.select("id", "sig").distinct().join(nodes.select("sig", "node", "least"), "sig")
                    .select("id", "node", "least"), "owners")
     several = (owner.groupBy("id").agg(F.min("node").alias("u"), F.max("node").alias("other"))
@@ -228,17 +246,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = pinned(keys.join(buckets, "key"), "members")
 
     wanted = members.select("id").distinct()
-    texts = nodes.join(wanted.withColumnRenamed("id", "node"), "node").select("node", F.col("least").alias("id"), "row", "mins")
+    texts = nodes.join(wanted.withColumnRenamed("id", "node"), "node").select("node", F.col("least").alias("id"), "row")
     # one row per node, however often its row stands in docs
     texts = (_texts(docs, id_col, text_col).dropna().join(texts, ["id", "row"]).dropDuplicates(["id", "row"])
-             .select(F.col("node").alias("id"), "mins", "text"))
+             .select(F.col("node").alias("id"), "text"))
     sets = pinned(_sets(texts, width), "sets")
     held = _holdings(members, sets)
     sizes = pinned(held.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.count("rare").alias("low")), "sizes")
     rare = pinned(held.where("rare > 1").select("token", "id"), "rare")
-    s = share / 100
-    k = 2 * m * rows
-    least_equal = max(0, math.floor(k * s - 6 * math.sqrt(k * s * (1 - s))))
 
     # a member whose shingles are mostly rare can only link through a rare one
     rest = F.col("n") - F.col("low")
@@ -250,7 +265,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     pairs = (members.where(_may_link(share, "h.n", "h.rest", "n", "rest"))
              .select(F.least("h.id", "id").alias("u"), F.greatest("h.id", "id").alias("v")).distinct())
     members = members.drop("h")
-    compared = pinned(_verified(pairs, sets, share, least_equal), "compared")
+    compared = pinned(_verified(pairs, sets, share), "compared")
     tried = compared.select("u", "v")
     comps = components(same.unionByName(compared.where("linked").select("u", "v")))
     # every pair that shares a rare shingle: its holders are few
@@ -259,7 +274,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     pairs = (labelled.join(other, "token").where("u < id AND u_comp <> comp")
              .select("u", F.col("id").alias("v")).distinct().join(tried, ["u", "v"], "left_anti"))
     while True:
-        compared = pinned(_verified(pairs, sets, share, least_equal), "compared")
+        compared = pinned(_verified(pairs, sets, share), "compared")
         tried = tried.unionByName(compared.select("u", "v"))
         new = compared.where("linked").select("u", "v")
         if not new.isEmpty():
