@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from widegrain.llm import byte_bpe, language_id, line_dedup, mixing, near_duplicates
-from widegrain.llm.pinning import pinned
+from widegrain.llm.pinning import Scratch
 
 #: documents without letters are rejected, and those whose best language has
 #: less than this share of the scores (a text in an unlearned language)
@@ -81,8 +81,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each result written and read again."""
+    """All stages over ``documents``, each result written and read again; what
+    a stage wrote on its way goes when its result stands."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = pinned(stage(spark, docs, sf_dir), f"stage-{name}")
+        with Scratch(spark) as scratch:
+            docs = scratch.keep(stage(spark, docs, sf_dir), f"stage-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)
