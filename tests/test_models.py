@@ -131,6 +131,23 @@ def test_shapley_linear_closed_form_and_additivity(spark, synth):
     assert chk < 1e-8
 
 
+def test_shapley_of_a_linear_model_scores_no_copy_per_background_row(spark, synth, monkeypatch):
+    d = synth.na.drop().select("k", "x1", "x2", "y")
+    model = Pipeline(stages=[VectorAssembler(inputCols=["x1", "x2"], outputCol="features"),
+                             MP.make_regressor("linear", "features", "y")]).fit(d)
+    bg, seen, whole = R.seeded_sample(d, ["k"], 20, 1), [], type(model).transform
+    monkeypatch.setattr(type(model), "transform", lambda self, df, *a: seen.append(df) or whole(self, df, *a))
+    phi = X.shapley_values(model, d, ["x1", "x2"], "k", bg, seed=1)
+    monkeypatch.undo()
+    assert max(x.count() for x in seen) <= 3 * d.count()
+    # a model that is not told to be linear goes by every background row, to the same values
+    monkeypatch.setattr(X, "_affine", lambda *a: False)
+    slow = {(r["k"], r["feature"]): r["phi"] for r in X.shapley_values(model, d, ["x1", "x2"], "k", bg, seed=1).collect()}
+    fast = {(r["k"], r["feature"]): r["phi"] for r in phi.collect()}
+    assert fast.keys() == slow.keys() and len(fast) == 2 * d.count()
+    assert all(fast[k] == pytest.approx(slow[k], abs=1e-9) for k in fast)
+
+
 def test_permutation_importance_ranks_informative_first(spark, synth):
     d = synth.na.drop()
     model = Pipeline(stages=[VectorAssembler(inputCols=FEATS, outputCol="features"),

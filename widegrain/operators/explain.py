@@ -12,6 +12,8 @@ import math
 from collections.abc import Sequence
 
 import numpy as np
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import LinearRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -70,40 +72,54 @@ def shapley_values(model, df: DataFrame, features: Sequence[str], key: str, back
     prefixes S_0 ⊂ ... ⊂ S_p of π define hybrids (x on S_k, z elsewhere); one
     ``transform`` scores all hybrids and φ_π(k) averages f(h_k) - f(h_{k-1}).
     The background is the caller's bounded sample (the reference uses 100
-    rows), all of it read once as literals — no join with the data.
+    rows), all of it read once as literals — no join with the data. A linear
+    regression on the features themselves needs the background's mean only.
     Returns (key, feature, phi); Σφ = f(x) - mean f(background) per row.
     """
     features = list(features)
     p = len(features)
-    bg = background.select(*features).collect()
+    bg = [tuple(None if v is None else float(v) for v in r) for r in background.select(*features).collect()]
     if not bg:
         raise ValueError("empty background")
-    bg_arr = F.array(*[F.struct(F.lit(i).alias("__bg_id"), *[F.lit(None if r[f] is None else float(r[f])).cast("double").alias(f"__z{j}")
-                                                           for j, f in enumerate(features)])
-                       for i, r in enumerate(bg)])
+    if _affine(model, features) and all(v is not None and math.isfinite(v) for r in bg for v in r):
+        bg = [tuple(math.fsum(v) / len(bg) for v in zip(*bg, strict=True))]
+    spark = df.sparkSession
+    schema = ", ".join(f"`{f}` double" for f in features)
+    start = model.transform(spark.createDataFrame(bg, schema)).agg(F.avg(pred)).first()[0]  # of the empty prefix, the same for every row
+    bg_arr = F.array(*[F.struct(*[F.lit(v).cast("double").alias(f"__z{j}") for j, v in enumerate(r)]) for r in bg])
     d = df.select(key, *[F.col(f).cast("double").alias(f) for f in features])
     d = d.select("*", F.explode(F.sequence(F.lit(0), F.lit(n_permutations - 1))).alias("__perm"))
     # permutation of feature indices for (row, perm): sort by a digest
-    order = F.array_sort(F.array(*[F.struct(
+    order = F.transform(F.array_sort(F.array(*[F.struct(
         F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string"), F.col("__perm").cast("string"),
-                          F.lit(f))).alias("h"), F.lit(j).alias("j")) for j, f in enumerate(features)]))
-    d = d.withColumn("__order", F.transform(order, lambda s: s["j"]))
-    d = d.select("*", F.explode(F.sequence(F.lit(0), F.lit(p))).alias("__k"))
-    d = d.select("*", F.explode(bg_arr).alias("__bg")).select("*", "__bg.*").drop("__bg")
+                          F.lit(f))).alias("h"), F.lit(j).alias("j")) for j, f in enumerate(features)])), lambda s: s["j"])
+    d = d.withColumn("__order", order)
+    d = d.select("*", F.explode(F.sequence(F.lit(1), F.lit(p))).alias("__k"))
+    # the whole row holds nothing of the background: once
+    d = d.select("*", F.explode(F.when(F.col("__k") < p, bg_arr).otherwise(F.slice(bg_arr, 1, 1))).alias("__bg")).select("*", "__bg.*").drop("__bg")
     inS = {j: F.array_contains(F.slice(F.col("__order"), 1, F.col("__k")), F.lit(j)) for j in range(p)}
-    hyb = d.select(key, "__perm", "__k", "__bg_id", "__order",
-                   *[F.when(F.col("__k") > 0, F.when(inS[j], F.col(f)).otherwise(F.col(f"__z{j}")))
-                     .otherwise(F.col(f"__z{j}")).alias(f) for j, f in enumerate(features)])
-    scored = model.transform(hyb).select(key, "__perm", "__k", "__order", F.col(pred).alias("__f"))
+    hyb = d.select(key, "__perm", "__k", *[F.when(inS[j], F.col(f)).otherwise(F.col(f"__z{j}")).alias(f) for j, f in enumerate(features)])
+    scored = model.transform(hyb).select(key, "__perm", "__k", F.col(pred).alias("__f"))
     # the background is averaged where the copies are made: what is shuffled is one row per (row, permutation)
-    means = scored.groupBy(key, "__perm", "__order").agg(*[F.avg(F.when(F.col("__k") == k, F.col("__f"))).alias(f"__m{k}") for k in range(p + 1)])
+    means = scored.groupBy(key, "__perm").agg(*[F.avg(F.when(F.col("__k") == k, F.col("__f"))).alias(f"__m{k}") for k in range(1, p + 1)])
+    means = means.withColumn("__m0", F.lit(start).cast("double")).withColumn("__order", order)
     names = F.array(*[F.lit(f) for f in features])
     steps = F.explode(F.array(*[F.struct(F.element_at(names, F.col("__order")[k] + 1).alias("feature"),
                                          (F.col(f"__m{k + 1}") - F.col(f"__m{k}")).alias("phi")) for k in range(p)])).alias("__s")
     diffs = means.select(key, steps).select(key, "__s.*")
+    if n_permutations == 1:  # one value of each (key, feature)
+        return diffs
     return diffs.groupBy(key, "feature").agg(F.avg("phi").alias("phi"))
 
 
+def _affine(model, features: Sequence[str]) -> bool:
+    """Whether the model is a linear regression straight on the features: then
+    its mean over a background is its value at the background's mean."""
+    stages = getattr(model, "stages", None) or []
+    return (len(stages) == 2 and isinstance(stages[0], VectorAssembler) and isinstance(stages[1], LinearRegressionModel)
+            and set(stages[0].getInputCols()) <= set(features) and stages[1].getFeaturesCol() == stages[0].getOutputCol())
+
+
 def tree_shapley(model, df: DataFrame, key: str, background: DataFrame) -> DataFrame:
     """Exact interventional Shapley values of a ``treefits.TreeModel`` whose
     trees stand on the features themselves (no PCA) (M22): (key, feature, phi).
