@@ -226,3 +226,21 @@ def test_tree_shapley_equals_enumeration(spark, kind):
             assert got[r["k"], c] == pytest.approx(phi, abs=1e-9)
     with pytest.raises(ValueError, match="components"):
         X.tree_shapley(TF.fit_trees(m, kind, params, None, 2), some, "k", bg)
+
+
+@pytest.mark.parametrize("regions", [1, 60, 4096])
+def test_tree_shapley_by_regions_equals_leaf_by_leaf(spark, monkeypatch, regions):
+    """Leaves are worked out per region, not anew for every batch of rows."""
+    from widegrain.operators import explain as X
+    d = _frame(spark, *_data(n=300)).withColumn("k", F.monotonically_increasing_id())
+    m = FF.fold_moments(d, COLS, "y", "fold")
+    model = TF.fit_trees(m, "gbt", {"n_estimators": 8, "max_depth": 5, "learning_rate": 0.3, "subsample": 1.0, "colsample": 1.0}, None, None)
+    bg = d.limit(20).select(*COLS)
+    monkeypatch.setattr(X, "MAX_REGIONS", regions)
+    phi = X.tree_shapley(model, d, "k", bg)
+    mean = model.transform(bg).agg(F.avg("prediction")).first()[0]
+    gap = phi.groupBy("k").agg(F.sum("phi").alias("s")).join(model.transform(d), "k").agg(F.max(F.abs(F.col("s") + mean - F.col("prediction")))).first()[0]
+    assert gap < 1e-9
+    monkeypatch.setattr(X, "MAX_REGIONS", 0)  # every leaf by itself
+    slow = {(r["k"], r["feature"]): r["phi"] for r in X.tree_shapley(model, d, "k", bg).collect()}
+    assert {(r["k"], r["feature"]): r["phi"] for r in phi.collect()} == pytest.approx(slow, abs=1e-9)

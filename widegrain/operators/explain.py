@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 
 from .ranking import seeded_rank
 
+MAX_REGIONS = 4096  # regions of a group of leaves whose Shapley values are tabulated
+
 
 def permuted_copies(df: DataFrame, features: Sequence[str], key: str, n_repeats: int = 15,
                     seed: int | str = 42) -> DataFrame:
@@ -130,7 +132,11 @@ def tree_shapley(model, df: DataFrame, key: str, background: DataFrame) -> DataF
     counts for each of the former ``(a-1)! b! / (a+b)!`` and against each of
     the latter ``a! (b-1)! / (a+b)!``. Background rows of one pattern of
     satisfied features are counted together, so the work per row does not grow
-    with the background. The background is the caller's bounded sample.
+    with the background. The cuts of neighbouring leaves part the bins into at
+    most ``MAX_REGIONS`` regions of equal values; the values of every region
+    are worked out once, here, and a row looks up its region in each group of
+    leaves. Only a leaf with more regions than that is worked out for every
+    batch of rows. The background is the caller's bounded sample.
     """
     names, weights = model.features, model.projection.weights
     if any(np.count_nonzero(weights[:, i]) != 1 for i in range(weights.shape[1])):
@@ -139,15 +145,17 @@ def tree_shapley(model, df: DataFrame, key: str, background: DataFrame) -> DataF
     back = np.array([[np.nan if v is None else float(v) for v in r] for r in background.select(*names).collect()])
     if not len(back):
         raise ValueError("empty background")
-    leaves = list(model.leaves())
     back_bins = model.bins(back)
+    p = len(names) + 1
+    weight = np.array([[math.factorial(a - 1) * math.factorial(b) / math.factorial(a + b) if a else 0.0 for b in range(p)] for a in range(p)])
     share = 1.0 / (len(model.trees) if model.averaged else 1)
 
     def inside(bins, lo, hi, component):
         return (bins[:, component] > lo) & (bins[:, component] <= hi)
 
-    def attributed(x: np.ndarray) -> np.ndarray:
-        bins, out = model.bins(x), np.zeros((len(x), len(names)))
+    def attributed(leaves, bins: np.ndarray) -> np.ndarray:
+        """Shares of the leaves' values per row of bins and feature."""
+        out = np.zeros((len(bins), len(names)))
         for value, path in leaves:  # path: component -> bins (lo, hi]
             d = len(path)
             if not d:
@@ -155,31 +163,55 @@ def tree_shapley(model, df: DataFrame, key: str, background: DataFrame) -> DataF
             codes = [sum(inside(b, lo, hi, c).astype(np.int64) << i for i, (c, (lo, hi)) in enumerate(path.items())) for b in (bins, back_bins)]
             seen, counts = np.unique(codes[1], return_counts=True)
             mine, at = np.unique(codes[0], return_inverse=True)
-            table = np.zeros((len(mine), d))
-            for r, m in enumerate(mine.tolist()):
-                for z, n in zip(seen.tolist(), counts.tolist(), strict=True):
-                    if m | z != (1 << d) - 1:
-                        continue
-                    only_x, only_z = m & ~z, z & ~m
-                    a, b = only_x.bit_count(), only_z.bit_count()
-                    if a + b == 0:
-                        continue
-                    whole = math.factorial(a + b)
-                    for i in range(d):
-                        if only_x >> i & 1:
-                            table[r, i] += n * math.factorial(a - 1) * math.factorial(b) / whole
-                        elif only_z >> i & 1:
-                            table[r, i] -= n * math.factorial(a) * math.factorial(b - 1) / whole
+            m, z, bit = mine[:, None, None], seen[None, :, None], 1 << np.arange(d)
+            only_x, only_z = (m & ~z & bit) > 0, (z & ~m & bit) > 0
+            a, b = only_x.sum(axis=2), only_z.sum(axis=2)
+            met = np.where((m | z)[:, :, 0] == (1 << d) - 1, counts, 0)[:, :, None]
+            table = (met * (only_x * weight[a, b][:, :, None] - only_z * weight[b, a][:, :, None])).sum(axis=1)
             table *= value * share / len(back)
             for i, c in enumerate(path):
                 out[:, of[c]] += table[at, i]
         return out
 
+    def ends_of(path) -> dict[int, set]:
+        return {c: {e for e in ends if 0 <= e < 10 ** 6} for c, ends in path.items()}
+
+    groups, others = [], []  # neighbouring leaves and their cuts; leaves with too many regions of their own
+    for leaves in model.leaves_by_tree():
+        for leaf in filter(lambda leaf: leaf[1], leaves):
+            own = ends_of(leaf[1])
+            joint = {c: own.get(c, set()) | (groups[-1][1].get(c, set()) if groups else set()) for c in range(len(of))}
+            if groups and math.prod(len(e) + 1 for e in joint.values()) <= MAX_REGIONS:
+                groups[-1][0].append(leaf)
+                groups[-1] = groups[-1][0], joint
+            elif math.prod(len(e) + 1 for e in own.values()) <= MAX_REGIONS:
+                groups.append(([leaf], own))
+            else:
+                others.append(leaf)
+    looked_up = []  # of each group: the cuts and strides of its components and the values of every region
+    for leaves, ends in groups:
+        cuts, strides, regions = {c: np.array(sorted(e)) for c, e in ends.items() if e}, {}, 1
+        for c, e in cuts.items():
+            strides[c], regions = regions, regions * (len(e) + 1)
+        bins = np.zeros((regions, len(of)), np.int64)
+        for c, e in cuts.items():  # a row of bins in each region
+            bins[:, c] = np.r_[e, e[-1] + 1][np.arange(regions) // strides[c] % (len(e) + 1)]
+        looked_up.append((cuts, strides, attributed(leaves, bins)))
+
+    def values(x: np.ndarray) -> np.ndarray:
+        bins = model.bins(x)
+        out = attributed(others, bins)
+        every = {c: np.arange(bins[:, c].max(initial=0) + 1) for c in range(bins.shape[1])}
+        for cuts, strides, table in looked_up:
+            region = sum((np.searchsorted(e, every[c], side="left") * strides[c])[bins[:, c]] for c, e in cuts.items())
+            out += table[region]
+        return out
+
     def run(batches):
         import pyarrow as pa
         for b in batches:
             x = np.column_stack([b.column(c).to_numpy(zero_copy_only=False).astype(float) for c in names])
-            yield pa.RecordBatch.from_arrays([b.column(key), pa.array(list(attributed(x)), pa.list_(pa.float64()))], names=[key, "phi"])
+            yield pa.RecordBatch.from_arrays([b.column(key), pa.array(list(values(x)), pa.list_(pa.float64()))], names=[key, "phi"])
 
     kind = df.schema[key].dataType.simpleString()
     rows = df.select(key, *[F.col(c).cast("double").alias(c) for c in names]).mapInArrow(run, f"`{key}` {kind}, phi array<double>")
