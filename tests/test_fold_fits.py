@@ -97,6 +97,61 @@ def test_one_tree_splits_where_the_gain_is_largest():
     assert ((y - deep) ** 2).sum() < ((y - value) ** 2).sum()
 
 
+def _grown_by_search(bins, g, h, cols, depth, penalty, least):
+    """Nodes by trying every cut of every node, one at a time."""
+    nodes, place = [[-1, 0, 0, 0, g.sum() / (h.sum() + penalty)]], np.zeros(len(bins), int)
+    level = [0]
+    for _ in range(depth):
+        following = []
+        for k in level:
+            at, best = place == k, None
+            whole = g[at].sum() ** 2 / (h[at].sum() + penalty)
+            for c in cols:
+                for cut in range(7):
+                    side = bins[at, c] <= cut
+                    (a, b), (x, y) = ((g[at][s].sum(), h[at][s].sum()) for s in (side, ~side))
+                    if b >= least and y >= least:
+                        gain = a * a / (b + penalty) + x * x / (y + penalty) - whole
+                        if gain > 1e-9 and (best is None or gain > best[0] + 1e-9):
+                            best = gain, c, cut, a / (b + penalty), x / (y + penalty)
+            if best:
+                nodes[k][:4] = [best[1], best[2], len(nodes), len(nodes) + 1]
+                place[at] = np.where(bins[at, best[1]] <= best[2], len(nodes), len(nodes) + 1)
+                following += [len(nodes), len(nodes) + 1]
+                nodes += [[-1, 0, 0, 0, best[3]], [-1, 0, 0, 0, best[4]]]
+        level = following
+    return np.array(nodes), place
+
+
+@pytest.mark.parametrize("depth, penalty, least", [(3, 1.0, 1.0), (40, 0.0, 2.0)])
+def test_trees_equal_a_search_of_every_cut(depth, penalty, least):
+    """Few nodes and many, whose histograms hold the bins of their rows only."""
+    rng = np.random.default_rng(5)
+    bins = rng.integers(0, 8, (150, 3))
+    h = rng.integers(0, 3, 150).astype(float)
+    g = h * rng.normal(size=150)
+    told, place = _grown_by_search(bins, g, h, range(3), depth, penalty, least)
+    nodes, value = TF.grow(bins, g, h, np.arange(3), depth, penalty, least, 8)
+    assert nodes == pytest.approx(told) and value == pytest.approx(told[place, 4])
+
+
+def test_every_setting_has_a_task_of_its_own(spark):
+    x, y, fold = _data(n=300)
+    m = FF.fold_moments(_frame(spark, x, y, fold), COLS, "y", "fold")
+    cells = TF.make_cells(m, [m.project(f, None, None) for f in m.folds], bins=8)
+    p = {"n_estimators": 2, "max_depth": 2, "learning_rate": 0.3, "subsample": 1.0, "colsample": 1.0}
+    settings = [TF.Setting(v, "gbt", {**p, "max_depth": d}, (2,)) for v in range(len(m.folds)) for d in (2, 3, 4, 5)]
+    seen = {}
+    whole = TF.cut_lineage
+    try:
+        TF.cut_lineage = lambda df: seen.setdefault("parts", df.withColumn("part", F.spark_partition_id())).drop("part")
+        TF.fit_all(cells, settings)
+    finally:
+        TF.cut_lineage = whole
+    got = [(r["model"], r["part"]) for r in seen["parts"].select("model", "part").collect()]
+    assert sorted(r[0] for r in got) == list(range(len(settings))) and len({r[1] for r in got}) == len(settings)
+
+
 def test_cells_stand_for_their_rows(spark):
     """Fits on added-up rows equal fits on the rows, where nothing is drawn."""
     x, y, fold = _data(n=400)
