@@ -300,3 +300,23 @@ def test_redaction(spark):
                                  "doc_id long, text string, spans int")
     got = {r["doc_id"]: (r["text"], r["spans"]) for r in personal_data.redact(docs).collect()}
     assert got == {1: ("é write to <email> or <phone>.", 5), 2: ("nothing", 6), 3: (None, 7)}
+
+
+def test_personal_data_learns_from_every_variant_and_decoy(spark, monkeypatch):
+    """``max_train`` weighs the known rows and takes none out."""
+    from pyspark.sql import functions as F
+    seen = []
+
+    class Told(personal_data.GBTClassifier):
+        def fit(self, dataset, params=None):
+            seen.append(dataset.groupBy("kind", "label").agg(F.count(F.lit(1)).alias("n"), F.sum("weight").alias("w")).collect())
+            return super().fit(dataset, params)
+
+    monkeypatch.setattr(personal_data, "GBTClassifier", Told)
+    docs = spark.createDataFrame([(i, f"write to user{i}@host{i}.com now, or call +49 {3000000 + i} or see 2 @ {i} please") for i in range(400)], "doc_id long, text string")
+    personal_data.find_personal_data(docs, max_train=160).count()
+    told = {(r["kind"], r["label"]): (r["n"], r["w"]) for r in seen[0]}
+    for key in (("email", 1.0), ("email", 0.0), ("phone", 1.0)):
+        n, w = told[key]
+        assert 250 < n < 350  # those of three quarters of the digests
+        assert w == pytest.approx(20 * n / 400)  # the quota's share

@@ -16,9 +16,10 @@ digit, part sizes) is no feature. A threshold per kind, at least one half,
 calibrated on held-out variants and decoys to a wanted precision, selects the
 spans that are added.
 
-The tree fit uses a bounded sample of variants and decoys (``max_train``, an
-equal quota per kind and label, chosen by a hash threshold from their counts);
-patterns, scores and selection cover every whole text. The patterns start a run only
+The trees and thresholds are learned from every variant and decoy. Where a kind
+has more of a label than its quota (``max_train``, shared equally by kinds and
+labels), these rows weigh less, so that together they weigh as much as the
+quota. Patterns, scores and selection cover every whole text. The patterns start a run only
 where one begins and never give characters back, so a text of any length is
 matched in linear time. Texts are read once and never shuffled: only matches
 move, and running sums over a text's matches give the positions.
@@ -166,32 +167,30 @@ def _added(spans: DataFrame, max_train: int, precision: float) -> DataFrame | No
     variants = (spans.where("base").withColumn("match", _variant()).where(_proposable())
                 .select("kind", F.lit(1.0).alias("label"), h, _features().alias("features")))
     known = pinned(variants.unionByName(judged.where("decoy").select("kind", "label", "h", "features")), "known")
-    span = 2 ** 30
-    taken = F.lit(False)
-    for r in known.groupBy("kind", "label").count().collect():  # two rows per kind at most
-        share = min(span, span * max_train // (2 * len(KINDS)) // r["count"])
-        taken = taken | ((F.col("kind") == r["kind"]) & (F.col("label") == r["label"])
-                         & (F.pmod(F.xxhash64("h", F.lit(1)), F.lit(span)) < share))
-    sample = pinned(known.where(taken), "known-sample")
+    share = {(r["kind"], r["label"]): min(1.0, max_train / (2 * len(KINDS)) / r["count"])
+             for r in known.groupBy("kind", "label").count().collect()}  # two rows per kind at most
     fold = F.pmod(F.xxhash64("h"), F.lit(4)) == 0
-    classes = sample.where(~fold).groupBy("label").count().collect()  # two rows at most
-    if len(classes) < 2:
+    if known.where(~fold).select("label").distinct().count() < 2:
         return None
+    weight = F.lit(1.0)
+    for (kind, label), w in sorted(share.items()):
+        weight = F.when((F.col("kind") == kind) & (F.col("label") == label), F.lit(w)).otherwise(weight)
     model = GBTClassifier(maxIter=12, maxDepth=4, maxBins=32, stepSize=0.3, seed=5, checkpointInterval=-1,
-                          cacheNodeIds=False).fit(sample.where(~fold))
+                          cacheNodeIds=False, weightCol="weight").fit(known.where(~fold).withColumn("weight", weight))
 
     def scored(df):
         return model.transform(df).withColumn("p", vector_to_array("probability")[1])
 
-    steps = (scored(sample.where(fold)).groupBy("kind", F.floor(F.col("p") * 50).alias("step"))
-             .agg(F.sum("label").alias("hits"), F.count(F.lit(1)).alias("n")).orderBy(F.desc("step")).collect())  # <= 51 per kind
+    steps = (scored(known.where(fold)).groupBy("kind", F.floor(F.col("p") * 50).alias("step"))
+             .agg(F.sum("label").alias("hits"), F.sum(1 - F.col("label")).alias("misses")).orderBy(F.desc("step")).collect())  # <= 51 per kind
     wanted = F.lit(False)
     for kind in KINDS:
         hits = n = 0
         threshold = None
         for r in steps:
             if r["kind"] == kind:
-                hits, n = hits + r["hits"], n + r["n"]
+                found = r["hits"] * share.get((kind, 1.0), 1.0)
+                hits, n = hits + found, n + found + r["misses"] * share.get((kind, 0.0), 1.0)
                 if hits and hits >= precision * n:
                     threshold = r["step"] / 50
         if threshold is not None:
