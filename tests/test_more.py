@@ -95,3 +95,19 @@ def test_gram_hands_on_one_row_per_task(spark):
         assert r["n"] == len(both) and r["sx"] == sum(x[i] for x in both) and r["sy"] == sum(x[j] for x in both)
         assert r["sxy"] == sum(x[i] * x[j] for x in both) and r["sxx"] == sum(x[i] ** 2 for x in both) and r["syy"] == sum(x[j] ** 2 for x in both)
     assert S.gram(df.limit(0), ["a", "b"], center=False).count() == 0
+
+
+def test_a_key_of_many_pairs_is_not_left_to_the_full_join(spark, monkeypatch):
+    """A full outer join holds all rows of a key at once: many pairs of a key
+    with few rows on each side are streamed by an inner join."""
+    from collections import Counter
+
+    from widegrain.operators import reshape as RS
+    monkeypatch.setattr(RS, "FULL_JOIN_PRODUCT", 500)
+    a = spark.createDataFrame([(1, i) for i in range(30)] + [(2, 100), (3, 101), (None, 102)], "k int, x int")
+    b = spark.createDataFrame([(1, i) for i in range(30)] + [(2, 100), (4, 101), (None, 102)], "k int, y int")
+    got = RS.full_join_split(a, b, "k")
+    assert "__salt" in got._jdf.queryExecution().optimizedPlan().toString()
+    assert Counter(map(tuple, got.collect())) == Counter(map(tuple, a.join(b, "k", "full").collect()))
+    monkeypatch.setattr(RS, "FULL_JOIN_PRODUCT", 1000)
+    assert "__salt" not in RS.full_join_split(a, b, "k")._jdf.queryExecution().optimizedPlan().toString()
