@@ -158,6 +158,24 @@ def test_permutation_importance_ranks_informative_first(spark, synth):
     assert per.count() == 12
 
 
+def test_permuted_copies_shuffle_a_row_once(spark, synth):
+    """Donors alone are shuffled once per repeat; their digests go as bytes."""
+    from collections import Counter
+    d = synth.na.drop().select("k", "x1", "x2", "y")
+    got = X.permuted_copies(d, ["x1", "x2"], "k", n_repeats=4, seed=3)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    keys = [line.split("hashpartitioning(")[1] for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
+    assert not any("__pos" in k and "perm_repeat" in k for k in keys)
+    n = d.count()
+    assert got.count() == n * 2 * 4
+    each = Counter((r["perm_feature"], r["perm_repeat"]) for r in got.collect())
+    assert set(each.values()) == {n} and len(each) == 8
+    x1 = sorted(r["x1"] for r in d.collect())
+    for repeat in range(4):  # a permutation: every value once
+        own = got.where(f"perm_feature = 'x1' AND perm_repeat = {repeat}")
+        assert sorted(r["x1"] for r in own.collect()) == x1
+
+
 def test_model_save_load_roundtrip(spark, synth):
     d = synth.na.drop()
     model = MP.make_pipeline(FEATS, "y", "ridge", alpha=0.01, n_components=2).fit(d)

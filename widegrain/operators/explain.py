@@ -28,19 +28,20 @@ def permuted_copies(df: DataFrame, features: Sequence[str], key: str, n_repeats:
 
     In each repeat the row at natural position i (rank of ``md5('<seed>:key')``)
     meets the row at position i of the order ``md5('<repeat>:<seed>:key')``, an
-    exact random permutation computed with the skew-safe seeded rank. Only
-    rows x repeats are shuffled: the donor brings all its features at once, and
-    the copies with one feature taken from it are made after the join.
+    exact random permutation computed with the skew-safe seeded rank. A row is
+    shuffled once by its position, where it meets its donors of all repeats;
+    only donors are shuffled rows x repeats: each brings all its features at
+    once, and the copies with one feature taken from it are made after the join.
     """
     features = list(features)
     n = df.count()
     repeats = F.explode(F.sequence(F.lit(0), F.lit(n_repeats - 1))).alias("perm_repeat")
-    rep = seeded_rank(df, [key], seed, rank_col="__pos", n_rows=n).select("*", repeats)
+    rep = seeded_rank(df, [key], seed, rank_col="__pos", n_rows=n)
     donors = df.select(key, *[F.col(f).cast("double").alias(f"__d{i}") for i, f in enumerate(features)], repeats)
     order = F.md5(F.concat_ws(":", F.col("perm_repeat").cast("string"), F.lit(str(seed)), F.col(key).cast("string")))
     donors = seeded_rank(donors, [key], seed, partition_cols=["perm_repeat"], rank_col="__pos", check_unique=False,
                          order_expr=order, n_rows=n, n_groups=n_repeats).drop(key)
-    j = rep.join(donors, ["perm_repeat", "__pos"], "inner").select(
+    j = rep.join(donors, "__pos", "inner").select(
         "*", F.explode(F.array(*[F.lit(i) for i in range(len(features))])).alias("__fi"))
     idx = {f: i for i, f in enumerate(features)}
     names = F.array(*[F.lit(f) for f in features])

@@ -87,13 +87,14 @@ def seeded_rank(df: DataFrame, key_cols: Sequence[str], seed: int | str = 42,
         digits = _digits_for(n_rows if n_rows is not None else df.count())
     h = "__h"
     b = "__b"
-    d = df.withColumn(h, order_expr if order_expr is not None else hash_order(key_cols, seed))
-    d = d.withColumn(b, F.substring(h, 1, digits))
+    digest = order_expr if order_expr is not None else hash_order(key_cols, seed)
+    d = df.withColumn(b, F.substring(digest, 1, digits))
+    counts = d.groupBy(*P, b).agg(F.count(F.lit(1)).alias("__n"))
+    d = d.repartition(*P, b).withColumn(h, F.unhex(digest))  # the key is shuffled, and not its digest
     within = Window.partitionBy(*P, b).orderBy(h)
     d = d.withColumn("__r", F.row_number().over(within))
     if check_unique:
         d = d.withColumn("__dup", F.lag(h).over(within) == F.col(h))
-    counts = d.groupBy(*P, b).agg(F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy(*P).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*P, b, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
     bound = 16 ** digits * (1 if not P else (n_groups or 0))
