@@ -2,6 +2,7 @@
 and the row-based pipelines."""
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -179,6 +180,50 @@ def test_too_many_cells_halve_the_bins(spark, monkeypatch):
     assert all(r["n"] == 400 for r in cells.table.groupBy("view").agg(F.sum("n").alias("n")).collect())
 
 
+def test_bins_do_not_depend_on_the_number_of_cells(spark):
+    d = spark.range(1_100_000).select(*[F.rand(i).alias(c) for i, c in enumerate(COLS)], F.randn(9).alias("y"), (F.col("id") % 2).alias("fold"))
+    m = FF.fold_moments(d, COLS, "y", "fold")
+    cells = TF.make_cells(m, [m.project(FF.ALL, None, None)])
+    told = cells.table.agg(F.count("*").alias("cells"), F.sum("n").alias("n"), F.max(F.conv(F.substring(F.hex("bins"), 1, 2), 16, 10).cast("int")).alias("last")).first()
+    assert cells.n_bins == TF.BINS and told["cells"] > 1_000_000 and told["n"] == 1_100_000 and told["last"] == TF.BINS - 1
+
+
+def _cells(n=700, seed=5):
+    """Cells as a task gets them: training and held-out rows of equal bins follow each other."""
+    rng = np.random.default_rng(seed)
+    x = rng.integers(0, 5, (n, 4)).astype(np.uint8)
+    frame = pd.DataFrame({"bins": [r.tobytes() for r in x], "held": rng.random(n) < 0.3}).drop_duplicates().sort_values(["bins", "held"])
+    return frame.assign(model=0, n=rng.integers(1, 4, len(frame)), sy=rng.normal(size=len(frame)), syy=1.0)
+
+
+@pytest.mark.parametrize("kind", ["gbt", "forest"])
+def test_cells_in_files_give_the_fits_of_cells_in_memory(monkeypatch, kind):
+    p = {"gbt": {"max_depth": 5, "learning_rate": 0.3, "subsample": 0.8, "colsample": 0.8}, "forest": {"min_samples_leaf": 2, "max_depth": None}}[kind]
+    s, frame = TF.Setting(0, kind, p, (6,), keep=True, errors=True), _cells()
+    monkeypatch.setattr(TF, "BLOCK", 50)
+
+    def fitted(held):
+        monkeypatch.setattr(TF, "HELD", held)
+        return [r for part in TF._fitter([s], 8, 42)(iter([frame[:100], frame[100:]])) for r in part.to_dict("records")]
+
+    whole, parts = fitted(1000), fitted(2)
+    assert [(r["bins"], r["pred"], r["fitted"]) for r in whole[:-1]] == [(r["bins"], r["pred"], r["fitted"]) for r in parts[:-1]]
+    assert (whole[-1]["n"], whole[-1]["sse"], whole[-1]["fitted"]) == (parts[-1]["n"], parts[-1]["sse"], parts[-1]["fitted"])
+    assert sorted(r["bins"] for r in whole[:-1]) == sorted(frame["bins"][frame["held"]])  # every held-out cell once
+    if kind == "gbt":  # nor do blocks change the fit; a bootstrap is drawn block by block
+        monkeypatch.setattr(TF, "BLOCK", 10 ** 6)
+        assert fitted(1000)[-1]["sse"] == pytest.approx(whole[-1]["sse"])
+
+
+def test_held_out_rows_share_the_cell_of_training_rows():
+    frame = _cells()
+    d = TF.Fitted(iter([frame]))
+    x, count, mean, n, sy, _ = d.cells.get(0)
+    train = frame[~frame["held"]]
+    assert x.shape[1] == frame["bins"].nunique() < len(frame) and count.sum() == train["n"].sum() and n.sum() == frame["n"][frame["held"]].sum()
+    assert (count * mean).sum() == pytest.approx(train["sy"].sum()) and sy.sum() == pytest.approx(frame["sy"][frame["held"]].sum())
+
+
 def test_trees_beat_linear_and_repeat(spark):
     x, y, fold = _data(n=900)
     m = FF.fold_moments(_frame(spark, x, y, fold), COLS, "y", "fold")
