@@ -224,6 +224,17 @@ def test_held_out_rows_share_the_cell_of_training_rows():
     assert (count * mean).sum() == pytest.approx(train["sy"].sum()) and sy.sum() == pytest.approx(frame["sy"][frame["held"]].sum())
 
 
+def test_cells_are_not_copied_for_every_setting(spark, monkeypatch):
+    x, y, fold = _data(n=300)
+    m = FF.fold_moments(_frame(spark, x, y, fold), COLS, "y", "fold")
+    cells = TF.make_cells(m, [m.project(f, None, None) for f in m.folds], bins=8)
+    p = {"n_estimators": 2, "max_depth": 2, "learning_rate": 0.3, "subsample": 1.0, "colsample": 1.0}
+    seen = []
+    monkeypatch.setattr(TF, "cut_lineage", lambda df: seen.append(df) or df)
+    TF.fit_all(cells, [TF.Setting(v, "gbt", {**p, "max_depth": d}, (2,)) for v in range(len(m.folds)) for d in (2, 3)])
+    assert "Exchange" not in seen[0]._jdf.queryExecution().executedPlan().toString()
+
+
 def test_trees_beat_linear_and_repeat(spark):
     x, y, fold = _data(n=900)
     m = FF.fold_moments(_frame(spark, x, y, fold), COLS, "y", "fold")
@@ -258,6 +269,13 @@ def test_grid_search_scores_every_set_and_refits(spark, kind):
         assert {r["params"]: r["r2_mean"] for r in short}.items() <= {r["params"]: r["r2_mean"] for r in rows}.items()
 
 
+def test_scaled_cosine_is_a_cosine():
+    rng = np.random.default_rng(2)
+    a = np.concatenate([rng.normal(scale=s, size=(30, 700)) for s in (1.0, 50.0, 1e4)] + [np.pi / 2 * np.arange(-350, 350).reshape(1, -1)])
+    assert np.abs(SF.scaled_cosine(a.copy(), 0.5) - 0.5 * np.cos(a)).max() < 1e-14
+    assert np.isnan(SF.scaled_cosine(np.array([[np.nan, 0.0]]), 1.0)).tolist() == [[True, False]]
+
+
 def test_epsilon_changes_the_fit(spark):
     x, y, fold = _data(n=500)
     d = _frame(spark, x, y, fold)
